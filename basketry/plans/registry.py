@@ -88,3 +88,343 @@ def q_training_set(spark, sf_dir):
 def q_scoring_set(spark, sf_dir):
     """Features over the whole log, hours up to day 31."""
     return features.scoring_set(_beh(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Sources and sinks
+
+
+@query("src_csv_log", O.with_beh() + "SELECT user_id, item_id, behavior_type, time FROM beh")
+def q_src_csv_log(spark, sf_dir):
+    """The log written as the six-column text CSV (header), read back with
+    an all-text schema and typed (try_cast, strict hour parsing)."""
+    path = shared_dir(spark, "behaviour-csv")
+    bsrc.write_behaviour_csv(_beh(spark, sf_dir), path, mode="overwrite")
+    return bsrc.typed_behaviour(bsrc.read_behaviour_csv(spark, path))
+
+
+@query(
+    "src_inline_rows",
+    O.with_beh(
+        "names(behavior_type, behavior) AS (VALUES (1, 'view'), (2, 'collect'), (3, 'cart'), (4, 'buy'))"
+    )
+    + "SELECT CAST(n.behavior_type AS INTEGER) AS behavior_type, n.behavior, count(*) AS n_rows "
+    "FROM beh JOIN names n USING (behavior_type) GROUP BY ALL",
+)
+def q_src_inline_rows(spark, sf_dir):
+    """S3: an inline (code, name) table joined to the log; rows per behaviour.
+    The four-row table is broadcast (its size is fixed)."""
+    counts = _beh(spark, sf_dir).groupBy("behavior_type").agg(F.count(F.lit(1)).alias("n_rows"))
+    return counts.join(F.broadcast(inline.behaviour_names(spark)), "behavior_type").select("behavior_type", "behavior", "n_rows")
+
+
+@query(
+    "sink_csv",
+    O.with_beh(O.LAST_CART, O.BUYERS, O.PER_HOUR, O.CONV, O.CURVE) + "SELECT hour, bought, carted, rate_text FROM curve",
+)
+def q_sink_csv(spark, sf_dir):
+    """K1: the conversion curve written as a header-less CSV directory by the
+    executors, then read back with an explicit schema."""
+    path = shared_dir(spark, "curve-csv")
+    out = curve.conversion_curve(_beh(spark, sf_dir)).select("hour", "bought", "carted", "rate_text")
+    sinks.write_csv(out, path)
+    return spark.read.schema("hour INT, bought BIGINT, carted BIGINT, rate_text STRING").csv(path)
+
+
+@query(
+    "export_json_series",
+    O.with_beh(O.LAST_CART, O.BUYERS, O.PER_HOUR, O.CONV, O.CURVE)
+    + "SELECT '[' || coalesce(string_agg('[' || CAST(hour AS VARCHAR) || ',' || rate_text || ']', ',' ORDER BY hour), '') || ']' AS json FROM curve",
+)
+def q_export_json_series(spark, sf_dir):
+    """K2: the curve as one JSON array of [hour, rate] pairs ordered by hour."""
+    return sinks.json_series(curve.conversion_curve(_beh(spark, sf_dir), sort=False), "hour", "rate_text")
+
+
+@query(
+    "preview_first_n",
+    O.with_beh() + "SELECT user_id, item_id, behavior_type, time FROM beh ORDER BY user_id, item_id, time, behavior_type LIMIT 10",
+)
+def q_preview_first_n(spark, sf_dir):
+    """K3: first 10 rows of the log under a total order (top-k, not a full sort)."""
+    return sinks.preview(_beh(spark, sf_dir).select(*BEH_COLUMNS), 10, "user_id", "item_id", "time", "behavior_type")
+
+
+# ---------------------------------------------------------------------------
+# Projections, filters, null handling
+
+
+@query("proj_drop", O.with_beh() + "SELECT user_id, item_id, time FROM beh WHERE behavior_type = 3")
+def q_proj_drop(spark, sf_dir):
+    """Six-column log rows of carts with geohash, category and code dropped."""
+    six = _beh(spark, sf_dir).select(
+        *BEH_COLUMNS, F.lit(None).cast("string").alias("user_geohash"), F.lit(None).cast("string").alias("item_category")
+    )
+    return six.where(F.col("behavior_type") == ADD_TO_CART).drop("user_geohash", "item_category", "behavior_type")
+
+
+@query(
+    "proj_lit_label",
+    O.with_beh(O.BUYERS) + "SELECT user_id, item_id, CAST(1 AS INTEGER) AS count FROM buyers",
+)
+def q_proj_lit_label(spark, sf_dir):
+    """Distinct day-30 buyers with a constant column."""
+    return curve.buyers_after(_beh(spark, sf_dir)).withColumn("count", F.lit(1))
+
+
+@query(
+    "proj_cast_int",
+    "SELECT event_id, TRY_CAST(CAST(user_id AS VARCHAR) AS INTEGER) AS user_id, "
+    "TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS item_id, "
+    "TRY_CAST(event_type AS INTEGER) AS bad_code, "
+    "TRY_CAST(CAST(count(*) OVER (PARTITION BY user_id) AS VARCHAR) || 'x' AS INTEGER) AS bad_count FROM events",
+)
+def q_proj_cast_int(spark, sf_dir):
+    """Text to int with try_cast; malformed text ('view', '12x') gives null."""
+    from pyspark.sql import Window
+
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    per_user = F.count(F.lit(1)).over(Window.partitionBy("user_id"))
+    return ev.select(
+        "event_id",
+        F.col("user_id").cast("string").try_cast("int").alias("user_id"),
+        F.get_json_object("props", "$.k").try_cast("int").alias("item_id"),
+        F.col("event_type").try_cast("int").alias("bad_code"),
+        F.concat(per_user.cast("string"), F.lit("x")).try_cast("int").alias("bad_count"),
+    )
+
+
+@query(
+    "proj_select_rename",
+    O.with_beh(O.features(O.A31, False))
+    + "SELECT item_id AS item, user_id AS user, type_4count AS buys, time3 AS hours_since_cart FROM feat",
+)
+def q_proj_select_rename(spark, sf_dir):
+    """Select, rename and reorder columns of the scoring features."""
+    f = features.scoring_set(_beh(spark, sf_dir))
+    return f.select(
+        F.col("item_id").alias("item"), F.col("user_id").alias("user"), F.col("type_4count").alias("buys"), F.col("time3").alias("hours_since_cart")
+    )
+
+
+@query(
+    "proj_pair_value",
+    O.with_beh() + f"SELECT user_id, item_id, {O.hours_before('time', O.A30)} AS hour FROM beh WHERE behavior_type = 3 AND time < {O.A30}",
+)
+def q_proj_pair_value(spark, sf_dir):
+    """P5: each cart row before day 30 as (pair, hours before the anchor)."""
+    beh = _beh(spark, sf_dir)
+    return beh.where((F.col("behavior_type") == ADD_TO_CART) & timefn.strictly_before(DAY30, raw="ts")).select(
+        *KEYS, timefn.hours_before("time", DAY30).alias("hour")
+    )
+
+
+@query("filter_before_anchor", O.with_beh() + f"SELECT user_id, item_id, behavior_type, time FROM beh WHERE time < {O.A30}")
+def q_filter_before_anchor(spark, sf_dir):
+    """rows strictly before day 30 (hour 00 of day 30 excluded)."""
+    return _beh(spark, sf_dir).where(timefn.strictly_before(DAY30, raw="ts")).select(*BEH_COLUMNS)
+
+
+@query("filter_after_anchor", O.with_beh() + f"SELECT user_id, item_id, behavior_type, time FROM beh WHERE time > {O.A30}")
+def q_filter_after_anchor(spark, sf_dir):
+    """rows strictly after day 30 00h (the boundary hour is excluded too)."""
+    return _beh(spark, sf_dir).where(timefn.strictly_after(DAY30, raw="ts")).select(*BEH_COLUMNS)
+
+
+@query("filter_behavior", O.with_beh() + "SELECT user_id, item_id, behavior_type, time FROM beh WHERE behavior_type = 4")
+def q_filter_behavior(spark, sf_dir):
+    """rows of one behaviour code (buys)."""
+    return _beh(spark, sf_dir).where(F.col("behavior_type") == BUY).select(*BEH_COLUMNS)
+
+
+@query(
+    "null_to_zero",
+    O.with_beh()
+    + "SELECT p.user_id, p.item_id, CAST(coalesce(b.n, 0) AS INTEGER) AS type_4count "
+    "FROM (SELECT DISTINCT user_id, item_id FROM beh) p "
+    "LEFT JOIN (SELECT user_id, item_id, count(*) AS n FROM beh WHERE behavior_type = 4 GROUP BY ALL) b USING (user_id, item_id)",
+)
+def q_null_to_zero(spark, sf_dir):
+    """Every pair left-joined to its buy count; missing counts become 0."""
+    beh = _beh(spark, sf_dir)
+    pairs = beh.select(*KEYS).distinct()
+    buys = beh.where(F.col("behavior_type") == BUY).groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"))
+    return pairs.join(buys, KEYS, "left").select(*KEYS, F.coalesce(F.col("n"), F.lit(0)).cast("int").alias("type_4count"))
+
+
+# ---------------------------------------------------------------------------
+# Time, number and text-format functions
+
+
+@query(
+    "fn_parse_hour",
+    "SELECT event_id, try_strptime(strftime(ts, '%Y-%m-%d %H'), '%Y-%m-%d %H') AS parsed, "
+    "try_strptime(strftime(ts, '%Y-%m-%d %H:%M'), '%Y-%m-%d %H') AS parsed_with_minutes FROM events",
+)
+def q_fn_parse_hour(spark, sf_dir):
+    """T1: 'yyyy-MM-dd HH' text parsed strictly; text with trailing minutes is null."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return ev.select(
+        "event_id",
+        timefn.parse_hour(F.date_format("ts", "yyyy-MM-dd HH")).alias("parsed"),
+        timefn.parse_hour(F.date_format("ts", "yyyy-MM-dd HH:mm")).alias("parsed_with_minutes"),
+    )
+
+
+@query(
+    "fn_hours_between",
+    O.with_beh() + "SELECT user_id, item_id, date_diff('hour', min(time), max(time)) AS span_hours FROM beh GROUP BY ALL",
+)
+def q_fn_hours_between(spark, sf_dir):
+    """Whole hours between each pair's first and last behaviour."""
+    g = _beh(spark, sf_dir).groupBy(*KEYS).agg(F.min("time").alias("first"), F.max("time").alias("last"))
+    return g.select(*KEYS, timefn.hours_between("last", "first").alias("span_hours"))
+
+
+@query(
+    "fn_hours_before_anchor",
+    "SELECT event_id, " + O.hours_before("date_trunc('hour', ts)", O.A31) + " AS hours_before FROM events",
+)
+def q_fn_hours_before_anchor(spark, sf_dir):
+    """Hours from each event's hour up to the day-31 anchor, as int."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return ev.select("event_id", timefn.hours_before(F.date_trunc("HOUR", "ts"), DAY31).alias("hours_before"))
+
+
+@query(
+    "fn_hhmm_to_hour",
+    "SELECT event_id, CAST(hour(ts) * 100 + minute(ts) AS VARCHAR) AS hhmm, "
+    "CAST(substr(lpad(CAST(hour(ts) * 100 + minute(ts) AS VARCHAR), 4, '0'), 1, 2) AS INTEGER) AS hour FROM events",
+)
+def q_fn_hhmm_to_hour(spark, sf_dir):
+    """T4: 'HHmm' number text back to its hour."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    hhmm = (F.hour("ts") * 100 + F.minute("ts")).cast("string")
+    return ev.select("event_id", hhmm.alias("hhmm"), timefn.hhmm_to_hour(hhmm).alias("hour"))
+
+
+@query(
+    "fn_format_rate",
+    O.with_beh()
+    + "SELECT user_id, printf('%.4f', round(count(*) FILTER (WHERE behavior_type = 4) / count(*), 4)) AS buy_rate FROM beh GROUP BY user_id",
+)
+def q_fn_format_rate(spark, sf_dir):
+    """Per-user share of buy rows as four-decimal text (half-up)."""
+    g = _beh(spark, sf_dir).groupBy("user_id").agg((F.count_if(F.col("behavior_type") == BUY) / F.count(F.lit(1))).alias("r"))
+    return g.select("user_id", timefn.format_rate("r").alias("buy_rate"))
+
+
+# ---------------------------------------------------------------------------
+# Aggregations
+
+
+@query(
+    "agg_min_count_pair",
+    O.with_beh()
+    + f"SELECT user_id, item_id, min({O.hours_before('time', O.A30)}) AS time1, CAST(count(*) AS INTEGER) AS type_1count "
+    f"FROM beh WHERE behavior_type = 1 AND time < {O.A30} GROUP BY ALL",
+)
+def q_agg_min_count_pair(spark, sf_dir):
+    """A1: per pair, hours since the most recent view before day 30 and the view count."""
+    beh = _beh(spark, sf_dir).where((F.col("behavior_type") == VIEW) & timefn.strictly_before(DAY30, raw="ts"))
+    return beh.groupBy(*KEYS).agg(
+        timefn.hours_before(F.max("time"), DAY30).alias("time1"), F.count(F.lit(1)).cast("int").alias("type_1count")
+    )
+
+
+@query(
+    "agg_buy_count_pair",
+    O.with_beh() + f"SELECT user_id, item_id, CAST(count(*) AS INTEGER) AS type_4count FROM beh WHERE behavior_type = 4 AND time < {O.A30} GROUP BY ALL",
+)
+def q_agg_buy_count_pair(spark, sf_dir):
+    """A2: per pair, buy rows before day 30."""
+    beh = _beh(spark, sf_dir).where((F.col("behavior_type") == BUY) & timefn.strictly_before(DAY30, raw="ts"))
+    return beh.groupBy(*KEYS).agg(F.count(F.lit(1)).cast("int").alias("type_4count"))
+
+
+@query("agg_last_per_key", O.with_beh(O.LAST_CART) + "SELECT * FROM last_cart")
+def q_agg_last_per_key(spark, sf_dir):
+    """A3: one value per pair, the latest cart (fewest hours before day 30)."""
+    return curve.last_cart_hours(_beh(spark, sf_dir))
+
+
+@query("agg_pairs_per_hour", O.with_beh(O.LAST_CART, O.PER_HOUR) + "SELECT * FROM per_hour")
+def q_agg_pairs_per_hour(spark, sf_dir):
+    """Number of carted pairs per hour (group by the value, count)."""
+    return curve.last_cart_hours(_beh(spark, sf_dir)).groupBy("hour").agg(F.count(F.lit(1)).alias("carted"))
+
+
+@query("agg_distinct_pairs", O.with_beh(O.BUYERS) + "SELECT * FROM buyers")
+def q_agg_distinct_pairs(spark, sf_dir):
+    """A5: distinct pairs bought after day 30."""
+    return curve.buyers_after(_beh(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Joins
+
+
+@query("join_inner_pair", O.with_beh(O.LAST_CART, O.BUYERS) + "SELECT c.user_id, c.item_id, c.hour FROM last_cart c JOIN buyers USING (user_id, item_id)")
+def q_join_inner_pair(spark, sf_dir):
+    """Latest-cart hours of the pairs that were bought (unique right side)."""
+    beh = _beh(spark, sf_dir)
+    return curve.last_cart_hours(beh).join(curve.buyers_after(beh), KEYS, "left_semi")
+
+
+@query("join_inner_hour", O.with_beh(O.LAST_CART, O.BUYERS, O.PER_HOUR, O.CONV) + "SELECT hour, bought, carted FROM conv JOIN per_hour USING (hour)")
+def q_join_inner_hour(spark, sf_dir):
+    """Converted pairs per hour joined with carted pairs per hour."""
+    beh = _beh(spark, sf_dir)
+    carts = curve.last_cart_hours(beh)
+    conv = carts.join(curve.buyers_after(beh), KEYS, "left_semi").groupBy("hour").agg(F.count(F.lit(1)).alias("bought"))
+    per_hour = carts.groupBy("hour").agg(F.count(F.lit(1)).alias("carted"))
+    return conv.join(per_hour, "hour")
+
+
+@query("join_full_outer_chain", O.with_beh(O.features(O.A30, True)) + "SELECT * FROM feat")
+def q_join_full_outer_chain(spark, sf_dir):
+    """The literal feature plan, four aggregates chained by full outer joins."""
+    return features.pair_features_outer_joins(_beh(spark, sf_dir), DAY30, before_anchor=True)
+
+
+@query("join_label_fanout", O.with_beh(O.features(O.A30, True), O.TRAINING) + "SELECT * FROM pos")
+def q_join_label_fanout(spark, sf_dir):
+    """Features joined with every day-30 buy row (a pair bought n times gives n rows)."""
+    beh = _beh(spark, sf_dir)
+    return features.pair_features_outer_joins(beh, DAY30, True).join(features.last_day_buys(beh), KEYS)
+
+
+# ---------------------------------------------------------------------------
+# Sort and set operations
+
+
+@query("sort_by_hour", O.with_beh(O.LAST_CART, O.PER_HOUR) + "SELECT * FROM per_hour ORDER BY hour")
+def q_sort_by_hour(spark, sf_dir):
+    """O1: carted pairs per hour, ascending by hour (range-partitioned sort)."""
+    return q_agg_pairs_per_hour(spark, sf_dir).orderBy("hour")
+
+
+@query(
+    "set_union_all",
+    O.with_beh()
+    + f"SELECT user_id, item_id, behavior_type FROM beh WHERE behavior_type = 3 AND time > {O.A30} "
+    f"UNION ALL SELECT user_id, item_id, behavior_type FROM beh WHERE behavior_type = 4 AND time > {O.A30}",
+)
+def q_set_union_all(spark, sf_dir):
+    """Day-30 cart rows and day-30 buy rows, duplicates kept, by column name."""
+    beh = _beh(spark, sf_dir).where(timefn.strictly_after(DAY30, raw="ts"))
+    carts = beh.where(F.col("behavior_type") == ADD_TO_CART).select(*KEYS, "behavior_type")
+    buys = beh.where(F.col("behavior_type") == BUY).select("behavior_type", *KEYS)
+    return carts.unionByName(buys)
+
+
+@query(
+    "set_except_distinct",
+    O.with_beh(O.features(O.A30, True), O.TRAINING) + f"SELECT {O.FEATURE_LIST} FROM feat EXCEPT SELECT {O.FEATURE_LIST} FROM pos",
+)
+def q_set_except_distinct(spark, sf_dir):
+    """Feature rows minus the positive rows (distinct, null-safe EXCEPT)."""
+    beh = _beh(spark, sf_dir)
+    feat = features.pair_features_outer_joins(beh, DAY30, True)
+    pos = feat.join(features.last_day_buys(beh), KEYS).drop("label")
+    return feat.subtract(pos)

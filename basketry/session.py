@@ -8,7 +8,6 @@ only when that is unset (local tests) do we create one under /tmp.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -67,10 +66,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint location."""
+    """A fresh, unique (not yet existing) path under the shared checkpoint
+    location, for jobs that write a table and read it back."""
     base = ensure_checkpoint_dir(spark)
     sep = "" if base.endswith("/") else "/"
-    path = f"{base}{sep}{name}-{uuid.uuid4().hex}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
+    return f"{base}{sep}{name}-{uuid.uuid4().hex}"
