@@ -81,3 +81,72 @@ TRAINING = f"""lastday_buy AS (SELECT user_id, item_id FROM beh WHERE behavior_t
 pos AS (SELECT {FEATURE_LIST}, CAST(1.0 AS DOUBLE) AS label FROM feat JOIN lastday_buy USING (user_id, item_id)),
 neg AS (SELECT *, CAST(0.0 AS DOUBLE) AS label FROM (SELECT {FEATURE_LIST} FROM feat EXCEPT SELECT {FEATURE_LIST} FROM pos) x),
 training AS (SELECT * FROM pos UNION ALL SELECT * FROM neg)"""
+
+
+# ---------------------------------------------------------------------------
+# Text
+
+
+def tokens_expr(text: str, lower: bool = True, sep: str = r"\s") -> str:
+    """Java String.split semantics: '' -> [''], separators only -> [], trailing
+    empties dropped, leading and inner empties kept."""
+    src = f"lower({text})" if lower else text
+    trail = r"\s+$" if sep == r"\s" else " +$"
+    stripped = f"regexp_replace({src}, '{trail}', '')"
+    return f"(CASE WHEN {src} = '' THEN [''] WHEN {stripped} = '' THEN CAST([] AS VARCHAR[]) ELSE string_split_regex({stripped}, '{sep}') END)"
+
+
+_M = "4294967296"
+
+
+def _rotl(x: str, r: int) -> str:
+    return f"(({x}) * {2 ** r} % {_M} + ({x}) // {2 ** (32 - r)})"
+
+
+def _mix(k: str) -> str:
+    k1 = f"(CAST({k} AS HUGEINT) * 3432918353 % {_M})"
+    return f"({_rotl(k1, 15)} * 461845907 % {_M})"
+
+
+def _step(h: str, k: str) -> str:
+    return f"(({_rotl(f'xor({h}, {_mix(k)})', 13)}) * 5 + 3864292196) % {_M}"
+
+
+def hashed_buckets(source: str, num_features: int) -> str:
+    """CTE chain ``source(… , token)`` -> ``hashed(…, bucket)``: Spark ML
+    HashingTF's bucket, i.e. murmur3_x86_32 (seed 42) over the token's UTF-8
+    bytes, as a signed 32-bit value, positive modulo ``num_features``.
+    Written out in SQL so the oracle does not share code with the job."""
+    block = "CAST(CAST(('0x' || substr(hx, 8*i+7, 2) || substr(hx, 8*i+5, 2) || substr(hx, 8*i+3, 2) || substr(hx, 8*i+1, 2)) AS UBIGINT) AS HUGEINT)"
+    tail = (
+        "CASE WHEN n % 4 = 0 THEN NULL ELSE CAST(CAST(('0x' || list_aggregate(list_reverse(list_transform(range(n % 4), "
+        "lambda j: substr(hx, 8*(n // 4) + 2*j + 1, 2))), 'string_agg', '')) AS UBIGINT) AS HUGEINT) END"
+    )
+    return f"""hb AS (SELECT *, hex(encode(token)) AS hx, octet_length(encode(token)) AS n FROM {source}),
+hk AS (SELECT * EXCLUDE (hx), list_reduce(list_prepend(CAST(42 AS HUGEINT), list_transform(range(n // 4), lambda i: {block})),
+                                 lambda h, k: {_step('h', 'k')}) AS h0, {tail} AS tl FROM hb),
+h1 AS (SELECT * EXCLUDE (h0, tl), xor(CASE WHEN tl IS NULL THEN h0 ELSE xor(h0, {_mix('tl')}) END, CAST(n AS HUGEINT)) AS h FROM hk),
+h2 AS (SELECT * EXCLUDE (h), xor(h, h // 65536) * 2246822507 % {_M} AS h FROM h1),
+h3 AS (SELECT * EXCLUDE (h), xor(h, h // 8192) * 3266489909 % {_M} AS h FROM h2),
+h4 AS (SELECT * EXCLUDE (h), xor(h, h // 65536) AS h FROM h3),
+hashed AS (SELECT * EXCLUDE (h, n),
+  CAST((((CASE WHEN h >= 2147483648 THEN h - {_M} ELSE h END) % {num_features}) + {num_features}) % {num_features} AS INTEGER) AS bucket FROM h4)"""
+
+
+def doc_tokens(table_sql: str, id_cols: str) -> str:
+    return f"toks AS (SELECT {id_cols}, unnest({tokens_expr('text')}) AS token FROM ({table_sql}) d WHERE text IS NOT NULL)"
+
+
+def tf_rows(id_cols: str) -> str:
+    return f"tf AS (SELECT {id_cols}, bucket, CAST(count(*) AS DOUBLE) AS tf FROM hashed GROUP BY ALL)"
+
+
+def tfidf_rows(id_cols: str) -> str:
+    """TF-IDF of the ``tf`` rows, fitted on the same documents."""
+    return f"""ndocs AS (SELECT count(*) AS n_docs FROM (SELECT DISTINCT {id_cols} FROM docs) x),
+dfreq AS (SELECT bucket, count(*) AS df FROM tf GROUP BY bucket),
+tfidf AS (SELECT {id_cols}, tf.bucket, round(tf.tf * ln((ndocs.n_docs + 1) / (dfreq.df + 1)), 6) AS weight
+          FROM tf JOIN dfreq USING (bucket), ndocs)"""
+
+
+CORPUS = "SELECT d.doc_id, d.text, CAST(l.toxic AS DOUBLE) AS label FROM documents d JOIN labels l USING (doc_id) WHERE d.text IS NOT NULL"

@@ -428,3 +428,117 @@ def q_set_except_distinct(spark, sf_dir):
     feat = features.pair_features_outer_joins(beh, DAY30, True)
     pos = feat.join(features.last_day_buys(beh), KEYS).drop("label")
     return feat.subtract(pos)
+
+
+# ---------------------------------------------------------------------------
+# Text: tokens, text-line source, hashed TF, TF-IDF
+
+from basketry.operators import text as textop  # noqa: E402
+from basketry.functions import textfn  # noqa: E402
+from basketry.sources import text as tsrc  # noqa: E402
+
+HASH_BUCKETS = 10_000  # the spam jobs' numFeatures
+TFIDF_BUCKETS = 1 << 10
+SAMPLE_TFIDF_BUCKETS = 20  # the labelled TF-IDF job's numFeatures
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+
+
+@query(
+    "text_tokenize",
+    f"SELECT doc_id, CAST(generate_subscripts(toks, 1) - 1 AS INTEGER) AS pos, unnest(toks) AS token "
+    f"FROM (SELECT doc_id, {O.tokens_expr('text')} AS toks FROM documents WHERE text IS NOT NULL) d",
+)
+def q_text_tokenize(spark, sf_dir):
+    """ML Tokenizer tokens of every document, one row per (doc, position)."""
+    words = textop.tokens(_documents(spark, sf_dir))
+    return words.select("doc_id", F.posexplode("words").alias("pos", "token"))
+
+
+@query(
+    "text_split_space",
+    f"SELECT doc_id, CAST(generate_subscripts(toks, 1) - 1 AS INTEGER) AS pos, unnest(toks) AS token "
+    f"FROM (SELECT doc_id, {O.tokens_expr('text', lower=False, sep=' ')} AS toks FROM documents WHERE text IS NOT NULL) d",
+)
+def q_text_split_space(spark, sf_dir):
+    """Case-preserving single-space split of every document."""
+    docs = _documents(spark, sf_dir).where(F.col("text").isNotNull())
+    return docs.select("doc_id", F.posexplode(textfn.split_space("text")).alias("pos", "token"))
+
+
+@query("src_text_lines", "SELECT unnest(string_split(text, chr(10))) AS sentence FROM documents WHERE text IS NOT NULL")
+def q_src_text_lines(spark, sf_dir):
+    """Documents written as a text-line file set, read back one row per line."""
+    path = shared_dir(spark, "documents-text")
+    tsrc.write_text_lines(_documents(spark, sf_dir).where(F.col("text").isNotNull()), "text", path)
+    return tsrc.read_text_lines(spark, path)
+
+
+@query(
+    "labeled_corpus",
+    "WITH lines AS (SELECT CAST(l.toxic AS DOUBLE) AS label, unnest(string_split(d.text, chr(10))) AS sentence "
+    "FROM documents d JOIN labels l USING (doc_id) WHERE d.text IS NOT NULL) "
+    f"SELECT label, sentence, CAST(len({O.tokens_expr('sentence')}) AS INTEGER) AS n_tokens FROM lines",
+)
+def q_labeled_corpus(spark, sf_dir):
+    """Two class corpora (one message per line, one file set per class)
+    labelled by file and unioned; token count per message."""
+    corpus = tsrc.load_corpus(spark, sf_dir)
+    pos_path, neg_path = shared_dir(spark, "corpus-pos"), shared_dir(spark, "corpus-neg")
+    tsrc.write_text_lines(corpus.where(F.col("label") == 1.0), "text", pos_path)
+    tsrc.write_text_lines(corpus.where(F.col("label") == 0.0), "text", neg_path)
+    lines = tsrc.two_file_corpus(spark, pos_path, neg_path)
+    return textop.tokens(lines, "sentence").select("label", "sentence", F.size("words").alias("n_tokens"))
+
+
+@query(
+    "hashing_tf",
+    "WITH docs AS (SELECT doc_id, text FROM documents),\n"
+    + O.doc_tokens("SELECT * FROM docs", "doc_id")
+    + ",\n"
+    + O.hashed_buckets("toks", HASH_BUCKETS)
+    + ",\n"
+    + O.tf_rows("doc_id")
+    + "\nSELECT * FROM tf",
+)
+def q_hashing_tf(spark, sf_dir):
+    """M1: hashed term frequencies (10,000 buckets) as (doc_id, bucket, tf) rows."""
+    return textop.term_frequency_rows(_documents(spark, sf_dir), ["doc_id"], num_features=HASH_BUCKETS)
+
+
+@query(
+    "tfidf_hashed",
+    "WITH docs AS (SELECT doc_id, text FROM documents WHERE text IS NOT NULL),\n"
+    + O.doc_tokens("SELECT * FROM docs", "doc_id")
+    + ",\n"
+    + O.hashed_buckets("toks", TFIDF_BUCKETS)
+    + ",\n"
+    + O.tf_rows("doc_id")
+    + ",\n"
+    + O.tfidf_rows("doc_id")
+    + "\nSELECT * FROM tfidf",
+)
+def q_tfidf_hashed(spark, sf_dir):
+    """M2: IDF fitted on all documents, TF-IDF weights (6 places) per (doc, bucket)."""
+    rows = textop.tfidf_rows(_documents(spark, sf_dir), ["doc_id"], num_features=TFIDF_BUCKETS)
+    return rows.select("doc_id", "bucket", F.round("weight", 6).alias("weight"))
+
+
+@query(
+    "tfidf_job",
+    f"WITH docs AS ({O.CORPUS}),\n"
+    + O.doc_tokens("SELECT * FROM docs", "doc_id, label")
+    + ",\n"
+    + O.hashed_buckets("toks", SAMPLE_TFIDF_BUCKETS)
+    + ",\n"
+    + O.tf_rows("doc_id, label")
+    + ",\n"
+    + O.tfidf_rows("doc_id, label")
+    + "\nSELECT * FROM tfidf",
+)
+def q_tfidf_job(spark, sf_dir):
+    """Labelled corpus -> tokens -> 20 hashed buckets -> IDF; (doc, label, bucket, weight)."""
+    rows = textop.tfidf_rows(tsrc.load_corpus(spark, sf_dir), ["doc_id", "label"], num_features=SAMPLE_TFIDF_BUCKETS)
+    return rows.select("doc_id", "label", "bucket", F.round("weight", 6).alias("weight"))
