@@ -542,3 +542,138 @@ def q_tfidf_job(spark, sf_dir):
     """Labelled corpus -> tokens -> 20 hashed buckets -> IDF; (doc, label, bucket, weight)."""
     rows = textop.tfidf_rows(tsrc.load_corpus(spark, sf_dir), ["doc_id", "label"], num_features=SAMPLE_TFIDF_BUCKETS)
     return rows.select("doc_id", "label", "bucket", F.round("weight", 6).alias("weight"))
+
+
+# ---------------------------------------------------------------------------
+# Models: assembly, purchase model, scoring invariants, AUC, text classifiers
+
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+
+from basketry.operators import ml  # noqa: E402
+from basketry.plans import purchase, spam  # noqa: E402
+
+
+@query(
+    "assemble_features",
+    O.with_beh(O.features(O.A31, False))
+    + "SELECT user_id, item_id, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in FEATURE_COLUMNS) + " FROM feat",
+)
+def q_assemble_features(spark, sf_dir):
+    """M3: the seven features assembled into a vector (fixed order), read back
+    element by element."""
+    v = ml.assembler().transform(features.scoring_set(_beh(spark, sf_dir)))
+    arr = vector_to_array(F.col("features"))
+    return v.select(*KEYS, *[arr[i].alias(c) for i, c in enumerate(FEATURE_COLUMNS)])
+
+
+@query(
+    "lr_calibration",
+    O.with_beh(O.features(O.A30, True), O.TRAINING)
+    + "SELECT count(*) AS n_rows, sum(label) AS n_positive, true AS calibrated FROM training",
+)
+def q_lr_calibration(spark, sf_dir):
+    """M5/M7: pipeline (assembler + unpenalised logistic regression with
+    intercept) fitted on the training set.  At the optimum the fitted
+    probabilities sum to the number of positives; ``calibrated`` checks it
+    (tolerance 0.5% of the positives, at least 0.05)."""
+    beh = _beh(spark, sf_dir)
+    train = features.weighted_training_set(beh)
+    model = purchase.fit_purchase_model(beh)
+    scored = model.transform(train)
+    agg = scored.agg(
+        F.sum("weight").cast("bigint").alias("n_rows"),
+        F.sum(F.col("label") * F.col("weight")).alias("n_positive"),
+        F.sum(ml.probability_of_one() * F.col("weight")).alias("p_sum"),
+    )
+    tol = F.greatest(F.lit(0.05), F.col("n_positive") * 0.005)
+    return agg.select("n_rows", "n_positive", (F.abs(F.col("p_sum") - F.col("n_positive")) <= tol).alias("calibrated"))
+
+
+@query(
+    "lr_score_rows",
+    O.with_beh(O.features(O.A31, False)) + "SELECT user_id, item_id, true AS p_in_range, true AS p_sums_to_one, true AS prediction_matches FROM feat",
+)
+def q_lr_score_rows(spark, sf_dir):
+    """M6: every scoring row gets rawPrediction, probability and prediction;
+    per-row invariants of those columns."""
+    beh = _beh(spark, sf_dir)
+    threshold = purchase.base_rate(beh)
+    model = purchase.fit_purchase_model(beh, threshold=threshold)
+    return ml.score_checks(model.transform(features.scoring_set(beh)), threshold, KEYS)
+
+
+@query("predict_buyers")
+def q_predict_buyers(spark, sf_dir):
+    """Pairs predicted to buy on day 31 (threshold = training base rate)."""
+    return purchase.predicted_buyers(_beh(spark, sf_dir))
+
+
+@query(
+    "auc_roc",
+    "WITH s AS (SELECT value AS score, CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS y FROM events WHERE value IS NOT NULL), "
+    "r AS (SELECT y, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS avg_rank FROM s), "
+    "c AS (SELECT sum(avg_rank) FILTER (WHERE y = 1) AS rank_sum, count(*) FILTER (WHERE y = 1) AS n_pos, count(*) FILTER (WHERE y = 0) AS n_neg FROM r) "
+    "SELECT round((rank_sum - n_pos * (n_pos + 1) / 2.0) / (n_pos * n_neg), 6) AS auc FROM c",
+)
+def q_auc_roc(spark, sf_dir):
+    """M9: area under ROC of ``events.value`` as a score for purchase events
+    (exact: every distinct score is a threshold)."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").where(F.col("value").isNotNull())
+    scored = ev.select(F.col("value").alias("score"), (F.col("event_type") == "purchase").cast("double").alias("label"))
+    value = ml.auc(scored, "score", "label")
+    return spark.createDataFrame([(round(value, 6),)], "auc DOUBLE")
+
+
+@query(
+    "spam_train_score",
+    f"SELECT doc_id, label, true AS p_in_range, true AS p_sums_to_one, true AS prediction_matches FROM ({O.CORPUS}) c",
+)
+def q_spam_train_score(spark, sf_dir):
+    """Tokenizer -> HashingTF(10,000) -> LogisticRegression pipeline fitted
+    on the labelled corpus and applied to it; per-document invariants."""
+    corpus = tsrc.load_corpus(spark, sf_dir)
+    model = spam.train_text_model(corpus)
+    return ml.score_checks(model.transform(corpus), 0.5, ["doc_id", "label"])
+
+
+def _grid_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    return spark.createDataFrame(rows, schema)
+
+
+@query("spam_grid_search")
+def q_spam_grid_search(spark, sf_dir):
+    """numFeatures {10,000; 20,000} x maxIter {100; 200}, 3-fold CV by
+    AUC; one row per setting with its mean held-out AUC."""
+    cv = spam.spam_grid_search(tsrc.load_corpus(spark, sf_dir))
+    rows = ml.grid_metrics(cv, ["numFeatures", "maxIter"])
+    return _grid_frame(spark, rows, "num_features INT, max_iter INT, mean_auc DOUBLE")
+
+
+@query("cv_grid_metrics")
+def q_cv_grid_metrics(spark, sf_dir):
+    """M8: the sample grid (numFeatures {10; 100; 1,000} x regParam {0.1; 0.01},
+    maxIter 10) with 2 folds fixed by a hash of doc_id (repeatable)."""
+    corpus = spam.with_folds(tsrc.load_corpus(spark, sf_dir), 2)
+    cv = spam.sample_grid_search(corpus, fold_col="fold")
+    rows = ml.grid_metrics(cv, ["numFeatures", "regParam"])
+    return _grid_frame(spark, rows, "num_features INT, reg_param DOUBLE, mean_auc DOUBLE")
+
+
+@query("text_grid_sample")
+def q_text_grid_sample(spark, sf_dir):
+    """Sample grid search on the labelled corpus, best model applied to
+    the documents that have no label: (doc_id, prediction)."""
+    docs = _documents(spark, sf_dir).where(F.col("text").isNotNull())
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id")
+    cv = spam.sample_grid_search(tsrc.load_corpus(spark, sf_dir))
+    unlabelled = docs.join(labels, "doc_id", "left_anti")
+    return cv.transform(unlabelled).select("doc_id", "prediction")
+
+
+@query("spam_sgd_legacy")
+def q_spam_sgd_legacy(spark, sf_dir):
+    """Legacy mllib SGD logistic regression on space-split tokens;
+    predictions for every labelled document."""
+    corpus = tsrc.load_corpus(spark, sf_dir)
+    model = spam.legacy_sgd(corpus)
+    return spam.legacy_predict(spark, model, corpus, ["doc_id", "label"])
