@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.textfn import tokenize
+from basketry.session import materialize
 
 SPARSE_STRUCT = "struct<v:struct<type:tinyint,size:int,indices:array<int>,values:array<double>>>"
 
@@ -77,7 +78,15 @@ def fit_tfidf(df: DataFrame, text: str = "text", num_features: int = DEFAULT_NUM
 
 def tfidf_rows(df: DataFrame, id_cols: list[str], text: str = "text", num_features: int = DEFAULT_NUM_FEATURES, model: PipelineModel | None = None) -> DataFrame:
     """(*id_cols, bucket int, weight double) of TF-IDF, fitted on ``df``
-    unless a fitted ``model`` is given."""
+    unless a fitted ``model`` is given.
+
+    When fitting here, the text is tokenised and hashed once: the sparse TF
+    vectors (far smaller than the text) are checkpointed to the shared
+    folder, IDF is fitted on them and the same vectors are rescaled, instead
+    of a fit pass and a second tokenise/hash pass for the transform."""
     clean = df.where(F.col(text).isNotNull())
-    model = model or fit_tfidf(clean, text, num_features)
-    return explode_sparse(model.transform(clean), "tfidf", id_cols, "bucket", "weight")
+    if model is not None:
+        return explode_sparse(model.transform(clean), "tfidf", id_cols, "bucket", "weight")
+    tf = materialize(hashed_tf(tokens(clean, text), num_features=num_features).select(*id_cols, "tf"))
+    idf = IDF(inputCol="tf", outputCol="tfidf").fit(tf)
+    return explode_sparse(idf.transform(tf), "tfidf", id_cols, "bucket", "weight")

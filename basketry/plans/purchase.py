@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from basketry.operators import ml
 from basketry.plans import features
 from basketry.schema import DAY30, DAY31
+from basketry.session import materialize
 
 KEYS = ["user_id", "item_id"]
 
@@ -35,8 +36,11 @@ def fit_purchase_model(beh: DataFrame, anchor=DAY30, max_iter: int = 100, reg_pa
 
 def base_rate(beh: DataFrame, anchor=DAY30) -> float:
     """Share of positive rows in the training set (one aggregate)."""
-    t = features.weighted_training_set(beh, anchor)
-    row = t.agg((F.sum(F.col("label") * F.col("weight")) / F.sum("weight")).alias("r")).first()
+    return weighted_base_rate(features.weighted_training_set(beh, anchor))
+
+
+def weighted_base_rate(train: DataFrame) -> float:
+    row = train.agg((F.sum(F.col("label") * F.col("weight")) / F.sum("weight")).alias("r")).first()
     return float(row["r"] or 0.0)
 
 
@@ -49,7 +53,14 @@ def predict_buyers(model: PipelineModel, scoring: DataFrame, threshold: float |
 
 def predicted_buyers(beh: DataFrame, threshold: float | None = None, train_anchor=DAY30, score_anchor=DAY31) -> DataFrame:
     """End-to-end job; default threshold = the training base rate (at 0.5 a
-    rare-positive log predicts nobody)."""
-    t = base_rate(beh, train_anchor) if threshold is None else threshold
-    model = fit_purchase_model(beh, train_anchor, threshold=t)
-    return predict_buyers(model, features.scoring_set(beh, score_anchor))
+    rare-positive log predicts nobody).
+
+    Training and scoring features come from one aggregation of the log
+    (``features.pair_table``), written once to the shared checkpoint folder;
+    the base rate, every optimiser pass and the scoring read that table.
+    """
+    table = materialize(features.pair_table(beh, train_anchor, score_anchor))
+    train = features.weighted_training_from_table(table)
+    t = weighted_base_rate(train) if threshold is None else threshold
+    model = purchase_pipeline(threshold=t).fit(train)
+    return predict_buyers(model, features.scoring_from_table(table))

@@ -32,12 +32,18 @@ def with_folds(corpus: DataFrame, num_folds: int, key: str = "doc_id", column: s
 
 
 def train_text_model(corpus: DataFrame, text: str = "text", num_features: int = 10_000, max_iter: int = 100) -> PipelineModel:
-    pipe, _, _ = ml.text_classifier(text, num_features, max_iter)
-    data = corpus.persist(StorageLevel.MEMORY_AND_DISK)
+    """Fit Tokenizer -> HashingTF -> LogisticRegression.  The hashed vectors
+    are computed once and persisted for the optimiser's passes (instead of
+    re-tokenising the text for the statistics pass and the iterations); the
+    returned model is the full three-stage pipeline."""
+    pipe, tf, lr = ml.text_classifier(text, num_features, max_iter)
+    tok = pipe.getStages()[0]
+    hashed = tf.transform(tok.transform(corpus.where(F.col(text).isNotNull()))).select("label", "features")
+    hashed = hashed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return pipe.fit(data)
+        return PipelineModel(stages=[tok, tf, lr.fit(hashed)])
     finally:
-        data.unpersist()
+        hashed.unpersist()
 
 
 def spam_grid_search(

@@ -30,6 +30,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Size post-shuffle partitions by bytes (advisory 64 MB), not by core count.
+        .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
     )
     for k, v in REQUIRED_CONF.items():
         builder = builder.config(k, v)
@@ -71,3 +73,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark)
     sep = "" if base.endswith("/") else "/"
     return f"{base}{sep}{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df):
+    """Write ``df`` to the shared checkpoint folder and return a frame that
+    reads it back (lineage cut).  Used where a result feeds several passes
+    (a fit and a transform): the passes read the written table instead of
+    recomputing the scan and shuffle, and a lost executor costs a re-read,
+    not a recomputation."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
