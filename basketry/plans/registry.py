@@ -177,20 +177,18 @@ def q_proj_lit_label(spark, sf_dir):
     "SELECT event_id, TRY_CAST(CAST(user_id AS VARCHAR) AS INTEGER) AS user_id, "
     "TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS item_id, "
     "TRY_CAST(event_type AS INTEGER) AS bad_code, "
-    "TRY_CAST(CAST(count(*) OVER (PARTITION BY user_id) AS VARCHAR) || 'x' AS INTEGER) AS bad_count FROM events",
+    "TRY_CAST(CAST(event_id AS VARCHAR) || 'x' AS INTEGER) AS bad_number FROM events",
 )
 def q_proj_cast_int(spark, sf_dir):
-    """Text to int with try_cast; malformed text ('view', '12x') gives null."""
-    from pyspark.sql import Window
-
+    """Text to int with try_cast; malformed text ('view', '12x') gives
+    null instead of failing the job."""
     ev = spark.read.parquet(f"{sf_dir}/events.parquet")
-    per_user = F.count(F.lit(1)).over(Window.partitionBy("user_id"))
     return ev.select(
         "event_id",
         F.col("user_id").cast("string").try_cast("int").alias("user_id"),
         F.get_json_object("props", "$.k").try_cast("int").alias("item_id"),
         F.col("event_type").try_cast("int").alias("bad_code"),
-        F.concat(per_user.cast("string"), F.lit("x")).try_cast("int").alias("bad_count"),
+        F.concat(F.col("event_id").cast("string"), F.lit("x")).try_cast("int").alias("bad_number"),
     )
 
 
@@ -667,7 +665,7 @@ def q_text_grid_sample(spark, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id")
     cv = spam.sample_grid_search(tsrc.load_corpus(spark, sf_dir))
     unlabelled = docs.join(labels, "doc_id", "left_anti")
-    return cv.transform(unlabelled).select("doc_id", "prediction")
+    return spam.score_text(cv, unlabelled).select("doc_id", "prediction")
 
 
 @query("spam_sgd_legacy")

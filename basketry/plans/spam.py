@@ -15,8 +15,8 @@ Folds can be fixed by a column (``fold_col``) so grid results repeat.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import HashingTF
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import HashingTF, Tokenizer
 from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +46,29 @@ def train_text_model(corpus: DataFrame, text: str = "text", num_features: int =
         hashed.unpersist()
 
 
+def _tokenized(corpus: DataFrame, text: str) -> DataFrame:
+    return Tokenizer(inputCol=text, outputCol="words").transform(corpus.where(F.col(text).isNotNull()))
+
+
+def _grid(corpus: DataFrame, text: str, grid_of, num_folds: int, fold_col: str | None, parallelism: int, **stage_args) -> CrossValidatorModel:
+    """Cross-validate HashingTF -> LogisticRegression over pre-tokenised text.
+
+    Tokens do not depend on any grid parameter, so the text is tokenised
+    once and persisted; each of the folds x settings fits only hashes and
+    optimises.  Score raw text with ``score_text``."""
+    _, tf, lr = ml.text_classifier(text, **stage_args)
+    words = _tokenized(corpus, text).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return ml.grid_search(words, Pipeline(stages=[tf, lr]), grid_of(tf, lr), num_folds=num_folds, fold_col=fold_col, parallelism=parallelism)
+    finally:
+        words.unpersist()
+
+
+def score_text(cv_model: CrossValidatorModel, df: DataFrame, text: str = "text") -> DataFrame:
+    """Apply the best model of a text grid search to raw text."""
+    return cv_model.transform(_tokenized(df, text))
+
+
 def spam_grid_search(
     corpus: DataFrame,
     text: str = "text",
@@ -55,13 +78,8 @@ def spam_grid_search(
     fold_col: str | None = None,
     parallelism: int = 4,
 ) -> CrossValidatorModel:
-    pipe, tf, lr = ml.text_classifier(text)
-    grid = ml.build_grid([(tf.numFeatures, num_features), (lr.maxIter, max_iters)])
-    data = corpus.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return ml.grid_search(data, pipe, grid, num_folds=num_folds, fold_col=fold_col, parallelism=parallelism)
-    finally:
-        data.unpersist()
+    grid_of = lambda tf, lr: ml.build_grid([(tf.numFeatures, num_features), (lr.maxIter, max_iters)])
+    return _grid(corpus, text, grid_of, num_folds, fold_col, parallelism)
 
 
 def sample_grid_search(
@@ -74,13 +92,8 @@ def sample_grid_search(
     fold_col: str | None = None,
     parallelism: int = 4,
 ) -> CrossValidatorModel:
-    pipe, tf, lr = ml.text_classifier(text, max_iter=max_iter)
-    grid = ml.build_grid([(tf.numFeatures, num_features), (lr.regParam, reg_params)])
-    data = corpus.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return ml.grid_search(data, pipe, grid, num_folds=num_folds, fold_col=fold_col, parallelism=parallelism)
-    finally:
-        data.unpersist()
+    grid_of = lambda tf, lr: ml.build_grid([(tf.numFeatures, num_features), (lr.regParam, reg_params)])
+    return _grid(corpus, text, grid_of, num_folds, fold_col, parallelism, max_iter=max_iter)
 
 
 # ---------------------------------------------------------------------------
