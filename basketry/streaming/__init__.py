@@ -1,0 +1,7 @@
+"""Intentionally empty.
+
+The jobs this library rebuilds read bounded files only (no stream source,
+sink, watermark or stateful operator), so there is no streaming operator to
+provide.  The batch functions take any DataFrame and can be applied per
+micro-batch by a caller's ``foreachBatch`` if needed.
+"""
