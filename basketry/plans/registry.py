@@ -387,9 +387,10 @@ def q_join_full_outer_chain(spark, sf_dir):
 
 @query("join_label_fanout", O.with_beh(O.features(O.A30, True), O.TRAINING) + "SELECT * FROM pos")
 def q_join_label_fanout(spark, sf_dir):
-    """Features joined with every day-30 buy row (a pair bought n times gives n rows)."""
+    """Features joined with every day-30 buy row (a pair bought n times
+    gives n rows).  Inner join: AQE may split a hot pair's partition."""
     beh = _beh(spark, sf_dir)
-    return features.pair_features_outer_joins(beh, DAY30, True).join(features.last_day_buys(beh), KEYS)
+    return features.training_features(beh, DAY30).join(features.last_day_buys(beh), KEYS)
 
 
 # ---------------------------------------------------------------------------
@@ -423,7 +424,7 @@ def q_set_union_all(spark, sf_dir):
 def q_set_except_distinct(spark, sf_dir):
     """Feature rows minus the positive rows (distinct, null-safe EXCEPT)."""
     beh = _beh(spark, sf_dir)
-    feat = features.pair_features_outer_joins(beh, DAY30, True)
+    feat = features.training_features(beh, DAY30)
     pos = feat.join(features.last_day_buys(beh), KEYS).drop("label")
     return feat.subtract(pos)
 
