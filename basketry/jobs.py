@@ -1,14 +1,17 @@
-"""Command-line entry points for the batch jobs (run with spark-submit).
-
-    spark-submit -m basketry.jobs curve     --log LOG --out DIR [--json DIR]
-    spark-submit -m basketry.jobs last-day  --log LOG --out DIR
-    spark-submit -m basketry.jobs last-hour --log LOG --out DIR
-    spark-submit -m basketry.jobs training  --log LOG --out DIR
-    spark-submit -m basketry.jobs predict   --log LOG --out DIR [--threshold T]
-    spark-submit -m basketry.jobs tfidf     --positive P --negative N --out DIR [--num-features 20]
-    spark-submit -m basketry.jobs spam      --positive P --negative N --score S --out DIR [--grid]
-    spark-submit -m basketry.jobs sample-grid --positive P --negative N --score S --out DIR
-    spark-submit -m basketry.jobs legacy    --positive P --negative N --score S --out DIR
+"""Command-line entry points for the batch jobs.
+
+Package the library once (`zip -r basketry.zip basketry`), then submit
+(`python -m basketry.jobs ...` also works with a local master):
+
+    spark-submit --py-files basketry.zip basketry/jobs.py curve     --log LOG --out DIR [--json DIR]
+    spark-submit --py-files basketry.zip basketry/jobs.py last-day  --log LOG --out DIR
+    spark-submit --py-files basketry.zip basketry/jobs.py last-hour --log LOG --out DIR
+    spark-submit --py-files basketry.zip basketry/jobs.py training  --log LOG --out DIR
+    spark-submit --py-files basketry.zip basketry/jobs.py predict   --log LOG --out DIR [--threshold T]
+    spark-submit --py-files basketry.zip basketry/jobs.py tfidf     --positive P --negative N --out DIR [--num-features 20]
+    spark-submit --py-files basketry.zip basketry/jobs.py spam      --positive P --negative N --score S --out DIR [--grid]
+    spark-submit --py-files basketry.zip basketry/jobs.py sample-grid --positive P --negative N --score S --out DIR
+    spark-submit --py-files basketry.zip basketry/jobs.py legacy    --positive P --negative N --score S --out DIR
 
 ``--log`` is either the six-column behaviour CSV (header, text columns) or,
 with ``--log-format events``, an ``events`` Parquet table.  Text inputs are
