@@ -64,10 +64,15 @@ def run(args, spark: SparkSession) -> None:
     if job in ("curve", "last-day", "last-hour", "training", "predict"):
         beh = _behaviour(spark, args)
         if job == "curve":
-            out = curve.conversion_curve(beh, args.day30)
-            sinks.write_csv(out.select("hour", "rate_text"), args.out, args.mode)
-            if args.json:
-                sinks.json_series(out, "hour", "rate_text").write.mode(args.mode).text(args.json)
+            # At most one row per hour of the window: cache it so the CSV and
+            # the JSON export share one scan and shuffle of the log.
+            out = curve.conversion_curve(beh, args.day30).persist()
+            try:
+                sinks.write_csv(out.select("hour", "rate_text"), args.out, args.mode)
+                if args.json:
+                    sinks.json_series(out, "hour", "rate_text").write.mode(args.mode).text(args.json)
+            finally:
+                out.unpersist()
         elif job == "last-day":
             sinks.write_csv(candidates.last_day_cart_pairs(beh, args.day30), args.out, args.mode)
         elif job == "last-hour":
