@@ -11,6 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import SparkSession
 
 # Settings every job here relies on: UTC hours (no DST shifts), AQE on.
@@ -33,6 +34,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # Size post-shuffle partitions by bytes (advisory 64 MB), not by core count.
         .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+        # Remove checkpoint files once the frames that read them are gone.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in REQUIRED_CONF.items():
         builder = builder.config(k, v)
@@ -83,4 +86,10 @@ def materialize(df):
     recomputing the scan and shuffle, and a lost executor costs a re-read,
     not a recomputation."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # Persist first so writing the checkpoint reads the computed rows
+    # instead of evaluating the plan a second time.
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
