@@ -10,16 +10,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.functions import timefn
-from basketry.plans import candidates, curve, features
+from basketry.functions import textfn, timefn
+from basketry.operators import ml
+from basketry.operators import text as textop
+from basketry.plans import candidates, curve, features, purchase, spam
 from basketry.plans import oracle as O
 from basketry.schema import ADD_TO_CART, BUY, DAY30, DAY31, FEATURE_COLUMNS, LAST_HOUR, VIEW
 from basketry.session import apply_required_conf, shared_dir
 from basketry.sources import behaviour as bsrc
 from basketry.sources import inline, sinks
+from basketry.sources import text as tsrc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -432,9 +436,6 @@ def q_set_except_distinct(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Text: tokens, text-line source, hashed TF, TF-IDF
 
-from basketry.operators import text as textop  # noqa: E402
-from basketry.functions import textfn  # noqa: E402
-from basketry.sources import text as tsrc  # noqa: E402
 
 HASH_BUCKETS = 10_000  # the spam jobs' numFeatures
 TFIDF_BUCKETS = 1 << 10
@@ -546,10 +547,6 @@ def q_tfidf_job(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Models: assembly, purchase model, scoring invariants, AUC, text classifiers
 
-from pyspark.ml.functions import vector_to_array  # noqa: E402
-
-from basketry.operators import ml  # noqa: E402
-from basketry.plans import purchase, spam  # noqa: E402
 
 
 @query(
