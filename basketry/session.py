@@ -32,8 +32,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # Size post-shuffle partitions by bytes (advisory 64 MB), not by core count.
-        .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
         # Remove checkpoint files once the frames that read them are gone.
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )

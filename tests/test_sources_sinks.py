@@ -75,3 +75,17 @@ def test_events_adapter(spark):
     assert beh.count() == 799
     assert beh.select("user_id", "item_id").distinct().count() == 626
     assert beh.where(F.col("time") != F.date_trunc("HOUR", "ts")).count() == 0
+
+
+def test_item_from_props_equals_json_path(spark):
+    from basketry.sources.behaviour import item_from_props
+
+    shapes = ['{"k": 69}', '{"k":0}', '{ "k" : -5 }', '{"k": 007}', '{"k": "5"}', '{"kk": 1, "k": 2}', '{"a": {"k": 1}, "k": 2}',
+              '{"k": 1.5}', '{"k": 1}x', '', None, '{"k": 99999999999999999999}', '{"k":\t3}', '{"k": -0}', '{"k": +5}',
+              '{"k":  5}', '{"k": 5 }', '{"k": }', '{"k": 0}', '{"k": -7}', '{"k": 5}}', 'null', '{}', '{"k": null}']
+    df = spark.createDataFrame([(s,) for s in shapes], "props string")
+    out = df.select(item_from_props(F.col("props")).alias("a"), F.get_json_object("props", "$.k").try_cast("bigint").alias("b")).collect()
+    assert all(r.a == r.b for r in out)
+    ev = spark.read.parquet("/root/testdata/sf0.1/events.parquet")
+    diff = ev.select(item_from_props(F.col("props")).alias("a"), F.get_json_object("props", "$.k").try_cast("bigint").alias("b"))
+    assert diff.where(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
