@@ -19,7 +19,7 @@ from basketry.operators import ml
 from basketry.operators import text as textop
 from basketry.plans import candidates, curve, features, purchase, spam
 from basketry.plans import oracle as O
-from basketry.schema import ADD_TO_CART, BUY, DAY30, DAY31, FEATURE_COLUMNS, LAST_HOUR, VIEW
+from basketry.schema import ADD_TO_CART, BUY, DAY30, DAY31, FEATURE_COLUMNS, VIEW
 from basketry.session import apply_required_conf, shared_dir
 from basketry.sources import behaviour as bsrc
 from basketry.sources import inline, sinks
