@@ -51,16 +51,25 @@ def predict_buyers(model: PipelineModel, scoring: DataFrame, threshold: float |
     return model.transform(scoring).where(F.col("prediction") > 0).select(*KEYS)
 
 
-def predicted_buyers(beh: DataFrame, threshold: float | None = None, train_anchor=DAY30, score_anchor=DAY31) -> DataFrame:
-    """End-to-end job; default threshold = the training base rate (at 0.5 a
-    rare-positive log predicts nobody).
-
-    Training and scoring features come from one aggregation of the log
-    (``features.pair_table``), written once to the shared checkpoint folder;
-    the base rate, every optimiser pass and the scoring read that table.
-    """
+def model_inputs(beh: DataFrame, train_anchor=DAY30, score_anchor=DAY31) -> tuple[DataFrame, DataFrame]:
+    """(weighted training set, scoring set) from one aggregation of the log
+    (``features.pair_table``), written once to the shared checkpoint folder
+    so the base rate, every optimiser pass and the scoring read that table."""
     table = materialize(features.pair_table(beh, train_anchor, score_anchor))
-    train = features.weighted_training_from_table(table)
+    return features.weighted_training_from_table(table), features.scoring_from_table(table)
+
+
+def fit_and_score(beh: DataFrame, threshold: float | None = None, train_anchor=DAY30, score_anchor=DAY31):
+    """Fit on the training set, return (model, threshold, training set,
+    scored scoring set).  Default threshold = the training base rate."""
+    train, scoring = model_inputs(beh, train_anchor, score_anchor)
     t = weighted_base_rate(train) if threshold is None else threshold
     model = purchase_pipeline(threshold=t).fit(train)
-    return predict_buyers(model, features.scoring_from_table(table))
+    return model, t, train, model.transform(scoring)
+
+
+def predicted_buyers(beh: DataFrame, threshold: float | None = None, train_anchor=DAY30, score_anchor=DAY31) -> DataFrame:
+    """End-to-end job: pairs predicted to buy; default threshold = the
+    training base rate (at 0.5 a rare-positive log predicts nobody)."""
+    _, _, _, scored = fit_and_score(beh, threshold, train_anchor, score_anchor)
+    return scored.where(F.col("prediction") > 0).select(*KEYS)

@@ -572,11 +572,8 @@ def q_lr_calibration(spark, sf_dir):
     intercept) fitted on the training set.  At the optimum the fitted
     probabilities sum to the number of positives; ``calibrated`` checks it
     (tolerance 0.5% of the positives, at least 0.05)."""
-    beh = _beh(spark, sf_dir)
-    train = features.weighted_training_set(beh)
-    model = purchase.fit_purchase_model(beh)
-    scored = model.transform(train)
-    agg = scored.agg(
+    model, _, train, _ = purchase.fit_and_score(_beh(spark, sf_dir))
+    agg = model.transform(train).agg(
         F.sum("weight").cast("bigint").alias("n_rows"),
         F.sum(F.col("label") * F.col("weight")).alias("n_positive"),
         F.sum(ml.probability_of_one() * F.col("weight")).alias("p_sum"),
@@ -592,10 +589,8 @@ def q_lr_calibration(spark, sf_dir):
 def q_lr_score_rows(spark, sf_dir):
     """M6: every scoring row gets rawPrediction, probability and prediction;
     per-row invariants of those columns."""
-    beh = _beh(spark, sf_dir)
-    threshold = purchase.base_rate(beh)
-    model = purchase.fit_purchase_model(beh, threshold=threshold)
-    return ml.score_checks(model.transform(features.scoring_set(beh)), threshold, KEYS)
+    _, threshold, _, scored = purchase.fit_and_score(_beh(spark, sf_dir))
+    return ml.score_checks(scored, threshold, KEYS)
 
 
 @query("predict_buyers")
