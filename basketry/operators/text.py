@@ -38,6 +38,17 @@ def explode_sparse(df: DataFrame, vector: str, keep: list[str], index: str = "bu
     )
 
 
+def balanced(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over all cores when it arrives in fewer partitions
+    than there are cores (a file stored as one large row group is read by
+    one task), so per-document CPU work (tokenising, hashing) runs in
+    parallel.  Meant for a plain scan, whose partition count is known
+    without running anything.  With well-split input, as at scale, it
+    returns ``df`` unchanged and adds no shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def tokens(df: DataFrame, text: str = "text", out: str = "words") -> DataFrame:
     """ML Tokenizer (lower case, split on single whitespace characters).
     Null text is dropped first: the tokenizer cannot take it."""

@@ -443,7 +443,9 @@ SAMPLE_TFIDF_BUCKETS = 20  # the labelled TF-IDF job's numFeatures
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    """Documents for the per-document text transforms, spread over all cores
+    if the scan yields fewer splits than that (``textop.balanced``)."""
+    return textop.balanced(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
 
 
 @query(
@@ -540,7 +542,8 @@ def q_tfidf_hashed(spark, sf_dir):
 )
 def q_tfidf_job(spark, sf_dir):
     """Labelled corpus -> tokens -> 20 hashed buckets -> IDF; (doc, label, bucket, weight)."""
-    rows = textop.tfidf_rows(tsrc.load_corpus(spark, sf_dir), ["doc_id", "label"], num_features=SAMPLE_TFIDF_BUCKETS)
+    corpus = tsrc.labelled_corpus(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    rows = textop.tfidf_rows(corpus, ["doc_id", "label"], num_features=SAMPLE_TFIDF_BUCKETS)
     return rows.select("doc_id", "label", "bucket", F.round("weight", 6).alias("weight"))
 
 
