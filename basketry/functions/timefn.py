@@ -49,32 +49,48 @@ def _ceil_hour(anchor: dt.datetime) -> dt.datetime:
     return floor if floor == anchor else floor + _HOUR
 
 
-def strictly_before(anchor, time: str = "time", raw: str | None = None) -> Column:
+def scan_hints(df) -> dict:
+    """Which helper columns of a behaviour frame the time filters can use:
+    ``raw`` (the untruncated instant of the events adapter) and ``day`` (the
+    partition column of a behaviour table)."""
+    cols = set(df.columns)
+    return {"raw": "ts" if "ts" in cols else None, "day": "day" if "day" in cols else None}
+
+
+def strictly_before(anchor, time: str = "time", raw: str | None = None, day: str | None = None) -> Column:
     """``time < anchor`` with ``time`` truncated to the hour.
 
     When ``raw`` names the untruncated instant the hour was taken from, an
     equivalent predicate on it is added: ``trunc_hour(ts) < A`` holds exactly
     when ``ts < ceil_hour(A)``.  That one is a plain comparison on a scan
     column, so Parquet receives it as a pushed filter (row-group skipping).
+    When ``day`` names a date partition column, the implied ``day <= date(A)``
+    is added, so whole day partitions are pruned.
     """
     a = hour_anchor(anchor)
     cond = F.col(time) < F.lit(a)
     if raw:
         cond = (F.col(raw) < F.lit(_ceil_hour(a))) & cond
+    if day:
+        cond = (F.col(day) <= F.lit(a.date())) & cond
     return cond
 
 
-def strictly_after(anchor, time: str = "time", raw: str | None = None) -> Column:
+def strictly_after(anchor, time: str = "time", raw: str | None = None, day: str | None = None) -> Column:
     """``time > anchor`` with ``time`` truncated to the hour.
 
     Equivalent raw-instant form: ``trunc_hour(ts) > A`` iff
-    ``ts >= floor_hour(A) + 1h``; added for Parquet pushdown when ``raw`` is set.
+    ``ts >= floor_hour(A) + 1h``; added for Parquet pushdown when ``raw`` is
+    set.  With a ``day`` partition column the implied ``day >= date(A)`` is
+    added for partition pruning.
     """
     a = hour_anchor(anchor)
     cond = F.col(time) > F.lit(a)
     if raw:
         floor = a.replace(minute=0, second=0, microsecond=0)
         cond = (F.col(raw) >= F.lit(floor + _HOUR)) & cond
+    if day:
+        cond = (F.col(day) >= F.lit(a.date())) & cond
     return cond
 
 

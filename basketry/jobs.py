@@ -3,6 +3,7 @@
 Package the library once (`zip -r basketry.zip basketry`), then submit
 (`python -m basketry.jobs ...` also works with a local master):
 
+    spark-submit --py-files basketry.zip basketry/jobs.py ingest    --log LOG --out TABLE
     spark-submit --py-files basketry.zip basketry/jobs.py curve     --log LOG --out DIR [--json DIR]
     spark-submit --py-files basketry.zip basketry/jobs.py last-day  --log LOG --out DIR
     spark-submit --py-files basketry.zip basketry/jobs.py last-hour --log LOG --out DIR
@@ -13,8 +14,9 @@ Package the library once (`zip -r basketry.zip basketry`), then submit
     spark-submit --py-files basketry.zip basketry/jobs.py sample-grid --positive P --negative N --score S --out DIR
     spark-submit --py-files basketry.zip basketry/jobs.py legacy    --positive P --negative N --score S --out DIR
 
-``--log`` is either the six-column behaviour CSV (header, text columns) or,
-with ``--log-format events``, an ``events`` Parquet table.  Text inputs are
+``--log`` is the six-column behaviour CSV (header, text columns), an
+``events`` Parquet table (``--log-format events``) or a day-partitioned
+behaviour table written by ``ingest`` (``--log-format table``).  Text inputs are
 one message per line, one file set per class.  Results are written by the
 executors; ``--mode`` is the save mode (default: fail if the path exists).
 Anchors default to the day-30 / day-31 / last-hour anchors of the log and
@@ -43,6 +45,8 @@ from basketry.operators import text as textop
 def _behaviour(spark: SparkSession, args) -> DataFrame:
     if args.log_format == "events":
         return bsrc.behaviour_from_events(spark.read.parquet(args.log))
+    if args.log_format == "table":
+        return bsrc.read_behaviour_table(spark, args.log)
     return bsrc.typed_behaviour(bsrc.read_behaviour_csv(spark, args.log))
 
 
@@ -61,9 +65,11 @@ def _scores(scored: DataFrame) -> DataFrame:
 def run(args, spark: SparkSession) -> None:
     apply_required_conf(spark)
     job = args.job
-    if job in ("curve", "last-day", "last-hour", "training", "predict"):
+    if job in ("ingest", "curve", "last-day", "last-hour", "training", "predict"):
         beh = _behaviour(spark, args)
-        if job == "curve":
+        if job == "ingest":
+            bsrc.write_behaviour_table(beh, args.out, args.mode)
+        elif job == "curve":
             # At most one row per hour of the window: cache it so the CSV and
             # the JSON export share one scan and shuffle of the log.
             out = curve.conversion_curve(beh, args.day30).persist()
@@ -107,9 +113,9 @@ def run(args, spark: SparkSession) -> None:
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="basketry.jobs", description="Behaviour and text analytics jobs")
-    p.add_argument("job", choices=["curve", "last-day", "last-hour", "training", "predict", "tfidf", "spam", "sample-grid", "legacy"])
+    p.add_argument("job", choices=["ingest", "curve", "last-day", "last-hour", "training", "predict", "tfidf", "spam", "sample-grid", "legacy"])
     p.add_argument("--log", help="behaviour log: six-column CSV, or events Parquet with --log-format events")
-    p.add_argument("--log-format", choices=["csv", "events"], default="csv")
+    p.add_argument("--log-format", choices=["csv", "events", "table"], default="csv", help="table = written by the ingest job")
     p.add_argument("--positive", help="text lines of the positive (spam) class")
     p.add_argument("--negative", help="text lines of the negative (normal) class")
     p.add_argument("--score", help="text lines to score")

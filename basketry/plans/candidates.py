@@ -10,15 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.functions.timefn import strictly_after
+from basketry.functions.timefn import scan_hints, strictly_after
 from basketry.schema import ADD_TO_CART, DAY30, LAST_HOUR
 
 KEYS = ["user_id", "item_id"]
 
 
 def carted_after(beh: DataFrame, anchor) -> DataFrame:
-    raw = "ts" if "ts" in beh.columns else None
-    return beh.where((F.col("behavior_type") == ADD_TO_CART) & strictly_after(anchor, raw=raw)).select(*KEYS).distinct()
+    hints = scan_hints(beh)
+    return beh.where((F.col("behavior_type") == ADD_TO_CART) & strictly_after(anchor, **hints)).select(*KEYS).distinct()
 
 
 def last_day_cart_pairs(beh: DataFrame, day_anchor=DAY30) -> DataFrame:

@@ -17,36 +17,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.functions.timefn import format_rate, hours_before, strictly_after, strictly_before
+from basketry.functions.timefn import scan_hints, format_rate, hours_before, strictly_after, strictly_before
 from basketry.schema import ADD_TO_CART, BUY, DAY30
 
 KEYS = ["user_id", "item_id"]
 
 
-def _raw(beh: DataFrame) -> str | None:
-    return "ts" if "ts" in beh.columns else None
-
-
 def last_cart_hours(beh: DataFrame, anchor=DAY30) -> DataFrame:
     """(user_id, item_id, hour): hours from each pair's latest cart before the
     anchor up to the anchor.  "Latest" is by time, so the result does not
     depend on input order."""
-    raw = _raw(beh)
-    carts = beh.where((F.col("behavior_type") == ADD_TO_CART) & strictly_before(anchor, raw=raw))
+    hints = scan_hints(beh)
+    carts = beh.where((F.col("behavior_type") == ADD_TO_CART) & strictly_before(anchor, **hints))
     return carts.groupBy(*KEYS).agg(F.max("time").alias("last_cart")).select(*KEYS, hours_before("last_cart", anchor).alias("hour"))
 
 
 def buyers_after(beh: DataFrame, anchor=DAY30) -> DataFrame:
     """Distinct pairs bought strictly after the anchor."""
-    raw = _raw(beh)
-    return beh.where((F.col("behavior_type") == BUY) & strictly_after(anchor, raw=raw)).select(*KEYS).distinct()
+    hints = scan_hints(beh)
+    return beh.where((F.col("behavior_type") == BUY) & strictly_after(anchor, **hints)).select(*KEYS).distinct()
 
 
 def conversion_curve(beh: DataFrame, anchor=DAY30, sort: bool = True) -> DataFrame:
     """(hour int, bought bigint, carted bigint, rate double, rate_text string)."""
-    raw = _raw(beh)
-    is_cart = (F.col("behavior_type") == ADD_TO_CART) & strictly_before(anchor, raw=raw)
-    is_buy = (F.col("behavior_type") == BUY) & strictly_after(anchor, raw=raw)
+    hints = scan_hints(beh)
+    is_cart = (F.col("behavior_type") == ADD_TO_CART) & strictly_before(anchor, **hints)
+    is_buy = (F.col("behavior_type") == BUY) & strictly_after(anchor, **hints)
     pairs = (
         beh.where(is_cart | is_buy)
         .groupBy(*KEYS)

@@ -4,9 +4,11 @@ from basketry.sources.behaviour import (
     behaviour_from_events,
     load_behaviour,
     read_behaviour_csv,
+    read_behaviour_table,
     rejected_rows,
     typed_behaviour,
     write_behaviour_csv,
+    write_behaviour_table,
 )
 from basketry.sources.inline import behaviour_names
 from basketry.sources.sinks import json_series, preview, write_csv
@@ -21,11 +23,13 @@ __all__ = [
     "load_corpus",
     "preview",
     "read_behaviour_csv",
+    "read_behaviour_table",
     "read_text_lines",
     "rejected_rows",
     "two_file_corpus",
     "typed_behaviour",
     "write_behaviour_csv",
+    "write_behaviour_table",
     "write_csv",
     "write_text_lines",
 ]

@@ -63,3 +63,12 @@ def test_text_jobs(spark, inputs):
     for job in ("spam", "legacy"):
         _run(spark, [job, *common, "--score", inputs["score"], "--out", str(d / f"out-{job}")])
         assert spark.read.csv(str(d / f"out-{job}")).count() == 2
+
+
+def test_ingest_then_jobs_on_table(spark, inputs):
+    d = inputs["dir"]
+    table = str(d / "table")
+    _run(spark, ["ingest", "--log", f"{SF}/events.parquet", "--log-format", "events", "--out", table])
+    _run(spark, ["last-day", "--log", table, "--log-format", "table", "--out", str(d / "day-from-table")])
+    assert spark.read.csv(str(d / "day-from-table")).count() == 67
+    assert {r.day.isoformat() for r in spark.read.parquet(table).select("day").distinct().collect()} >= {"2024-01-01", "2024-01-30"}

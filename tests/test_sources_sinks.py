@@ -89,3 +89,19 @@ def test_item_from_props_equals_json_path(spark):
     ev = spark.read.parquet("/root/testdata/sf0.1/events.parquet")
     diff = ev.select(item_from_props(F.col("props")).alias("a"), F.get_json_object("props", "$.k").try_cast("bigint").alias("b"))
     assert diff.where(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
+
+
+def test_behaviour_table_round_trip_and_pruning(spark, tmp_path):
+    from basketry.plans import candidates, curve, features
+
+    beh = bsrc.load_behaviour(spark, "/root/testdata/sf0.01")
+    path = str(tmp_path / "beh")
+    bsrc.write_behaviour_table(beh, path)
+    table = bsrc.read_behaviour_table(spark, path)
+    assert table.count() == beh.count()
+    for job in (curve.conversion_curve, candidates.last_day_cart_pairs, features.training_set):
+        a, b = job(beh), job(table)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    plan = candidates.last_day_cart_pairs(table)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and ">= 2024-01-30" in plan
