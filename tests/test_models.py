@@ -113,3 +113,31 @@ def test_legacy_predict_matches_mllib_predict(spark):
     old = MLUtils.convertVectorColumnsFromML(hashed.select("doc_id", "f"), "f").collect()
     theirs = {r.doc_id: float(model.predict(r.f)) for r in old}
     assert ours == theirs
+
+
+# The sample grid job's inline training texts (id, text, label)
+# and the unlabelled texts it scores (id, text).
+SAMPLE_TRAINING = [
+    (0, "a b c d e spark", 1.0),
+    (1, "b d", 0.0),
+    (2, "spark f g h", 1.0),
+    (3, "hadoop mapreduce", 0.0),
+    (4, "b spark who", 1.0),
+    (5, "g d a y", 0.0),
+    (6, "spark fly", 1.0),
+    (7, "was mapreduce", 0.0),
+    (8, "e spark program", 1.0),
+    (9, "a e c l", 0.0),
+    (10, "spark compile", 1.0),
+    (11, "hadoop software", 0.0),
+]
+SAMPLE_TEST = [(4, "spark i j k"), (5, "l m n"), (6, "mapreduce spark"), (7, "apache hadoop")]
+
+
+def test_sample_grid_on_inline_texts(spark):
+    training = spark.createDataFrame(SAMPLE_TRAINING, "id long, text string, label double")
+    test = spark.createDataFrame(SAMPLE_TEST, "id long, text string")
+    cv = spam.sample_grid_search(training, parallelism=2)
+    assert len(cv.avgMetrics) == 6
+    pred = {r.id: r.prediction for r in spam.score_text(cv, test).collect()}
+    assert pred == {4: 1.0, 5: 0.0, 6: 1.0, 7: 0.0}
