@@ -5,7 +5,8 @@ Prints one JSON line:
 
 Each query is fully executed (results written to the no-op sink, so every
 row is produced but nothing is collected to the driver).  Times are the best
-of ``BENCH_REPEAT`` runs (default 1) after one warm-up of the session.
+of ``BENCH_REPEAT`` full runs (default 2; run-to-run noise on a shared VM is
+large for the iterative ML jobs) after a warm-up of the session.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "1"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
 
     from basketry.plans import registry
