@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions.textfn import split_space
 from basketry.operators import ml
-from basketry.operators.text import explode_sparse
+from basketry.operators.text import sparse_parts
 
 
 def with_folds(corpus: DataFrame, num_folds: int, key: str = "doc_id", column: str = "fold") -> DataFrame:
@@ -121,17 +121,23 @@ def legacy_sgd(corpus: DataFrame, text: str = "text", num_features: int = 10_000
 
 def legacy_predict(spark, model, docs: DataFrame, id_cols: list[str], text: str = "text", num_features: int = 10_000) -> DataFrame:
     """Score with the legacy model's weights as a DataFrame job: sparse
-    (doc, bucket, tf) rows joined to a (bucket, weight) table whose size is
-    bounded by ``num_features`` (hence broadcast), summed to a margin."""
+    (doc, bucket, tf) entries joined to a (bucket, weight) table whose size
+    is bounded by ``num_features`` (hence broadcast) and summed per document
+    into a margin.  ``explode_outer`` keeps documents without any token
+    (margin = intercept), so no join back to the documents is needed; the
+    sum is partially aggregated before its one shuffle."""
     weights = model.weights.toArray()
     nz = [(int(i), float(w)) for i, w in enumerate(weights) if w != 0.0]
     wdf = spark.createDataFrame(nz, "bucket INT, w DOUBLE")
     hashed = HashingTF(inputCol="tokens", outputCol="tf", numFeatures=num_features).transform(
         docs.where(F.col(text).isNotNull()).withColumn("tokens", split_space(text))
     )
-    rows = explode_sparse(hashed, "tf", id_cols, "bucket", "tf")
-    margins = rows.join(F.broadcast(wdf), "bucket", "left").groupBy(*id_cols).agg(F.sum(F.col("tf") * F.coalesce(F.col("w"), F.lit(0.0))).alias("margin"))
-    scored = docs.select(*id_cols).join(margins, id_cols, "left").withColumn("margin", F.coalesce(F.col("margin"), F.lit(0.0)) + F.lit(float(model.intercept)))
+    parts = sparse_parts("tf")
+    entries = hashed.select(*id_cols, F.explode_outer(F.arrays_zip(parts["indices"].alias("i"), parts["values"].alias("x"))).alias("e")).select(
+        *id_cols, F.col("e.i").alias("bucket"), F.col("e.x").alias("tf")
+    )
+    margin = F.sum(F.coalesce(F.col("tf") * F.col("w"), F.lit(0.0))) + F.lit(float(model.intercept))
+    scored = entries.join(F.broadcast(wdf), "bucket", "left").groupBy(*id_cols).agg(margin.alias("margin"))
     threshold = model.threshold if model.threshold is not None else 0.5
     prob = 1.0 / (1.0 + F.exp(-F.col("margin")))
     return scored.select(*id_cols, F.when(prob > threshold, 1.0).otherwise(0.0).alias("prediction"))
