@@ -542,8 +542,7 @@ def q_tfidf_hashed(spark, sf_dir):
 )
 def q_tfidf_job(spark, sf_dir):
     """Labelled corpus -> tokens -> 20 hashed buckets -> IDF; (doc, label, bucket, weight)."""
-    corpus = tsrc.labelled_corpus(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    rows = textop.tfidf_rows(corpus, ["doc_id", "label"], num_features=SAMPLE_TFIDF_BUCKETS)
+    rows = textop.tfidf_rows(_scoring_corpus(spark, sf_dir), ["doc_id", "label"], num_features=SAMPLE_TFIDF_BUCKETS)
     return rows.select("doc_id", "label", "bucket", F.round("weight", 6).alias("weight"))
 
 
@@ -625,9 +624,15 @@ def q_auc_roc(spark, sf_dir):
 def q_spam_train_score(spark, sf_dir):
     """Tokenizer -> HashingTF(10,000) -> LogisticRegression pipeline fitted
     on the labelled corpus and applied to it; per-document invariants."""
-    corpus = tsrc.load_corpus(spark, sf_dir)
-    model = spam.train_text_model(corpus)
-    return ml.score_checks(model.transform(corpus), 0.5, ["doc_id", "label"])
+    model = spam.train_text_model(tsrc.load_corpus(spark, sf_dir))
+    return ml.score_checks(model.transform(_scoring_corpus(spark, sf_dir)), 0.5, ["doc_id", "label"])
+
+
+def _scoring_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled corpus for one-pass scoring, read through the balanced
+    documents scan.  Iterative fits use ``tsrc.load_corpus`` as is: spreading
+    their data costs more per optimiser pass than it saves."""
+    return tsrc.labelled_corpus(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def _grid_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
@@ -668,6 +673,5 @@ def q_text_grid_sample(spark, sf_dir):
 def q_spam_sgd_legacy(spark, sf_dir):
     """Legacy mllib SGD logistic regression on space-split tokens;
     predictions for every labelled document."""
-    corpus = tsrc.load_corpus(spark, sf_dir)
-    model = spam.legacy_sgd(corpus)
-    return spam.legacy_predict(spark, model, corpus, ["doc_id", "label"])
+    model = spam.legacy_sgd(tsrc.load_corpus(spark, sf_dir))
+    return spam.legacy_predict(spark, model, _scoring_corpus(spark, sf_dir), ["doc_id", "label"])
