@@ -54,8 +54,11 @@ def _checkpoint_base(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    # Unset: only the case in local tests.  Never reached on a cluster that
-    # names its shared folder in spark.checkpoint.dir.
+    # Unset.  A machine-local folder is only acceptable when every task runs
+    # on this machine (local master: tests, the bench).  On a cluster the
+    # folder must be shared, so refuse instead of writing to /tmp.
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach (e.g. on HDFS or object storage)")
     base = tempfile.mkdtemp(prefix="basketry-ckpt-")
     spark.sparkContext.setCheckpointDir(base)
     return spark.sparkContext.getCheckpointDir() or base
