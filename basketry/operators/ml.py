@@ -76,10 +76,15 @@ def grid_search(
     num_folds: int = 3,
     seed: int = 42,
     fold_col: str | None = None,
-    parallelism: int = 4,
+    parallelism: int | None = None,
 ) -> CrossValidatorModel:
     """k-fold cross-validated grid search scored by area under ROC.  With
-    ``fold_col`` the folds are fixed by the data (repeatable anywhere)."""
+    ``fold_col`` the folds are fixed by the data (repeatable anywhere).
+    By default every setting of a fold is fitted concurrently (one thread
+    per grid point, at most 8): each fit is itself a distributed job, and
+    the fold finishes with its slowest setting instead of in rounds."""
+    if parallelism is None:
+        parallelism = max(1, min(len(grid), 8))
     cv = CrossValidator(
         estimator=pipeline,
         estimatorParamMaps=grid,

@@ -50,7 +50,7 @@ def _tokenized(corpus: DataFrame, text: str) -> DataFrame:
     return Tokenizer(inputCol=text, outputCol="words").transform(corpus.where(F.col(text).isNotNull()))
 
 
-def _grid(corpus: DataFrame, text: str, grid_of, num_folds: int, fold_col: str | None, parallelism: int, **stage_args) -> CrossValidatorModel:
+def _grid(corpus: DataFrame, text: str, grid_of, num_folds: int, fold_col: str | None, parallelism: int | None, **stage_args) -> CrossValidatorModel:
     """Cross-validate HashingTF -> LogisticRegression over pre-tokenised text.
 
     Tokens do not depend on any grid parameter, so the text is tokenised
@@ -76,7 +76,7 @@ def spam_grid_search(
     max_iters=(100, 200),
     num_folds: int = 3,
     fold_col: str | None = None,
-    parallelism: int = 4,
+    parallelism: int | None = None,
 ) -> CrossValidatorModel:
     grid_of = lambda tf, lr: ml.build_grid([(tf.numFeatures, num_features), (lr.maxIter, max_iters)])
     return _grid(corpus, text, grid_of, num_folds, fold_col, parallelism)
@@ -90,7 +90,7 @@ def sample_grid_search(
     max_iter: int = 10,
     num_folds: int = 2,
     fold_col: str | None = None,
-    parallelism: int = 4,
+    parallelism: int | None = None,
 ) -> CrossValidatorModel:
     grid_of = lambda tf, lr: ml.build_grid([(tf.numFeatures, num_features), (lr.regParam, reg_params)])
     return _grid(corpus, text, grid_of, num_folds, fold_col, parallelism, max_iter=max_iter)
