@@ -23,10 +23,12 @@ KEYS = ["user_id", "item_id"]
 
 
 def purchase_pipeline(max_iter: int = 100, reg_param: float = 0.0, threshold: float = 0.5) -> Pipeline:
+    """VectorAssembler (fixed feature order) -> weighted LogisticRegression."""
     return Pipeline(stages=[ml.assembler(), ml.logistic_regression(max_iter, reg_param, weight_col="weight", threshold=threshold)])
 
 
 def fit_purchase_model(beh: DataFrame, anchor=DAY30, max_iter: int = 100, reg_param: float = 0.0, threshold: float = 0.5) -> PipelineModel:
+    """Fit on the weighted training set alone (persisted for the fit)."""
     train = features.weighted_training_set(beh, anchor).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return purchase_pipeline(max_iter, reg_param, threshold).fit(train)
