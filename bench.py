@@ -51,6 +51,8 @@ def main() -> None:
     # Warm-up on the smallest tables: JVM class loading and JIT of the
     # relational, text and ML code paths (a long-running session is warm).
     warm_dir = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")
+    if not os.path.isdir(warm_dir):
+        warm_dir = sf_dir
     for name in ("conversion_curve", "hashing_tf", "predict_buyers"):
         registry.QUERIES[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
 
