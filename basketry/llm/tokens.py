@@ -177,7 +177,7 @@ class ChunkEncoder:
         text = padded.tobytes()
         cut = lambda at: text[starts[at] : starts[at] + sizes[at]]
         while (todo := np.flatnonzero(short & (numbers < 0))).size:
-            if table.count + todo.size > table.slots * 3 // 4:  # many new chunks at once
+            while table.count + todo.size > table.slots * 3 // 4:  # many new chunks at once
                 table.grow()
             # one chunk of each hash; should two share it, the other has its turn in the next round
             new = todo[np.unique(h[todo], return_index=True)[1]]
