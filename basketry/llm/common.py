@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,7 +49,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
             if batch.num_rows:
                 yield batch
             continue
-        sizes = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
         start = taken = 0
         for i, n in enumerate(sizes):
             if i > start and taken + n > limit:
