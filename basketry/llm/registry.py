@@ -10,8 +10,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import mixing, packing, quality, secrets, simhash
+from basketry.llm import html, licenses, mixing, packing, quality, secrets, simhash, tokenfile, topk, warc
 from basketry.llm.common import load
+from basketry.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +26,14 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(load(spark, sf_dir, "documents"), BYTE_VOCABULARY, PIECE_VOCABULARY)
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(load(spark, sf_dir, "documents"))
+
+
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(load(spark, sf_dir, "pages"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), WORD_VOCABULARY)
 
@@ -40,6 +49,49 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    resolved = warc.resolve_revisits(warc.page_captures(load(spark, sf_dir, "pages")))
+    return resolved.select("record_id", "canonical", "refers_to", "outcome", "headers", F.md5("payload").alias("payload_md5"), F.coalesce(F.length("payload"), F.lit(0)).alias("payload_chars"))
+
+
+OP6_SQL = r"""
+WITH captures AS (
+  SELECT page_id, n, n % 2 = 1 AS revisit, n >= 2 AS later, (1700000000 + (page_id * 7919 + n * 104729) % 400000)::BIGINT AS stamp,
+         html || CASE WHEN n >= 2 THEN '<!-- 2 -->' ELSE '' END AS payload,
+         regexp_replace(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS bare
+  FROM pages CROSS JOIN (VALUES (0), (1), (2), (3)) v(n)
+), urls AS (
+  SELECT *, regexp_replace(lower(regexp_extract(bare, '^[^/?#]*')), '^(www|m)\.|:(80|443)$', '', 'g') AS host,
+         regexp_replace(regexp_replace(regexp_replace(bare, '#.*$', ''), '^[^/?]*', ''), '([?&])(utm_[a-z]+|gclid|fbclid|ref)=[^&]*', '\1', 'g') AS path
+  FROM captures
+), records AS (
+  SELECT page_id || '-' || n AS record_id, revisit, later, stamp, payload, n,
+         host || regexp_replace(regexp_replace(regexp_replace(regexp_replace(path, '&+', '&', 'g'), '\?&', '?', 'g'), '[?&]+$', ''), '/+$', '') AS canonical,
+         CASE WHEN page_id % 11 <> 0 THEN substr(md5(payload), 1, 16) END AS tag,
+         CASE WHEN page_id % 22 <> 0 THEN later::INT::VARCHAR END AS modified
+  FROM urls
+), found AS (
+  SELECT v.*, r.record_id AS refers_to, r.tag AS r_tag, r.modified AS r_modified, r.payload AS r_payload
+  FROM records v LEFT JOIN records r ON v.canonical = r.canonical AND NOT r.revisit AND r.stamp < v.stamp
+  WHERE v.revisit
+  QUALIFY row_number() OVER (PARTITION BY v.record_id ORDER BY r.stamp DESC NULLS LAST, r.record_id DESC) = 1
+), decided AS (
+  SELECT *, CASE WHEN refers_to IS NULL THEN 'no_response'
+                 WHEN tag IS NOT NULL AND r_tag IS NOT NULL THEN CASE WHEN tag = r_tag THEN 'resolved' ELSE 'mismatch' END
+                 WHEN modified IS NOT NULL AND r_modified IS NOT NULL THEN CASE WHEN modified = r_modified THEN 'resolved' ELSE 'mismatch' END
+                 ELSE 'no_validator' END AS outcome
+  FROM found
+)
+SELECT record_id, canonical, refers_to, outcome,
+       CASE WHEN outcome = 'resolved' THEN 'cache-control: max-age=' || n * 60 || chr(10) || 'content-type: text/html' || chr(10) || 'date: ' || stamp
+         || CASE WHEN tag IS NOT NULL THEN chr(10) || 'etag: W/"' || tag || '"' ELSE '' END
+         || CASE WHEN r_modified IS NOT NULL THEN chr(10) || 'last-modified: ' || r_modified ELSE '' END END AS headers,
+       CASE WHEN outcome = 'resolved' THEN md5(r_payload) END AS payload_md5,
+       CASE WHEN outcome = 'resolved' THEN length(r_payload) ELSE 0 END::INT AS payload_chars
+FROM decided
+"""
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count("text").alias("size"))
     mixed = mixing.mix_counts(docs, size=F.col("size"))
@@ -88,12 +140,44 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(load(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id", "kept")
 
 
+def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "token-ids")
+    tokenfile.write_ids(load(spark, sf_dir, "documents"), path, BYTE_VOCABULARY)
+    return tokenfile.read_checksums(spark, path)
+
+
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+OP10_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+  WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
+    "op2_licenses": op2_licenses,
+    "op3_html": op3_html,
     "op4_packing": op4_packing,
     "op5_secrets": op5_secrets,
+    "op6_revisits": op6_revisits,
     "op7_mixing": op7_mixing,
     "op8_near_duplicates": op8_near_duplicates,
+    "op9_token_file": op9_token_file,
+    "op10_top_k": op10_top_k,
 }
 
-ORACLES: dict[str, str] = {"op7_mixing": OP7_SQL}
+ORACLES: dict[str, str] = {"op2_licenses": licenses.oracle_sql(), "op6_revisits": OP6_SQL, "op7_mixing": OP7_SQL, "op10_top_k": OP10_SQL}
