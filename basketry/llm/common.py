@@ -15,7 +15,7 @@ from basketry.session import shared_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Text bytes handled at once inside a task.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 
 #: Distinct chunks kept per worker process (about 100 bytes each); the table
 #: starts anew when full.
-KEPT_CHUNKS = 1 << 20
+KEPT_CHUNKS = 1 << 19
 #: Chunks of up to so many bytes are keyed by 8-byte limbs, longer ones by a dict.
 LIMBS = 3
 #: Bytes of longer chunks kept.
@@ -177,10 +177,10 @@ class ChunkEncoder:
         text = padded.tobytes()
         cut = lambda at: text[starts[at] : starts[at] + sizes[at]]
         while (todo := np.flatnonzero(short & (numbers < 0))).size:
-            while table.count + todo.size > table.slots * 3 // 4:  # many new chunks at once
-                table.grow()
             # one chunk of each hash; should two share it, the other has its turn in the next round
             new = todo[np.unique(h[todo], return_index=True)[1]]
+            while table.count + new.size > table.slots * 3 // 4:  # many new chunks at once
+                table.grow()
             parts = self._encode_chunks([cut(i).decode() for i in new.tolist()])
             table.add(limbs[:, new], h[new], table.store(parts))
             numbers[todo] = table.find(limbs[:, todo], h[todo])
@@ -204,10 +204,7 @@ class TextEncoder(ChunkEncoder):
 
         self.whole = Tokenizer.from_file(path)
         self.whole.encode_special_tokens = True
-        # New chunks are encoded many at a time with a special token between
-        # them; this copy of the vocabulary recognises it.
-        self.marked = Tokenizer.from_file(path)
-        self.mark = self.marked.token_to_id(_MARK)
+        self.mark = self.whole.token_to_id(_MARK)
         self.spaces = spaces
         self.exact = _ODD if spaces == "drop" else f"{_ODD}|{_MIXED}"
         super().__init__(kept)
@@ -221,9 +218,14 @@ class TextEncoder(ChunkEncoder):
     def _encode_chunks(self, chunks: list[str], per_text: int = 48) -> list[np.ndarray]:
         if any(_MARK in c for c in chunks):
             return self._direct(chunks)
+        # Many chunks at a time, with a special token between them that the
+        # vocabulary recognises meanwhile.
         out = []
         groups = [chunks[i : i + per_text] for i in range(0, len(chunks), per_text)]
-        for e in self.marked.encode_batch_fast([_MARK.join(g) for g in groups], add_special_tokens=False):
+        self.whole.encode_special_tokens = False
+        coded = self.whole.encode_batch_fast([_MARK.join(g) for g in groups], add_special_tokens=False)
+        self.whole.encode_special_tokens = True
+        for e in coded:
             ids = np.array(e.ids, np.uint32)
             cuts = np.flatnonzero(ids == self.mark).tolist()
             out += [ids[a:b] for a, b in zip([0, *(c + 1 for c in cuts)], [*cuts, len(ids)])]
@@ -308,13 +310,13 @@ class PieceWords(ChunkEncoder):
         return [np.array(ids, np.uint32) for ids in self.model.encode(chunks, num_threads=1)]
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def piece_words(path: str) -> PieceWords:
     """One per worker process and model."""
     return PieceWords(path)
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def encoder(path: str, spaces: str) -> TextEncoder:
-    """One encoder per worker process and vocabulary."""
+    """The worker process's encoder; one at a time, for its memory."""
     return TextEncoder(path, spaces)
