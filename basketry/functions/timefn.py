@@ -29,6 +29,12 @@ def hour_anchor(value: dt.datetime | dt.date | str) -> dt.datetime:
     return value
 
 
+def _instant(value: dt.datetime) -> Column:
+    """The anchor as a timestamp in the session's zone.  Built from text: a
+    naive datetime literal would be read in the zone of the driver's Python."""
+    return F.lit(f"{value:%Y-%m-%d %H:%M:%S.%f}").cast("timestamp")
+
+
 def parse_hour(text: Column | str) -> Column:
     """Parse 'yyyy-MM-dd HH' (hour 0-23) strictly; malformed text gives null."""
     return F.try_to_timestamp(_col(text), F.lit(TIME_FORMAT))
@@ -41,7 +47,7 @@ def hours_between(big: Column | str, small: Column | str) -> Column:
 
 def hours_before(time: Column | str, anchor) -> Column:
     """Whole hours from ``time`` up to ``anchor`` as int (positive before it)."""
-    return hours_between(F.lit(hour_anchor(anchor)), time).cast("int")
+    return hours_between(_instant(hour_anchor(anchor)), time).cast("int")
 
 
 def _ceil_hour(anchor: dt.datetime) -> dt.datetime:
@@ -68,9 +74,9 @@ def strictly_before(anchor, time: str = "time", raw: str | None = None, day: str
     is added, so whole day partitions are pruned.
     """
     a = hour_anchor(anchor)
-    cond = F.col(time) < F.lit(a)
+    cond = F.col(time) < _instant(a)
     if raw:
-        cond = (F.col(raw) < F.lit(_ceil_hour(a))) & cond
+        cond = (F.col(raw) < _instant(_ceil_hour(a))) & cond
     if day:
         cond = (F.col(day) <= F.lit(a.date())) & cond
     return cond
@@ -85,10 +91,10 @@ def strictly_after(anchor, time: str = "time", raw: str | None = None, day: str
     added for partition pruning.
     """
     a = hour_anchor(anchor)
-    cond = F.col(time) > F.lit(a)
+    cond = F.col(time) > _instant(a)
     if raw:
         floor = a.replace(minute=0, second=0, microsecond=0)
-        cond = (F.col(raw) >= F.lit(floor + _HOUR)) & cond
+        cond = (F.col(raw) >= _instant(floor + _HOUR)) & cond
     if day:
         cond = (F.col(day) >= F.lit(a.date())) & cond
     return cond
