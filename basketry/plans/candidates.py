@@ -8,17 +8,17 @@ the distinct is a partial + final hash aggregate on the pair key.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from basketry.functions.timefn import scan_hints, strictly_after
 from basketry.schema import ADD_TO_CART, DAY30, LAST_HOUR
+from basketry.sources.behaviour import has_code
 
 KEYS = ["user_id", "item_id"]
 
 
 def carted_after(beh: DataFrame, anchor) -> DataFrame:
     hints = scan_hints(beh)
-    return beh.where((F.col("behavior_type") == ADD_TO_CART) & strictly_after(anchor, **hints)).select(*KEYS).distinct()
+    return beh.where(has_code(beh, ADD_TO_CART) & strictly_after(anchor, **hints)).select(*KEYS).distinct()
 
 
 def last_day_cart_pairs(beh: DataFrame, day_anchor=DAY30) -> DataFrame:

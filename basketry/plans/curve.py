@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions.timefn import scan_hints, format_rate, hours_before, strictly_after, strictly_before
 from basketry.schema import ADD_TO_CART, BUY, DAY30
+from basketry.sources.behaviour import has_code
 
 KEYS = ["user_id", "item_id"]
 
@@ -28,23 +29,23 @@ def last_cart_hours(beh: DataFrame, anchor=DAY30) -> DataFrame:
     anchor up to the anchor.  "Latest" is by time, so the result does not
     depend on input order."""
     hints = scan_hints(beh)
-    carts = beh.where((F.col("behavior_type") == ADD_TO_CART) & strictly_before(anchor, **hints))
+    carts = beh.where(has_code(beh, ADD_TO_CART) & strictly_before(anchor, **hints))
     return carts.groupBy(*KEYS).agg(F.max("time").alias("last_cart")).select(*KEYS, hours_before("last_cart", anchor).alias("hour"))
 
 
 def buyers_after(beh: DataFrame, anchor=DAY30) -> DataFrame:
     """Distinct pairs bought strictly after the anchor."""
     hints = scan_hints(beh)
-    return beh.where((F.col("behavior_type") == BUY) & strictly_after(anchor, **hints)).select(*KEYS).distinct()
+    return beh.where(has_code(beh, BUY) & strictly_after(anchor, **hints)).select(*KEYS).distinct()
 
 
 def conversion_curve(beh: DataFrame, anchor=DAY30, sort: bool = True) -> DataFrame:
     """(hour int, bought bigint, carted bigint, rate double, rate_text string)."""
     hints = scan_hints(beh)
-    is_cart = (F.col("behavior_type") == ADD_TO_CART) & strictly_before(anchor, **hints)
-    is_buy = (F.col("behavior_type") == BUY) & strictly_after(anchor, **hints)
+    is_cart = has_code(beh, ADD_TO_CART) & strictly_before(anchor, **hints)
+    is_buy = has_code(beh, BUY) & strictly_after(anchor, **hints)
     pairs = (
-        beh.where(is_cart | is_buy)
+        beh.where(has_code(beh, ADD_TO_CART, BUY) & (is_cart | is_buy))
         .groupBy(*KEYS)
         .agg(F.max(F.when(is_cart, F.col("time"))).alias("last_cart"), F.bool_or(is_buy).alias("bought"))
         .where(F.col("last_cart").isNotNull())
@@ -62,24 +63,3 @@ def conversion_curve(beh: DataFrame, anchor=DAY30, sort: bool = True) -> DataFra
         )
     )
     return curve.orderBy("hour") if sort else curve
-
-
-def conversion_curve_joined(beh: DataFrame, anchor=DAY30) -> DataFrame:
-    """Same curve spelt as the two-input plan (latest-cart table joined with
-    the distinct buyers); kept to test the one-pass form against."""
-    carts = last_cart_hours(beh, anchor)
-    bought = buyers_after(beh, anchor).withColumn("is_bought", F.lit(True))
-    per_pair = carts.join(bought, KEYS, "left")
-    return (
-        per_pair.groupBy("hour")
-        .agg(F.count("is_bought").alias("bought"), F.count(F.lit(1)).alias("carted"))
-        .where(F.col("bought") > 0)
-        .select(
-            "hour",
-            "bought",
-            "carted",
-            F.round(F.col("bought") / F.col("carted"), 4).alias("rate"),
-            format_rate(F.col("bought") / F.col("carted")).alias("rate_text"),
-        )
-        .orderBy("hour")
-    )

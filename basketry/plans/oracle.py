@@ -60,10 +60,10 @@ def features(anchor: str, before: bool) -> str:
     """Literal feature plan: four per-behaviour aggregates, full outer joins, nulls to 0."""
     where = f"WHERE time < {anchor}" if before else ""
     return f"""wt AS (SELECT user_id, item_id, behavior_type, {hours_before('time', anchor)} AS hour FROM beh {where}),
-f1 AS (SELECT user_id, item_id, min(hour) AS time1, CAST(count(hour) AS INTEGER) AS type_1count FROM wt WHERE behavior_type = 1 GROUP BY ALL),
-f2 AS (SELECT user_id, item_id, min(hour) AS time2, CAST(count(hour) AS INTEGER) AS type_2count FROM wt WHERE behavior_type = 2 GROUP BY ALL),
-f3 AS (SELECT user_id, item_id, min(hour) AS time3, CAST(count(hour) AS INTEGER) AS type_3count FROM wt WHERE behavior_type = 3 GROUP BY ALL),
-f4 AS (SELECT user_id, item_id, CAST(count(hour) AS INTEGER) AS type_4count FROM wt WHERE behavior_type = 4 GROUP BY ALL),
+f1 AS (SELECT user_id, item_id, min(hour) AS time1, count(hour) AS type_1count FROM wt WHERE behavior_type = 1 GROUP BY ALL),
+f2 AS (SELECT user_id, item_id, min(hour) AS time2, count(hour) AS type_2count FROM wt WHERE behavior_type = 2 GROUP BY ALL),
+f3 AS (SELECT user_id, item_id, min(hour) AS time3, count(hour) AS type_3count FROM wt WHERE behavior_type = 3 GROUP BY ALL),
+f4 AS (SELECT user_id, item_id, count(hour) AS type_4count FROM wt WHERE behavior_type = 4 GROUP BY ALL),
 feat AS (
   SELECT user_id, item_id,
          coalesce(time1, 0) AS time1, coalesce(type_1count, 0) AS type_1count,

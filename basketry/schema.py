@@ -44,5 +44,5 @@ BEHAVIOUR_SCHEMA = T.StructType(
     ]
 )
 
-# Feature columns in model order.
+# Feature columns in model order.
 FEATURE_COLUMNS = ["time1", "type_1count", "time2", "type_2count", "time3", "type_3count", "type_4count"]

@@ -21,6 +21,17 @@ from basketry.schema import CSV_COLUMNS, CSV_SCHEMA, EVENT_TYPE_CODES
 KEYS = ["user_id", "item_id"]
 
 
+def has_code(beh: DataFrame, *codes: int) -> Column:
+    """``behavior_type`` is one of ``codes``.  On the events adapter the same
+    condition on ``event_type`` is added: a plain comparison on a scan column,
+    so Parquet receives it as a pushed filter."""
+    is_one = lambda c, values: F.col(c) == values[0] if len(values) == 1 else F.col(c).isin(values)
+    cond = is_one("behavior_type", list(codes))
+    if "event_type" in beh.columns:
+        cond = is_one("event_type", [name for name, code in EVENT_TYPE_CODES.items() if code in codes]) & cond
+    return cond
+
+
 def _event_code(event_type: Column) -> Column:
     code = None
     for name, value in EVENT_TYPE_CODES.items():
@@ -52,7 +63,7 @@ def item_from_props(props: Column) -> Column:
 
 
 def behaviour_from_events(events: DataFrame) -> DataFrame:
-    """``events`` -> (user_id, item_id, behavior_type, time, ts).
+    """``events`` -> (user_id, item_id, behavior_type, time, ts, event_type).
 
     item_id is the integer ``$.k`` of ``props``; event types outside the four
     behaviours are dropped; ``time`` is the instant truncated to the hour.
@@ -69,6 +80,7 @@ def behaviour_from_events(events: DataFrame) -> DataFrame:
             _event_code(F.col("event_type")).cast("int").alias("behavior_type"),
             F.date_trunc("HOUR", F.col("ts")).alias("time"),
             F.col("ts"),
+            F.col("event_type"),
         )
         .where(F.col("item_id").isNotNull())
     )
@@ -78,12 +90,12 @@ def load_behaviour(spark: SparkSession, sf_dir: str) -> DataFrame:
     return behaviour_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
-def _typed_columns(raw: DataFrame) -> list[Column]:
+def _typed_columns(trailing: bool) -> list[Column]:
     return [
         F.col("user_id").try_cast("bigint").alias("user_id"),
         F.col("item_id").try_cast("bigint").alias("item_id"),
         F.col("behavior_type").try_cast("int").alias("behavior_type"),
-        parse_hour("time").alias("time"),
+        parse_hour(F.substring("time", 1, 13) if trailing else "time").alias("time"),
     ]
 
 
@@ -91,15 +103,17 @@ def _valid(df: DataFrame) -> Column:
     return F.col("user_id").isNotNull() & F.col("item_id").isNotNull() & F.col("behavior_type").isNotNull() & F.col("time").isNotNull()
 
 
-def typed_behaviour(raw: DataFrame) -> DataFrame:
-    """Type the six text columns; rows with a bad key, code or time are dropped."""
-    typed = raw.select(*_typed_columns(raw))
+def typed_behaviour(raw: DataFrame, trailing: bool = False) -> DataFrame:
+    """Type the six text columns; rows with a bad key, code or time are dropped.
+    ``trailing`` accepts text after the hour ('2014-12-18 22:15' is hour 22),
+    as a lenient date parser does."""
+    typed = raw.select(*_typed_columns(trailing))
     return typed.where(_valid(typed))
 
 
-def rejected_rows(raw: DataFrame) -> DataFrame:
+def rejected_rows(raw: DataFrame, trailing: bool = False) -> DataFrame:
     """The raw rows ``typed_behaviour`` drops (count them to report data quality)."""
-    typed = raw.select(*[F.col(c).alias(f"raw_{c}") for c in raw.columns], *_typed_columns(raw))
+    typed = raw.select(*[F.col(c).alias(f"raw_{c}") for c in raw.columns], *_typed_columns(trailing))
     return typed.where(~_valid(typed)).select(*[F.col(f"raw_{c}").alias(c) for c in raw.columns])
 
 
@@ -122,18 +136,23 @@ def write_behaviour_csv(beh: DataFrame, path: str, mode: str = "errorifexists")
     out.write.mode(mode).option("header", True).csv(path)
 
 
-def write_behaviour_table(beh: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def write_behaviour_table(beh: DataFrame, path: str, mode: str = "errorifexists", files_per_day: int | None = None) -> None:
     """Typed log as Parquet partitioned by ``day`` (UTC date of the hour),
     rows sorted within each file by pair and time.
 
     Ingest once; every job reading the table then skips the text/JSON
     parsing, gets whole-day partition pruning from its time filters (see
-    ``timefn.scan_hints``) and row-group min/max on the stored hour.  No
-    shuffle: each task writes the days it holds, so a time-ordered source
-    gives a few files per task.
+    ``timefn.scan_hints``) and row-group min/max on the stored hour.  By
+    default there is no shuffle: each task writes the days it holds, so a
+    time-ordered source gives a few files per task.  For a source that is not
+    in order, ``files_per_day`` deals the rows by day and a hash of the user
+    first, so that no day has more files than that.
     """
+    days = beh.select("user_id", "item_id", "behavior_type", "time", F.to_date("time").alias("day"))
+    if files_per_day:
+        days = days.repartition("day", F.pmod(F.xxhash64("user_id"), F.lit(files_per_day)))
     (
-        beh.select("user_id", "item_id", "behavior_type", "time", F.to_date("time").alias("day"))
+        days
         .sortWithinPartitions("day", "user_id", "item_id", "time")
         .write.mode(mode)
         .partitionBy("day")
