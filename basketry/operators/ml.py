@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import HashingTF, Tokenizer, VectorAssembler
@@ -21,6 +21,10 @@ from pyspark.sql import functions as F
 from basketry.schema import FEATURE_COLUMNS
 
 
+#: Settings of a grid search that are fitted at the same time, unless given.
+PARALLEL_FITS = 8
+
+
 def assembler(input_cols: Sequence[str] = FEATURE_COLUMNS, out: str = "features") -> VectorAssembler:
     """Feature vector in fixed column order."""
     return VectorAssembler(inputCols=list(input_cols), outputCol=out)
@@ -39,19 +43,45 @@ def probability_of_one(prob: str = "probability") -> Column:
     return vector_to_array(F.col(prob))[1]
 
 
-def score_checks(scored: DataFrame, threshold: float, keep: Sequence[str]) -> DataFrame:
-    """Per-row invariants of a scored frame: probability in [0, 1], the two
-    class probabilities sum to 1, prediction = (p1 > threshold)."""
+def logit(model, columns: Sequence[str] = FEATURE_COLUMNS) -> Column:
+    """The fitted model's linear score, recomputed from its coefficients and
+    the raw columns."""
+    terms = [F.lit(float(w)) * F.col(c) for w, c in zip(model.coefficients.toArray(), columns)]
+    return sum(terms, F.lit(float(model.intercept)))
+
+
+def score_checks(scored: DataFrame, model, threshold: float, keep: Sequence[str]) -> DataFrame:
+    """Per-row checks of a scored frame against the fitted ``model``: the
+    probability is the logistic function of the recomputed linear score, the
+    two class probabilities sum to 1, and the prediction is 1 exactly if the
+    recomputed probability is above the threshold (rows within rounding of it
+    may fall on either side)."""
     p = vector_to_array(F.col("probability"))
     p0, p1 = p[0], p[1]
+    own = 1.0 / (1.0 + F.exp(-logit(model)))
     return scored.select(
         *keep,
-        ((p1 >= 0) & (p1 <= 1)).alias("p_in_range"),
+        (F.abs(p1 - own) < 1e-9).alias("p_is_logistic"),
         (F.abs(p0 + p1 - 1) < 1e-9).alias("p_sums_to_one"),
-        (F.col("prediction") == F.when(p1 > threshold, 1.0).otherwise(0.0)).alias("prediction_matches"),
+        ((F.col("prediction") == F.when(own > threshold, 1.0).otherwise(0.0)) | (F.abs(own - threshold) < 1e-9)).alias("prediction_matches"),
     )
 
 
+def gradient_share(scored: DataFrame, columns: Sequence[str] = FEATURE_COLUMNS, weight: str = "weight") -> list[Column]:
+    """Aggregates: per feature, and first for the intercept, the gradient of
+    the unpenalised weighted log loss, as a share of the base rate times the
+    sum of the feature (what a model without that feature is off by, about).
+    At the optimum each is near 0."""
+    w = F.col(weight)
+    residual = (probability_of_one() - F.col("label")) * w
+    rate = F.sum(F.col("label") * w) / F.sum(w)
+    shares = []
+    for x in (F.lit(1.0), *(F.col(c).cast("double") for c in columns)):
+        size = rate * F.sum(F.abs(x) * w)
+        shares.append(F.when(size > 0, F.abs(F.sum(residual * x)) / size).otherwise(0.0))
+    return shares
+
+
 def auc(df: DataFrame, score: str, label: str, num_bins: int = 0) -> float:
     """Area under ROC.  ``num_bins=0`` keeps every distinct score (exact;
     ties count half), the evaluator's sort and cumulative counts are
@@ -71,20 +101,17 @@ def text_classifier(text: str = "text", num_features: int = 10_000, max_iter: in
 
 def grid_search(
     data: DataFrame,
-    pipeline: Pipeline,
+    pipeline: Estimator,
     grid: list,
     num_folds: int = 3,
     seed: int = 42,
     fold_col: str | None = None,
-    parallelism: int | None = None,
+    parallelism: int = PARALLEL_FITS,
 ) -> CrossValidatorModel:
     """k-fold cross-validated grid search scored by area under ROC.  With
     ``fold_col`` the folds are fixed by the data (repeatable anywhere).
-    By default every setting of a fold is fitted concurrently (one thread
-    per grid point, at most 8): each fit is itself a distributed job, and
-    the fold finishes with its slowest setting instead of in rounds."""
-    if parallelism is None:
-        parallelism = max(1, min(len(grid), 8))
+    ``parallelism`` settings of a fold are fitted at a time; each fit is
+    itself a distributed job."""
     cv = CrossValidator(
         estimator=pipeline,
         estimatorParamMaps=grid,
@@ -112,7 +139,3 @@ def build_grid(pairs: list[tuple]) -> list:
     for param, values in pairs:
         g = g.addGrid(param, list(values))
     return g.build()
-
-
-def fitted_pipeline(model: PipelineModel | CrossValidatorModel) -> PipelineModel:
-    return model.bestModel if isinstance(model, CrossValidatorModel) else model

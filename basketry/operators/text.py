@@ -1,33 +1,28 @@
 """Text features: tokens, hashed term frequencies and TF-IDF.
 
 The vector stages are Spark ML's own (``Tokenizer``, ``HashingTF``, ``IDF``).
-To expose a sparse ML vector as rows without a Python UDF, the vector is
-rendered by the JVM's JSON writer (its SQL form is a struct of
-type/size/indices/values) and parsed back into typed arrays, then the
+To expose a sparse ML vector as rows without a Python UDF, the vector is read
+as its SQL form (``unwrap_udt``: a struct of type/size/indices/values) and the
 (index, value) pairs are exploded.  Everything stays on the executors; no
 dense numFeatures-sized array is ever built.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Tokenizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.functions.textfn import tokenize
 from basketry.session import materialize
 
-SPARSE_STRUCT = "struct<v:struct<type:tinyint,size:int,indices:array<int>,values:array<double>>>"
-
 # Spark ML's default number of hashing buckets (2^18).
 DEFAULT_NUM_FEATURES = 1 << 18
 
 
 def sparse_parts(vector: Column | str) -> Column:
     """struct<type, size, indices, values> of an ML vector column."""
-    v = F.col(vector) if isinstance(vector, str) else vector
-    return F.from_json(F.to_json(F.struct(v.alias("v"))), SPARSE_STRUCT)["v"]
+    return F.unwrap_udt(vector)
 
 
 def explode_sparse(df: DataFrame, vector: str, keep: list[str], index: str = "bucket", value: str = "value") -> DataFrame:
@@ -38,32 +33,12 @@ def explode_sparse(df: DataFrame, vector: str, keep: list[str], index: str = "bu
     )
 
 
-def balanced(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over all cores when it arrives in fewer partitions
-    than there are cores (a file stored as one large row group is read by
-    one task), so per-document CPU work (tokenising, hashing) runs in
-    parallel.  Meant for a plain scan, whose partition count is known
-    without running anything.  With well-split input, as at scale, it
-    returns ``df`` unchanged and adds no shuffle."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no JVM context (remote session): leave as is
-        return df
-    return df.repartition(cores) if parts < cores else df
-
-
 def tokens(df: DataFrame, text: str = "text", out: str = "words") -> DataFrame:
     """ML Tokenizer (lower case, split on single whitespace characters).
     Null text is dropped first: the tokenizer cannot take it."""
     return Tokenizer(inputCol=text, outputCol=out).transform(df.where(F.col(text).isNotNull()))
 
 
-def native_tokens(df: DataFrame, text: str = "text", out: str = "words") -> DataFrame:
-    """Same tokens as ``tokens`` from SQL expressions only."""
-    return df.where(F.col(text).isNotNull()).withColumn(out, tokenize(text))
-
-
 def hashed_tf(df: DataFrame, words: str = "words", out: str = "tf", num_features: int = DEFAULT_NUM_FEATURES) -> DataFrame:
     return HashingTF(inputCol=words, outputCol=out, numFeatures=num_features).transform(df)
 
@@ -74,30 +49,12 @@ def term_frequency_rows(df: DataFrame, id_cols: list[str], text: str = "text", n
     return explode_sparse(tf, "tf", id_cols, "bucket", "tf")
 
 
-def tfidf_pipeline(text: str = "text", num_features: int = DEFAULT_NUM_FEATURES, min_doc_freq: int = 0) -> Pipeline:
-    """Tokenizer -> HashingTF -> IDF; IDF weight is ln((n + 1) / (df + 1))."""
-    return Pipeline(
-        stages=[
-            Tokenizer(inputCol=text, outputCol="words"),
-            HashingTF(inputCol="words", outputCol="tf", numFeatures=num_features),
-            IDF(inputCol="tf", outputCol="tfidf", minDocFreq=min_doc_freq),
-        ]
-    )
-
-
-def fit_tfidf(df: DataFrame, text: str = "text", num_features: int = DEFAULT_NUM_FEATURES, min_doc_freq: int = 0) -> PipelineModel:
-    """Fit document frequencies (one distributed tree-aggregate of sparse
-    counts; the fitted model holds numFeatures weights)."""
-    return tfidf_pipeline(text, num_features, min_doc_freq).fit(df.where(F.col(text).isNotNull()))
-
-
 def tfidf_rows(df: DataFrame, id_cols: list[str], text: str = "text", num_features: int = DEFAULT_NUM_FEATURES, model: PipelineModel | None = None) -> DataFrame:
     """(*id_cols, bucket int, weight double) of TF-IDF, fitted on ``df``
     unless a fitted ``model`` is given.
 
     When fitting here, the text is tokenised and hashed once: the sparse TF
-    vectors (far smaller than the text) are checkpointed to the shared
-    folder, IDF is fitted on them and the same vectors are rescaled, instead
+    vectors (far smaller than the text) are written to the shared folder, IDF is fitted on them and the same vectors are rescaled, instead
     of a fit pass and a second tokenise/hash pass for the transform."""
     clean = df.where(F.col(text).isNotNull())
     if model is not None:

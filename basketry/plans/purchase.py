@@ -9,7 +9,6 @@ the fitted data never grows with repeated buys of one pair.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,20 +26,6 @@ def purchase_pipeline(max_iter: int = 100, reg_param: float = 0.0, threshold: fl
     return Pipeline(stages=[ml.assembler(), ml.logistic_regression(max_iter, reg_param, weight_col="weight", threshold=threshold)])
 
 
-def fit_purchase_model(beh: DataFrame, anchor=DAY30, max_iter: int = 100, reg_param: float = 0.0, threshold: float = 0.5) -> PipelineModel:
-    """Fit on the weighted training set alone (persisted for the fit)."""
-    train = features.weighted_training_set(beh, anchor).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return purchase_pipeline(max_iter, reg_param, threshold).fit(train)
-    finally:
-        train.unpersist()
-
-
-def base_rate(beh: DataFrame, anchor=DAY30) -> float:
-    """Share of positive rows in the training set (one aggregate)."""
-    return weighted_base_rate(features.weighted_training_set(beh, anchor))
-
-
 def weighted_base_rate(train: DataFrame) -> float:
     row = train.agg((F.sum(F.col("label") * F.col("weight")) / F.sum("weight")).alias("r")).first()
     return float(row["r"] or 0.0)
@@ -55,23 +40,24 @@ def predict_buyers(model: PipelineModel, scoring: DataFrame, threshold: float |
 
 def model_inputs(beh: DataFrame, train_anchor=DAY30, score_anchor=DAY31) -> tuple[DataFrame, DataFrame]:
     """(weighted training set, scoring set) from one aggregation of the log
-    (``features.pair_table``), written once to the shared checkpoint folder
+    (``features.pair_table``), written once to the shared folder
     so the base rate, every optimiser pass and the scoring read that table."""
-    table = materialize(features.pair_table(beh, train_anchor, score_anchor))
+    table = materialize(features.pair_table(beh, train_anchor, score_anchor), "pairs")
     return features.weighted_training_from_table(table), features.scoring_from_table(table)
 
 
 def fit_and_score(beh: DataFrame, threshold: float | None = None, train_anchor=DAY30, score_anchor=DAY31):
     """Fit on the training set, return (model, threshold, training set,
-    scored scoring set).  Default threshold = the training base rate."""
+    scored scoring set).  Threshold None: the training base rate."""
     train, scoring = model_inputs(beh, train_anchor, score_anchor)
     t = weighted_base_rate(train) if threshold is None else threshold
     model = purchase_pipeline(threshold=t).fit(train)
     return model, t, train, model.transform(scoring)
 
 
-def predicted_buyers(beh: DataFrame, threshold: float | None = None, train_anchor=DAY30, score_anchor=DAY31) -> DataFrame:
-    """End-to-end job: pairs predicted to buy; default threshold = the
-    training base rate (at 0.5 a rare-positive log predicts nobody)."""
+def predicted_buyers(beh: DataFrame, threshold: float | None = 0.5, train_anchor=DAY30, score_anchor=DAY31) -> DataFrame:
+    """End-to-end job: pairs whose probability to buy is above ``threshold``.
+    At 0.5 a log with rare buys may predict nobody; None takes the training
+    base rate instead."""
     _, _, _, scored = fit_and_score(beh, threshold, train_anchor, score_anchor)
     return scored.where(F.col("prediction") > 0).select(*KEYS)

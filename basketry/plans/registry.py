@@ -236,7 +236,8 @@ def q_filter_after_anchor(spark, sf_dir):
 @query("filter_behavior", O.with_beh() + "SELECT user_id, item_id, behavior_type, time FROM beh WHERE behavior_type = 4")
 def q_filter_behavior(spark, sf_dir):
     """rows of one behaviour code (buys)."""
-    return _beh(spark, sf_dir).where(F.col("behavior_type") == BUY).select(*BEH_COLUMNS)
+    beh = _beh(spark, sf_dir)
+    return beh.where(bsrc.has_code(beh, BUY)).select(*BEH_COLUMNS)
 
 
 @query(
@@ -392,9 +393,8 @@ def q_join_full_outer_chain(spark, sf_dir):
 @query("join_label_fanout", O.with_beh(O.features(O.A30, True), O.TRAINING) + "SELECT * FROM pos")
 def q_join_label_fanout(spark, sf_dir):
     """Features joined with every day-30 buy row (a pair bought n times
-    gives n rows).  Inner join: AQE may split a hot pair's partition."""
-    beh = _beh(spark, sf_dir)
-    return features.training_features(beh, DAY30).join(features.last_day_buys(beh), KEYS)
+    gives n rows)."""
+    return features.label_fanout(_beh(spark, sf_dir), DAY30)
 
 
 # ---------------------------------------------------------------------------
@@ -416,8 +416,8 @@ def q_sort_by_hour(spark, sf_dir):
 def q_set_union_all(spark, sf_dir):
     """Day-30 cart rows and day-30 buy rows, duplicates kept, by column name."""
     beh = _beh(spark, sf_dir).where(timefn.strictly_after(DAY30, raw="ts"))
-    carts = beh.where(F.col("behavior_type") == ADD_TO_CART).select(*KEYS, "behavior_type")
-    buys = beh.where(F.col("behavior_type") == BUY).select("behavior_type", *KEYS)
+    carts = beh.where(bsrc.has_code(beh, ADD_TO_CART)).select(*KEYS, "behavior_type")
+    buys = beh.where(bsrc.has_code(beh, BUY)).select("behavior_type", *KEYS)
     return carts.unionByName(buys)
 
 
@@ -437,15 +437,15 @@ def q_set_except_distinct(spark, sf_dir):
 # Text: tokens, text-line source, hashed TF, TF-IDF
 
 
-HASH_BUCKETS = 10_000  # the spam jobs' numFeatures
+# numFeatures of the spam jobs and of the labelled TF-IDF job.
+HASH_BUCKETS = 10_000
+SAMPLE_TFIDF_BUCKETS = 20
+# Own choice for the all-documents table.
 TFIDF_BUCKETS = 1 << 10
-SAMPLE_TFIDF_BUCKETS = 20  # the labelled TF-IDF job's numFeatures
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents for the per-document text transforms, spread over all cores
-    if the scan yields fewer splits than that (``textop.balanced``)."""
-    return textop.balanced(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
 
 
 @query(
@@ -542,7 +542,7 @@ def q_tfidf_hashed(spark, sf_dir):
 )
 def q_tfidf_job(spark, sf_dir):
     """Labelled corpus -> tokens -> 20 hashed buckets -> IDF; (doc, label, bucket, weight)."""
-    rows = textop.tfidf_rows(_scoring_corpus(spark, sf_dir), ["doc_id", "label"], num_features=SAMPLE_TFIDF_BUCKETS)
+    rows = textop.tfidf_rows(tsrc.load_corpus(spark, sf_dir), ["doc_id", "label"], num_features=SAMPLE_TFIDF_BUCKETS)
     return rows.select("doc_id", "label", "bucket", F.round("weight", 6).alias("weight"))
 
 
@@ -567,38 +567,43 @@ def q_assemble_features(spark, sf_dir):
 @query(
     "lr_calibration",
     O.with_beh(O.features(O.A30, True), O.TRAINING)
-    + "SELECT count(*) AS n_rows, sum(label) AS n_positive, true AS calibrated FROM training",
+    + "SELECT count(*) AS n_rows, sum(label) AS n_positive, true AS calibrated, true AS stationary FROM training",
 )
 def q_lr_calibration(spark, sf_dir):
     """M5/M7: pipeline (assembler + unpenalised logistic regression with
     intercept) fitted on the training set.  At the optimum the fitted
     probabilities sum to the number of positives; ``calibrated`` checks it
-    (tolerance 0.5% of the positives, at least 0.05)."""
+    (tolerance 0.5% of the positives, at least 0.05).  ``stationary``: the
+    gradient vanishes for the intercept and all seven features (each within
+    1% of its usual size)."""
     model, _, train, _ = purchase.fit_and_score(_beh(spark, sf_dir))
-    agg = model.transform(train).agg(
+    scored = model.transform(train)
+    agg = scored.agg(
+        F.greatest(*ml.gradient_share(scored)).alias("worst"),
         F.sum("weight").cast("bigint").alias("n_rows"),
         F.sum(F.col("label") * F.col("weight")).alias("n_positive"),
         F.sum(ml.probability_of_one() * F.col("weight")).alias("p_sum"),
     )
     tol = F.greatest(F.lit(0.05), F.col("n_positive") * 0.005)
-    return agg.select("n_rows", "n_positive", (F.abs(F.col("p_sum") - F.col("n_positive")) <= tol).alias("calibrated"))
+    return agg.select("n_rows", "n_positive", (F.abs(F.col("p_sum") - F.col("n_positive")) <= tol).alias("calibrated"), (F.col("worst") <= 0.01).alias("stationary"))
 
 
 @query(
     "lr_score_rows",
-    O.with_beh(O.features(O.A31, False)) + "SELECT user_id, item_id, true AS p_in_range, true AS p_sums_to_one, true AS prediction_matches FROM feat",
+    O.with_beh(O.features(O.A31, False)) + "SELECT user_id, item_id, true AS p_is_logistic, true AS p_sums_to_one, true AS prediction_matches FROM feat",
 )
 def q_lr_score_rows(spark, sf_dir):
     """M6: every scoring row gets rawPrediction, probability and prediction;
-    per-row invariants of those columns."""
-    _, threshold, _, scored = purchase.fit_and_score(_beh(spark, sf_dir))
-    return ml.score_checks(scored, threshold, KEYS)
+    per row, whether they are what the fitted coefficients give on the raw
+    features."""
+    model, threshold, _, scored = purchase.fit_and_score(_beh(spark, sf_dir))
+    return ml.score_checks(scored, model.stages[-1], threshold, KEYS)
 
 
 @query("predict_buyers")
 def q_predict_buyers(spark, sf_dir):
     """Pairs predicted to buy on day 31 (threshold = training base rate)."""
-    return purchase.predicted_buyers(_beh(spark, sf_dir))
+    return purchase.predicted_buyers(_beh(spark, sf_dir), threshold=None)
 
 
 @query(
@@ -619,20 +624,14 @@ def q_auc_roc(spark, sf_dir):
 
 @query(
     "spam_train_score",
-    f"SELECT doc_id, label, true AS p_in_range, true AS p_sums_to_one, true AS prediction_matches FROM ({O.CORPUS}) c",
+    f"SELECT doc_id, label, label AS prediction FROM ({O.CORPUS}) c",
 )
 def q_spam_train_score(spark, sf_dir):
     """Tokenizer -> HashingTF(10,000) -> LogisticRegression pipeline fitted
-    on the labelled corpus and applied to it; per-document invariants."""
-    model = spam.train_text_model(tsrc.load_corpus(spark, sf_dir))
-    return ml.score_checks(model.transform(_scoring_corpus(spark, sf_dir)), 0.5, ["doc_id", "label"])
-
-
-def _scoring_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The labelled corpus for one-pass scoring, read through the balanced
-    documents scan.  Iterative fits use ``tsrc.load_corpus`` as is: spreading
-    their data costs more per optimiser pass than it saves."""
-    return tsrc.labelled_corpus(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    on the labelled corpus and applied to it.  10,000 buckets separate a few
+    hundred documents, so a right fit predicts every label."""
+    corpus = tsrc.load_corpus(spark, sf_dir)
+    return spam.train_text_model(corpus).transform(corpus).select("doc_id", "label", "prediction")
 
 
 def _grid_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
@@ -643,9 +642,8 @@ def _grid_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFram
 def q_spam_grid_search(spark, sf_dir):
     """numFeatures {10,000; 20,000} x maxIter {100; 200}, 3-fold CV by
     AUC; one row per setting with its mean held-out AUC."""
-    cv = spam.spam_grid_search(tsrc.load_corpus(spark, sf_dir))
-    rows = ml.grid_metrics(cv, ["numFeatures", "maxIter"])
-    return _grid_frame(spark, rows, "num_features INT, max_iter INT, mean_auc DOUBLE")
+    corpus = spam.with_folds(tsrc.load_corpus(spark, sf_dir), 3)
+    return _grid_frame(spark, spam.spam_grid_search(corpus, fold_col="fold").rows, "num_features INT, max_iter INT, mean_auc DOUBLE")
 
 
 @query("cv_grid_metrics")
@@ -653,9 +651,7 @@ def q_cv_grid_metrics(spark, sf_dir):
     """M8: the sample grid (numFeatures {10; 100; 1,000} x regParam {0.1; 0.01},
     maxIter 10) with 2 folds fixed by a hash of doc_id (repeatable)."""
     corpus = spam.with_folds(tsrc.load_corpus(spark, sf_dir), 2)
-    cv = spam.sample_grid_search(corpus, fold_col="fold")
-    rows = ml.grid_metrics(cv, ["numFeatures", "regParam"])
-    return _grid_frame(spark, rows, "num_features INT, reg_param DOUBLE, mean_auc DOUBLE")
+    return _grid_frame(spark, spam.sample_grid_search(corpus, fold_col="fold").rows, "num_features INT, reg_param DOUBLE, mean_auc DOUBLE")
 
 
 @query("text_grid_sample")
@@ -664,14 +660,14 @@ def q_text_grid_sample(spark, sf_dir):
     the documents that have no label: (doc_id, prediction)."""
     docs = _documents(spark, sf_dir).where(F.col("text").isNotNull())
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id")
-    cv = spam.sample_grid_search(tsrc.load_corpus(spark, sf_dir))
-    unlabelled = docs.join(labels, "doc_id", "left_anti")
-    return spam.score_text(cv, unlabelled).select("doc_id", "prediction")
+    corpus = spam.with_folds(tsrc.load_corpus(spark, sf_dir), 2)
+    best = spam.sample_grid_search(corpus, fold_col="fold").best
+    return best.transform(docs.join(labels, "doc_id", "left_anti")).select("doc_id", "prediction")
 
 
 @query("spam_sgd_legacy")
 def q_spam_sgd_legacy(spark, sf_dir):
     """Legacy mllib SGD logistic regression on space-split tokens;
     predictions for every labelled document."""
-    model = spam.legacy_sgd(tsrc.load_corpus(spark, sf_dir))
-    return spam.legacy_predict(spark, model, _scoring_corpus(spark, sf_dir), ["doc_id", "label"])
+    corpus = tsrc.load_corpus(spark, sf_dir)
+    return spam.legacy_predict(spam.legacy_sgd(corpus), corpus, ["doc_id", "label"])

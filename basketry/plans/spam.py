@@ -8,16 +8,18 @@
 * ``legacy_sgd``: mllib's SGD logistic regression on hashed case-preserving
   single-space tokens (deprecated API; it takes an RDD of LabeledPoint).
 
-Training data is persisted for the iterative fits and released afterwards.
-Folds can be fixed by a column (``fold_col``) so grid results repeat.
+Hashed training data is persisted for the iterative fits and released
+afterwards.  Folds are fixed by the data, so grid results repeat anywhere.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from typing import NamedTuple
+
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import HashingTF, Tokenizer
-from pyspark.ml.tuning import CrossValidatorModel
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import HashingTF
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,11 @@ from basketry.operators import ml
 from basketry.operators.text import sparse_parts
 
 
+# Grid settings of the two searches.
+SPAM_FEATURES, SPAM_ITERATIONS = (10_000, 20_000), (100, 200)
+SAMPLE_FEATURES, SAMPLE_REG_PARAMS = (10, 100, 1000), (0.1, 0.01)
+
+
 def with_folds(corpus: DataFrame, num_folds: int, key: str = "doc_id", column: str = "fold") -> DataFrame:
     """Deterministic fold per row from a hash of its key."""
     return corpus.withColumn(column, F.pmod(F.xxhash64(F.col(key)), F.lit(num_folds)).cast("int"))
@@ -46,54 +53,60 @@ def train_text_model(corpus: DataFrame, text: str = "text", num_features: int =
         hashed.unpersist()
 
 
-def _tokenized(corpus: DataFrame, text: str) -> DataFrame:
-    return Tokenizer(inputCol=text, outputCol="words").transform(corpus.where(F.col(text).isNotNull()))
-
-
-def _grid(corpus: DataFrame, text: str, grid_of, num_folds: int, fold_col: str | None, parallelism: int | None, **stage_args) -> CrossValidatorModel:
-    """Cross-validate HashingTF -> LogisticRegression over pre-tokenised text.
-
-    Tokens do not depend on any grid parameter, so the text is tokenised
-    once and persisted; each of the folds x settings fits only hashes and
-    optimises.  Score raw text with ``score_text``."""
-    _, tf, lr = ml.text_classifier(text, **stage_args)
-    words = _tokenized(corpus, text).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return ml.grid_search(words, Pipeline(stages=[tf, lr]), grid_of(tf, lr), num_folds=num_folds, fold_col=fold_col, parallelism=parallelism)
-    finally:
-        words.unpersist()
+class TextGrid(NamedTuple):
+    """A finished text grid search."""
 
+    #: (num_features, value of each other parameter ..., mean held-out AUC) per setting
+    rows: list[tuple]
+    #: Tokenizer -> HashingTF -> LogisticRegression with the best setting, fitted on all data
+    best: PipelineModel
 
-def score_text(cv_model: CrossValidatorModel, df: DataFrame, text: str = "text") -> DataFrame:
-    """Apply the best model of a text grid search to raw text."""
-    return cv_model.transform(_tokenized(df, text))
 
-
-def spam_grid_search(
+def text_grid(
     corpus: DataFrame,
+    num_features: Sequence[int],
+    lr_grid: dict[str, Sequence[float]],
+    num_folds: int,
     text: str = "text",
-    num_features=(10_000, 20_000),
-    max_iters=(100, 200),
-    num_folds: int = 3,
     fold_col: str | None = None,
-    parallelism: int | None = None,
-) -> CrossValidatorModel:
-    grid_of = lambda tf, lr: ml.build_grid([(tf.numFeatures, num_features), (lr.maxIter, max_iters)])
-    return _grid(corpus, text, grid_of, num_folds, fold_col, parallelism)
-
-
-def sample_grid_search(
-    corpus: DataFrame,
-    text: str = "text",
-    num_features=(10, 100, 1000),
-    reg_params=(0.1, 0.01),
-    max_iter: int = 10,
-    num_folds: int = 2,
-    fold_col: str | None = None,
-    parallelism: int | None = None,
-) -> CrossValidatorModel:
-    grid_of = lambda tf, lr: ml.build_grid([(tf.numFeatures, num_features), (lr.regParam, reg_params)])
-    return _grid(corpus, text, grid_of, num_folds, fold_col, parallelism, max_iter=max_iter)
+    parallelism: int = ml.PARALLEL_FITS,
+    max_iter: int = 100,
+) -> TextGrid:
+    """Cross-validate hashed text -> logistic regression over ``num_features``
+    x ``lr_grid``.
+
+    The text is tokenised and hashed once per number of features; label,
+    sparse vector and fold are persisted for the folds x settings fits and
+    released before the next.  Folds are fixed by the data (``fold_col``, or a
+    hash of the text), so a result does not depend on partitions or cluster.
+    Of equal settings the first is the best."""
+    folded = corpus.where(F.col(text).isNotNull())
+    fold = fold_col or "fold"
+    if fold_col is None:
+        folded = with_folds(folded, num_folds, text, fold)
+    rows, best = [], None
+    for n in num_features:
+        pipe, tf, lr = ml.text_classifier(text, n, max_iter)
+        words = pipe.getStages()[0]
+        hashed = tf.transform(words.transform(folded)).select("label", "features", fold).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            grid = ml.build_grid([(lr.getParam(name), values) for name, values in lr_grid.items()])
+            cv = ml.grid_search(hashed, lr, grid, num_folds=num_folds, fold_col=fold, parallelism=parallelism)
+        finally:
+            hashed.unpersist()
+        rows += [(n, *r) for r in ml.grid_metrics(cv, list(lr_grid))]
+        top = max(cv.avgMetrics)
+        if best is None or top > best[0]:
+            best = (top, PipelineModel(stages=[words, tf, cv.bestModel]))
+    return TextGrid(rows, best[1])
+
+
+def spam_grid_search(corpus: DataFrame, text: str = "text", num_features=SPAM_FEATURES, max_iters=SPAM_ITERATIONS, num_folds: int = 3, fold_col: str | None = None, parallelism: int = ml.PARALLEL_FITS) -> TextGrid:
+    return text_grid(corpus, num_features, {"maxIter": max_iters}, num_folds, text, fold_col, parallelism)
+
+
+def sample_grid_search(corpus: DataFrame, text: str = "text", num_features=SAMPLE_FEATURES, reg_params=SAMPLE_REG_PARAMS, max_iter: int = 10, num_folds: int = 2, fold_col: str | None = None, parallelism: int = ml.PARALLEL_FITS) -> TextGrid:
+    return text_grid(corpus, num_features, {"regParam": reg_params}, num_folds, text, fold_col, parallelism, max_iter)
 
 
 # ---------------------------------------------------------------------------
@@ -112,32 +125,22 @@ def legacy_sgd(corpus: DataFrame, text: str = "text", num_features: int = 10_000
         corpus.where(F.col(text).isNotNull()).withColumn("tokens", split_space(text))
     )
     old = MLUtils.convertVectorColumnsFromML(hashed.select("label", "features"), "features")
-    points = old.rdd.map(lambda r: LabeledPoint(r[0], r[1])).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return LogisticRegressionWithSGD.train(points, iterations=iterations, step=step, regParam=reg_param, regType="l2", intercept=False)
-    finally:
-        points.unpersist()
-
-
-def legacy_predict(spark, model, docs: DataFrame, id_cols: list[str], text: str = "text", num_features: int = 10_000) -> DataFrame:
-    """Score with the legacy model's weights as a DataFrame job: sparse
-    (doc, bucket, tf) entries joined to a (bucket, weight) table whose size
-    is bounded by ``num_features`` (hence broadcast) and summed per document
-    into a margin.  ``explode_outer`` keeps documents without any token
-    (margin = intercept), so no join back to the documents is needed; the
-    sum is partially aggregated before its one shuffle."""
-    weights = model.weights.toArray()
-    nz = [(int(i), float(w)) for i, w in enumerate(weights) if w != 0.0]
-    wdf = spark.createDataFrame(nz, "bucket INT, w DOUBLE")
+    # the trainer caches the converted points on the JVM side itself
+    points = old.rdd.map(lambda r: LabeledPoint(r[0], r[1]))
+    return LogisticRegressionWithSGD.train(points, iterations=iterations, step=step, regParam=reg_param, regType="l2", intercept=False)
+
+
+def legacy_predict(model, docs: DataFrame, keep: list[str], text: str = "text", num_features: int = 10_000) -> DataFrame:
+    """(*keep, prediction): the legacy model's decision for every document with
+    text.  A document's margin is a fold over its own sparse entries and the
+    weights, one constant array of ``num_features`` doubles: no join and no
+    shuffle."""
+    weights = F.lit([float(w) for w in model.weights.toArray()])
     hashed = HashingTF(inputCol="tokens", outputCol="tf", numFeatures=num_features).transform(
         docs.where(F.col(text).isNotNull()).withColumn("tokens", split_space(text))
     )
     parts = sparse_parts("tf")
-    entries = hashed.select(*id_cols, F.explode_outer(F.arrays_zip(parts["indices"].alias("i"), parts["values"].alias("x"))).alias("e")).select(
-        *id_cols, F.col("e.i").alias("bucket"), F.col("e.x").alias("tf")
-    )
-    margin = F.sum(F.coalesce(F.col("tf") * F.col("w"), F.lit(0.0))) + F.lit(float(model.intercept))
-    scored = entries.join(F.broadcast(wdf), "bucket", "left").groupBy(*id_cols).agg(margin.alias("margin"))
+    terms = F.zip_with(parts["indices"], parts["values"], lambda i, x: F.get(weights, i) * x)
+    margin = F.aggregate(terms, F.lit(0.0), lambda total, term: total + term) + F.lit(float(model.intercept))
     threshold = model.threshold if model.threshold is not None else 0.5
-    prob = 1.0 / (1.0 + F.exp(-F.col("margin")))
-    return scored.select(*id_cols, F.when(prob > threshold, 1.0).otherwise(0.0).alias("prediction"))
+    return hashed.select(*keep, F.when(1.0 / (1.0 + F.exp(-margin)) > threshold, 1.0).otherwise(0.0).alias("prediction"))

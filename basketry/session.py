@@ -10,11 +10,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
 
-from pyspark import StorageLevel
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-# Settings every job here relies on: UTC hours (no DST shifts), AQE on.
+# Settings every job here assumes: UTC hours (no DST shifts), AQE on.
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -43,54 +43,52 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def apply_required_conf(spark: SparkSession) -> None:
-    """Pin the session settings the jobs' semantics depend on (UTC hours)."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-
-
-def _checkpoint_base(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    """Pin the session setting the jobs' results depend on (UTC hours).  The
+    other settings of ``REQUIRED_CONF`` are Spark's defaults and only matter
+    for speed; ``jobs.py`` sets them all when it creates the session."""
+    spark.conf.set("spark.sql.session.timeZone", REQUIRED_CONF["spark.sql.session.timeZone"])
+
+
+def shared_base(spark: SparkSession) -> str:
+    """The folder for intermediate tables: the one ``spark.checkpoint.dir``
+    names, else the context's checkpoint folder.  Where neither is set, Spark
+    itself must run in this one process (tests, the bench) for a folder of our
+    own to be good enough; otherwise the job stops."""
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    in_process = context._jsc.sc().isLocal()
     if base:
+        if not in_process and base.startswith("file:"):
+            warnings.warn(f"spark.checkpoint.dir is {base}: every executor must see the same folder there", stacklevel=2)
         return base
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    # Unset.  A machine-local folder is only acceptable when every task runs
-    # on this machine (local master: tests, the bench).  On a cluster the
-    # folder must be shared, so refuse instead of writing to /tmp.
-    if not spark.sparkContext.master.startswith("local"):
+    if not in_process:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach (e.g. on HDFS or object storage)")
     base = tempfile.mkdtemp(prefix="basketry-ckpt-")
-    spark.sparkContext.setCheckpointDir(base)
-    return spark.sparkContext.getCheckpointDir() or base
+    context.setCheckpointDir(base)
+    return context.getCheckpointDir() or base
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make ``DataFrame.checkpoint()`` usable; returns the shared base folder."""
-    base = _checkpoint_base(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(base)
-    return base
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Have Hadoop's file system remove ``path`` when the application ends."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique (not yet existing) path under the shared checkpoint
-    location, for jobs that write a table and read it back."""
-    base = ensure_checkpoint_dir(spark)
-    sep = "" if base.endswith("/") else "/"
-    return f"{base}{sep}{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df):
-    """Write ``df`` to the shared checkpoint folder and return a frame that
-    reads it back (lineage cut).  Used where a result feeds several passes
-    (a fit and a transform): the passes read the written table instead of
-    recomputing the scan and shuffle, and a lost executor costs a re-read,
-    not a recomputation."""
-    ensure_checkpoint_dir(df.sparkSession)
-    # Persist first so writing the checkpoint reads the computed rows
-    # instead of evaluating the plan a second time.
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return cached.checkpoint(eager=True)
-    finally:
-        cached.unpersist()
+    """A fresh, unique (not yet existing) path under the shared folder, for
+    jobs that write a table and read it back; removed when the application
+    ends, unless it is killed."""
+    base = shared_base(spark)
+    path = f"{base}{'' if base.endswith('/') else '/'}{name}-{uuid.uuid4().hex}"
+    remove_at_exit(spark, path)
+    return path
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once as Parquet to the shared folder and return a frame
+    that reads it back.  Used where a result feeds several passes (a fit and a
+    transform): the passes read only the columns they need of the written
+    table, and a lost executor costs a re-read, not a recomputation."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

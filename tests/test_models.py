@@ -13,8 +13,7 @@ SF01 = "/root/testdata/sf0.01"
 
 def test_calibration_sum_equals_positives(spark):
     beh = load_behaviour(spark, SF01)
-    model = purchase.fit_purchase_model(beh)
-    train = features.weighted_training_set(beh)
+    model, _, train, _ = purchase.fit_and_score(beh)
     r = model.transform(train).agg(
         F.sum(ml.probability_of_one() * F.col("weight")).alias("p"), F.sum(F.col("label") * F.col("weight")).alias("y")
     ).first()
@@ -24,17 +23,27 @@ def test_calibration_sum_equals_positives(spark):
 
 def test_default_threshold_predicts_nobody_base_rate_predicts_some(spark):
     beh = load_behaviour(spark, SF01)
-    assert purchase.predicted_buyers(beh, threshold=0.5).count() == 0
-    assert purchase.predicted_buyers(beh).count() > 0
+    assert purchase.predicted_buyers(beh).count() == 0
+    assert purchase.predicted_buyers(beh, threshold=None).count() == 2262
 
 
 def test_score_checks_all_true(spark):
     beh = load_behaviour(spark, "/root/testdata/sf0.001")
     t = 0.01
-    model = purchase.fit_purchase_model(beh, threshold=t)
-    checks = ml.score_checks(model.transform(features.scoring_set(beh)), t, ["user_id", "item_id"])
-    bad = checks.where(~(F.col("p_in_range") & F.col("p_sums_to_one") & F.col("prediction_matches"))).count()
-    assert bad == 0 and checks.count() == 626
+    model, _, _, scored = purchase.fit_and_score(beh, t)
+    good = F.col("p_is_logistic") & F.col("p_sums_to_one") & F.col("prediction_matches")
+    checks = ml.score_checks(scored, model.stages[-1], t, ["user_id", "item_id"])
+    assert checks.count() == 626 and checks.where(~good).count() == 0
+    # the checks depend on the fit: they fail for other coefficients
+    other, *_ = purchase.fit_and_score(load_behaviour(spark, SF01), t)
+    assert ml.score_checks(scored, other.stages[-1], t, ["user_id", "item_id"]).where(~good).count() > 0
+
+
+def test_gradient_vanishes_only_at_the_optimum(spark):
+    model, _, train, _ = purchase.fit_and_score(load_behaviour(spark, SF01))
+    worst = lambda m: max(m.transform(train).agg(*ml.gradient_share(m.transform(train))).first())
+    assert worst(model) < 0.01
+    assert worst(purchase.purchase_pipeline(reg_param=1.0).fit(train)) > 0.05
 
 
 def test_auc_equals_rank_sum(spark):
@@ -54,12 +63,12 @@ def test_auc_ties_count_half(spark):
     assert abs(ml.auc(df, "score", "label") - 0.875) < 1e-12
 
 
-def test_text_model_pipeline_and_reference_messages(spark):
+def test_text_model_pipeline_and_new_messages(spark):
     corpus = load_corpus(spark, SF01)
     model = spam.train_text_model(corpus)
     assert [type(s).__name__ for s in model.stages] == ["Tokenizer", "HashingTF", "LogisticRegressionModel"]
     test = spark.createDataFrame(
-        [("omg get cheap stuff by sending money to ...",), ("Hi Dad, I started studying Spark the other ...",)], "text string"
+        [("win a prize now, just answer this letter",), ("the meeting starts at ten in the large room",)], "text string"
     )
     out = model.transform(test).select("probability", "prediction").collect()
     assert len(out) == 2 and all(r.prediction in (0.0, 1.0) for r in out)
@@ -67,10 +76,20 @@ def test_text_model_pipeline_and_reference_messages(spark):
 
 def test_grid_with_fold_column_is_repeatable(spark):
     corpus = spam.with_folds(load_corpus(spark, "/root/testdata/sf0.001"), 2)
-    a = ml.grid_metrics(spam.sample_grid_search(corpus, fold_col="fold", parallelism=2), ["numFeatures", "regParam"])
-    b = ml.grid_metrics(spam.sample_grid_search(corpus, fold_col="fold", parallelism=2), ["numFeatures", "regParam"])
+    a = spam.sample_grid_search(corpus.repartition(1), fold_col="fold", parallelism=2).rows
+    b = spam.sample_grid_search(corpus.repartition(6), fold_col="fold").rows
     assert [r[:2] for r in a] == [(10, 0.1), (10, 0.01), (100, 0.1), (100, 0.01), (1000, 0.1), (1000, 0.01)]
-    assert all(abs(x[2] - y[2]) < 1e-12 for x, y in zip(a, b))
+    assert all(abs(x[2] - y[2]) < 1e-6 for x, y in zip(a, b))
+
+
+def test_spam_grid_folds_come_from_the_text(spark):
+    """Without a fold column the folds are a hash of the text: partitions do not matter."""
+    corpus = load_corpus(spark, "/root/testdata/sf0.001")
+    run = lambda n: spam.spam_grid_search(corpus.repartition(n), num_features=(100, 200), max_iters=(5, 10))
+    a, b = run(1), run(6)
+    assert [r[:2] for r in a.rows] == [(100, 5), (100, 10), (200, 5), (200, 10)]
+    assert all(abs(x[2] - y[2]) < 1e-6 for x, y in zip(a.rows, b.rows))
+    assert a.best.stages[1].getNumFeatures() == max(a.rows, key=lambda r: r[2])[0]
 
 
 def test_fold_metric_by_hand(spark):
@@ -95,7 +114,7 @@ def test_legacy_sgd_scores_every_document(spark):
     corpus = load_corpus(spark, "/root/testdata/sf0.001")
     model = spam.legacy_sgd(corpus)
     assert len(model.weights) == 10_000 and model.intercept == 0.0
-    pred = spam.legacy_predict(spark, model, corpus, ["doc_id", "label"])
+    pred = spam.legacy_predict(model, corpus, ["doc_id", "label"])
     assert pred.count() == corpus.count()
     assert set(r.prediction for r in pred.collect()) <= {0.0, 1.0}
 
@@ -108,7 +127,7 @@ def test_legacy_predict_matches_mllib_predict(spark):
 
     corpus = load_corpus(spark, "/root/testdata/sf0.001")
     model = spam.legacy_sgd(corpus)
-    ours = {r.doc_id: r.prediction for r in spam.legacy_predict(spark, model, corpus, ["doc_id"]).collect()}
+    ours = {r.doc_id: r.prediction for r in spam.legacy_predict(model, corpus, ["doc_id"]).collect()}
     hashed = HashingTF(inputCol="t", outputCol="f", numFeatures=10_000).transform(corpus.withColumn("t", split_space("text")))
     old = MLUtils.convertVectorColumnsFromML(hashed.select("doc_id", "f"), "f").collect()
     theirs = {r.doc_id: float(model.predict(r.f)) for r in old}
@@ -137,7 +156,7 @@ SAMPLE_TEST = [(4, "spark i j k"), (5, "l m n"), (6, "mapreduce spark"), (7, "ap
 def test_sample_grid_on_inline_texts(spark):
     training = spark.createDataFrame(SAMPLE_TRAINING, "id long, text string, label double")
     test = spark.createDataFrame(SAMPLE_TEST, "id long, text string")
-    cv = spam.sample_grid_search(training, parallelism=2)
-    assert len(cv.avgMetrics) == 6
-    pred = {r.id: r.prediction for r in spam.score_text(cv, test).collect()}
+    grid = spam.sample_grid_search(training, parallelism=2)
+    assert len(grid.rows) == 6
+    pred = {r.id: r.prediction for r in grid.best.transform(test).collect()}
     assert pred == {4: 1.0, 5: 0.0, 6: 1.0, 7: 0.0}
