@@ -19,7 +19,7 @@ def inputs(spark, tmp_path_factory):
     pos, neg, score = str(d / "spam"), str(d / "normal"), str(d / "score")
     tsrc.write_text_lines(corpus.where(F.col("label") == 1.0), "text", pos)
     tsrc.write_text_lines(corpus.where(F.col("label") == 0.0), "text", neg)
-    msgs = spark.createDataFrame([("omg get cheap stuff by sending money to ...",), ("Hi Dad, I started studying Spark the other ...",)], "text string")
+    msgs = spark.createDataFrame([("win a prize now, just answer this letter",), ("the meeting starts at ten in the large room",)], "text string")
     tsrc.write_text_lines(msgs, "text", score)
     return {"dir": d, "log": log, "pos": pos, "neg": neg, "score": score}
 
@@ -50,9 +50,38 @@ def test_candidate_and_training_jobs(spark, inputs):
 
 
 def test_predict_job_from_events(spark, inputs):
-    out = str(inputs["dir"] / "pred")
-    _run(spark, ["predict", "--log", f"{SF}/events.parquet", "--log-format", "events", "--out", out])
-    assert spark.read.csv(out).count() == 2262
+    log = ["--log", f"{SF}/events.parquet", "--log-format", "events"]
+    for more, n in (([], 0), (["--threshold", "base-rate"], 2262)):
+        out = str(inputs["dir"] / f"pred{n}")
+        _run(spark, ["predict", *log, "--out", out, *more])
+        assert spark.read.schema("user_id LONG, item_id LONG").csv(out).count() == n
+
+
+def test_scoring_and_json_jobs(spark, inputs):
+    d = inputs["dir"]
+    _run(spark, ["scoring", "--log", inputs["log"], "--out", str(d / "scoring")])
+    assert spark.read.parquet(str(d / "scoring")).count() == 6200
+    _run(spark, ["curve", "--log", inputs["log"], "--out", str(d / "c2"), "--json", str(d / "j2")])
+    _run(spark, ["json", "--curve", str(d / "c2"), "--out", str(d / "j3")])
+    read = lambda p: "".join(r.value for r in spark.read.text(str(d / p)).collect())
+    assert read("j3") == read("j2")
+
+
+def test_rejects_are_counted_and_trailing_time_is_accepted(spark, inputs, capfd):
+    d = inputs["dir"]
+    rows = [("1", "2", "3", None, None, "2024-01-30 05"), ("1", "3", "3", None, None, "2024-01-30 05:15"), ("x", "3", "3", None, None, "2024-01-30 05")]
+    spark.createDataFrame(rows, "user_id string, item_id string, behavior_type string, user_geohash string, item_category string, time string").write.option("header", True).csv(str(d / "bad"))
+    for more, rejected, n in (([], 2, 1), (["--trailing-time"], 1, 2)):
+        _run(spark, ["last-day", "--log", str(d / "bad"), "--out", str(d / f"bad{n}"), *more])
+        assert f"rejected rows: {rejected}" in capfd.readouterr().err
+        assert spark.read.csv(str(d / f"bad{n}")).count() == n
+
+
+def test_ingest_bounds_files_per_day(spark, inputs):
+    table = str(inputs["dir"] / "table2")
+    _run(spark, ["ingest", "--log", inputs["log"], "--out", table, "--files-per-day", "2"])
+    files = spark.read.parquet(table).select("day", F.input_file_name().alias("f")).distinct().groupBy("day").count()
+    assert files.agg(F.max("count")).first()[0] <= 2
 
 
 def test_text_jobs(spark, inputs):
@@ -60,9 +89,10 @@ def test_text_jobs(spark, inputs):
     common = ["--positive", inputs["pos"], "--negative", inputs["neg"]]
     _run(spark, ["tfidf", *common, "--out", str(d / "tfidf")])
     assert spark.read.parquet(str(d / "tfidf")).where(F.col("bucket") >= 20).count() == 0
-    for job in ("spam", "legacy"):
-        _run(spark, [job, *common, "--score", inputs["score"], "--out", str(d / f"out-{job}")])
-        assert spark.read.csv(str(d / f"out-{job}")).count() == 2
+    for job in (["spam"], ["spam", "--grid"], ["sample-grid"], ["legacy"]):
+        out = str(d / ("out-" + "".join(job)))
+        _run(spark, [*job, *common, "--score", inputs["score"], "--out", out])
+        assert spark.read.csv(out).count() == 2
 
 
 def test_ingest_then_jobs_on_table(spark, inputs):

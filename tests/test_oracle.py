@@ -4,11 +4,10 @@
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from basketry.plans import registry
 from tools.check_oracle import TABLES, compare
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"lr_calibration", "lr_score_rows"}
 
 
 @pytest.fixture(scope="module")
@@ -20,8 +19,8 @@ def con():
     c.close()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(registry.ORACLES))
 def test_matches_oracle(spark, con, name):
-    got = entry.queries()[name](spark, SF).toPandas()
-    want = con.sql(entry.oracle_sql()[name]).df()
+    got = registry.QUERIES[name](spark, SF).toPandas()
+    want = con.sql(registry.ORACLES[name]).df()
     assert compare(got, want) == "OK"

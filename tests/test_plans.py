@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from basketry.plans import registry
 from tools.plan_report import summarize
 
 SF = "/root/testdata/sf0.001"
@@ -11,13 +12,10 @@ SHUFFLES = {
     "conversion_curve": 3,  # pair aggregate, hour aggregate, sort
     "last_day_cart_pairs": 1,
     "last_hour_cart_pairs": 1,
-    "training_set": 1,
     "scoring_set": 1,
-    "join_label_fanout": 1,
 }
 
-# Per-document text transforms: no shuffle beyond the round-robin spread of
-# an under-split scan (the test file has fewer splits than cores).
+# Per-document text transforms: no shuffle, however few splits the scan has.
 TEXT = ["hashing_tf", "text_tokenize", "text_split_space"]
 
 
@@ -37,11 +35,23 @@ def test_shuffle_count(static_plans, name, n):
 
 
 @pytest.mark.parametrize("name", TEXT)
-def test_text_transforms_only_spread(static_plans, name):
-    assert all("RoundRobinPartitioning" in x for x in static_plans(name)["shuffles"])
+def test_text_transforms_do_not_shuffle(static_plans, name):
+    assert static_plans(name)["shuffles"] == []
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - {"predict_buyers", "lr_calibration", "lr_score_rows", "spam_grid_search", "cv_grid_metrics", "text_grid_sample", "spam_sgd_legacy", "spam_train_score"}))
+def test_training_set_shuffles_pairs_once_and_hot_chunks(static_plans):
+    """The aggregate's exchange (reused by the second branch) and the chunks'."""
+    assert len([x for x in static_plans("training_set")["shuffles"] if "__chunk" in x]) == 1
+
+
+@pytest.mark.parametrize("name, codes", [("last_day_cart_pairs", ["signup"]), ("last_hour_cart_pairs", ["signup"]), ("conversion_curve", ["signup", "purchase"])])
+def test_behaviour_code_reaches_the_scan(spark, static_plans, name, codes):
+    plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters") :].split("ReadSchema")[0]
+    assert all(f"EqualTo(event_type,{c})" in pushed for c in codes) or f"In(event_type, [{','.join(sorted(codes))}])" in pushed
+
+
+@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - {"predict_buyers", "lr_calibration", "lr_score_rows", "spam_grid_search", "cv_grid_metrics", "text_grid_sample", "spam_sgd_legacy", "spam_train_score"}))
 def test_no_python_evaluation(static_plans, name):
     assert static_plans(name)["python"] == 0
 

@@ -4,8 +4,7 @@ the entry point returns the training set."""
 import pytest
 
 import __spark_entry__ as entry
-
-SLOW = {"spam_grid_search", "cv_grid_metrics", "text_grid_sample", "spam_sgd_legacy", "lr_calibration", "lr_score_rows"}
+from basketry.plans import registry
 
 
 def test_entry(spark):
@@ -18,7 +17,7 @@ def test_oracles_are_subset_of_queries():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_runs_sf0001(spark, name):
     df = entry.queries()[name](spark, "/root/testdata/sf0.001")
     df.count()
