@@ -9,8 +9,6 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.session import shared_dir
-
 #: A word: a run of characters other than space and \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -27,19 +25,6 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet under ``spark.checkpoint.dir`` and read it
-    back: several passes then share one computation, and a lost executor costs
-    a re-read.  The folder is removed when the application ends."""
-    spark = df.sparkSession
-    path = shared_dir(spark, name)
-    df.write.parquet(path)
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(conf).deleteOnExit(hadoop_path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that each holds about ``limit`` bytes of
     ``text`` (at least one row), whatever the length of single texts."""

@@ -34,7 +34,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import slices, text_bytes, written
+from basketry.llm.common import slices, text_bytes
+from basketry.session import materialize
 
 BITS = 64
 SHINGLE_WORDS = 3
@@ -310,7 +311,7 @@ def components(links_: DataFrame) -> DataFrame:
     the smallest node of the component.  Alternating large-star and small-star
     rounds (about log n of them); each round is written, so lineage stays
     short and an executor's loss costs one round at most."""
-    edges = written(links_.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
+    edges = materialize(links_.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
     before = None
     while (now := _state(edges)) != before:
         before = now
@@ -319,7 +320,7 @@ def components(links_: DataFrame) -> DataFrame:
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         down = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = written(down.union(low.select("u", F.col("m").alias("v"))).where("u > v").distinct(), "links")
+        edges = materialize(down.union(low.select("u", F.col("m").alias("v"))).where("u > v").distinct(), "links")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
@@ -334,9 +335,9 @@ def near_duplicates(
 
     Null text counts as empty, empty texts share fingerprint zero, an empty
     table gives no rows.  Other columns of ``docs`` are not read."""
-    fps = written(fingerprints(docs, key, text, shingle, seed), "fingerprints")
+    fps = materialize(fingerprints(docs, key, text, shingle, seed), "fingerprints")
     first = F.struct(F.col(key).isNull().alias("no_key"), F.col(key).alias("key"), F.col("text_hash").alias("h"))
-    groups = written(fps.groupBy("fp").agg(F.min(first).alias("first")), "groups")
+    groups = materialize(fps.groupBy("fp").agg(F.min(first).alias("first")), "groups")
     found = components(linked(groups, distance, limit=limit))
     chained = found.join(groups.withColumnRenamed("fp", "node"), "node")
     lowest = chained.groupBy("root").agg(F.min("first").alias("first"))
