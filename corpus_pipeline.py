@@ -21,8 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm import mixing, packing, quality, secrets, simhash
-from basketry.llm.common import load, written
+from basketry.llm.common import load
 from basketry.llm.registry import BYTE_VOCABULARY, PIECE_VOCABULARY, WORD_VOCABULARY
+from basketry.session import materialize
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,5 +57,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
