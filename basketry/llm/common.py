@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,23 +26,40 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def release() -> None:
+    """Give memory that is free again back to the system.  The C library
+    keeps it for the process otherwise, and the workers of an executor live
+    as long as the executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that each holds about ``limit`` bytes of
-    ``text`` (at least one row), whatever the length of single texts."""
+    ``text`` (at least one row), whatever the length of single texts.  Memory
+    is given back after each batch."""
     for batch in batches:
-        column = batch.column(batch.schema.get_field_index(text))
-        if batch.num_rows <= 1 or column.nbytes <= limit:
-            if batch.num_rows:
-                yield batch
-            continue
-        sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
-        start = taken = 0
-        for i, n in enumerate(sizes):
-            if i > start and taken + n > limit:
-                yield batch.slice(start, i - start)
-                start, taken = i, 0
-            taken += n
-        yield batch.slice(start)
+        yield from _cut(batch, text, limit)
+        del batch
+        release()
+
+
+def _cut(batch: pa.RecordBatch, text: str, limit: int) -> Iterator[pa.RecordBatch]:
+    column = batch.column(batch.schema.get_field_index(text))
+    if batch.num_rows <= 1 or column.nbytes <= limit:
+        if batch.num_rows:
+            yield batch
+        return
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    start = taken = 0
+    for i, n in enumerate(sizes):
+        if i > start and taken + n > limit:
+            yield batch.slice(start, i - start)
+            start, taken = i, 0
+        taken += n
+    yield batch.slice(start)
 
 
 def text_bytes(column: pa.Array) -> list[bytes]:

@@ -79,6 +79,12 @@ class _Coder:
             low[few], span[few] = a << _WORD, b << _WORD
         self.low[sel], self.range[sel] = low, span
 
+    def make_room(self, words: int) -> None:
+        """Encoding: every lane can give out so many words more."""
+        if int(self.at.max()) + words > self.words.shape[1]:
+            more = np.zeros((self.words.shape[0], self.words.shape[1] // 2 + words), np.uint32)
+            self.words = np.concatenate((self.words, more), axis=1)
+
     def finish(self) -> None:
         lanes = np.arange(self.at.size)
         for shift in (32, 0):
@@ -219,14 +225,15 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK_IDS, digits: int = 4) -> l
         raise ValueError(f"an id needs more than {digits} digits")
     lanes = -(-ids.size // block)
     last = ids.size - (lanes - 1) * block
-    padded = np.zeros(lanes * block, np.int64)
-    padded[: ids.size] = ids
-    steps = np.ascontiguousarray(padded.reshape(lanes, block).T)
     longest = min(block, ids.size)
-    coder, model = _Coder(lanes, None, longest * (digits + 1) // 2 + 4), _Model(lanes, digits)
+    steps = np.zeros((longest, lanes), np.uint32)
+    steps[:, : lanes - 1] = ids[: (lanes - 1) * block].reshape(lanes - 1, block)[:, :longest].T
+    steps[:last, lanes - 1] = ids[(lanes - 1) * block :]
+    coder, model = _Coder(lanes, None, longest // 4 + 64), _Model(lanes, digits)
     for t in range(longest):
         n = lanes if t < last else lanes - 1
-        model.step(coder, n, steps[t, :n])
+        coder.make_room(digits + 3)
+        model.step(coder, n, steps[t, :n].astype(np.int64))
     coder.finish()
     plain = ids.astype("<u4")
     out = []

@@ -155,11 +155,11 @@ def _entropy(ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 def measure(texts: pa.Array, langs: list[str | None], byte_path: str, piece_path: str, bands: Mapping[str, Band]) -> dict[str, list]:
     """The columns of ``MEASURES`` for a batch of texts; null counts as empty."""
+    coder, pieces = encoder(byte_path, "lead"), piece_words(piece_path)
     data, bounds = raw(texts)
     blank = _SPACE[data]
     n_chars = _per_text(~blank & ((data & 0xC0) != 0x80), bounds)
     n_symbols = _per_text(_SYMBOL[data], bounds)
-    pieces = piece_words(piece_path)
     number, starts = pieces.numbers(data, bounds)
     word_bounds = np.searchsorted(starts, bounds)
     n_words = np.diff(word_bounds)
@@ -170,7 +170,7 @@ def measure(texts: pa.Array, langs: list[str | None], byte_path: str, piece_path
     fallback[table.size[: table.count] == 0] = 0
     n_pieces = np.diff(np.concatenate(([0], np.cumsum(table.size[number].astype(np.int64))))[word_bounds])
     n_bytes = np.diff(np.concatenate(([0], np.cumsum(fallback[number])))[word_bounds])
-    ids, id_bounds = encoder(byte_path, "lead").encode(texts)
+    ids, id_bounds = coder.encode(texts)
     n_ids = np.diff(id_bounds)
     entropy = _entropy(ids, id_bounds)
     with np.errstate(divide="ignore", invalid="ignore"):

@@ -24,8 +24,8 @@ from basketry.llm.idcoder import BLOCK_IDS, decode_blocks, encode_blocks
 from basketry.llm.tokens import encoder
 
 END_ID = 2
-#: A segment is closed from so many ids on: 1536 blocks, side by side.
-SEGMENT_IDS = 1536 * BLOCK_IDS
+#: A segment is closed from so many ids on: 2048 blocks, side by side.
+SEGMENT_IDS = 2048 * BLOCK_IDS
 
 
 def write_ids(docs: DataFrame, path: str, vocabulary: str, key: str = "doc_id", text: str = "text", end_id: int = END_ID, spaces: str = "lead", segment_ids: int = SEGMENT_IDS, block: int = BLOCK_IDS) -> None:

@@ -318,5 +318,7 @@ def piece_words(path: str) -> PieceWords:
 
 @lru_cache(maxsize=1)
 def encoder(path: str, spaces: str) -> TextEncoder:
-    """The worker process's encoder; one at a time, for its memory."""
+    """The worker process's encoder; one at a time, for its memory.  A new one
+    also ends the use of a sentencepiece model."""
+    piece_words.cache_clear()
     return TextEncoder(path, spaces)
