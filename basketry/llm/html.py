@@ -52,6 +52,7 @@ SCOPE = frozenset("table td th caption button object template html".split())
 BLOCKS = ENDS_P | frozenset("html body tr tbody thead tfoot caption option optgroup legend".split())
 #: Blocks with a blank line before and after.
 SPACED = frozenset("p blockquote pre dl ol ul menu dir figure table h1 h2 h3 h4 h5 h6 hr address fieldset".split())
+_P = frozenset(["p"])
 _IN_TABLE = frozenset("table tbody thead tfoot tr".split())
 _TABLE_PARTS = frozenset("tbody thead tfoot tr td th caption colgroup col script style template".split())
 
@@ -94,8 +95,12 @@ class TreeBuilder:
     def __init__(self):
         self.root = self.at = Node("#root")
         self.styles: list[str] = []
+        #: How many of each tag are open; most searches end here.
+        self.opened: dict[str, int] = {}
 
     def _open(self, tags: frozenset[str], until: frozenset[str]) -> Node | None:
+        if not any(self.opened.get(t) for t in tags):
+            return None
         node = self.at
         while node is not None and node.tag not in until:
             if node.tag in tags:
@@ -103,6 +108,15 @@ class TreeBuilder:
             node = node.parent
         return None
 
+    def _close(self, node: Node) -> None:
+        """End ``node`` and all that is open inside it."""
+        while True:
+            last = self.at
+            self.opened[last.tag] -= 1
+            self.at = last.parent
+            if last is node:
+                return
+
     def _place(self, child: Node | str, tag: str) -> None:
         """Append; what a table cannot hold goes in front of the table."""
         if self.at.tag in _IN_TABLE and tag not in _TABLE_PARTS:
@@ -110,9 +124,7 @@ class TreeBuilder:
             while table.tag != "table" and table.parent is not None:
                 table = table.parent
             if table.parent is not None:
-                table.parent.children.insert(-1, child)
-                if isinstance(child, Node):
-                    child.parent = table.parent
+                table.parent.children.insert(-1, child)  # its parent stays open, so the table goes on behind it
                 return
         self.at.children.append(child)
 
@@ -125,35 +137,36 @@ class TreeBuilder:
             if tag != "body" or self.at.tag != "head":
                 return  # a second one
         if self.at.tag == "head" and tag not in HIDDEN and tag not in VOID:
-            self.at = self.at.parent or self.root
-        if tag in ENDS_P and (p := self._open(frozenset(["p"]), SCOPE)) is not None:
-            self.at = p.parent
+            self._close(self.at)
+        if tag in ENDS_P and (p := self._open(_P, SCOPE)) is not None:
+            self._close(p)
         if tag in HEADINGS and self.at.tag in HEADINGS:
-            self.at = self.at.parent
+            self._close(self.at)
         if tag in IMPLIED_END:
             ends, until = IMPLIED_END[tag]
             while (node := self._open(ends, until)) is not None:
-                self.at = node.parent
+                self._close(node)
         if tag in _CELLS and self.at.tag in _IN_TABLE - {"tr"}:
             self.start("tr", "")
         node = Node(tag, attrs, self.at)
         self._place(node, tag)
         if tag not in VOID:
             self.at = node
+            self.opened[tag] = self.opened.get(tag, 0) + 1
 
     def end(self, tag: str) -> None:
         if tag == "br":
             self.start("br", "")
-        elif tag == "p" and self._open(frozenset(["p"]), SCOPE) is None:
+        elif tag == "p" and self._open(_P, SCOPE) is None:
             self.start("p", "")
-            self.at = self.at.parent
+            self._close(self.at)
         elif tag in HEADINGS:
             if (node := self._open(HEADINGS, SCOPE)) is not None:
-                self.at = node.parent
+                self._close(node)
         elif tag not in ("html", "body"):  # what follows belongs to the body still
             node = self._open(frozenset([tag]), SCOPE - {tag} if tag not in _IN_TABLE | _CELLS else frozenset(["table"]) - {tag})
             if node is not None:
-                self.at = node.parent
+                self._close(node)
 
     def feed(self, html: str) -> Node:
         at = 0

@@ -23,6 +23,7 @@ SF = "/root/testdata/sf0.001"
         ("<table><tr><td colspan=2>wide<td>z<tr><td>a<td>b<td>c</table>", "wide  z\na  b  c"),
         ("<table><tr><td>a<br>b<td>c</table>", "a  c\nb"),
         ("<table>out<tr><td>in</table>", "out\n\nin"),  # moved in front of the table
+        ("<table><b>x</b><tr><td>in<td>side</table>", "x\n\nin  side"),
         ("<table><tr><td><table><tr><td>i<td>j</table><td>k</table>", "i  j  k"),
         ("<pre>\n a\n  b</pre>", " a\n  b"),
         ("<dl><dt>t<dd>d</dl>", "t\n  d"),
