@@ -50,8 +50,11 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    resolved = warc.resolve_revisits(warc.page_captures(load(spark, sf_dir, "pages")))
-    return resolved.select("record_id", "canonical", "refers_to", "outcome", "headers", F.md5("payload").alias("payload_md5"), F.coalesce(F.length("payload"), F.lit(0)).alias("payload_chars"))
+    captures = warc.page_captures(load(spark, sf_dir, "pages"))
+    # the payload's digest and length stand for it: no body is shuffled
+    digests = captures.withColumn("payload", F.when(F.col("payload").isNotNull(), F.struct(F.md5("payload").alias("md5"), F.length("payload").alias("chars"))))
+    resolved = warc.resolve_revisits(digests)
+    return resolved.select("record_id", "canonical", "refers_to", "outcome", "headers", F.col("payload.md5").alias("payload_md5"), F.coalesce("payload.chars", F.lit(0)).alias("payload_chars"))
 
 
 OP6_SQL = r"""

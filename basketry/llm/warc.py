@@ -8,8 +8,10 @@ may update into the stored ones.
 The as-of join has two levels, since one URL may hold a third of all records:
 rows are grouped by URL and time block; the last response of each earlier
 block is carried over from one row per block; only a block's rows are sorted
-together.  Headers and payloads take no part in it: they are fetched by record
-id for the records that match.
+together.  Of the records it sees the URL key, time and validators, and a
+revisit's own headers; they are written once, since two passes read them.
+Stored headers and payloads take no part in the join: they are fetched by
+record id for the revisits that are resolved.
 """
 
 from __future__ import annotations
@@ -17,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketry.session import materialize
+
 #: Headers that a 304 updates in the stored response.
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "vary")
 BLOCK_SECONDS = 86_400
@@ -63,7 +67,7 @@ def _weak(etag: Column) -> Column:
 
 def resolve_revisits(records: DataFrame, block_seconds: int = BLOCK_SECONDS) -> DataFrame:
     """One row per revisit record of ``records`` (record_id, type, url, date
-    timestamp, headers string, payload): its record_id, canonical, refers_to,
+    timestamp, headers string, payload of any type): its record_id, canonical, refers_to,
     outcome, headers (text) and payload.
 
     outcome: "resolved"; "mismatch" if the latest earlier response has another
@@ -82,7 +86,9 @@ def resolve_revisits(records: DataFrame, block_seconds: int = BLOCK_SECONDS) ->
         F.unix_micros(F.col("date").cast("timestamp")).alias("at"),
         _weak(F.try_element_at(validators, F.lit("etag"))).alias("etag"),
         F.try_element_at(validators, F.lit("last-modified")).alias("modified"),
-    ).withColumn("block", F.floor(F.col("at") / (block_seconds * 1_000_000)))
+        F.when(F.col("type") == "revisit", F.col("headers")).alias("update"),
+    )
+    slim = materialize(slim.withColumn("block", F.floor(F.col("at") / (block_seconds * 1_000_000))), "captures")
     response = F.when(~F.col("revisit") & F.col("at").isNotNull(), F.struct("at", "record_id", "etag", "modified"))
     last = slim.groupBy("canonical", "block").agg(F.max(response).alias("last"))
     before = Window.partitionBy("canonical").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -99,10 +105,9 @@ def resolve_revisits(records: DataFrame, block_seconds: int = BLOCK_SECONDS) ->
         .when(by_date, F.when(F.col("modified") == F.col("base.modified"), "resolved").otherwise("mismatch"))
         .otherwise("no_validator")
     )
-    decided = found.select("record_id", "canonical", F.col("base.record_id").alias("refers_to"), outcome.alias("outcome"))
-    own = records.where("type = 'revisit'").select(F.col("record_id").alias("v"), F.col("headers").alias("update")).dropDuplicates(["v"])
+    decided = found.select("record_id", "canonical", F.col("base.record_id").alias("refers_to"), outcome.alias("outcome"), "update")
     stored = records.where("type = 'response'").select(F.col("record_id").alias("r"), F.col("headers").alias("stored"), "payload")
-    done = decided.join(own, F.col("record_id").eqNullSafe(F.col("v")), "left").join(stored, (F.col("refers_to") == F.col("r")) & (F.col("outcome") == "resolved"), "left")
+    done = decided.join(stored, (F.col("refers_to") == F.col("r")) & (F.col("outcome") == "resolved"), "left")
     merged = header_text(merge_headers(header_map(F.col("stored")), header_map(F.col("update"))))
     return done.select("record_id", "canonical", "refers_to", "outcome", F.when(F.col("r").isNotNull(), merged).alias("headers"), "payload")
 
@@ -113,8 +118,9 @@ def page_captures(pages: DataFrame) -> DataFrame:
     spread over some days so that they come in any order."""
     n = F.col("n")
     version = F.when(n < 2, 0).otherwise(1)
-    payload = F.concat("html", F.when(version == 0, "").otherwise("<!-- 2 -->"))
-    tag = F.substring(F.md5(payload), 1, 16)
+    changed = F.concat("html", F.lit("<!-- 2 -->"))
+    payload = F.when(version == 0, F.col("html")).otherwise(changed)
+    tag = F.substring(F.when(version == 0, F.col("md5_0")).otherwise(F.col("md5_1")), 1, 16)
     stamp = (F.lit(1_700_000_000) + F.pmod(F.col("page_id") * 7919 + n * 104_729, F.lit(400_000))).cast("long")
     revisit = n % 2 == 1
     lines = [
@@ -125,7 +131,8 @@ def page_captures(pages: DataFrame) -> DataFrame:
         F.concat(F.lit("Content-Type: text/"), F.when(revisit, "plain").otherwise("html")),
     ]
     url = F.when(revisit, F.concat(F.col("url"), F.lit("#again"))).otherwise(F.col("url"))
-    return pages.select("page_id", "url", "html", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("n")).select(
+    hashed = pages.select("page_id", "url", "html", F.md5("html").alias("md5_0"), F.md5(changed).alias("md5_1"))
+    return hashed.select("*", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("n")).select(
         F.concat(F.col("page_id").cast("string"), F.lit("-"), n.cast("string")).alias("record_id"),
         F.when(revisit, "revisit").otherwise("response").alias("type"),
         url.alias("url"),
