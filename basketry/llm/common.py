@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: A word: a run of characters other than space and \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Text bytes handled at once inside a task.
-SLICE_BYTES = 2 << 20
+#: Bytes of an Arrow batch between Spark and a worker (one row may be larger),
+#: and text bytes handled at once inside a task.
+BATCH_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -26,6 +30,16 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def map_batches(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` with batches bounded in bytes.  By
+    default a batch is bounded in rows alone, and ten thousand long texts are
+    more than a worker should hold."""
+    spark = df.sparkSession
+    if int(spark.conf.get(_BATCH_CONF, str(2**31 - 1))) > BATCH_BYTES:
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
 def release() -> None:
     """Give memory that is free again back to the system.  The C library
     keeps it for the process otherwise, and the workers of an executor live

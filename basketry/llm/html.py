@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import slices
+from basketry.llm.common import map_batches, slices
 
 # Fixed values of the HTML standard.
 VOID = frozenset("area base basefont bgsound br col embed frame hr img input link meta param source track wbr".split())
@@ -419,4 +419,4 @@ def extract(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataF
             texts = [None if t is None else render(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], ["k", "text"])
 
-    return slim.mapInArrow(run, f"k {pages.schema[key].dataType.simpleString()}, text string").withColumnRenamed("k", key)
+    return map_batches(slim, run, f"k {pages.schema[key].dataType.simpleString()}, text string").withColumnRenamed("k", key)

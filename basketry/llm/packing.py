@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import slices
+from basketry.llm.common import map_batches, slices
 from basketry.llm.tokens import encoder
 
 CAPACITY = 2048
@@ -110,7 +110,7 @@ def pack(
 
     kind = docs.schema[key].dataType.simpleString()
     schema = f"k {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long" + (", ids array<int>" if with_ids else "")
-    return slim.mapInArrow(run, schema).withColumnRenamed("k", key)
+    return map_batches(slim, run, schema).withColumnRenamed("k", key)
 
 
 def sequences(pieces: DataFrame) -> DataFrame:

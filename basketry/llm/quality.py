@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import col, slices, text_bytes
+from basketry.llm.common import col, map_batches, slices, text_bytes
 from basketry.llm.tokens import encoder, piece_words, raw
 
 
@@ -221,7 +221,7 @@ def quality(docs: DataFrame, byte_path: str, piece_path: str, key: str = "doc_id
         return pa.RecordBatch.from_arrays([b.column(0), *(pa.array(m[k], _ARROW[t]) for k, t in MEASURES.items())], [key, *MEASURES])
 
     schema = f"`{key}` {docs.schema[key].dataType.simpleString()}, " + ", ".join(f"{k} {t}" for k, t in MEASURES.items())
-    return slim.mapInArrow(_runner(byte_path, piece_path, bands, 1, 2, emit), schema)
+    return map_batches(slim, _runner(byte_path, piece_path, bands, 1, 2, emit), schema)
 
 
 def keep_quality(docs: DataFrame, byte_path: str, piece_path: str, text: str = "text", lang: str | None = "lang", bands: Mapping[str, Band] = BANDS) -> DataFrame:
@@ -235,4 +235,4 @@ def keep_quality(docs: DataFrame, byte_path: str, piece_path: str, text: str = "
 
     schema = inner.select("row").schema
     assert len(schema["row"].dataType) == n
-    return inner.mapInArrow(_runner(byte_path, piece_path, bands, 1, 2, emit), schema).select("row.*")
+    return map_batches(inner, _runner(byte_path, piece_path, bands, 1, 2, emit), schema).select("row.*")

@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import col, slices
+from basketry.llm.common import col, map_batches, slices
 
 KINDS = ("assign", "access", "hex", "novel")
 
@@ -125,7 +125,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
             found = [[s._asdict() for s in spans(t or "")] for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(_SPAN))], ["k", "spans"])
 
-    return slim.mapInArrow(run, f"k {docs.schema[key].dataType.simpleString()}, spans {SPANS_TYPE}").withColumnRenamed("k", key)
+    return map_batches(slim, run, f"k {docs.schema[key].dataType.simpleString()}, spans {SPANS_TYPE}").withColumnRenamed("k", key)
 
 
 def span_list(spans_: Column) -> Column:
@@ -155,5 +155,5 @@ def redact(docs: DataFrame, text: str = "text", put: str = "[SECRET]") -> DataFr
             masked = [None if t is None else _mask(t, put) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(masked, pa.string())], ["row", "t"])
 
-    done = inner.mapInArrow(run, inner.schema)
+    done = map_batches(inner, run, inner.schema)
     return done.select(*[F.col("t").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in columns])

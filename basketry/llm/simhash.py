@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import slices, text_bytes
+from basketry.llm.common import map_batches, slices, text_bytes
 from basketry.session import materialize
 
 BITS = 64
@@ -87,7 +87,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shing
             fps = np.array([fingerprint(t, shingle, seed) for t in text_bytes(b.column(2))], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps.view(np.int64))], ["k", "h", "fp"])
 
-    return slim.mapInArrow(run, f"k {kind}, h long, fp long").select(F.col("k").alias(key), F.col("h").alias("text_hash"), "fp")
+    return map_batches(slim, run, f"k {kind}, h long, fp long").select(F.col("k").alias(key), F.col("h").alias("text_hash"), "fp")
 
 
 # --- planning: partitions and thresholds -----------------------------------

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import slices
+from basketry.llm.common import map_batches, slices
 from basketry.llm.idcoder import BLOCK_IDS, decode_blocks, encode_blocks
 from basketry.llm.tokens import encoder
 
@@ -91,7 +91,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, key: str = "doc_id",
             yield segment()
 
     schema = f"shard int, segment int, first long, n_ids long, keys array<{kind.simpleString()}>, lengths array<long>, blocks array<binary>"
-    ordered.mapInArrow(run, schema).write.parquet(path)
+    map_batches(ordered, run, schema).write.parquet(path)
 
 
 def _starts(files: DataFrame) -> DataFrame:
