@@ -97,9 +97,9 @@ _SUMS = np.tril(np.ones((16, 16), np.float32))
 
 
 class _Model:
-    """Tables are flat, a row or entry per lane and context, and are read with
-    ``take``: the arrays of a step are short, so it is the number and kind of
-    numpy calls that counts."""
+    """Tables are flat, a row or entry per lane and context, read with ``take``
+    and written with ``put`` in their own type: the arrays of a step are short,
+    so it is the number and kind of numpy calls that counts."""
 
     def __init__(self, lanes: int, digits: int):
         self.digits = digits
@@ -147,8 +147,8 @@ class _Model:
         weight = weight - (weight >> 5)
         weight[best, lane] += 4096 - (weight[0] + weight[1] + weight[2])
         self.weight[:, first] = weight
-        flat = self.counts.reshape(-1)
-        flat[contexts * 4 + which] += _HIT
+        flat, hit = self.counts.reshape(-1), contexts * 4 + which
+        flat.put(hit, flat.take(hit) + np.int32(_HIT))
         full = contexts[sums > 1024 - _HIT]
         if full.size:
             self.counts[full] = (self.counts[full] + 1) >> 1
@@ -178,11 +178,11 @@ class _Model:
         # learn: a prediction that has been right twice survives one miss
         for guess, trust, slot, old, sure in ((self.guess1, self.trust1, slot1, one, trust1), (self.guess2, self.trust2, slot2, two, trust2)):
             right = old == out
-            guess[slot] = np.where(right | (sure > 1), old, out)
-            trust[slot] = np.where(right, np.minimum(sure + 1, 3), np.maximum(sure - 2, 0))
+            guess.put(slot, np.where(right | (sure > 1), old, out).astype(np.int32))
+            trust.put(slot, np.where(right, np.minimum(sure + 1, 3), np.maximum(sure - 2, 0)).astype(np.int8))
         slot0 = lane * _SLOTS0 + (out & (_SLOTS0 - 1))
         often = self.seen.take(slot0) + 1
-        self.seen[slot0] = often
+        self.seen.put(slot0, often)
         more = often >= self.usual_n[first]
         self.usual[first] = np.where(more, out, zero)
         self.usual_n[first] = np.where(more, often, self.usual_n[first])
@@ -211,7 +211,8 @@ class _Model:
             full = np.flatnonzero(total > _TOP)
             if full.size:
                 self.digit[node[full]] = (self.digit[node[full]] + 1) >> 1
-            flat[node * 16 + d] += _STEP
+            hit = node * 16 + d
+            flat.put(hit, flat.take(hit) + np.int16(_STEP))
             done = (done << 4) | d
         return done
 
