@@ -73,20 +73,35 @@ def base_spans(text: str) -> list[Span]:
     return found
 
 
+def _without(text: str, string: str, start: int, end: int) -> str:
+    """text[start:end] without the copies of ``string``, those cut by its
+    edges included; the candidate itself lies outside."""
+    parts, at, stop = [], start, min(len(text), end + len(string) - 1)
+    found = text.find(string, max(0, start - len(string) + 1), stop)
+    while found >= 0:
+        parts.append(text[at : max(at, found)])
+        at = found + len(string)
+        found = text.find(string, at, stop)
+    return "\n".join([*parts, text[at:end]])
+
+
 def novelty(text: str, start: int, end: int, identifiers: bytes = IDENTIFIERS) -> float:
-    """Marginal compressed bytes per byte of text[start:end], given the text
-    around it and the identifiers."""
-    around = text[max(0, start - AROUND) : start] + "\n" + text[end : end + AROUND]
+    """Marginal compressed bytes per byte of text[start:end], given the
+    identifiers and the text around it without other copies of the string."""
+    string = text[start:end]
+    around = _without(text, string, max(0, start - AROUND), start) + "\n" + _without(text, string, end, min(len(text), end + AROUND))
     primed = zstandard.ZstdCompressionDict(identifiers + b"\n" + around.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     squeeze = zstandard.ZstdCompressor(level=6, dict_data=primed, write_content_size=False, write_checksum=False, write_dict_id=False)
-    string = text[start:end].encode()
-    return (len(squeeze.compress(string)) - len(squeeze.compress(b""))) / len(string)
+    return (len(squeeze.compress(string.encode())) - len(squeeze.compress(b""))) / len(string)
 
 
 def novel_spans(text: str, known: list[Span], least: float = NOVELTY) -> list[Span]:
     """Incompressible strings in a sensitive context that no span of ``known``
-    covers.  A candidate mixes digits with letters."""
+    covers.  A candidate mixes digits with letters.  One that is novel at one
+    place is reported wherever it stands in such a context."""
     found: dict[int, Span] = {}
+    measured: dict[str, float] = {}
+    cheap: list[tuple[int, int]] = []
     for word in _SENSITIVE.finditer(text):
         stop = min(len(text), word.end() + REACH)
         line = text.find("\n", word.end(), stop)
@@ -99,8 +114,15 @@ def novel_spans(text: str, known: list[Span], least: float = NOVELTY) -> list[Sp
                 continue
             if any(s.start <= start and end <= s.end for s in known):
                 continue
-            if (n := novelty(text, start, end)) >= least:
+            n = measured[string] if string in measured else novelty(text, start, end)
+            if n >= least:
+                measured[string] = n
                 found[start] = Span("novel", start, end, start, n)
+            else:
+                cheap.append((start, end))
+    for start, end in cheap:
+        if (n := measured.get(text[start:end])) is not None:
+            found[start] = Span("novel", start, end, start, n)
     return list(found.values())
 
 

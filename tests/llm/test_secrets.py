@@ -89,3 +89,19 @@ def test_edge_rows(make_docs):
     got = {r["doc_id"]: r["n"] for r in S.scan(make_docs(rows)).selectExpr("doc_id", "size(spans) n").collect()}
     assert got == {1: 0, None: 1, 2: 1}
     assert S.scan(make_docs([])).count() == 0
+
+
+RANDOM = "Zk93jd82kLmqP0xW71bTy"
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        f"bearer {RANDOM}\nbearer {RANDOM}\n",
+        f'auth_bearer("{RANDOM}")\n# curl -H "Authorization: {RANDOM}"\n',
+        f"signature {RANDOM} " + "word " * 405 + f"cookie {RANDOM} ",  # the reach cuts the other copy
+    ],
+)
+def test_copies_do_not_hide_each_other(text):
+    assert [text[s.start : s.end] for s in S.spans(text)] == [RANDOM] * 2
+    assert RANDOM not in S._mask(text, "[SECRET]")
