@@ -5,14 +5,17 @@ runs).  Beyond them, every token-like string near a sensitive word is a
 candidate: its marginal compressed size is measured with a zstandard
 compressor whose dictionary is the code around it and a list of common
 identifiers.  Names that are built from known words or repeat what stands
-nearby cost few bytes; a random secret costs as many as it is long and is
-reported as ``novel``.
+nearby cost few bytes; a random secret costs as many as any random string of
+its length and alphabet and is reported as ``novel``.
 """
 
 from __future__ import annotations
 
 import re
+import string as ascii_
 from collections.abc import Iterator
+from functools import lru_cache
+from random import Random
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -35,8 +38,26 @@ _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.~-]{12,}")
 REACH = 80
 #: Characters of surrounding text on either side that prime the compressor.
 AROUND = 2048
-#: Reported from so many marginal bytes per character.
+#: Reported from this share of what a random string of its length and alphabet costs.
 NOVELTY = 0.85
+#: Alphabets of candidates, smallest first; the last holds every one.
+ALPHABETS = (
+    ascii_.digits,
+    ascii_.digits + "abcdef",
+    ascii_.digits + "ABCDEF",
+    ascii_.ascii_lowercase,
+    ascii_.ascii_uppercase,
+    ascii_.ascii_uppercase + "234567=",
+    ascii_.digits + ascii_.ascii_lowercase,
+    ascii_.digits + ascii_.ascii_uppercase,
+    ascii_.ascii_letters,
+    ascii_.digits + ascii_.ascii_letters,
+    ascii_.digits + ascii_.ascii_letters + "+/=",
+    ascii_.digits + ascii_.ascii_letters + "-_=",
+    ascii_.digits + ascii_.ascii_letters + "+/_=.~-",
+)
+#: From this length on, a random string costs the same per character.
+SETTLED = 8192
 
 #: Identifier words of ordinary code and configuration.
 IDENTIFIERS = (
@@ -59,7 +80,7 @@ class Span(NamedTuple):
     end: int
     #: Where the secret itself begins; for an assignment, behind the sign.
     secret: int
-    #: Marginal compressed bytes per character; None for the fixed patterns.
+    #: Compressed size as a share of a random string's; None for the fixed patterns.
     novelty: float | None
 
 
@@ -85,14 +106,29 @@ def _without(text: str, string: str, start: int, end: int) -> str:
     return "\n".join([*parts, text[at:end]])
 
 
+def _marginal(string: str, primer: bytes) -> int:
+    """Compressed bytes that ``string`` adds behind ``primer``."""
+    primed = zstandard.ZstdCompressionDict(primer, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    squeeze = zstandard.ZstdCompressor(level=6, dict_data=primed, write_content_size=False, write_checksum=False, write_dict_id=False)
+    return len(squeeze.compress(string.encode())) - len(squeeze.compress(b""))
+
+
+@lru_cache(maxsize=4096)
+def _random_cost(alphabet: str, length: int) -> float:
+    """Marginal bytes per character of a random string."""
+    return _marginal("".join(Random(length).choices(alphabet, k=length)), IDENTIFIERS) / length
+
+
 def novelty(text: str, start: int, end: int, identifiers: bytes = IDENTIFIERS) -> float:
-    """Marginal compressed bytes per byte of text[start:end], given the
-    identifiers and the text around it without other copies of the string."""
+    """Marginal compressed size of text[start:end], given the identifiers and
+    the text around it without other copies of the string, as a share of what
+    a random string of its length and alphabet costs: 1 if it is as random.
+    Short strings are stored byte by byte, whatever their alphabet; longer
+    ones are coded by the letters' frequencies."""
     string = text[start:end]
     around = _without(text, string, max(0, start - AROUND), start) + "\n" + _without(text, string, end, min(len(text), end + AROUND))
-    primed = zstandard.ZstdCompressionDict(identifiers + b"\n" + around.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    squeeze = zstandard.ZstdCompressor(level=6, dict_data=primed, write_content_size=False, write_checksum=False, write_dict_id=False)
-    return (len(squeeze.compress(string.encode())) - len(squeeze.compress(b""))) / len(string)
+    alphabet = next(a for a in ALPHABETS if not string.strip(a))
+    return _marginal(string, identifiers + b"\n" + around.encode()) / len(string) / _random_cost(alphabet, min(len(string), SETTLED))
 
 
 def novel_spans(text: str, known: list[Span], least: float = NOVELTY) -> list[Span]:

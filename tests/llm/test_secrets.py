@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import pytest
@@ -105,3 +106,19 @@ RANDOM = "Zk93jd82kLmqP0xW71bTy"
 def test_copies_do_not_hide_each_other(text):
     assert [text[s.start : s.end] for s in S.spans(text)] == [RANDOM] * 2
     assert RANDOM not in S._mask(text, "[SECRET]")
+
+
+@pytest.mark.parametrize(
+    "alphabet, length",
+    [("0123456789ABCDEF", 64), ("0123456789ABCDEF", 128), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 128), ("abcdefghijklmnopqrstuvwxyz0123456789", 200), (S.ALPHABETS[10][:-1], 512), (S.ALPHABETS[10][:-1], 1700)],
+)
+def test_long_random_strings_of_small_alphabets(alphabet, length):
+    for seed in range(20):
+        secret = "".join(random.Random(seed).choices(alphabet, k=length))
+        text = f'import x\nauthorization("{secret}")\nnext()\n'
+        (span,) = S.spans(text)
+        assert text[span.start : span.end] == secret
+
+
+def test_long_strings_that_repeat_are_not_reported():
+    assert S.spans("bearer " + "x1" * 60 + "\nbearer /home/user/project1/src/project1/src/project1/user/project1\n") == []
