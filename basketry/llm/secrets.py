@@ -1,8 +1,8 @@
 """Secret scans by dictionary-primed zstandard novelty.
 
 Three fixed patterns find the usual forms (assignments, access ids, long hex
-runs).  Beyond them, every token-like string near a sensitive word is a
-candidate: its marginal compressed size is measured with a zstandard
+runs).  Beyond them, every token-like string near a sensitive word, or in a
+private key block, is a candidate: its marginal compressed size is measured with a zstandard
 compressor whose dictionary is the code around it and a list of common
 identifiers.  Names that are built from known words or repeat what stands
 nearby cost few bytes; a random secret costs as many as any random string of
@@ -13,8 +13,12 @@ from __future__ import annotations
 
 import re
 import string as ascii_
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
+from math import log2
 from random import Random
 from typing import NamedTuple
 
@@ -24,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.common import col, map_batches, slices
+from basketry.llm.license_texts import TEXTS
 
 KINDS = ("assign", "access", "hex", "novel")
 
@@ -32,9 +37,15 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 MIN_ASSIGN, MIN_ACCESS = 12, 18
 
-_SENSITIVE = re.compile(r"pass(?:word|wd|phrase|code)|secret|token|api[_-]?key|credential|authorization|bearer|private[_-]?key|access[_-]?key|client[_-]?id|signature|cookie", re.I | re.A)
+_SENSITIVE = re.compile(r"pass(?:word|wd|phrase|code)|secret|token|api[ _-]?key|credential|authorization|bearer|private[ _-]?key|access[ _-]?key|client[ _-]?id|signature|cookie", re.I | re.A)
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.~-]{12,}")
-#: Characters after a sensitive word, on its line, in which candidates begin.
+#: A key block is context up to its END line, or to the end of the text.
+_KEY_BLOCK = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----.*?(?:-----END|\Z)", re.S)
+#: Parts of a candidate: behind an equals sign, and without any sign inside.
+_PARTS = (re.compile(r"[^=]{12,}=*"), re.compile(r"[A-Za-z0-9+]{12,}=*"))
+_LETTERS = re.compile(r"[a-z]+")
+#: Characters before and after a sensitive word, line breaks included, that are
+#: its context; a candidate counts if any of it lies there.
 REACH = 80
 #: Characters of surrounding text on either side that prime the compressor.
 AROUND = 2048
@@ -131,35 +142,125 @@ def novelty(text: str, start: int, end: int, identifiers: bytes = IDENTIFIERS) -
     return _marginal(string, identifiers + b"\n" + around.encode()) / len(string) / _random_cost(alphabet, min(len(string), SETTLED))
 
 
+def _pairs(text: str) -> Counter[str]:
+    low = text.lower()
+    return Counter(map("".join, zip(low, low[1:])))
+
+
+_ENGLISH = _pairs("\n".join([IDENTIFIERS.decode(), *dict(TEXTS).values()]))
+
+
+def reads(string: str, more: str = "") -> bool:
+    """Whether the letters of a string follow each other as in words: its
+    pairs take fewer bits under the pairs of English, identifiers and ``more``
+    than those of random letters.  The compressor stores a word that it has
+    not seen like a random string, so strings without digits need this too."""
+    pairs = [a + b for run in _LETTERS.findall(string.lower()) for a, b in zip(run, run[1:])]
+    if not pairs:
+        return False
+    known = _ENGLISH + _pairs(more) if more else _ENGLISH
+    first = {a: sum(known[a + b] for b in ascii_.ascii_lowercase) for a in {p[0] for p in pairs}}
+    return -sum(log2((known[p] + 0.5) / (first[p[0]] + 13)) for p in pairs) / len(pairs) < log2(26)
+
+
+def _contexts(text: str) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """The sensitive words, and the merged stretches of text that are context."""
+    words = [m.span() for m in _SENSITIVE.finditer(text)]
+    merged: list[tuple[int, int]] = []
+    for start, end in sorted([(max(0, a - REACH), b + REACH) for a, b in words] + [m.span() for m in _KEY_BLOCK.finditer(text)]):
+        if merged and start <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(end, merged[-1][1]))
+        else:
+            merged.append((start, end))
+    return words, merged
+
+
+def _forms(text: str, start: int, end: int, words: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """What may be the secret in a run of characters: all behind the first
+    sensitive word inside, what lies between words, their parts, the run."""
+    inside = [(a, b) for a, b in words if a < end and b > start]
+    if inside:
+        yield inside[0][1], end
+    edges = [start, *(x for span in inside for x in span), end]
+    between = list(zip(edges[::2], edges[1::2]))
+    yield from between
+    for part in _PARTS:
+        for a, b in between:
+            yield from (m.span() for m in part.finditer(text, a, max(a, b)))
+    yield start, end
+
+
 def novel_spans(text: str, known: list[Span], least: float = NOVELTY) -> list[Span]:
     """Incompressible strings in a sensitive context that no span of ``known``
-    covers.  A candidate mixes digits with letters.  One that is novel at one
-    place is reported wherever it stands in such a context."""
-    found: dict[int, Span] = {}
+    covers.  One that is novel at one place is reported wherever it stands in
+    such a context."""
+    words, contexts = _contexts(text)
+    if not contexts:
+        return []
+    word_starts = [a for a, _ in words]
+    context_starts = [a for a, _ in contexts]
+    ordered = sorted((s.start, s.end) for s in known)
+    known_starts, known_ends = [a for a, _ in ordered], list(accumulate((b for _, b in ordered), max))
+
+    def in_context(start: int, end: int) -> bool:
+        i = bisect_left(context_starts, end) - 1
+        return i >= 0 and contexts[i][1] > start
+
+    def covered(start: int, end: int) -> bool:
+        i = bisect_right(known_starts, start) - 1
+        return i >= 0 and known_ends[i] >= end
+
     measured: dict[str, float] = {}
+    found: dict[tuple[int, int], float] = {}
     cheap: list[tuple[int, int]] = []
-    for word in _SENSITIVE.finditer(text):
-        stop = min(len(text), word.end() + REACH)
-        line = text.find("\n", word.end(), stop)
-        for m in _CANDIDATE.finditer(text, word.end()):
-            start, end = m.span()
-            if start >= (stop if line < 0 else line):
-                break
-            string = m.group()
-            if start in found or not any(c.isdigit() for c in string) or not any(c.isalpha() for c in string):
-                continue
-            if any(s.start <= start and end <= s.end for s in known):
+
+    def novel(start: int, end: int) -> bool:
+        string = text[start:end]
+        if string not in measured:
+            plain = not any(c.isdigit() for c in string)
+            if plain and reads(string):
+                return False
+            n = novelty(text, start, end)
+            if n < least or plain and reads(string, text[max(0, start - AROUND) : end + AROUND].replace(string, "\n")):
+                return False
+            measured[string] = n
+        found[start, end] = measured[string]
+        return True
+
+    for m in _CANDIDATE.finditer(text):
+        start, end = m.span()
+        if not in_context(start, end):
+            continue
+        near = words[max(0, bisect_left(word_starts, start) - 1) : bisect_left(word_starts, end)]
+        taken: list[tuple[int, int]] = []
+        tried = set()
+        for form in _forms(text, start, end, near):
+            if form in tried or form[1] - form[0] < 12 or any(form[0] < b and a < form[1] for a, b in taken):
                 continue
-            n = measured[string] if string in measured else novelty(text, start, end)
-            if n >= least:
-                measured[string] = n
-                found[start] = Span("novel", start, end, start, n)
+            tried.add(form)
+            if covered(*form):
+                taken.append(form)
+            elif novel(*form):
+                taken.append(form)
             else:
-                cheap.append((start, end))
+                cheap.append(form)
+    # copies that were cheap beside the one found, alone or inside a longer run
     for start, end in cheap:
         if (n := measured.get(text[start:end])) is not None:
-            found[start] = Span("novel", start, end, start, n)
-    return list(found.values())
+            found[start, end] = n
+    for (start, end), n in list(found.items()):
+        string, stop = text[start:end], end + AROUND + end - start
+        at = text.find(string, max(0, start - AROUND - len(string)), stop)
+        while at >= 0:
+            if in_context(at, at + len(string)) and not covered(at, at + len(string)):
+                found.setdefault((at, at + len(string)), n)
+            at = text.find(string, at + len(string), stop)
+    spans_, reached = [], 0
+    for start, end in sorted(found, key=lambda x: (x[0], -x[1])):
+        if end > reached:
+            spans_.append(Span("novel", start, end, start, found[start, end]))
+            reached = end
+    return spans_
 
 
 def spans(text: str) -> list[Span]:

@@ -122,3 +122,28 @@ def test_long_random_strings_of_small_alphabets(alphabet, length):
 
 def test_long_strings_that_repeat_are_not_reported():
     assert S.spans("bearer " + "x1" * 60 + "\nbearer /home/user/project1/src/project1/src/project1/user/project1\n") == []
+
+
+_BODY = ["".join(random.Random(i).choices(S.ALPHABETS[10][:-1], k=64)) for i in range(4)]
+
+
+@pytest.mark.parametrize(
+    "text, secrets",
+    [
+        (f"credential:\n  {RANDOM}\n", [RANDOM]),  # on the next line
+        (f'{{"api key":\n  "{RANDOM}"}}', [RANDOM]),  # a name with a space
+        (f"access key {RANDOM}", [RANDOM]),
+        (f"{RANDOM}  # bearer", [RANDOM]),  # in front of the word
+        ("cookie kQzXvBnWrTpLmHxq", ["kQzXvBnWrTpLmHxq"]),  # no digit
+        ("cookie 839201746628391", ["839201746628391"]),  # no letter
+        ("-----BEGIN RSA PRIVATE KEY-----\n" + "\n".join(_BODY) + "\n-----END RSA PRIVATE KEY-----\n" + "word " * 40 + RANDOM, _BODY),
+        ("-----BEGIN PRIVATE KEY-----\n" + "\n".join(_BODY), _BODY),  # cut off
+        (f"signature v1.{RANDOM}\nsignature v2.{RANDOM}\n", [RANDOM] * 2),  # copies behind other prefixes
+        (f"secret_access_key={RANDOM}\nexport K {RANDOM}\n", [RANDOM] * 2),
+        (f"bearer {'word ' * 17}{RANDOM}", []),  # out of reach
+        ("bearer straightforward responsibilities", []),
+        ("bearer 000000000000000 --------------- ===============", []),
+    ],
+)
+def test_contexts(text, secrets):
+    assert [text[s.start : s.end] for s in S.spans(text)] == secrets
