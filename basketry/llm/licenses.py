@@ -16,10 +16,24 @@ from pyspark.sql import functions as F
 
 from basketry.llm.license_texts import NOTICES, TEXTS
 
+#: Words that go on from "copyright" in licence wording; such lines stay.
+_WORDING = (
+    "notices?|holders?|owners?(?:hip)?|licen[cs]e[ds]?|laws?|statements?|interests?|disclaimers?|permissions?|treat(?:y|ies)|doctrines?|"
+    "protections?|claims?|rights?|terms?|infringements?|patents?|trademarks?|assignments?|information|act|like|"
+    "and|or|of|on|in|is|are|if|to|that|which|resulting|the[ \t]+(?:software|library|program)[ \t]*(?:,|and|$|\n)"
+)
+#: Words that begin the third item of a list, "(c)", in licence wording.
+_ITEM = "You|Representations|The|Any|If|An?|No|All|In|Each|This|Such|For|To|That|When|Where|Under|Neither|Redistributions?|Accompany|Give|Make|Cause|Convey"
 #: (pattern, replacement with \1 for the group) in order.
 RULES = [
-    # a copyright line: the sign, a year or a name behind the word, at the line's start
-    (r"(?i)(^|\n)[ \t#/*;%-]*(?:copyright[ \t]*(?:\(c\)|©|[0-9])|\(c\)[ \t]*[0-9]|©|all rights reserved)[^\n]*", r"\1"),
+    # a copyright line: the word, "(c)" or the sign at the line's start, unless it goes on as licence wording
+    (
+        r"(?i)(^|\n)[ \t#/*;%-]*(?:portions[ \t]+)?(?:"
+        rf"copyright[ \t]*(?:\(c\)|©|[0-9])|copyright(?![a-z])[ \t]*[,:;-]*[ \t]*(?!(?:{_WORDING})(?![a-z]))[^\s,:;.\"')-]"
+        rf"|\(c\)[ \t]*(?:[0-9]|copyright|by[ \t]|[^\n]*(?<![0-9])(?:19|20)[0-9][0-9](?![0-9])|(?-i:(?!(?:{_ITEM})(?![A-Za-z]))[A-Z][A-Za-z]*[a-z]))"
+        r"|©|all rights reserved)[^\n]*",
+        r"\1",
+    ),
     # list and comment marks
     (r"(^|\n)[ \t]*(?:[#/*;%•-]+|[0-9a-z]{1,2}[.)])[ \t]+", r"\1"),
     (r"[^\p{L}\p{N}\x09-\x0D\x20]+", ""),
@@ -28,6 +42,12 @@ RULES = [
     (r"is(ations?|e[ds]?|ing)( |$)", r"iz\1\2"),
     (r"(behavi|col|fav|hon|lab)our", r"\1or"),
 ]
+#: The oracle's SQL keeps its own rule for copyright lines, which knows fewer
+#: forms; DuckDB's patterns cannot look ahead.
+_ORACLE_RULES = [
+    (r"(?i)(^|\n)[ \t#/*;%-]*(?:copyright[ \t]*(?:\(c\)|©|[0-9])|\(c\)[ \t]*[0-9]|©|all rights reserved)[^\n]*", r"\1"),
+    *RULES[1:],
+]
 #: Equivalent spellings, one word each.
 SPELLINGS = {
     "acknowledgement": "acknowledgment",
@@ -84,11 +104,11 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", known: DataFr
 
 
 def oracle_sql() -> str:
-    """The same scan of ``documents`` in DuckDB SQL."""
+    """The scan of ``documents`` in DuckDB SQL, by the oracle's own rules."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
 
     def form(x: str) -> str:
-        for i, (pattern, put) in enumerate(RULES):
+        for i, (pattern, put) in enumerate(_ORACLE_RULES):
             x = f"regexp_replace({x}, {quote(pattern)}, {quote(put)}, 'g')"
             if i == 1:
                 x = f"lower({x})"

@@ -40,3 +40,36 @@ def test_native_and_own_table(spark, make_docs):
     assert [(r["line"], r["license"]) for r in out.collect()] == [(0, "own")]
     plan = L.scan(make_docs([(1, "a")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+COPYRIGHTS = [
+    "Copyright The Kubernetes Authors.",
+    "Copyright Jane Doe",
+    "Copyright: 2020 X",
+    "Copyright, 2019 Y",
+    "Portions Copyright (c) 2001 Z",
+    "(C) Foo Corp 2001",
+    "(c) Foo Corp",
+    "Copyright <YEAR> <OWNER>",
+    "Copyright [yyyy] [name of copyright owner]",
+    " * Copyright by Some Body",
+    "© Some Body",
+]
+WORDING = [
+    "copyright notice and this", "copyright notices, and", "COPYRIGHT HOLDERS BE LIABLE", "copyright owner or", "copyright license to", "copyright law: that is",
+    "copyright", "copyright, patent, trademark, and", "copyrighted works", "copyright-like rights", "copyright the software, and", "(c) You must retain, in the Source",
+    "(c) the licenses granted in this", "(c) under Patent Claims", "(c)    Representations.",
+]
+
+
+def test_copyright_lines(spark, make_docs):
+    mit = TEXTS[0][1]
+    assert found(make_docs([(i, f"{c}\n\n{mit}") for i, c in enumerate(COPYRIGHTS, 1)])) == [(i, 0, "MIT") for i in range(1, len(COPYRIGHTS) + 1)]
+    kept = spark.createDataFrame([(w,) for w in WORDING], "t string").select(L.canonical(F.concat(F.lit("x\n"), "t", F.lit("\ny"))).alias("c"), "t").collect()
+    assert [r["t"] for r in kept if r["c"] == "x y"] == []
+
+
+def test_wrapped_texts_keep_their_wording(make_docs):
+    """Lines broken in front of every "copyright" inside a known text."""
+    rows = [(i, t.replace(" copyright", "\ncopyright").replace(" COPYRIGHT", "\nCOPYRIGHT")) for i, (_, t) in enumerate(TEXTS, 1)]
+    assert [(i, n) for i, line, n in found(make_docs(rows)) if line == 0] == [(i, n) for i, (n, _) in enumerate(TEXTS, 1)]
