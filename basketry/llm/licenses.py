@@ -14,7 +14,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.license_texts import NOTICES, TEXTS
+from basketry.llm.license_texts import DIGESTS, NOTICES, TEXTS
 
 #: Words that go on from "copyright" in licence wording; such lines stay.
 _WORDING = (
@@ -81,9 +81,12 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text), 256)
 
 
-def known_digests(spark: SparkSession, texts: Iterable[tuple[str, str]] = (*TEXTS, *NOTICES)) -> DataFrame:
-    """(digest, license) of known texts."""
-    return spark.createDataFrame(list(texts), "license string, text string").select(digest(F.col("text")).alias("digest"), "license").distinct()
+def known_digests(
+    spark: SparkSession, texts: Iterable[tuple[str, str]] = (*TEXTS, *NOTICES), digests: Iterable[tuple[str, str, str]] = tuple(DIGESTS)
+) -> DataFrame:
+    """(digest, license) of known texts, and of texts known by digest alone."""
+    hashed = spark.createDataFrame(list(texts), "license string, text string").select(digest(F.col("text")).alias("digest"), "license")
+    return hashed.union(spark.createDataFrame([(d, name) for name, d, _ in digests], "digest string, license string")).distinct()
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", known: DataFrame | None = None) -> DataFrame:

@@ -1,5 +1,9 @@
+from pathlib import Path
+
+import pytest
+
 from basketry.llm import licenses as L
-from basketry.llm.license_texts import NOTICES, TEXTS
+from basketry.llm.license_texts import DIGESTS, NOTICES, TEXTS
 from pyspark.sql import functions as F
 
 
@@ -73,3 +77,22 @@ def test_wrapped_texts_keep_their_wording(make_docs):
     """Lines broken in front of every "copyright" inside a known text."""
     rows = [(i, t.replace(" copyright", "\ncopyright").replace(" COPYRIGHT", "\nCOPYRIGHT")) for i, (_, t) in enumerate(TEXTS, 1)]
     assert [(i, n) for i, line, n in found(make_docs(rows)) if line == 0] == [(i, n) for i, (n, _) in enumerate(TEXTS, 1)]
+
+
+COMMON = Path("/usr/share/common-licenses")
+
+
+@pytest.mark.skipif(not COMMON.is_dir(), reason="no common licences here")
+def test_common_licences(make_docs):
+    """Whole files, and what stands up to the end of the terms, are found."""
+    rows, want = [], []
+    for i, (name, _, source) in enumerate(DIGESTS, 1):
+        file, _, end = source.partition(" up to ")
+        if not (COMMON / file).exists():
+            assert name == "Artistic-2.0"
+            continue
+        text = (COMMON / file).read_text()
+        rows.append((i, text[: text.index(end) + len(end)] if end else "Copyright The Authors of This\n\n" + text))
+        want.append((i, 0, name))
+    assert len(want) >= 20
+    assert [x for x in found(make_docs(rows)) if x[1] == 0] == want
