@@ -23,7 +23,18 @@ from basketry.llm.common import map_batches, slices
 # Fixed values of the HTML standard.
 VOID = frozenset("area base basefont bgsound br col embed frame hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = frozenset("head script style template noscript title iframe noembed noframes object audio video canvas svg math datalist area param rp meta link base".split())
+HIDDEN = frozenset("head script style template noscript title iframe noembed noframes object audio video canvas datalist area param rp meta link base".split())
+#: What is not rendered inside svg and math, where text inside them is HTML
+#: again, and the tags that end them.
+UNRENDERED = {
+    "svg": frozenset("title desc defs metadata symbol clippath mask marker pattern filter".split()),
+    "math": frozenset("annotation annotation-xml mphantom".split()),
+}
+_HTML_INSIDE = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+_BREAKS_OUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre "
+    "ruby s small span strong strike sub sup table tt u ul var".split()
+)
 ENDS_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
     "hgroup hr li dt dd listing main menu nav ol p plaintext pre search section summary table ul xmp".split()
@@ -78,11 +89,14 @@ def _unclosed(attrs: str) -> str | None:
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "parent")
+    __slots__ = ("tag", "attrs", "children", "parent", "inside", "foreign")
 
     def __init__(self, tag: str, attrs: str = "", parent: Node | None = None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.children: list[Node | str] = []
+        #: The svg or math that this element belongs to, and the one that rules its content.
+        self.inside = tag if tag in UNRENDERED else parent.foreign if parent else ""
+        self.foreign = "" if self.inside and tag in _HTML_INSIDE else self.inside
 
     def attributes(self) -> dict[str, str]:
         found: dict[str, str] = {}
@@ -136,6 +150,9 @@ class TreeBuilder:
         if tag in ("html", "body", "head") and self.at is not self.root and self.at.tag != "html":
             if tag != "body" or self.at.tag != "head":
                 return  # a second one
+        if self.at.foreign and tag in _BREAKS_OUT:
+            while self.at.foreign:
+                self._close(self.at)
         if self.at.tag == "head" and tag not in HIDDEN and tag not in VOID:
             self._close(self.at)
         if tag in ENDS_P and (p := self._open(_P, SCOPE)) is not None:
@@ -150,7 +167,7 @@ class TreeBuilder:
             self.start("tr", "")
         node = Node(tag, attrs, self.at)
         self._place(node, tag)
-        if tag not in VOID:
+        if tag not in VOID and not (node.inside and attrs.endswith("/")):
             self.at = node
             self.opened[tag] = self.opened.get(tag, 0) + 1
 
@@ -190,7 +207,7 @@ class TreeBuilder:
                 self.end(tag)
                 continue
             self.start(tag, attrs)
-            if tag in RAW:
+            if tag in RAW and self.at.tag == tag:
                 done = re.compile(f"</{tag}(?=[\\s/>])", re.I).search(html, at)
                 stop = len(html) if done is None else done.start()
                 if tag == "style":
@@ -211,7 +228,7 @@ class TreeBuilder:
 
 
 def visible(node: Node, concealed: frozenset[str]) -> bool:
-    if node.tag in HIDDEN or node.tag in concealed:
+    if node.tag in HIDDEN or node.tag in concealed or (node.inside and node.tag in UNRENDERED[node.inside]):
         return False
     if not node.attrs:
         return node.tag != "dialog"
@@ -361,6 +378,8 @@ def render(html: str) -> str:
                 flows.append(Flow())
             elif tag == "tr" and tables:
                 tables[-1].rows.append([])
+            elif child.inside == "svg" and tag in ("text", "foreignobject"):
+                flow.end_line()
             elif tag in BLOCKS:
                 inner = lists and tag in _LISTS
                 flow.end_line(1 if tag in SPACED and not inner else 0)
@@ -390,6 +409,8 @@ def render(html: str) -> str:
         tag = node.tag
         if tag in _CELLS and tables:
             tables[-1].cell(flows.pop().done(), node)
+        elif node.inside == "svg" and tag in ("text", "foreignobject"):
+            flow.end_line()
         elif tag in BLOCKS and not (tag == "tr" and tables):
             if tag == "table":
                 for line in tables.pop().lines():

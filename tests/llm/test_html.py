@@ -95,3 +95,23 @@ def test_edge_rows(spark):
     got = sorted(H.extract(pages).collect(), key=str)
     assert sorted([(r["page_id"], r["text"]) for r in got], key=str) == sorted([(1, None), (2, ""), (None, "a"), (3, "b"), (3, "b")], key=str)
     assert H.extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds", "so x=2 holds"),
+        ("<math><semantics><mi>x</mi><annotation encoding='application/x-tex'>no</annotation></semantics></math>y", "xy"),
+        ("<math><semantics><mi>x</mi><annotation-xml><ci>x</ci></annotation-xml></semantics></math>", "x"),
+        ("<svg><title>no</title><desc>no</desc><defs><text>no</text></defs><metadata>no</metadata><text>A</text><text x='1'>B</text></svg>", "A\nB"),
+        ("a<svg><defs/><path d='M0'/><text>b</text></svg>c", "a\nb\nc"),  # self-closing
+        ("<svg><title/><text>b</text></svg>", "b"),
+        ("<svg><foreignObject><p>in</p></foreignObject></svg>", "in"),
+        ("<svg><defs><path><p>out", "out"),  # a paragraph ends the drawing
+        ("<svg hidden><text>no</text></svg><desc>yes</desc>", "yes"),
+        ("<svg><style>.x{display:none}</style><text class=x>no</text><text>yes</text></svg>", "yes"),
+        ("<table><tr><td><svg><text>in</text></svg><td>b</table>", "in  b"),
+    ],
+)
+def test_formulas_and_drawings(page, text):
+    assert H.render(page) == text
