@@ -79,3 +79,20 @@ def _cut(batch: pa.RecordBatch, text: str, limit: int) -> Iterator[pa.RecordBatc
 def text_bytes(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of each text; null counts as empty."""
     return [b or b"" for b in column.cast(pa.binary()).to_pylist()]
+
+
+#: Keys with more than one in so many of all rows count as hot.
+HOT_SHARE = 1000
+
+
+def join_hot(rows: DataFrame, facts: DataFrame, key: str, copies: str) -> DataFrame:
+    """``rows`` joined with the one row that ``facts`` has for their ``key``
+    (never null), where ``copies`` says how many rows have it.  Keys that hold
+    more than a thousandth of all rows are at most a thousand, so their facts
+    are broadcast and their rows stay where they are; only the others meet by
+    a shuffle.  ``copies`` is dropped; ``rows`` is read twice."""
+    total = facts.agg(F.sum(copies).alias("n")).first()["n"] or 0
+    hot = facts.where(F.col(copies) * HOT_SHARE > total)
+    rest = facts.where(F.col(copies) * HOT_SHARE <= total).drop(copies)
+    few = F.broadcast(hot.select(key))
+    return rows.join(F.broadcast(hot.drop(copies)), key).unionByName(rows.join(few, key, "left_anti").join(rest, key))

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import html, licenses, mixing, packing, quality, secrets, simhash, tokenfile, topk, warc
+from basketry.llm import hardneg, html, jaccard, licenses, mixing, packing, quality, secrets, simhash, spelling, tokenfile, topk, warc
 from basketry.llm.common import load
 from basketry.session import shared_dir
 
@@ -170,6 +170,103 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(load(spark, sf_dir, "documents"))
+
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP11_SQL = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, coalesce(regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), grams AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g
+  FROM words
+), sizes AS (
+  SELECT doc_id, count(g) AS n FROM words LEFT JOIN grams USING (doc_id) GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+), linked AS (
+  SELECT a, b FROM common JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id WHERE 100 * c >= 90 * (x.n + y.n - c)
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM sizes
+  UNION
+  SELECT reach.doc_id, linked.b FROM reach JOIN linked ON reach.other = linked.a
+)
+SELECT doc_id, any_value(n)::BIGINT AS n_shingles, min(other) AS component_id FROM reach JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(load(spark, sf_dir, "documents"))
+
+
+OP12_SQL = rf"""
+WITH RECURSIVE crc AS (  -- the table of CRC-32, by its polynomial
+  SELECT list_transform(range(256), lambda i: list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), runs AS (
+  SELECT doc_id, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY ALL
+), bytes AS (
+  SELECT run, n, hex(encode(doc_id || ':' || run)) AS hx FROM runs
+), hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(range(length(hx) // 2), lambda j: ('0x' || substr(hx, 2 * j + 1, 2))::BIGINT),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h
+  FROM bytes, crc
+), words AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, sum(n)::BIGINT AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 7 AND sum(n) >= 2
+), cut AS (  -- each word without its i-th code point
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+), near AS (
+  SELECT a.word, b.word AS other, b.n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, max(n) AS top, arg_min(other, (-n, other)) AS usual FROM near GROUP BY word
+), found AS (
+  SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 10 * words.n THEN usual END AS form, CASE WHEN top >= 10 * words.n THEN top END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), up AS (
+  SELECT word, form AS root, 1 AS depth FROM found WHERE form IS NOT NULL
+  UNION ALL SELECT up.word, f.form, depth + 1 FROM up JOIN found f ON up.root = f.word WHERE f.form IS NOT NULL
+), roots AS (
+  SELECT word, arg_max(root, depth) AS root FROM up GROUP BY word
+)
+SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM found LEFT JOIN roots USING (word)
+"""
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
+OP13_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS id, list_inner_product(a.e, b.e)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE a.vec_id % 50 = 0
+), positive AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+), negative AS (
+  SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INT AS rank, id AS negative_id, positive_score, score AS negative_score
+  FROM positive JOIN scored USING (anchor_id)
+  WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+)
+SELECT * FROM negative WHERE rank <= 3
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_licenses": op2_licenses,
@@ -181,6 +278,17 @@ QUERIES: dict[str, Query] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_token_file": op9_token_file,
     "op10_top_k": op10_top_k,
+    "op11_jaccard_join": op11_jaccard_join,
+    "op12_spelling": op12_spelling,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
-ORACLES: dict[str, str] = {"op2_licenses": licenses.oracle_sql(), "op6_revisits": OP6_SQL, "op7_mixing": OP7_SQL, "op10_top_k": OP10_SQL}
+ORACLES: dict[str, str] = {
+    "op2_licenses": licenses.oracle_sql(),
+    "op6_revisits": OP6_SQL,
+    "op7_mixing": OP7_SQL,
+    "op10_top_k": OP10_SQL,
+    "op11_jaccard_join": OP11_SQL,
+    "op12_spelling": OP12_SQL,
+    "op13_hard_negatives": OP13_SQL,
+}
