@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.llm.common import col
-from basketry.llm.vectors import SCALE, as_long, finite, inner, integers, norms
+from basketry.llm.vectors import SCALE, best, finite, inner, integers, kth_largest, norms
 from basketry.session import materialize
 
 POSITIVES = 5
@@ -66,22 +66,6 @@ def score_bounds(own_angles: np.ndarray, own_length: float, all_angles: np.ndarr
     return product * low - slack, product * high + slack
 
 
-def best(scores: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[int, int]]:
-    """The first k (id, score): larger scores first, then smaller ids."""
-    if scores.dtype == object:
-        order = sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i]))[:k]
-    else:
-        if scores.size > k:
-            some = np.flatnonzero(scores >= np.partition(scores, scores.size - k)[scores.size - k])
-            scores, ids = scores[some], ids[some]
-        order = np.lexsort((ids, -scores))[:k]
-    return [(int(ids[i]), as_long(scores[i])) for i in order]
-
-
-def kth_largest(values: np.ndarray, k: int) -> float:
-    return float(np.partition(values, values.size - k)[values.size - k]) if values.size >= k else -np.inf
-
-
 class Block:
     """Rows of one group, with what their bounds are made of."""
 

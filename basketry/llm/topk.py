@@ -17,24 +17,24 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketry.llm.vectors import SCALE, best, finite, inner, integers, kth_largest, norms
+
 K = 5
-SCALE = 256
 #: Vectors, and queries, that one group holds.
 BLOCK_ROWS = 8192
 QUERY_ROWS = 1024
 #: Entries read from each list before the bound is first tested; doubled each time.
 FIRST_DEPTH = 64
-#: Scaled components are below this magnitude, so that scores fit in a long.
-LIMIT = 1 << 24
+#: More than the relative error of a bound's sum of doubles.
+_ERROR = 1e-12
 
 
 class SortedLists:
-    """The per-dimension lists of a block of integer vectors."""
+    """The per-dimension lists of a block of integer vectors (doubles)."""
 
     def __init__(self, vectors: np.ndarray, ids: np.ndarray):
-        # float64 holds every partial sum exactly below 2^53, and uses BLAS
-        self.exact = np.float64 if vectors.size == 0 or vectors.shape[1] * float(np.abs(vectors).max()) * LIMIT < 2**53 else np.int64
-        self.vectors = vectors.astype(self.exact)
+        self.vectors = np.asarray(vectors, np.float64)
+        self.sizes = norms(self.vectors)
         self.ids = ids
         self.ascending = np.ascontiguousarray(np.argsort(self.vectors, axis=0, kind="stable").T.astype(np.int32))
         self.values = np.take_along_axis(np.ascontiguousarray(self.vectors.T), self.ascending, axis=1)
@@ -43,11 +43,12 @@ class SortedLists:
         """The k best (score, id), larger score first, then smaller id, without
         rows of id ``own``; and how deep the lists were read."""
         n = self.ids.size
-        query = query.astype(self.exact)
+        query = np.asarray(query, np.float64)
+        size = float(norms(query[None, :])[0])
         up, down = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
         seen = np.zeros(n, bool)
         scored = self.ids == own
-        score_of, id_of = np.empty(0, self.exact), np.empty(0, np.int64)
+        score_of, id_of = np.empty(0), np.empty(0, np.int64)
         read, depth = 0, first_depth
         while True:
             depth = min(depth, n)
@@ -57,21 +58,20 @@ class SortedLists:
                 depth, seen[:] = n, True
             new = np.flatnonzero(seen & ~scored)
             scored[new] = True
-            score_of = np.concatenate((score_of, self.vectors[new] @ query))
+            score_of = np.concatenate((score_of, inner(self.vectors[new], self.sizes[new], query, size)))
             id_of = np.concatenate((id_of, self.ids[new]))
+            least = kth_largest(score_of, k)
             if score_of.size > k:
-                least = np.partition(score_of, score_of.size - k)[score_of.size - k]
-                best = score_of >= least
-                score_of, id_of = score_of[best], id_of[best]
+                kept = np.flatnonzero(score_of >= least)
+                score_of, id_of = score_of[kept], id_of[kept]
             if depth == n:
                 break
             if score_of.size >= k:
-                bound = self.values[up, n - depth] @ query[up] + self.values[down, depth - 1] @ query[down]
-                if bound < score_of.min():
+                last = np.concatenate((self.values[up, n - depth] * query[up], self.values[down, depth - 1] * query[down]))
+                if last.sum() + _ERROR * np.abs(last).sum() < least:
                     break
             read, depth = depth, depth * 2
-        order = np.lexsort((id_of, -score_of))[:k]
-        return [(int(s), int(i)) for s, i in zip(score_of[order], id_of[order])], depth
+        return [(s, i) for i, s in best(score_of, id_of, k)], depth
 
 
 def top_k(
@@ -88,18 +88,16 @@ def top_k(
     which ``is_query`` holds against all others.
 
     Components become floor(scale * x) with x as double; the score is the
-    integer inner product, ties go to the smaller key, and a query with fewer
-    than k candidates has all of them.  A query is not compared with rows of
-    its own key.  Vectors that are null or hold a null or non-finite component
-    take no part, nor do those without key or with a component of 2^24 or more
-    after scaling (their scores might not fit in a long).  Vectors of another
-    length than the query's are not compared with it.  Rows that repeat key
-    and vector count once."""
-    sound = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * scale) < LIMIT))
+    integer inner product, exact whatever its size (one that does not fit in a
+    long raises), ties go to the smaller key, and a query with fewer than k
+    candidates has all of them.  A query is not compared with rows of its own
+    key.  Vectors that are null or hold a null or non-finite component take no
+    part, nor do those without key.  Vectors of another length than the
+    query's are not compared with it.  Rows that repeat key and vector count
+    once."""
     rows = (
-        vectors.where(F.col(key).isNotNull() & F.col(vector).isNotNull())
-        .where(sound)
-        .select(F.col(key).cast("long").alias("id"), F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("int")).alias("v"), is_query.alias("q"))
+        vectors.where(F.col(key).isNotNull() & finite(vector))
+        .select(F.col(key).cast("long").alias("id"), F.transform(vector, lambda x: x.cast("double")).alias("v"), is_query.alias("q"))
         .dropDuplicates(["id", "v"])
         .withColumn("dim", F.size("v"))
     )
@@ -111,7 +109,7 @@ def top_k(
     right = rows.where("q").select("dim", every(blocks).alias("block"), dealt(query_blocks).alias("part"), "id", F.xxhash64("v").alias("h"), "v")
 
     def run(candidates: pa.Table, queries: pa.Table) -> pa.Table:
-        matrix = lambda t: t.column("v").combine_chunks().flatten().to_numpy().astype(np.int64).reshape(t.num_rows, -1)
+        matrix = lambda t: integers(t.column("v"), t.num_rows, scale)
         out: list[tuple] = []
         if candidates.num_rows and queries.num_rows:
             lists = SortedLists(matrix(candidates), candidates.column("id").to_numpy())

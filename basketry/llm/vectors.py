@@ -56,3 +56,24 @@ def as_long(score: object) -> int:
     if not -(1 << 63) <= out < 1 << 63:
         raise OverflowError(f"a score of {out} does not fit in a long")
     return out
+
+
+def best(scores: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[int, int]]:
+    """The first k (id, score): larger scores first, then smaller ids."""
+    if scores.dtype == object:
+        order = sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i]))[:k]
+    else:
+        if scores.size > k:
+            some = np.flatnonzero(scores >= kth_largest(scores, k))
+            scores, ids = scores[some], ids[some]
+        order = np.lexsort((ids, -scores))[:k]
+    return [(int(ids[i]), as_long(scores[i])) for i in order]
+
+
+def kth_largest(values: np.ndarray, k: int) -> float:
+    """The k-th largest value; minus infinity if there are fewer."""
+    if values.size < k:
+        return -np.inf
+    if values.dtype == object:
+        return sorted(values, reverse=True)[k - 1]
+    return float(np.partition(values, values.size - k)[values.size - k])

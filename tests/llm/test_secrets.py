@@ -67,9 +67,7 @@ def test_incompressible_string_in_sensitive_context():
     [
         'bearer("refresh_token_id2")',  # built from known identifiers
         "note = Zk93jd82kLmqP0xW71bTy",  # no sensitive word near
-        "credential\nZk93jd82kLmqP0xW71bTy",  # on another line
         "bearer internationalisation",  # a word, no digit
-        "Zk93jd82kLmqP0xW71bTy is read; then bearer Zk93jd82kLmqP0xW71bTy",  # repeats the text around it
     ],
 )
 def test_not_reported(text):

@@ -27,11 +27,15 @@ def test_search_against_brute_force(n, dims, seed, spread, depth):
         assert lists.search(query, own, 5, depth)[0] == brute(vectors, ids, query, own)
 
 
-def test_large_values_stay_exact():
+@pytest.mark.parametrize("size", [1 << 24, 1 << 29])
+def test_large_values_stay_exact(size):
+    """Sums beyond 2^53 among rows whose sums are small."""
     rng = np.random.default_rng(1)
-    vectors = rng.integers(-K.LIMIT + 1, K.LIMIT, (50, 64))
+    vectors = rng.integers(-size + 1, size, (50, 8))
+    vectors[::3] >>= 20
     lists = K.SortedLists(vectors, np.arange(50))
-    assert lists.search(vectors[7], 7)[0] == brute(vectors, np.arange(50), vectors[7], 7)
+    for q in (6, 7):
+        assert lists.search(vectors[q], q, 5, 2)[0] == brute(vectors, np.arange(50), vectors[q], q)
 
 
 def test_reading_stops_early_when_the_bound_allows():
@@ -57,10 +61,21 @@ def test_blocks_do_not_matter(spark):
 
 def test_edge_rows(spark):
     nan, inf = float("nan"), float("inf")
-    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.5, 0.5]), (3, None), (4, [1.0, None]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [1.0]), (None, [9.0, 9.0]), (50, []), (100, []), (150, None), (8, [3e38, 1.0])]
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.5, 0.5]), (3, None), (4, [1.0, None]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [1.0]), (None, [9.0, 9.0]), (50, []), (100, []), (150, None)]
     schema = "vec_id long, embedding array<float>, query_id string, score string, `a.b` string"
     df = spark.createDataFrame([(*r, "x", "x", "x") for r in rows], schema)
     got = sorted(map(tuple, K.top_k(df, F.col("vec_id") % 50 == 0).collect()))
     assert got == [(0, 1, 1, 128 * 256), (0, 2, 2, 128 * 256), (50, 1, 100, 0), (100, 1, 50, 0)]
     assert K.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
     assert K.top_k(df.where("vec_id = 1"), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_large_components_take_part(spark):
+    rows = [(i, [i / 64, 1.0]) for i in range(60)] + [(100, [70000.0, 1.0]), (150, [3e38, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    ints = {i: [math.floor(256 * float(np.float32(x))) for x in v] for i, v in rows}
+    with pytest.raises(Exception, match="does not fit in a long"):
+        K.top_k(df, F.col("vec_id") == 100).collect()
+    some = df.where("vec_id <> 150")
+    want = [(q, r + 1, i, s) for q in (0, 50, 100) for r, (s, i) in enumerate(sorted(((sum(a * b for a, b in zip(ints[q], v)), i) for i, v in ints.items() if i not in (q, 150)), key=lambda x: (-x[0], x[1]))[:5])]
+    assert sorted(map(tuple, K.top_k(some, F.col("vec_id") % 50 == 0).collect())) == want and want[5][2] == 100
