@@ -19,7 +19,7 @@ Package the library once (`zip -r basketry.zip basketry`), then submit
 ``--log`` is the six-column behaviour CSV (header, text columns), an
 ``events`` Parquet table (``--log-format events``) or a day-partitioned
 behaviour table written by ``ingest`` (``--log-format table``).  CSV rows with a
-bad key, code or time are dropped and their number is printed;
+bad key, code or time are dropped and their number, counted in the same pass, is printed;
 ``--trailing-time`` accepts text after the hour ('2014-12-18 22:15').  ``json``
 turns a curve written earlier as CSV into one JSON array.  Text inputs are
 one message per line, one file set per class.  Results are written by the
@@ -34,7 +34,7 @@ import argparse
 import sys
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.functions.timefn import hour_anchor
@@ -48,14 +48,18 @@ from basketry.operators import ml
 from basketry.operators import text as textop
 
 
-def _behaviour(spark: SparkSession, args) -> DataFrame:
+def _behaviour(spark: SparkSession, args) -> tuple[DataFrame, Observation | None]:
+    """The log, and what counts the rows of a CSV as the job reads it."""
     if args.log_format == "events":
-        return bsrc.behaviour_from_events(spark.read.parquet(args.log))
+        return bsrc.behaviour_from_events(spark.read.parquet(args.log)), None
     if args.log_format == "table":
-        return bsrc.read_behaviour_table(spark, args.log)
-    raw = bsrc.read_behaviour_csv(spark, args.log)
-    print(f"rejected rows: {bsrc.rejected_rows(raw, args.trailing_time).count()}", file=sys.stderr)
-    return bsrc.typed_behaviour(raw, args.trailing_time)
+        return bsrc.read_behaviour_table(spark, args.log), None
+    counts = Observation("csv")
+    # a session that has observed something cannot be shipped any more, which
+    # models fitted in it try to: so it is one of its own
+    own = spark.newSession()
+    apply_required_conf(own)
+    return bsrc.typed_behaviour(bsrc.read_behaviour_csv(own, args.log), args.trailing_time, counts), counts
 
 
 def _corpus(spark: SparkSession, args) -> DataFrame:
@@ -78,7 +82,7 @@ def run(args, spark: SparkSession) -> None:
         sinks.json_series(series, "hour", "rate").write.mode(args.mode).text(args.out)
         return
     if job in ("ingest", "curve", "last-day", "last-hour", "training", "scoring", "predict"):
-        beh = _behaviour(spark, args)
+        beh, counts = _behaviour(spark, args)
         if job == "ingest":
             bsrc.write_behaviour_table(beh, args.out, args.mode, args.files_per_day)
         elif job == "curve":
@@ -102,6 +106,8 @@ def run(args, spark: SparkSession) -> None:
         else:
             buyers = purchase.predicted_buyers(beh, args.threshold, args.day30, args.day31)
             sinks.write_csv(buyers, args.out, args.mode)
+        if counts is not None:
+            print(f"rejected rows: {counts.get['rejected_rows']} of {counts.get['read_rows']}", file=sys.stderr)
         return
 
     corpus = _corpus(spark, args)

@@ -8,15 +8,19 @@ iteration); only coefficients and metrics come back to the driver.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Estimator, Pipeline
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import HashingTF, Tokenizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.regression import GeneralizedLinearRegression
+from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from basketry.schema import FEATURE_COLUMNS
 
@@ -38,6 +42,17 @@ def logistic_regression(max_iter: int = 100, reg_param: float = 0.0, weight_col:
     return lr
 
 
+def exact_logistic(max_iter: int = 50, tol: float = 1e-10, weight_col: str | None = None) -> GeneralizedLinearRegression:
+    """The same model fitted to the optimum by iteratively reweighted least
+    squares (Newton steps): for few features, one small aggregate per step and
+    some ten steps, and a result that does not depend on where an optimiser
+    stops.  Its prediction is the probability of one."""
+    glr = GeneralizedLinearRegression(family="binomial", link="logit", maxIter=max_iter, tol=tol)
+    if weight_col:
+        glr.setWeightCol(weight_col)
+    return glr
+
+
 def probability_of_one(prob: str = "probability") -> Column:
     """P(label = 1) from the probability vector."""
     return vector_to_array(F.col(prob))[1]
@@ -90,6 +105,31 @@ def auc(df: DataFrame, score: str, label: str, num_bins: int = 0) -> float:
     return ev.evaluate(df.select(F.col(score).cast("double").alias(score), F.col(label).cast("double").alias(label)))
 
 
+def grouped_auc(scored: DataFrame, groups: Sequence[str], score: str = "score", label: str = "label") -> DataFrame:
+    """(*groups, n_rows, n_positive, auc): exact area under ROC of every group
+    at once, by rank sums (ties count half); null where a group has one class.
+
+    Rows are first counted per distinct score.  Ranks are summed on two levels,
+    so that a large group is not sorted by one task: scores fall into bands (64
+    to each factor e, by sign; the order of bands is the order of scores),
+    negatives below are counted within a band, and the bands of a group, of
+    which there are a few thousand at most, carry their totals on."""
+    groups = list(groups)
+    x = F.col(score).cast("double")
+    positive = F.col(label) == 1
+    counts = scored.groupBy(*groups, x.alias("__x")).agg(F.count_if(positive).alias("__p"), F.count_if(~positive).alias("__n"))
+    band = F.when(F.col("__x") == 0, F.lit(0)).otherwise(F.signum("__x") * F.floor((F.ln(F.abs("__x")) + 750) * 64)).cast("long")
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    within = before(Window.partitionBy(*groups, "__band").orderBy("__x"))
+    below = F.coalesce(F.sum("__n").over(within), F.lit(0))
+    ranked = counts.withColumn("__band", band).withColumn("__wins", F.col("__p").cast("double") * (2 * below + F.col("__n")))
+    bands = ranked.groupBy(*groups, "__band").agg(F.sum("__p").alias("__p"), F.sum("__n").alias("__n"), F.sum("__wins").alias("__wins"))
+    lower = F.coalesce(F.sum("__n").over(before(Window.partitionBy(*groups).orderBy("__band"))), F.lit(0))
+    total = bands.withColumn("__wins", F.col("__wins") + 2.0 * F.col("__p") * lower).groupBy(*groups).agg(*[F.sum(c).alias(c) for c in ("__p", "__n", "__wins")])
+    auc_ = F.when((F.col("__p") > 0) & (F.col("__n") > 0), F.col("__wins") / (2.0 * F.col("__p") * F.col("__n")))
+    return total.select(*groups, (F.col("__p") + F.col("__n")).alias("n_rows"), F.col("__p").alias("n_positive"), auc_.alias("auc"))
+
+
 def text_classifier(text: str = "text", num_features: int = 10_000, max_iter: int = 100, reg_param: float = 0.0) -> tuple[Pipeline, HashingTF, LogisticRegression]:
     """Tokenizer -> HashingTF -> LogisticRegression, returning the stages a
     grid can address."""
@@ -99,39 +139,24 @@ def text_classifier(text: str = "text", num_features: int = 10_000, max_iter: in
     return Pipeline(stages=[tok, tf, lr]), tf, lr
 
 
-def grid_search(
-    data: DataFrame,
-    pipeline: Estimator,
-    grid: list,
-    num_folds: int = 3,
-    seed: int = 42,
-    fold_col: str | None = None,
-    parallelism: int = PARALLEL_FITS,
-) -> CrossValidatorModel:
-    """k-fold cross-validated grid search scored by area under ROC.  With
-    ``fold_col`` the folds are fixed by the data (repeatable anywhere).
-    ``parallelism`` settings of a fold are fitted at a time; each fit is
-    itself a distributed job."""
-    cv = CrossValidator(
-        estimator=pipeline,
-        estimatorParamMaps=grid,
-        evaluator=BinaryClassificationEvaluator(),
-        numFolds=num_folds,
-        seed=seed,
-        parallelism=parallelism,
-    )
-    if fold_col:
-        cv.setFoldCol(fold_col)
-    return cv.fit(data)
-
-
-def grid_metrics(cv_model: CrossValidatorModel, names: dict) -> list[tuple]:
-    """(value of each named param ..., mean metric) per grid setting."""
-    rows = []
-    for params, metric in zip(cv_model.getEstimatorParamMaps(), cv_model.avgMetrics):
-        by_name = {p.name: v for p, v in params.items()}
-        rows.append(tuple(by_name[n] for n in names) + (float(metric),))
-    return rows
+def out_of_fold(data: DataFrame, lr: LogisticRegression, grid: Sequence[dict], fold: str, num_folds: int, parallelism: int = PARALLEL_FITS) -> DataFrame:
+    """(setting, fold, label, score): every row of ``data`` (label, features,
+    fold) scored, for every setting of ``grid``, by the model that was fitted on
+    the other folds.  ``score`` is the margin.  ``parallelism`` models are
+    fitted at a time, each by a distributed job; the scoring of all is one."""
+    spark = data.sparkSession
+    tasks = [(k, i) for k in range(num_folds) for i in range(len(grid))]
+
+    def fit(task: tuple[int, int]) -> LogisticRegressionModel:
+        return lr.copy(grid[task[1]]).fit(data.where(F.col(fold) != task[0]))
+
+    with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
+        models = pool.map(inheritable_thread_target(spark)(fit), tasks)
+    parts = [
+        model.transform(data.where(F.col(fold) == k)).select(F.lit(i).alias("setting"), F.col(fold).cast("int").alias("fold"), "label", vector_to_array("rawPrediction")[1].alias("score"))
+        for (k, i), model in zip(tasks, models)
+    ]
+    return reduce(DataFrame.union, parts)
 
 
 def build_grid(pairs: list[tuple]) -> list:

@@ -49,16 +49,23 @@ def term_frequency_rows(df: DataFrame, id_cols: list[str], text: str = "text", n
     return explode_sparse(tf, "tf", id_cols, "bucket", "tf")
 
 
-def tfidf_rows(df: DataFrame, id_cols: list[str], text: str = "text", num_features: int = DEFAULT_NUM_FEATURES, model: PipelineModel | None = None) -> DataFrame:
+def tfidf_rows(
+    df: DataFrame, id_cols: list[str], text: str = "text", num_features: int = DEFAULT_NUM_FEATURES, model: PipelineModel | None = None, labels: DataFrame | None = None
+) -> DataFrame:
     """(*id_cols, bucket int, weight double) of TF-IDF, fitted on ``df``
     unless a fitted ``model`` is given.
 
     When fitting here, the text is tokenised and hashed once: the sparse TF
     vectors (far smaller than the text) are written to the shared folder, IDF is fitted on them and the same vectors are rescaled, instead
-    of a fit pass and a second tokenise/hash pass for the transform."""
+    of a fit pass and a second tokenise/hash pass for the transform.  ``labels``
+    (first id column, label) restricts it to the labelled rows; it is joined to
+    the vectors, so no text is shuffled, and adds the label to the ids."""
     clean = df.where(F.col(text).isNotNull())
     if model is not None:
         return explode_sparse(model.transform(clean), "tfidf", id_cols, "bucket", "weight")
-    tf = materialize(hashed_tf(tokens(clean, text), num_features=num_features).select(*id_cols, "tf"))
+    tf = hashed_tf(tokens(clean, text), num_features=num_features).select(*id_cols, "tf")
+    if labels is not None:
+        tf, id_cols = tf.join(labels, id_cols[0]), [*id_cols, "label"]
+    tf = materialize(tf)
     idf = IDF(inputCol="tf", outputCol="tfidf").fit(tf)
     return explode_sparse(idf.transform(tf), "tfidf", id_cols, "bucket", "weight")

@@ -1,8 +1,7 @@
 """DuckDB oracle SQL fragments shared by the registry.
 
 The oracle re-derives every result from the raw tables independently of the
-Spark code: it follows the reference's literal plan shape (separate filtered
-aggregates, joins, EXCEPT, UNION ALL) where the Spark side uses one pass.
+Spark code, from the definition of the result.
 """
 
 from __future__ import annotations
@@ -56,31 +55,34 @@ CURVE = f"""curve AS (
   FROM conv JOIN per_hour USING (hour))"""
 
 
+FEATURE_LIST = "user_id, item_id, time1, type_1count, time2, type_2count, time3, type_3count, type_4count"
+
+
 def features(anchor: str, before: bool) -> str:
-    """Literal feature plan: four per-behaviour aggregates, full outer joins, nulls to 0."""
-    where = f"WHERE time < {anchor}" if before else ""
-    return f"""wt AS (SELECT user_id, item_id, behavior_type, {hours_before('time', anchor)} AS hour FROM beh {where}),
-f1 AS (SELECT user_id, item_id, min(hour) AS time1, count(hour) AS type_1count FROM wt WHERE behavior_type = 1 GROUP BY ALL),
-f2 AS (SELECT user_id, item_id, min(hour) AS time2, count(hour) AS type_2count FROM wt WHERE behavior_type = 2 GROUP BY ALL),
-f3 AS (SELECT user_id, item_id, min(hour) AS time3, count(hour) AS type_3count FROM wt WHERE behavior_type = 3 GROUP BY ALL),
-f4 AS (SELECT user_id, item_id, count(hour) AS type_4count FROM wt WHERE behavior_type = 4 GROUP BY ALL),
-feat AS (
-  SELECT user_id, item_id,
-         coalesce(time1, 0) AS time1, coalesce(type_1count, 0) AS type_1count,
-         coalesce(time2, 0) AS time2, coalesce(type_2count, 0) AS type_2count,
-         coalesce(time3, 0) AS time3, coalesce(type_3count, 0) AS type_3count,
-         coalesce(type_4count, 0) AS type_4count
-  FROM f1 FULL OUTER JOIN f2 USING (user_id, item_id)
-          FULL OUTER JOIN f3 USING (user_id, item_id)
-          FULL OUTER JOIN f4 USING (user_id, item_id))"""
+    """Features from their definition: one grouped SELECT over the log (before
+    the anchor, or all of it), each by its own filter."""
+    where = f"WHERE time < {anchor} AND behavior_type BETWEEN 1 AND 4" if before else "WHERE behavior_type BETWEEN 1 AND 4"
+    recency = ", ".join(
+        f"coalesce({hours_before(f'max(time) FILTER (WHERE behavior_type = {k})', anchor)}, 0) AS time{k}, count(*) FILTER (WHERE behavior_type = {k}) AS type_{k}count" for k in (1, 2, 3)
+    )
+    return f"feat AS (SELECT user_id, item_id, {recency}, count(*) FILTER (WHERE behavior_type = 4) AS type_4count FROM beh {where} GROUP BY user_id, item_id)"
 
 
-FEATURE_LIST = "user_id, item_id, time1, type_1count, time2, type_2count, time3, type_3count, type_4count"
+# The label of a pair is whether it was bought after the anchor; a bought pair
+# stands as often as it was bought.
+TRAINING = f"""bought AS (SELECT user_id, item_id, count(*) AS times FROM beh WHERE behavior_type = 4 AND time > {A30} GROUP BY ALL),
+counted AS (SELECT feat.*, coalesce(times, 0) AS times FROM feat LEFT JOIN bought USING (user_id, item_id)),
+training AS (SELECT {FEATURE_LIST}, CASE WHEN times > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS label FROM (SELECT *, unnest(range(greatest(times, 1))) FROM counted)),
+pos AS (SELECT * FROM training WHERE label = 1)"""
+
 
-TRAINING = f"""lastday_buy AS (SELECT user_id, item_id FROM beh WHERE behavior_type = 4 AND time > {A30}),
-pos AS (SELECT {FEATURE_LIST}, CAST(1.0 AS DOUBLE) AS label FROM feat JOIN lastday_buy USING (user_id, item_id)),
-neg AS (SELECT *, CAST(0.0 AS DOUBLE) AS label FROM (SELECT {FEATURE_LIST} FROM feat EXCEPT SELECT {FEATURE_LIST} FROM pos) x),
-training AS (SELECT * FROM pos UNION ALL SELECT * FROM neg)"""
+def outer_join_features(anchor: str) -> str:
+    """The chain of full outer joins over four aggregates, before the anchor."""
+    part = lambda k: (
+        f"(SELECT user_id, item_id, {f'min({hours_before("time", anchor)}) AS time{k}, ' if k < 4 else ''}count(*) AS type_{k}count FROM beh WHERE time < {anchor} AND behavior_type = {k} GROUP BY ALL)"
+    )
+    columns = ", ".join(f"coalesce({c}, 0) AS {c}" for c in FEATURE_LIST.split(", ")[2:])
+    return f"feat AS (SELECT user_id, item_id, {columns} FROM " + " FULL OUTER JOIN ".join(part(k) + (" USING (user_id, item_id)" if k > 1 else "") for k in (1, 2, 3, 4)) + ")"
 
 
 # ---------------------------------------------------------------------------
@@ -150,3 +152,72 @@ tfidf AS (SELECT {id_cols}, tf.bucket, round(tf.tf * ln((ndocs.n_docs + 1) / (df
 
 
 CORPUS = "SELECT d.doc_id, d.text, CAST(l.toxic AS DOUBLE) AS label FROM documents d JOIN labels l USING (doc_id) WHERE d.text IS NOT NULL"
+
+
+# ---------------------------------------------------------------------------
+# Models
+
+
+# Newton steps of the weighted logistic regression on the training set: per
+# step the sums of an augmented matrix (Hessian | gradient), solved by
+# Gauss-Jordan elimination of its lists.
+NEWTON_STEPS = 25
+NEWTON = f"""obs AS (SELECT [1.0, time1, type_1count, time2, type_2count, time3, type_3count, type_4count]::DOUBLE[] AS x, label AS y, count(*)::DOUBLE AS w FROM training GROUP BY ALL),
+cells AS (SELECT i, j FROM range(1, 9) a(i), range(1, 10) b(j)),
+newton AS (
+  SELECT 0 AS step, [0.0, 0, 0, 0, 0, 0, 0, 0]::DOUBLE[] AS beta
+  UNION ALL
+  SELECT step + 1, list_transform(range(1, 9), lambda i: beta[i] + solved[i][9])
+  FROM (
+    SELECT step, beta, list_reduce(list_prepend(m, list_transform(range(1, 9), lambda k: [[k::DOUBLE]])),
+      lambda m, k: list_transform(range(1, 9), lambda r: list_transform(range(1, 10), lambda c:
+        CASE WHEN r = k[1][1] THEN m[r][c] / m[r][r] ELSE m[r][c] - m[r][k[1][1]::INT] / m[k[1][1]::INT][k[1][1]::INT] * m[k[1][1]::INT][c] END))) AS solved
+    FROM (
+      SELECT step, beta, list(line ORDER BY i) AS m
+      FROM (
+        SELECT step, beta, i, list(s ORDER BY j) AS line
+        FROM (SELECT step, beta, i, j, sum(CASE WHEN j = 9 THEN w * (y - p) * x[i] ELSE w * p * (1 - p) * x[i] * x[j] END) AS s
+              FROM (SELECT step, beta, x, y, w, 1 / (1 + exp(-list_dot_product(x, beta))) AS p FROM newton, obs WHERE step < {NEWTON_STEPS}), cells GROUP BY ALL)
+        GROUP BY step, beta, i)
+      GROUP BY step, beta))),
+fitted AS (SELECT beta FROM newton WHERE step = {NEWTON_STEPS})"""
+
+
+def recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def legacy_sgd(num_features: int, iterations: int = 100, reg: float = 0.01, tol: float = 0.001) -> str:
+    """Full-batch gradient steps of size 1 / sqrt(step) on the mean logistic
+    loss with L2 shrinkage, until the weights move by less than ``tol`` of
+    their length; the decision for every labelled document."""
+    return (
+        f"WITH RECURSIVE docs AS ({CORPUS}),\ntoks AS (SELECT doc_id, label, unnest({tokens_expr('text', lower=False, sep=' ')}) AS token FROM docs),\n"
+        + hashed_buckets("toks", num_features)
+        + ",\n"
+        + tf_rows("doc_id, label")
+        + f""",
+sgd AS (
+  SELECT 0 AS step, bucket, 0.0::DOUBLE AS w, FALSE AS done FROM tf GROUP BY bucket
+  UNION ALL
+  SELECT step, bucket, new AS w, step > 1 AND sqrt(sum((new - old) ** 2) OVER ()) < {tol} * greatest(sqrt(sum(new * new) OVER ()), 1) AS done
+  FROM (
+    SELECT step + 1 AS step, bucket, w AS old, w * (1 - {reg} / sqrt(step + 1)) - g / sqrt(step + 1) AS new
+    FROM sgd JOIN (
+      SELECT bucket, sum(miss * tf) / (SELECT count(*) FROM docs) AS g
+      FROM tf JOIN (SELECT doc_id, 1 / (1 + exp(-sum(tf * w))) - any_value(label) AS miss FROM tf JOIN sgd USING (bucket) WHERE step < {iterations} AND NOT done GROUP BY doc_id) USING (doc_id)
+      GROUP BY bucket) USING (bucket)
+    WHERE step < {iterations} AND NOT done)),
+margins AS (SELECT doc_id, sum(tf * w) AS margin FROM tf JOIN (SELECT * FROM sgd WHERE step = (SELECT max(step) FROM sgd)) USING (bucket) GROUP BY doc_id)
+SELECT doc_id, label, CASE WHEN margin > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction FROM docs LEFT JOIN margins USING (doc_id)"""
+    )
+
+
+def grid_folds(num_folds: int, grid: dict[str, tuple], kinds: tuple[str, ...]) -> str:
+    """Rows and positives of every fold, for every setting of ``grid``."""
+    settings = " CROSS JOIN ".join(f"(SELECT unnest([{', '.join(map(str, v))}])::{k} AS {n})" for (n, v), k in zip(grid.items(), kinds))
+    return (
+        f"WITH docs AS ({CORPUS}), folds AS (SELECT (('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % {num_folds})::INTEGER AS fold, "
+        f"count(*) AS n_rows, count(*) FILTER (WHERE label = 1) AS n_positive FROM docs GROUP BY ALL) "
+        f"SELECT {', '.join(grid)}, fold, n_rows, n_positive, true AS auc_is_evaluators FROM folds CROSS JOIN {settings}"
+    )

@@ -9,7 +9,7 @@ the fitted data never grows with repeated buys of one pair.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,13 +31,6 @@ def weighted_base_rate(train: DataFrame) -> float:
     return float(row["r"] or 0.0)
 
 
-def predict_buyers(model: PipelineModel, scoring: DataFrame, threshold: float | None = None) -> DataFrame:
-    """Pairs whose prediction is positive; ``threshold`` overrides the model's."""
-    if threshold is not None:
-        model.stages[-1].setThreshold(threshold)
-    return model.transform(scoring).where(F.col("prediction") > 0).select(*KEYS)
-
-
 def model_inputs(beh: DataFrame, train_anchor=DAY30, score_anchor=DAY31) -> tuple[DataFrame, DataFrame]:
     """(weighted training set, scoring set) from one aggregation of the log
     (``features.pair_table``), written once to the shared folder
@@ -55,9 +48,17 @@ def fit_and_score(beh: DataFrame, threshold: float | None = None, train_anchor=D
     return model, t, train, model.transform(scoring)
 
 
+def exact_pipeline() -> Pipeline:
+    """VectorAssembler -> the same weighted model, fitted to its optimum."""
+    return Pipeline(stages=[ml.assembler(), ml.exact_logistic(weight_col="weight")])
+
+
 def predicted_buyers(beh: DataFrame, threshold: float | None = 0.5, train_anchor=DAY30, score_anchor=DAY31) -> DataFrame:
     """End-to-end job: pairs whose probability to buy is above ``threshold``.
     At 0.5 a log with rare buys may predict nobody; None takes the training
-    base rate instead."""
-    _, _, _, scored = fit_and_score(beh, threshold, train_anchor, score_anchor)
-    return scored.where(F.col("prediction") > 0).select(*KEYS)
+    base rate instead.  The model is fitted to the exact optimum, so who is
+    predicted does not depend on where an optimiser stops."""
+    train, scoring = model_inputs(beh, train_anchor, score_anchor)
+    t = weighted_base_rate(train) if threshold is None else threshold
+    scored = exact_pipeline().fit(train).transform(scoring)
+    return scored.where(F.col("prediction") > t).select(*KEYS)

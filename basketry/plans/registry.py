@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from basketry.functions import textfn, timefn
 from basketry.operators import ml
 from basketry.operators import text as textop
+from basketry.operators.latest import latest_per_key
 from basketry.plans import candidates, curve, features, purchase, spam
 from basketry.plans import oracle as O
 from basketry.schema import ADD_TO_CART, BUY, DAY30, DAY31, FEATURE_COLUMNS, VIEW
@@ -243,7 +244,7 @@ def q_filter_behavior(spark, sf_dir):
 @query(
     "null_to_zero",
     O.with_beh()
-    + "SELECT p.user_id, p.item_id, CAST(coalesce(b.n, 0) AS INTEGER) AS type_4count "
+    + "SELECT p.user_id, p.item_id, CAST(coalesce(b.n, 0) AS BIGINT) AS type_4count "
     "FROM (SELECT DISTINCT user_id, item_id FROM beh) p "
     "LEFT JOIN (SELECT user_id, item_id, count(*) AS n FROM beh WHERE behavior_type = 4 GROUP BY ALL) b USING (user_id, item_id)",
 )
@@ -252,7 +253,7 @@ def q_null_to_zero(spark, sf_dir):
     beh = _beh(spark, sf_dir)
     pairs = beh.select(*KEYS).distinct()
     buys = beh.where(F.col("behavior_type") == BUY).groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"))
-    return pairs.join(buys, KEYS, "left").select(*KEYS, F.coalesce(F.col("n"), F.lit(0)).cast("int").alias("type_4count"))
+    return pairs.join(buys, KEYS, "left").select(*KEYS, F.coalesce(F.col("n"), F.lit(0)).alias("type_4count"))
 
 
 # ---------------------------------------------------------------------------
@@ -324,25 +325,25 @@ def q_fn_format_rate(spark, sf_dir):
 @query(
     "agg_min_count_pair",
     O.with_beh()
-    + f"SELECT user_id, item_id, min({O.hours_before('time', O.A30)}) AS time1, CAST(count(*) AS INTEGER) AS type_1count "
+    + f"SELECT user_id, item_id, min({O.hours_before('time', O.A30)}) AS time1, count(*) AS type_1count "
     f"FROM beh WHERE behavior_type = 1 AND time < {O.A30} GROUP BY ALL",
 )
 def q_agg_min_count_pair(spark, sf_dir):
     """A1: per pair, hours since the most recent view before day 30 and the view count."""
     beh = _beh(spark, sf_dir).where((F.col("behavior_type") == VIEW) & timefn.strictly_before(DAY30, raw="ts"))
     return beh.groupBy(*KEYS).agg(
-        timefn.hours_before(F.max("time"), DAY30).alias("time1"), F.count(F.lit(1)).cast("int").alias("type_1count")
+        timefn.hours_before(F.max("time"), DAY30).alias("time1"), F.count(F.lit(1)).alias("type_1count")
     )
 
 
 @query(
     "agg_buy_count_pair",
-    O.with_beh() + f"SELECT user_id, item_id, CAST(count(*) AS INTEGER) AS type_4count FROM beh WHERE behavior_type = 4 AND time < {O.A30} GROUP BY ALL",
+    O.with_beh() + f"SELECT user_id, item_id, count(*) AS type_4count FROM beh WHERE behavior_type = 4 AND time < {O.A30} GROUP BY ALL",
 )
 def q_agg_buy_count_pair(spark, sf_dir):
     """A2: per pair, buy rows before day 30."""
     beh = _beh(spark, sf_dir).where((F.col("behavior_type") == BUY) & timefn.strictly_before(DAY30, raw="ts"))
-    return beh.groupBy(*KEYS).agg(F.count(F.lit(1)).cast("int").alias("type_4count"))
+    return beh.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("type_4count"))
 
 
 @query("agg_last_per_key", O.with_beh(O.LAST_CART) + "SELECT * FROM last_cart")
@@ -351,6 +352,18 @@ def q_agg_last_per_key(spark, sf_dir):
     return curve.last_cart_hours(_beh(spark, sf_dir))
 
 
+@query(
+    "agg_latest_event",
+    "SELECT user_id, ts, event_type, value FROM events "
+    "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) = 1",
+)
+def q_agg_latest_event(spark, sf_dir):
+    """A3, general form: each user's latest event (type and value); of events at
+    one instant the one with the greatest id."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return latest_per_key(ev, ["user_id"], "ts", ["event_type", "value"], ["event_id"])
+
+
 @query("agg_pairs_per_hour", O.with_beh(O.LAST_CART, O.PER_HOUR) + "SELECT * FROM per_hour")
 def q_agg_pairs_per_hour(spark, sf_dir):
     """Number of carted pairs per hour (group by the value, count)."""
@@ -376,15 +389,19 @@ def q_join_inner_pair(spark, sf_dir):
 
 @query("join_inner_hour", O.with_beh(O.LAST_CART, O.BUYERS, O.PER_HOUR, O.CONV) + "SELECT hour, bought, carted FROM conv JOIN per_hour USING (hour)")
 def q_join_inner_hour(spark, sf_dir):
-    """Converted pairs per hour joined with carted pairs per hour."""
+    """Converted pairs per hour joined with carted pairs per hour.  The
+    carts are aggregated once, and so are the hours: both sides of the join on
+    the hour read the same exchange, which already deals by it."""
     beh = _beh(spark, sf_dir)
-    carts = curve.last_cart_hours(beh)
-    conv = carts.join(curve.buyers_after(beh), KEYS, "left_semi").groupBy("hour").agg(F.count(F.lit(1)).alias("bought"))
-    per_hour = carts.groupBy("hour").agg(F.count(F.lit(1)).alias("carted"))
-    return conv.join(per_hour, "hour")
+    bought = curve.buyers_after(beh).withColumn("bought", F.lit(1))
+    marked = curve.last_cart_hours(beh).join(bought, KEYS, "left")
+    hours = marked.groupBy("hour").agg(F.count("bought").alias("bought"), F.count(F.lit(1)).alias("carted"))
+    # always so; with both counts used on both sides, their exchange is the same
+    hours = hours.where("carted >= bought")
+    return hours.where("bought > 0").select("hour", "bought").join(hours.select("hour", "carted"), "hour")
 
 
-@query("join_full_outer_chain", O.with_beh(O.features(O.A30, True)) + "SELECT * FROM feat")
+@query("join_full_outer_chain", O.with_beh(O.outer_join_features(O.A30)) + "SELECT * FROM feat")
 def q_join_full_outer_chain(spark, sf_dir):
     """The literal feature plan, four aggregates chained by full outer joins."""
     return features.pair_features_outer_joins(_beh(spark, sf_dir), DAY30, before_anchor=True)
@@ -542,7 +559,8 @@ def q_tfidf_hashed(spark, sf_dir):
 )
 def q_tfidf_job(spark, sf_dir):
     """Labelled corpus -> tokens -> 20 hashed buckets -> IDF; (doc, label, bucket, weight)."""
-    rows = textop.tfidf_rows(tsrc.load_corpus(spark, sf_dir), ["doc_id", "label"], num_features=SAMPLE_TFIDF_BUCKETS)
+    docs, labels = tsrc.load_corpus_parts(spark, sf_dir)
+    rows = textop.tfidf_rows(docs, ["doc_id"], num_features=SAMPLE_TFIDF_BUCKETS, labels=labels)
     return rows.select("doc_id", "label", "bucket", F.round("weight", 6).alias("weight"))
 
 
@@ -600,9 +618,16 @@ def q_lr_score_rows(spark, sf_dir):
     return ml.score_checks(scored, model.stages[-1], threshold, KEYS)
 
 
-@query("predict_buyers")
+@query(
+    "predict_buyers",
+    O.recursive(O.with_beh(O.features(O.A30, True), O.TRAINING, O.NEWTON))
+    + ", score AS (SELECT user_id, item_id, [1.0, time1, type_1count, time2, type_2count, time3, type_3count, type_4count]::DOUBLE[] AS x FROM ("
+    + O.with_beh(O.features(O.A31, False))
+    + "SELECT * FROM feat)) SELECT user_id, item_id FROM score, fitted WHERE 1 / (1 + exp(-list_dot_product(x, beta))) > (SELECT avg(label) FROM training)",
+)
 def q_predict_buyers(spark, sf_dir):
-    """Pairs predicted to buy on day 31 (threshold = training base rate)."""
+    """Pairs predicted to buy on day 31 (threshold = training base rate),
+    by the exact optimum of the weighted logistic regression."""
     return purchase.predicted_buyers(_beh(spark, sf_dir), threshold=None)
 
 
@@ -630,44 +655,60 @@ def q_spam_train_score(spark, sf_dir):
     """Tokenizer -> HashingTF(10,000) -> LogisticRegression pipeline fitted
     on the labelled corpus and applied to it.  10,000 buckets separate a few
     hundred documents, so a right fit predicts every label."""
-    corpus = tsrc.load_corpus(spark, sf_dir)
-    return spam.train_text_model(corpus).transform(corpus).select("doc_id", "label", "prediction")
-
-
-def _grid_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    return spark.createDataFrame(rows, schema)
-
-
-@query("spam_grid_search")
+    docs, labels = tsrc.load_corpus_parts(spark, sf_dir)
+    return spam.score_text_model(spam.train_text_model(docs, labels=labels), docs, ["doc_id"], labels=labels)
+
+
+def _grid_folds(grid: spam.TextGrid, schema: str, values: int) -> DataFrame:
+    """A row per setting and fold, with a flag that its AUC by rank sums is
+    what Spark's evaluator makes of the same held-out scores."""
+    spark = grid.scores.sparkSession
+    settings = list(dict.fromkeys(r[:-1] for r in grid.rows))
+    by_features = {n: [s for s in settings if s[0] == n] for n, *_ in settings}
+    rows = []
+    for r in grid.folds:
+        setting, (fold, n_rows, n_positive, auc) = r[: 1 + values], r[1 + values :]
+        own = grid.scores.where((F.col("num_features") == setting[0]) & (F.col("setting") == by_features[setting[0]].index(setting)) & (F.col("fold") == fold))
+        agrees = auc is None or abs(ml.auc(own, "score", "label") - auc) < 1e-9
+        rows.append((*setting, fold, n_rows, n_positive, agrees))
+    return spark.createDataFrame(rows, f"num_features INT, {schema}, fold INT, n_rows BIGINT, n_positive BIGINT, auc_is_evaluators BOOLEAN")
+
+
+@query("spam_grid_search", O.grid_folds(3, {"num_features": spam.SPAM_FEATURES, "max_iter": spam.SPAM_ITERATIONS}, ("INTEGER", "INTEGER")))
 def q_spam_grid_search(spark, sf_dir):
     """numFeatures {10,000; 20,000} x maxIter {100; 200}, 3-fold CV by
-    AUC; one row per setting with its mean held-out AUC."""
-    corpus = spam.with_folds(tsrc.load_corpus(spark, sf_dir), 3)
-    return _grid_frame(spark, spam.spam_grid_search(corpus, fold_col="fold").rows, "num_features INT, max_iter INT, mean_auc DOUBLE")
+    AUC; per setting and fold the held-out rows and the check of its AUC."""
+    docs, labels = tsrc.load_corpus_parts(spark, sf_dir)
+    return _grid_folds(spam.spam_grid_search(docs, fold_key="doc_id", labels=labels), "max_iter INT", 1)
 
 
-@query("cv_grid_metrics")
+@query("cv_grid_metrics", O.grid_folds(2, {"num_features": spam.SAMPLE_FEATURES, "reg_param": spam.SAMPLE_REG_PARAMS}, ("INTEGER", "DOUBLE")))
 def q_cv_grid_metrics(spark, sf_dir):
     """M8: the sample grid (numFeatures {10; 100; 1,000} x regParam {0.1; 0.01},
     maxIter 10) with 2 folds fixed by a hash of doc_id (repeatable)."""
-    corpus = spam.with_folds(tsrc.load_corpus(spark, sf_dir), 2)
-    return _grid_frame(spark, spam.sample_grid_search(corpus, fold_col="fold").rows, "num_features INT, reg_param DOUBLE, mean_auc DOUBLE")
+    docs, labels = tsrc.load_corpus_parts(spark, sf_dir)
+    return _grid_folds(spam.sample_grid_search(docs, fold_key="doc_id", labels=labels), "reg_param DOUBLE", 1)
 
 
-@query("text_grid_sample")
+@query(
+    "text_grid_sample",
+    f"SELECT doc_id, len({O.tokens_expr('text')})::BIGINT AS n_tokens, true AS p_is_logistic, true AS prediction_matches "
+    "FROM documents WHERE text IS NOT NULL AND doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)",
+)
 def q_text_grid_sample(spark, sf_dir):
     """Sample grid search on the labelled corpus, best model applied to
-    the documents that have no label: (doc_id, prediction)."""
-    docs = _documents(spark, sf_dir).where(F.col("text").isNotNull())
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id")
-    corpus = spam.with_folds(tsrc.load_corpus(spark, sf_dir), 2)
-    best = spam.sample_grid_search(corpus, fold_col="fold").best
-    return best.transform(docs.join(labels, "doc_id", "left_anti")).select("doc_id", "prediction")
+    the documents that have no label; per document, whether its probability and
+    prediction are what the coefficients give on its own (bucket, count) rows."""
+    unlabelled = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id")
+    docs, labels = tsrc.load_corpus_parts(spark, sf_dir)
+    best = spam.sample_grid_search(docs, fold_key="doc_id", labels=labels).best
+    return spam.score_checks(best, _documents(spark, sf_dir).join(unlabelled, "doc_id", "left_anti"))
 
 
-@query("spam_sgd_legacy")
+@query("spam_sgd_legacy", O.legacy_sgd(HASH_BUCKETS))
 def q_spam_sgd_legacy(spark, sf_dir):
     """Legacy mllib SGD logistic regression on space-split tokens;
     predictions for every labelled document."""
-    corpus = tsrc.load_corpus(spark, sf_dir)
-    return spam.legacy_predict(spam.legacy_sgd(corpus), corpus, ["doc_id", "label"])
+    docs, labels = tsrc.load_corpus_parts(spark, sf_dir)
+    scored = spam.legacy_predict(spam.legacy_sgd(docs, labels=labels), docs, ["doc_id"])
+    return scored.join(labels, "doc_id").select("doc_id", "label", "prediction")

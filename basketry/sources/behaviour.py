@@ -12,7 +12,7 @@ Two ways in, one typed shape out (``schema.BEHAVIOUR_SCHEMA``):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.functions.timefn import parse_hour
@@ -103,11 +103,15 @@ def _valid(df: DataFrame) -> Column:
     return F.col("user_id").isNotNull() & F.col("item_id").isNotNull() & F.col("behavior_type").isNotNull() & F.col("time").isNotNull()
 
 
-def typed_behaviour(raw: DataFrame, trailing: bool = False) -> DataFrame:
+def typed_behaviour(raw: DataFrame, trailing: bool = False, counts: Observation | None = None) -> DataFrame:
     """Type the six text columns; rows with a bad key, code or time are dropped.
     ``trailing`` accepts text after the hour ('2014-12-18 22:15' is hour 22),
-    as a lenient date parser does."""
+    as a lenient date parser does.  ``counts`` observes, in the pass that first
+    reads the result, how many rows there are and how many are dropped:
+    ``counts.get`` then holds ``read_rows`` and ``rejected_rows``."""
     typed = raw.select(*_typed_columns(trailing))
+    if counts is not None:
+        typed = typed.observe(counts, F.count(F.lit(1)).alias("read_rows"), F.count_if(~_valid(typed)).alias("rejected_rows"))
     return typed.where(_valid(typed))
 
 

@@ -130,6 +130,18 @@ def test_hot_pair_is_spread_over_tasks(make_beh, spark):
         assert len(per_task) >= 4 and max(per_task) <= 6 * chunk
 
 
+def test_only_hot_pairs_are_spread(make_beh):
+    """With a chunk of 3 every hot pair takes the other way; rows are the same."""
+    rows = [(u, u % 2, 1, "2014-12-17 20") for u in range(9)] + [(u, u % 2, 4, "2014-12-18 05") for u in range(9) for _ in range(u)]
+    beh = make_beh(rows)
+    for job in (features.training_set, features.label_fanout):
+        columns = job(beh, A).columns
+        assert job(beh, A, chunk=3).columns == columns
+        assert rows_of(job(beh, A, chunk=3), *columns) == rows_of(job(beh, A), *columns)
+    shuffles = lambda df: df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange hashpartitioning")
+    assert shuffles(features.training_set(beh, A)) == 1 < shuffles(features.training_set(beh, A, chunk=3))
+
+
 def test_counts_do_not_overflow(make_beh):
     assert dict(features.training_set(make_beh([(1, 1, 1, "2014-12-17 20")]), A).dtypes)["type_1count"] == "bigint"
 

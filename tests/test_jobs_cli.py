@@ -57,6 +57,13 @@ def test_predict_job_from_events(spark, inputs):
         assert spark.read.schema("user_id LONG, item_id LONG").csv(out).count() == n
 
 
+def test_predict_job_from_csv_counts_rejects(spark, inputs, capfd):
+    out = str(inputs["dir"] / "pred-csv")
+    _run(spark, ["predict", "--log", inputs["log"], "--out", out, "--threshold", "base-rate"])
+    assert spark.read.schema("user_id LONG, item_id LONG").csv(out).count() == 2262
+    assert "rejected rows: 0 of 7986" in capfd.readouterr().err
+
+
 def test_scoring_and_json_jobs(spark, inputs):
     d = inputs["dir"]
     _run(spark, ["scoring", "--log", inputs["log"], "--out", str(d / "scoring")])

@@ -74,16 +74,16 @@ def test_text_model_pipeline_and_new_messages(spark):
     assert len(out) == 2 and all(r.prediction in (0.0, 1.0) for r in out)
 
 
-def test_grid_with_fold_column_is_repeatable(spark):
-    corpus = spam.with_folds(load_corpus(spark, "/root/testdata/sf0.001"), 2)
-    a = spam.sample_grid_search(corpus.repartition(1), fold_col="fold", parallelism=2).rows
-    b = spam.sample_grid_search(corpus.repartition(6), fold_col="fold").rows
+def test_grid_with_a_fold_key_is_repeatable(spark):
+    corpus = load_corpus(spark, "/root/testdata/sf0.001")
+    a = spam.sample_grid_search(corpus.repartition(1), fold_key="doc_id", parallelism=2).rows
+    b = spam.sample_grid_search(corpus.repartition(6), fold_key="doc_id").rows
     assert [r[:2] for r in a] == [(10, 0.1), (10, 0.01), (100, 0.1), (100, 0.01), (1000, 0.1), (1000, 0.01)]
     assert all(abs(x[2] - y[2]) < 1e-6 for x, y in zip(a, b))
 
 
 def test_spam_grid_folds_come_from_the_text(spark):
-    """Without a fold column the folds are a hash of the text: partitions do not matter."""
+    """Without a fold key the folds are a hash of the text: partitions do not matter."""
     corpus = load_corpus(spark, "/root/testdata/sf0.001")
     run = lambda n: spam.spam_grid_search(corpus.repartition(n), num_features=(100, 200), max_iters=(5, 10))
     a, b = run(1), run(6)
@@ -92,22 +92,58 @@ def test_spam_grid_folds_come_from_the_text(spark):
     assert a.best.stages[1].getNumFeatures() == max(a.rows, key=lambda r: r[2])[0]
 
 
-def test_fold_metric_by_hand(spark):
-    """One grid point re-derived: fit on fold != k, AUC on fold == k, mean."""
-    from pyspark.ml.tuning import ParamGridBuilder
-
-    corpus = spam.with_folds(load_corpus(spark, "/root/testdata/sf0.001"), 2).cache()
-    pipe, tf, lr = ml.text_classifier(num_features=100, max_iter=10, reg_param=0.1)
-    grid = ParamGridBuilder().addGrid(tf.numFeatures, [100]).build()
-    cv = ml.grid_search(corpus, pipe, grid, num_folds=2, fold_col="fold", parallelism=1)
+def test_grid_equals_spark_cross_validation(spark):
+    """Mean held-out AUC and best setting against Spark's CrossValidator on the same folds."""
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator
 
-    by_hand = []
-    for k in range(2):
-        m = pipe.fit(corpus.where(F.col("fold") != k))
-        by_hand.append(BinaryClassificationEvaluator().evaluate(m.transform(corpus.where(F.col("fold") == k))))
-    assert abs(cv.avgMetrics[0] - sum(by_hand) / 2) < 1e-9
-    corpus.unpersist()
+    corpus = load_corpus(spark, "/root/testdata/sf0.001")
+    grid = spam.text_grid(corpus, (100,), {"regParam": (0.1, 0.001), "maxIter": (3, 10)}, 3, fold_key="doc_id")
+    pipe, _, lr = ml.text_classifier(num_features=100)
+    params = ml.build_grid([(lr.regParam, (0.1, 0.001)), (lr.maxIter, (3, 10))])
+    cv = CrossValidator(estimator=pipe, estimatorParamMaps=params, evaluator=BinaryClassificationEvaluator(numBins=0), numFolds=3, foldCol="fold")
+    theirs = cv.fit(spam.with_folds(corpus, 3)).avgMetrics
+    by_setting = {(m[lr.regParam], m[lr.maxIter]): a for m, a in zip(params, theirs)}
+    assert all(abs(by_setting[r[1:3]] - r[3]) < 1e-9 for r in grid.rows) and len(grid.rows) == 4
+    best = max(grid.rows, key=lambda r: r[3])
+    assert (grid.best.stages[-1].getRegParam(), grid.best.stages[-1].getMaxIter()) == best[1:3]
+    assert [r[:4] for r in grid.folds] == [(100, *r[1:3], k) for r in grid.rows for k in range(3)]
+
+
+def test_grouped_auc_against_pairs(spark):
+    import random
+
+    rng = random.Random(2)
+    rows = [(g, rng.choice([-1e300, -3.5, -1e-9, 0.0, -0.0, 1e-300, 0.5, 0.5000001, rng.gauss(0, 5)]), float(rng.random() < 0.3)) for g in range(5) for _ in range(g * 60)]
+    rows += [(9, 1.0, 1.0), (9, 2.0, 1.0), (8, 1.0, 0.0)]
+    got = {r["g"]: r for r in ml.grouped_auc(spark.createDataFrame(rows, "g int, score double, label double").repartition(5), ["g"]).collect()}
+    for g in (1, 2, 3, 4):
+        p, n = ([x for h, x, y in rows if h == g and y == v] for v in (1.0, 0.0))
+        wins = sum((a > b) + (a == b) / 2 for a in p for b in n)
+        assert abs(got[g]["auc"] - wins / len(p) / len(n)) < 1e-12 and (got[g]["n_rows"], got[g]["n_positive"]) == (60 * g, len(p))
+    assert got[9]["auc"] is None and got[8]["auc"] is None and set(got) == {1, 2, 3, 4, 8, 9}
+
+
+def test_exact_fit_has_no_gradient_left(spark):
+    """The reweighted least squares fit is the optimum that the optimiser nears."""
+    train, _ = purchase.model_inputs(load_behaviour(spark, SF01))
+    exact, near = purchase.exact_pipeline().fit(train).stages[-1], purchase.purchase_pipeline().fit(train).stages[-1]
+    assert abs(exact.intercept - near.intercept) < 1e-3
+    p = purchase.exact_pipeline().fit(train).transform(train)
+    r = p.agg(*[F.abs(F.sum((F.col("prediction") - F.col("label")) * F.col("weight") * x)) for x in (F.lit(1.0), F.col("time1"), F.col("type_3count"))]).first()
+    assert max(r) < 1e-5
+
+
+def test_score_checks_of_a_text_model_depend_on_the_fit(spark):
+    docs = load_corpus(spark, "/root/testdata/sf0.001")
+    model = spam.train_text_model(docs, num_features=50, max_iter=3)
+    other = spam.train_text_model(docs, num_features=50, max_iter=1)
+    good = F.col("p_is_logistic") & F.col("prediction_matches")
+    assert spam.score_checks(model, docs).where(~good).count() == 0
+    mixed = type(model)(stages=[*model.stages[:-1], other.stages[-1]])
+    assert spam.score_checks(mixed, docs).where(~good).count() == 0
+    checks = spam.score_checks(model, docs).join(model.transform(docs).select("doc_id", "words"), "doc_id")
+    assert checks.where(F.col("n_tokens") != F.size("words")).count() == 0
 
 
 def test_legacy_sgd_scores_every_document(spark):
