@@ -16,6 +16,8 @@ record id for the revisits that are resolved.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,46 +25,64 @@ from basketry.session import materialize
 
 #: Headers that a 304 updates in the stored response.
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "vary")
-BLOCK_SECONDS = 86_400
+#: Length of the time blocks of a URL's records.
+BLOCK_SECONDS = 600
 _TRACKING = "utm_[a-z]+|gclid|fbclid|ref"
 
 
 def canonical_url(url: Column) -> Column:
     """Scheme, ``www.`` or ``m.``, default port, fragment, tracking parameters
-    and trailing slashes dropped, host in lower case."""
-    bare = F.regexp_replace(F.trim(url), r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
-    bare = F.regexp_replace(bare, r"#.*$", "")
-    host = F.regexp_replace(F.lower(F.regexp_extract(bare, r"^[^/?]*", 0)), r"^(www|m)\.|:(80|443)$", "")
-    path = F.regexp_replace(bare, r"^[^/?]*", "")
-    path = F.regexp_replace(path, rf"([?&])({_TRACKING})=[^&]*", "$1")
-    path = F.regexp_replace(F.regexp_replace(F.regexp_replace(path, r"&+", "&"), r"\?&", "?"), r"[?&]+$", "")
-    return F.concat(host, F.regexp_replace(path, r"/+$", ""))
-
-
-def header_map(block: Column) -> Column:
-    """map<lower-case name, value> of a header block of "Name: value" lines;
-    values of a repeated name are joined by ", ".  Null: an empty map."""
+    and trailing slashes dropped, host in lower case.  Only URLs that have
+    parameters take the patterns for them."""
+    bare = F.substring_index(F.regexp_replace(F.trim(url), r"^[A-Za-z][A-Za-z0-9+.-]*://", ""), "#", 1)
+    host = F.substring_index(F.substring_index(bare, "/", 1), "?", 1)
+    path = F.substr(bare, F.length(host) + 1)
+    host = F.lower(host)
+    for mark in ("www.", "m."):
+        host = F.when(F.startswith(host, F.lit(mark)), F.concat(F.lit("\n"), F.substr(host, F.lit(len(mark) + 1)))).otherwise(host)
+    host = F.ltrim(host, F.lit("\n"))  # one of the two marks goes
+    for port in (":80", ":443"):
+        host = F.when(F.endswith(host, F.lit(port)), F.substr(host, F.lit(1), F.length(host) - len(port))).otherwise(host)
+    plain = F.regexp_replace(path, rf"([?&])({_TRACKING})=[^&]*", "$1")
+    plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(plain, r"&+", "&"), r"\?&", "?"), r"[?&]+$", "")
+    path = F.when(F.contains(path, F.lit("?")) | F.contains(path, F.lit("&")), plain).otherwise(path)
+    return F.concat(host, F.rtrim(path, F.lit("/")))
+
+
+def header_pairs(block: Column) -> Column:
+    """array<struct<name, value>> of a header block of "Name: value" lines,
+    names in lower case and once each; values of a repeated name are joined by
+    ", ".  Null: an empty array."""
     lines = F.filter(F.split(F.coalesce(block, F.lit("")), r"\r?\n"), lambda x: F.instr(x, ":") > 1)
-    pairs = F.transform(lines, lambda x: F.struct(F.lower(F.trim(F.substring_index(x, ":", 1))).alias("name"), F.trim(F.substr(x, F.instr(x, ":") + 1)).alias("value")))
+    pair = lambda name, value: F.struct(name.alias("name"), value.alias("value"))
+    pairs = F.transform(lines, lambda x: pair(F.lower(F.trim(F.substring_index(x, ":", 1))), F.trim(F.substr(x, F.instr(x, ":") + 1))))
     names = F.array_distinct(F.transform(pairs, lambda p: p["name"]))
-    joined = F.transform(names, lambda n: F.array_join(F.transform(F.filter(pairs, lambda p: p["name"] == n), lambda p: p["value"]), ", "))
-    return F.map_from_arrays(names, joined)
+    joined = F.transform(names, lambda n: pair(n, F.array_join(F.transform(F.filter(pairs, lambda p: p["name"] == n), lambda p: p["value"]), ", ")))
+    return F.when(F.size(names) == F.size(pairs), pairs).otherwise(joined)
+
+
+def header_value(block: Column, name: str) -> Column:
+    """The value that ``header_pairs`` has for ``name``, by one pattern; null
+    if there is none."""
+    found = F.regexp_extract_all(block, F.lit(rf"(?imd)^ *{re.escape(name)} *: *(.*?) *\r?$"), F.lit(1))
+    return F.when(F.size(found) > 0, F.array_join(found, ", "))
 
 
-def header_text(headers: Column) -> Column:
+def header_text(pairs: Column) -> Column:
     """"name: value" lines in the order of the names."""
-    return F.array_join(F.transform(F.array_sort(F.map_entries(headers)), lambda e: F.concat(e["key"], F.lit(": "), e["value"])), "\n")
+    return F.array_join(F.transform(F.array_sort(pairs), lambda p: F.concat(p["name"], F.lit(": "), p["value"])), "\n")
 
 
 def merge_headers(stored: Column, update: Column, permitted: tuple[str, ...] = PERMITTED) -> Column:
     """``stored`` with the permitted ones of ``update`` put in their place."""
-    allowed = F.map_filter(update, lambda k, v: k.isin(*permitted))
-    return F.map_concat(F.map_filter(stored, lambda k, v: ~F.map_contains_key(allowed, k)), allowed)
+    allowed = F.filter(update, lambda p: p["name"].isin(*permitted))
+    names = F.transform(allowed, lambda p: p["name"])
+    return F.concat(F.filter(stored, lambda p: ~F.array_contains(names, p["name"])), allowed)
 
 
 def _weak(etag: Column) -> Column:
     """ETags compare without their weakness mark."""
-    return F.regexp_replace(etag, r"^W/", "")
+    return F.when(F.startswith(etag, F.lit("W/")), F.substr(etag, F.lit(3))).otherwise(etag)
 
 
 def resolve_revisits(records: DataFrame, block_seconds: int = BLOCK_SECONDS) -> DataFrame:
@@ -78,25 +98,27 @@ def resolve_revisits(records: DataFrame, block_seconds: int = BLOCK_SECONDS) ->
     validators fail.  Of responses at one instant the one with the greatest
     record_id counts.  Repeated rows are resolved alike, provided record ids
     of responses are unique; an empty table gives no rows."""
-    validators = header_map(F.col("headers"))
     slim = records.where(F.col("type").isin("response", "revisit")).select(
         "record_id",
         (F.col("type") == "revisit").alias("revisit"),
         canonical_url(F.col("url")).alias("canonical"),
         F.unix_micros(F.col("date").cast("timestamp")).alias("at"),
-        _weak(F.try_element_at(validators, F.lit("etag"))).alias("etag"),
-        F.try_element_at(validators, F.lit("last-modified")).alias("modified"),
+        _weak(header_value(F.col("headers"), "etag")).alias("etag"),
+        header_value(F.col("headers"), "last-modified").alias("modified"),
         F.when(F.col("type") == "revisit", F.col("headers")).alias("update"),
     )
     slim = materialize(slim.withColumn("block", F.floor(F.col("at") / (block_seconds * 1_000_000))), "captures")
-    response = F.when(~F.col("revisit") & F.col("at").isNotNull(), F.struct("at", "record_id", "etag", "modified"))
-    last = slim.groupBy("canonical", "block").agg(F.max(response).alias("last"))
+    # without URL or date there is no earlier response: such records, of which
+    # there may be many, stay out of the grouping
+    apart = F.col("canonical").isNull() | F.col("at").isNull()
+    timed = slim.where(~apart)
+    response = F.when(~F.col("revisit"), F.struct("at", "record_id", "etag", "modified"))
+    last = timed.groupBy("canonical", "block").agg(F.max(response).alias("last"))
     before = Window.partitionBy("canonical").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     carried = last.select(F.col("canonical").alias("c"), F.col("block").alias("b"), F.max("last").over(before).alias("carried"))
-    placed = slim.join(carried, (F.col("canonical") == F.col("c")) & (F.col("block") == F.col("b")), "left")
+    placed = timed.join(carried, (F.col("canonical") == F.col("c")) & (F.col("block") == F.col("b")), "left")
     earlier = Window.partitionBy("canonical", "block").orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
     found = placed.withColumn("base", F.coalesce(F.max(response).over(earlier), "carried")).where("revisit")
-    found = found.withColumn("base", F.when(F.col("canonical").isNotNull() & F.col("at").isNotNull(), F.col("base")))
     by_tag = F.col("etag").isNotNull() & F.col("base.etag").isNotNull()
     by_date = F.col("modified").isNotNull() & F.col("base.modified").isNotNull()
     outcome = (
@@ -106,9 +128,10 @@ def resolve_revisits(records: DataFrame, block_seconds: int = BLOCK_SECONDS) ->
         .otherwise("no_validator")
     )
     decided = found.select("record_id", "canonical", F.col("base.record_id").alias("refers_to"), outcome.alias("outcome"), "update")
+    lone = slim.where(apart & F.col("revisit")).select("record_id", "canonical", F.lit(None).cast("string").alias("refers_to"), F.lit("no_response").alias("outcome"), "update")
     stored = records.where("type = 'response'").select(F.col("record_id").alias("r"), F.col("headers").alias("stored"), "payload")
-    done = decided.join(stored, (F.col("refers_to") == F.col("r")) & (F.col("outcome") == "resolved"), "left")
-    merged = header_text(merge_headers(header_map(F.col("stored")), header_map(F.col("update"))))
+    done = decided.union(lone).join(stored, (F.col("refers_to") == F.col("r")) & (F.col("outcome") == "resolved"), "left")
+    merged = header_text(merge_headers(header_pairs(F.col("stored")), header_pairs(F.col("update"))))
     return done.select("record_id", "canonical", "refers_to", "outcome", F.when(F.col("r").isNotNull(), merged).alias("headers"), "payload")
 
 

@@ -30,6 +30,12 @@ def resolve(spark):
         ("https://m.ex.org/A/?utm_medium=1", "ex.org/A"),
         ("ex.org", "ex.org"),
         ("http://ex.org/?a=1&utm_id=2&c=3", "ex.org/?a=1&c=3"),
+        ("https://www.m.ex.org:443", "m.ex.org"),
+        ("http://www.ex.org:80:443//", "ex.org:80"),
+        ("ex.org?b=1&&c=2&", "ex.org?b=1&c=2"),
+        ("ex.org/a&utm_x=1", "ex.org/a"),
+        ("wwwx.org:8080/?", "wwwx.org:8080"),
+        (" ex.org/a//#x#y ", "ex.org/a"),
         ("", ""),
         (None, None),
     ],
@@ -38,6 +44,12 @@ def test_canonical_url(spark, url, want):
     assert spark.createDataFrame([(url,)], "u string").select(W.canonical_url(F.col("u")).alias("x")).first()["x"] == want
 
 
+@pytest.mark.parametrize("block", ['ETag: "1"', ' etag :W/"1" \r\nX: y', "x: 1\nETAG: a\r\nEtag:  b  ", "etag:", "X-ETag: 1\r\nno etag: 2", "a: b\u2028etag: 3", "", None])
+def test_header_value_is_that_of_the_pairs(spark, block):
+    row = spark.createDataFrame([(block,)], "b string").select(W.header_value(F.col("b"), "etag").alias("one"), W.header_pairs(F.col("b")).alias("all")).first()
+    assert row["one"] == dict(map(tuple, row["all"])).get("etag")
+
+
 def test_latest_earlier_response_and_merge(resolve):
     rows = [
         rec("a", "response", "http://e.org/x", 0, 'ETag: "1"\r\nContent-Type: text/html\r\nExpires: old', "one"),
