@@ -23,7 +23,7 @@ from basketry.llm.common import map_batches, slices
 # Fixed values of the HTML standard.
 VOID = frozenset("area base basefont bgsound br col embed frame hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = frozenset("head script style template noscript title iframe noembed noframes object audio video canvas datalist area param rp meta link base".split())
+HIDDEN = frozenset("head script style template noscript title iframe noembed noframes audio video canvas datalist area param rp meta link base".split())
 #: What is not rendered inside svg and math, where text inside them is HTML
 #: again, and the tags that end them.
 UNRENDERED = {
@@ -70,22 +70,99 @@ _TABLE_PARTS = frozenset("tbody thead tfoot tr td th caption colgroup col script
 #: Columns up to this width are padded; longer cells are written whole.
 MAX_PAD = 60
 
-_TAG = re.compile(r"<(?:!--|([!?])|(/?)([a-zA-Z][^\s/>]*)([^>]*)>)")
+#: Elements whose text keeps its lines and spaces.
+_PREFORMATTED = frozenset("pre listing xmp plaintext textarea".split())
+
+_TAG = re.compile(r"<(?:!--|([!?])|(/?)([a-zA-Z][^\s/>]*))")
+_COMMENT_END = re.compile(r"--!?>")
+#: What ends a tag, or opens a value that may hold its end.
+_MARK = re.compile(r""">|=\s*(["'])""")
 _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-_QUOTED = re.compile(r"""=\s*(?:"[^"]*"|'[^']*')""")
-_OPENS = re.compile(r"""=\s*(["'])""")
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-_CONCEALS = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_CSS = re.compile(r"/\*.*?(?:\*/|\Z)|\"[^\"\n]*\"|'[^'\n]*'|[{};]", re.S)
+_DECLARED = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)\s*(!\s*important)?", re.I)
 _SIMPLE = re.compile(r"[a-zA-Z][\w-]*|[.#][\w-]+")
 _BLANK = " \t\n\r\f"
-
-
-def _unclosed(attrs: str) -> str | None:
-    """The quotation mark of a value that is still open at the end."""
-    if '"' not in attrs and "'" not in attrs:
-        return None
-    mark = _OPENS.search(_QUOTED.sub("=", attrs))
-    return mark and mark[1]
+_SPACES = re.compile(r"\s*")
+
+
+class _Tags:
+    """Where tags end, in time linear in the page however broken it is: what
+    was looked for in vain is not looked for again."""
+
+    def __init__(self, html: str):
+        self.html = html
+        self.last = html.rfind(">")
+        self.last_quote = {q: html.rfind(q) for q in "\"'"}
+        self.dead: set[int] = set()  # marks from which no end follows
+
+    def end(self, at: int) -> int:
+        """Position of the ">" that ends the tag whose name ends at ``at``;
+        -1: none.  One inside a quoted value does not count, unless there is
+        no other; a quotation mark that is never closed is an ordinary one."""
+        if at > self.last:
+            return -1
+        passed, pos = [], at
+        while (m := _MARK.search(self.html, pos)) is not None and m.start() not in self.dead:
+            quote = m[1]
+            if quote is None:
+                return m.start()
+            passed.append(m.start())
+            pos = self.html.find(quote, m.end()) + 1 if m.end() <= self.last_quote[quote] else m.end()
+            if pos > self.last:
+                break
+        self.dead.update(passed)
+        return self.html.find(">", at)
+
+
+def has_doctype(html: str) -> bool:
+    """Whether a document type stands in front; class names and ids keep their
+    case then."""
+    at = 0
+    while True:
+        at = _SPACES.match(html, at).end()
+        if not html.startswith("<!--", at):
+            return html[at : at + 9].lower() == "<!doctype"
+        done = _COMMENT_END.search(html, at + 4)
+        if done is None:
+            return False
+        at = done.end()
+
+
+def style_rules(css: str) -> Iterator[tuple[str, str]]:
+    """(selectors, declarations) of the rules that hold on any screen: those
+    for other media, or under a condition, are left out."""
+    holds, text, at = [True], "", 0
+    for m in _CSS.finditer(css):
+        text += css[at : m.start()]
+        at = m.end()
+        mark = m[0]
+        if mark == "{":
+            head = text.strip()
+            if head.startswith("@"):
+                name, _, media = head[1:].partition(" ")
+                kinds = [k.strip().lower() for k in media.split(",")]
+                holds.append(holds[-1] and (name.lower() in ("layer", "supports") or name.lower() == "media" and any(k in ("", "all", "screen", "only screen", "not print") for k in kinds)))
+            else:
+                rule = head
+                holds.append(None)
+            text = ""
+        elif mark == "}":
+            if len(holds) > 1:
+                if holds.pop() is None and holds[-1]:
+                    yield rule, text
+            text = ""
+        elif mark == ";" and holds[-1] is not None:
+            text = ""  # an @import, or the like
+        elif mark == ";":
+            text += ";"
+        elif mark[0] in "\"'":
+            text += mark
+
+
+def _declared(body: str) -> Iterator[tuple[str, str, bool]]:
+    """(property, value, whether important) of display and visibility."""
+    for name, value, important in _DECLARED.findall(body):
+        yield name.lower(), value.lower(), bool(important)
 
 
 class Node:
@@ -111,6 +188,7 @@ class TreeBuilder:
         self.styles: list[str] = []
         #: How many of each tag are open; most searches end here.
         self.opened: dict[str, int] = {}
+        self.quirks = True
 
     def _open(self, tags: frozenset[str], until: frozenset[str]) -> Node | None:
         if not any(self.opened.get(t) for t in tags):
@@ -165,6 +243,8 @@ class TreeBuilder:
                 self._close(node)
         if tag in _CELLS and self.at.tag in _IN_TABLE - {"tr"}:
             self.start("tr", "")
+        if tag == "form" and self.at.tag in _IN_TABLE:
+            return  # empty there, so nothing of it is seen
         node = Node(tag, attrs, self.at)
         self._place(node, tag)
         if tag not in VOID and not (node.inside and attrs.endswith("/")):
@@ -186,23 +266,31 @@ class TreeBuilder:
                 self._close(node)
 
     def feed(self, html: str) -> Node:
-        at = 0
-        while (m := _TAG.search(html, at)) is not None:
+        self.quirks = not has_doctype(html)
+        tags, at, seen = _Tags(html), 0, 0
+        while (m := _TAG.search(html, seen)) is not None:
+            bang, close, name = m.groups()
+            if name is not None:
+                if (stop := tags.end(m.end())) < 0:  # no tag ends any more; the rest is text, up to a comment
+                    rest = [i for i in (html.find("<!", m.end()), html.find("<?", m.end())) if i >= 0]
+                    if not rest:
+                        break
+                    seen = min(rest)
+                    continue
             self.text(unescape(html[at : m.start()]) if "&" in html[at : m.start()] else html[at : m.start()])
-            bang, close, name, attrs = m.groups()
-            at = m.end()
             if name is None:
-                end = html.find(">" if bang else "-->", at)
-                at = len(html) if end < 0 else end + (1 if bang else 3)
+                if bang:
+                    stop = html.find(">", m.end())
+                    at = len(html) if stop < 0 else stop + 1
+                elif short := next((x for x in (">", "->") if html.startswith(x, m.end())), ""):
+                    at = m.end() + len(short)
+                else:
+                    done = _COMMENT_END.search(html, m.end())
+                    at = len(html) if done is None else done.end()
+                seen = at
                 continue
-            # a ">" inside a quoted value does not end the tag
-            while (quote := _unclosed(attrs)) is not None:
-                shut = html.find(quote, at)
-                stop = html.find(">", shut) if shut >= 0 else -1
-                if stop < 0:
-                    break
-                attrs, at = attrs + html[at - 1 : stop], stop + 1
-            tag = name.lower()
+            attrs, at, tag = html[m.end() : stop], stop + 1, name.lower()
+            seen = at
             if close:
                 self.end(tag)
                 continue
@@ -213,31 +301,47 @@ class TreeBuilder:
                 if tag == "style":
                     self.styles.append(html[at:stop])
                 self.text(unescape(html[at:stop]) if tag in ("textarea", "title") else html[at:stop])
-                at = stop
+                at = seen = stop
                 if done is None:
                     break
             elif tag == "plaintext":
                 self.text(html[at:])
-                at = len(html)
+                at = seen = len(html)
         self.text(unescape(html[at:]))
         return self.root
 
-    def concealed(self) -> frozenset[str]:
-        """Selectors (tag, .class, #id) that the page's own styles hide."""
-        return frozenset(s.strip().lower() for css in self.styles for sels, body in _RULE.findall(css) if _CONCEALS.search(body) for s in sels.split(",") if _SIMPLE.fullmatch(s.strip()))
+    def rules(self) -> dict[str, list[tuple[str, tuple, str]]]:
+        """Selector (tag, .class, #id) -> (property, rank, value) of what the
+        page's own styles declare; the greatest rank counts."""
+        found: dict[str, list[tuple[str, tuple, str]]] = {}
+        order = 0
+        for css in self.styles:
+            for selectors, body in style_rules(css):
+                for name, value, important in _declared(body):
+                    order += 1
+                    for s in map(str.strip, selectors.split(",")):
+                        if _SIMPLE.fullmatch(s):
+                            kind = 1 + ".#".find(s[0]) if s[0] in ".#" else 0
+                            found.setdefault(s.lower() if self.quirks or not kind else s, []).append((name, (important, kind, order), value))
+        return found
 
 
-def visible(node: Node, concealed: frozenset[str]) -> bool:
-    if node.tag in HIDDEN or node.tag in concealed or (node.inside and node.tag in UNRENDERED[node.inside]):
-        return False
-    if not node.attrs:
-        return node.tag != "dialog"
-    a = node.attributes()
-    if "hidden" in a or (node.tag == "dialog" and "open" not in a) or _CONCEALS.search(a.get("style", "")):
-        return False
-    if concealed and ("#" + a.get("id", "").lower() in concealed or any("." + c in concealed for c in a.get("class", "").lower().split())):
-        return False
-    return True
+def styled(node: Node, rules: dict[str, list[tuple[str, tuple, str]]], quirks: bool) -> tuple[bool, str | None]:
+    """(whether the element has a box, its own visibility or None)."""
+    if node.tag in HIDDEN or (node.inside and node.tag in UNRENDERED[node.inside]):
+        return False, None
+    if not node.attrs and not rules:
+        return node.tag != "dialog", None
+    a = node.attributes() if node.attrs else {}
+    found = [("display", (False, -1, 0), "none")] if "hidden" in a or node.tag == "dialog" and "open" not in a else []
+    if rules:
+        same = str.lower if quirks else str
+        for selector in (node.tag, *("." + same(c) for c in a.get("class", "").split()), "#" + same(a.get("id", ""))):
+            found += rules.get(selector, ())
+    if "style" in a:
+        found += [(name, (important, 3, i), value) for i, (name, value, important) in enumerate(_declared(a["style"]))]
+    of = lambda what: max(((rank, value) for name, rank, value in found if name == what), default=((), None))[1]
+    return of("display") != "none", of("visibility")
 
 
 def width(text: str) -> int:
@@ -278,6 +382,9 @@ class Flow:
         if line:
             if not self.line:
                 self._begin()
+            elif self.space:
+                self.line.append(" ")
+            self.space = False
             self.line.append(line)
 
     def end_line(self, gap: int = 0, force: bool = False) -> None:
@@ -347,17 +454,19 @@ def render(html: str) -> str:
     """The visible text of a page."""
     builder = TreeBuilder()
     root = builder.feed(html.replace("\r\n", "\n").replace("\0", ""))
-    concealed = builder.concealed()
+    rules = builder.rules()
     flows, tables, lists = [Flow()], [], []
     pre = 0
-    todo = [(root, iter(root.children))]
+    todo = [(root, iter(root.children), True)]
     while todo:
-        node, children = todo[-1]
+        node, children, seen = todo[-1]
         flow = flows[-1]
         child = next(children, None)
         if child is not None and node.tag == "details" and (isinstance(child, str) or child.tag != "summary") and "open" not in node.attributes():
             continue
         if isinstance(child, str):
+            if not seen:
+                continue
             if pre:
                 first, *others = child.split("\n")
                 flow.raw(first)
@@ -368,8 +477,10 @@ def render(html: str) -> str:
                 flow.text(child)
             continue
         if child is not None:
-            if not visible(child, concealed):
+            boxed, visibility = styled(child, rules, builder.quirks)
+            if not boxed:
                 continue
+            shown = seen if visibility in (None, "inherit") else visibility not in ("hidden", "collapse")
             tag = child.tag
             if tag == "br":
                 flow.end_line(force=True)
@@ -399,14 +510,15 @@ def render(html: str) -> str:
                     flow.marker = mark
                 elif tag in ("dd", "blockquote"):
                     flow.indent.append("  ")
-                elif tag == "pre":
-                    pre += 1
-                    if child.children and isinstance(child.children[0], str):
-                        child.children[0] = child.children[0].removeprefix("\n")
-            todo.append((child, iter(child.children)))
+            if tag in _PREFORMATTED:
+                pre += 1
+                if child.children and isinstance(child.children[0], str):
+                    child.children[0] = child.children[0].removeprefix("\n")
+            todo.append((child, iter(child.children), shown))
             continue
         todo.pop()
         tag = node.tag
+        pre -= tag in _PREFORMATTED
         if tag in _CELLS and tables:
             tables[-1].cell(flows.pop().done(), node)
         elif node.inside == "svg" and tag in ("text", "foreignobject"):
@@ -422,8 +534,6 @@ def render(html: str) -> str:
                 flow.marker = ""
             elif tag in _LISTS:
                 lists.pop()
-            elif tag == "pre":
-                pre -= 1
             inner = lists and tag in _LISTS
             flow.end_line(1 if tag in SPACED and not inner else 0)
     return "\n".join(flows[0].done())

@@ -1,4 +1,5 @@
 import re
+from html import unescape
 from html.parser import HTMLParser
 
 import pytest
@@ -89,6 +90,94 @@ def test_all_visible_words_of_every_page(spark):
         assert [w for w in re.split(r"[ \t\n\r\f]+", r["text"] or "") if w and w != "-"] == want
 
 
+def naive_layout(html):
+    """Lines of the kinds of elements that the pages have, by one scan: blocks
+    on lines of their own, blank lines around paragraphs, headings and lists,
+    bullets, line breaks; no tree."""
+    html = re.sub(r"(?s)<head>.*?</head>|<!--.*?-->|<!DOCTYPE[^>]*>", "", html)
+    out, line, gap, mark, p_open = [], "", 0, "", False
+
+    def flush(blank=0, forced=False):
+        nonlocal line, gap, mark
+        words = [w for w in re.split(r"[ \t\n\r\f]+", line) if w]
+        if words:
+            out.extend([""] * (gap if out else 0))
+            out.append(mark + " ".join(words))
+            gap, mark = 0, ""
+        elif forced and out:
+            gap += 1
+        line, gap = "", max(gap, blank)
+
+    for tag, data in re.findall(r"<(/?[a-z0-9]+)[^>]*>|([^<]+)", html):
+        name = tag.removeprefix("/")
+        if data:
+            line += unescape(data)
+        elif name == "br":
+            flush(forced=True)
+        elif name in ("p", "h1", "ul", "li", "nav", "div", "article", "footer", "html", "body"):
+            flush(int(p_open or name in ("p", "h1", "ul")))  # any block ends an open paragraph
+            p_open, mark = tag == "p", "- " if tag == "li" else ""
+        else:
+            assert name in ("a", "b"), name
+    flush()
+    return "\n".join(out)
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_layout_of_every_page(spark, sf):
+    where = f"/root/testdata/sf{sf}"
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{where}/pages.parquet").collect()}
+    got = {r["page_id"]: r["text"] for r in registry.op3_html(spark, where).collect()}
+    assert set(got) == set(pages)
+    for k, page in pages.items():
+        assert got[k] == (None if page is None else naive_layout(page))
+
+
+@pytest.mark.parametrize("unit", ["<a ", '<a b="', '<a =">"', "<", "<a", "<!-", '<a b="\'><b c=\'>', "</a ", "<style>a{", "<style>@media x{", '<a y="> " ', "<!-- -->", "<!--", "<![CDATA[x", "&", "<table><tr>", "<p><form>"])
+@pytest.mark.parametrize("tail", ["", ">", '">x'])
+def test_broken_pages_take_linear_time(unit, tail):
+    """A megabyte of each; quadratic time would be minutes."""
+    import time
+
+    start = time.process_time()
+    H.render(unit * (1_000_000 // len(unit)) + tail)
+    assert time.process_time() - start < 8
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<!-- a --!>rest", "rest"),
+        ("<!-->x", "x"),
+        ("<!--->x", "x"),
+        ("<!-- a -- b --->x", "x"),
+        ("<style>@media print{.m{display:none}}</style><p class=m>a", "a"),
+        ("<style>@media screen, print{.m{display:none}}</style><p class=m>a<p>b", "b"),
+        ("<style>@media (max-width:9px){.m{display:none}} .n{display:none}</style><p class=m>a<p class=n>b", "a"),
+        ("<style>/* .m{ */ .n{display:none} @import 'x'; .o{content:'}';display:none}</style><p class=m>a<p class=n>b<p class=o>c", "a"),
+        ("<style>.m{display:none}</style><p class=m style='display:block'>a", "a"),
+        ("<style>.m{display:none !important}</style><p class=m style='display:block'>a<p>b", "b"),
+        ("<style>.m{display:none}.m{display:inline}</style><p class=m>a", "a"),
+        ("<style>#i{display:block}p{display:none}</style><p id=i>a<p>b", "a"),
+        ("<p hidden style='display:block'>a<p hidden>b", "a"),
+        ("<!DOCTYPE html><style>.Foo{display:none}</style><p class=foo>a<p class=Foo>b", "a"),
+        ("<style>.Foo{display:none}</style><p class=foo>a<p>b", "b"),  # without a document type case does not count
+        ("<div style='visibility:hidden'>a<b style='visibility:visible'>b</b>c</div>d", "b\nd"),
+        ("<object data=x><p>fallback</object>", "fallback"),
+        ("<table><tr><form><td>a<td>b</form></table>", "a  b"),
+        ("<table><form><tr><td>a<tr><td>b</form></table>", "a\nb"),
+        ("x <textarea>\na\n b</textarea> y", "x a\n b y"),
+        ("<listing>a\n  b</listing>", "a\n  b"),
+        ("a <b", "a <b"),
+        ("a <b <!-- c", "a <b"),
+        ("<p title='it's>a", "a"),
+        ('<p title="never closed>a</p>b', "a\n\nb"),
+    ],
+)
+def test_visible_text_is_kept(page, text):
+    assert H.render(page) == text
+
+
 def test_edge_rows(spark):
     rows = [(1, None, "x"), (2, "", "x"), (None, "<p>a", "x"), (3, "<p>b", "x"), (3, "<p>b", "x")]
     pages = spark.createDataFrame(rows, "page_id long, html string, text string").selectExpr("*", "text as k", "text as t", "text as `a.b`")
