@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import map_batches, slices, text_bytes
+from basketry.llm.common import join_hot, map_batches, slices, text_bytes
 from basketry.session import materialize
 
 BITS = 64
@@ -337,14 +337,14 @@ def near_duplicates(
     table gives no rows.  Other columns of ``docs`` are not read."""
     fps = materialize(fingerprints(docs, key, text, shingle, seed), "fingerprints")
     first = F.struct(F.col(key).isNull().alias("no_key"), F.col(key).alias("key"), F.col("text_hash").alias("h"))
-    groups = materialize(fps.groupBy("fp").agg(F.min(first).alias("first")), "groups")
+    groups = materialize(fps.groupBy("fp").agg(F.min(first).alias("first"), F.count("*").alias("copies")), "groups")
     found = components(linked(groups, distance, limit=limit))
     chained = found.join(groups.withColumnRenamed("fp", "node"), "node")
     lowest = chained.groupBy("root").agg(F.min("first").alias("first"))
     # few fingerprints have links; the others are their own component
     owner = chained.select("node", "root").join(lowest, "root").select(F.col("node").alias("fp"), F.col("first").alias("linked"))
-    named = groups.join(owner, "fp", "left").select("fp", F.coalesce("linked", "first").alias("first"))
-    return fps.join(named, "fp").select(
+    named = groups.join(owner, "fp", "left").select("fp", "copies", F.coalesce("linked", "first").alias("first"))
+    return join_hot(fps, named, "fp", "copies").select(
         key,
         "text_hash",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
