@@ -5,13 +5,15 @@ afresh in each, and each carries a checksum, so any block can be read alone.
 Blocks run side by side in numpy arrays, one lane per block; integers only, so
 every machine decodes what another has coded.
 
-Per id the model has three predictions: the id that last followed the previous
-two ids (order 2), the one that last followed the previous id (order 1), and
-the block's most frequent id (order 0).  Which of them is right, if any, is
-coded first, with a mixture of three adaptive distributions (given order 2's
-record of hits, order 1's, and the latest outcomes) whose weights move towards
-the one that did best.  An id that none predicts follows in 4-bit digits under
-adaptive order-0 counts.
+Per id the model has predictions of three orders: the id that last followed the
+previous two ids (order 2), the one that last followed the previous id (order
+1), and, of order 0, the block's commonest id by majority vote and the list of
+its ids by first appearance, where common ids come early.  One symbol says
+which prediction is right or, if none is, in which class of ranks of the list,
+or of new ids, the id lies.  Its distribution mixes three adaptive ones, given
+order 2's record of hits, order 1's, and the symbol before, by adding their
+counts: one that has seen more says more.  The place in the class follows as
+plain bits in the same coding step, so an id takes a single one.
 """
 
 from __future__ import annotations
@@ -23,14 +25,37 @@ import numpy as np
 
 BLOCK_IDS = 4096
 MAGIC = b"TIDB"
-_HEADER = struct.Struct("<4sBBHIIII")  # magic, version, digits, 0, ids, words, crc32 of ids, of words
-_VERSION = 1
+_HEADER = struct.Struct("<4sBBHIIII")  # magic, version, whether ids pass 16 bits, 0, ids, words, crc32 of ids, of words
+_VERSION = 2
 
 _WORD = np.uint64(32)
 _LOW32 = np.uint64((1 << 32) - 1)
 _FULL = np.uint64(1 << 32)
-_SLOTS1, _SLOTS2, _SLOTS0 = 1 << 11, 1 << 12, 1 << 10
-_HIT, _STEP, _TOP = 24, 32, 1 << 12
+
+_SYMBOLS = 16
+#: Symbols from 0: order 2, 1 or 0 is right; from 3: a class of ranks in the
+#: list; from 12: a class of new ids, the last for those from 65,536 on (16
+#: upper bits, and 16 lower ones in a step of their own).
+_LISTED, _NEW, _WIDE = 3, 12, 15
+#: First rank or id of each symbol's class, and its number of plain bits.
+_BASE = np.array([0, 0, 0, 0, 16, 32, 64, 128, 256, 512, 1024, 2048, 0, 4096, 16384, 0], np.int64)
+_BITS = np.array([0, 0, 0, 4, 4, 5, 6, 7, 8, 9, 10, 11, 12, 14, 16, 16], np.uint64)
+#: Ranks of the list; ids that are new when it is full are not listed.
+_RANKS = 4096
+_RANK_CLASS = np.searchsorted(_BASE[_LISTED:_NEW], np.arange(_RANKS), side="right") + _LISTED - 1
+_ID_CLASS = np.searchsorted(_BASE[_NEW:_WIDE], np.arange(1 << 16), side="right") + _NEW - 1
+
+#: Slots a lane for predictions of order 1 and 2.
+_SLOTS = (1 << 11, 1 << 12)
+_MASKS = np.array([[s - 1] for s in _SLOTS])
+#: Contexts of the distributions: record of hits of order 1 by symbol before,
+#: of order 2 by whether both agree, and symbol before.
+_CONTEXTS = (16, 8, 16)
+_PER_RECORD = np.array([[4], [2]])
+_FIRST, _STEP, _LIMIT = 4, 32, 1024
+#: Next record of hits: by record after a miss, then after a hit.
+_RECORD = np.array([0, 0, 0, 1, 1, 2, 3, 3], np.uint8)
+_VOTE = np.array([-1, 1], np.int16)
 
 
 class CorruptBlock(ValueError):
@@ -52,32 +77,32 @@ class _Coder:
             self.code = (self.words[:, 0].astype(np.uint64) << _WORD) | self.words[:, 1]
             self.at += 2
 
-    def unit(self, sel, total: np.ndarray | int) -> np.ndarray:
-        """The range divided into ``total`` parts."""
-        return self.range[sel] // (np.uint64(total) if isinstance(total, int) else total.astype(np.uint64))
-
-    def target(self, sel, unit: np.ndarray) -> np.ndarray:
-        """Decoding: the part in which each lane's code lies (a rest beyond
-        the last part counts as more than any)."""
-        return ((self.code[sel] - self.low[sel]) // unit).astype(np.int64)
-
-    def narrow(self, sel, unit: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
-        low = self.low[sel] + unit * start.astype(np.uint64)
-        span = unit * size.astype(np.uint64)
+    def put(self, n: int, low: np.ndarray, span: np.ndarray) -> None:
+        """The new intervals of the first ``n`` lanes."""
         few = np.flatnonzero(span < _FULL)
         if few.size:
-            lane = few if isinstance(sel, slice) else sel[few]
-            a, b = low[few], span[few]
+            a, b, at = low[few], span[few], self.at[few]
             cut = ((a ^ (a + b)) >> _WORD) != 0
             b = np.where(cut, (~a + np.uint64(1)) & _LOW32, b)
-            at = self.at[lane]
+            place = few * self.words.shape[1] + at
             if self.decoding:
-                self.code[lane] = (self.code[lane] << _WORD) | self.words[lane, at]
+                self.code[few] = (self.code[few] << _WORD) | self.words.reshape(-1).take(place)
             else:
-                self.words[lane, at] = (a >> _WORD).astype(np.uint32)
-            self.at[lane] = at + 1
+                self.words.reshape(-1).put(place, (a >> _WORD).astype(np.uint32))
+            self.at[few] = at + 1
             low[few], span[few] = a << _WORD, b << _WORD
-        self.low[sel], self.range[sel] = low, span
+        self.low[:n], self.range[:n] = low, span
+
+    def plain(self, n: int, few: np.ndarray, value: np.ndarray | None) -> np.ndarray:
+        """16 plain bits of the lanes ``few`` of the first ``n``."""
+        low, span = self.low[:n].copy(), self.range[:n].copy()
+        unit = span[few] >> np.uint64(16)
+        if value is None:
+            value = (self.code[few] - low[few]) // unit
+        low[few] += unit * value
+        span[few] = unit
+        self.put(n, low, span)
+        return value
 
     def make_room(self, words: int) -> None:
         """Encoding: every lane can give out so many words more."""
@@ -92,156 +117,150 @@ class _Coder:
             self.at += 1
 
 
-#: Running sums of 16 counts as a product; exact, the sums are small integers.
-_SUMS = np.tril(np.ones((16, 16), np.float32))
-
-
 class _Model:
-    """Tables are flat, a row or entry per lane and context, read with ``take``
-    and written with ``put`` in their own type: the arrays of a step are short,
-    so it is the number and kind of numpy calls that counts."""
+    """Tables are flat, with a part for each lane, read with ``take`` and
+    written with ``put`` in their own type.  The arrays of a step are short, so
+    it is the number of numpy calls that counts: what belongs to several orders
+    is one array with a row for each."""
 
-    def __init__(self, lanes: int, digits: int):
-        self.digits = digits
-        self.prev1, self.prev2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.guess1, self.guess2 = np.zeros(lanes * _SLOTS1, np.int32), np.zeros(lanes * _SLOTS2, np.int32)
-        self.trust1, self.trust2 = np.zeros(lanes * _SLOTS1, np.int8), np.zeros(lanes * _SLOTS2, np.int8)
-        self.seen = np.zeros(lanes * _SLOTS0, np.int32)
-        self.usual, self.usual_n = np.zeros(lanes, np.int64), np.zeros(lanes, np.int32)
-        self.latest = np.zeros(lanes, np.int64)
-        # three distributions of the outcome: 8, 16 and 16 contexts a lane
-        self.counts = np.full((lanes * 40, 4), 8, np.int32)
-        self.weight = np.full((3, lanes), 1365, np.int32)
-        self.weight[0] += 1
-        # contexts of a digit: the one or two digits before it
-        self.nodes = [0, 1, 17] + [17 + 256 * i for i in range(1, digits)]
-        self.per_lane = 17 + 256 * max(1, digits - 2)
-        self.digit = np.full((lanes * self.per_lane, 16), 2, np.int16)
+    def __init__(self, lanes: int, wide: bool, decoding: bool):
+        self.wide = wide
+        kind = np.uint64 if wide else np.uint32
+        self.lane = np.arange(lanes)
+        #: Predictions of order 1 and 2, as 4 * id + record of hits.
+        self.guess = np.zeros(lanes * sum(_SLOTS), kind)
+        self.slots = self.lane * sum(_SLOTS) + np.array([[0], [_SLOTS[0]]])
+        self.counts = np.full((lanes * sum(_CONTEXTS), _SYMBOLS), _FIRST, np.uint16)
+        self.rows = self.lane * sum(_CONTEXTS) + np.array([[0], [_CONTEXTS[0]], [_CONTEXTS[0] + _CONTEXTS[1]]])
+        self.own = np.arange(3 * lanes) * _SYMBOLS
+        #: The list of ids; the encoder looks up 8192 * id + rank + 1 by a hash.
+        self.listed = np.zeros(lanes * _RANKS, kind if decoding else np.uint64)
+        self.lists = self.lane * _RANKS
+        self.length = np.zeros(lanes, np.int64)
+        self.usual, self.votes = np.zeros(lanes, kind), np.zeros(lanes, np.int16)
+        self.prev1, self.prev2, self.latest = (np.zeros(lanes, np.int64) for _ in range(3))
 
-    def _outcome(self, coder: _Coder, n: int, contexts: np.ndarray, which: np.ndarray | None) -> np.ndarray:
-        """Code which prediction is right: 0 to 2 for order 2, 1, 0; 3: none."""
-        lane, first = np.arange(n), slice(0, n)
-        own = self.counts.take(contexts, axis=0)  # (3, n, 4)
-        sums = own[:, :, 0] + own[:, :, 1] + own[:, :, 2] + own[:, :, 3]
-        shares = (own << 12) // sums[:, :, None]
-        weight = self.weight[:, first]
-        mixed = shares[0].astype(np.int64) * weight[0][:, None]
-        mixed += shares[1] * weight[1][:, None]
-        mixed += shares[2] * weight[2][:, None]
-        size = (32 + ((mixed * (65536 - 128)) >> 24)).T
-        ends = np.empty((5, n), np.int64)
+    def step(self, coder: _Coder, n: int, ids: np.ndarray | None) -> np.ndarray:
+        """Code (or, without ``ids``, decode) one id of each of the first ``n`` lanes."""
+        prev1, latest, usual, at = self.prev1[:n], self.latest[:n], self.usual[:n], self.lane[:n]
+        slot = np.empty((2, n), np.int64)
+        np.multiply(prev1, 40503, out=slot[0])
+        np.multiply(self.prev2[:n], 30011, out=slot[1])
+        slot[1] += slot[0]
+        slot >>= 4
+        slot &= _MASKS
+        slot += self.slots[:, :n]
+        held = self.guess.take(slot)
+        guessed = held >> 2
+        one, two = guessed
+        record = (held & 3).astype(np.int64)
+        rows = np.empty((3, n), np.int64)
+        np.multiply(record, _PER_RECORD, out=rows[:2])
+        rows[0] += np.minimum(latest, 3)
+        rows[1] += one == two
+        rows[2] = latest
+        rows += self.rows[:, :n]
+        rows = rows.reshape(-1)
+        own = self.counts.take(rows, axis=0)
+        size = own[:n] + own[n : 2 * n]
+        size += own[2 * n :]
+        size = np.ascontiguousarray(size.T)
+        ends = np.empty((_SYMBOLS + 1, n), np.uint32)
         ends[0] = 0
-        for k in range(3):
+        for k in range(_SYMBOLS):
             np.add(ends[k], size[k], out=ends[k + 1])
-        ends[4] = 65536
-        unit = coder.unit(first, 65536)
-        if which is None:
-            t = coder.target(first, unit)
-            which = (t >= ends[1]).astype(np.int64) + (t >= ends[2]) + (t >= ends[3])
-        place = which * n + lane
+        low = coder.low[:n]
+        unit = coder.range[:n] // ends[_SYMBOLS]
+        if ids is None:
+            rest = coder.code[:n] - low
+            symbol = np.add.reduce(ends[1:_SYMBOLS] <= (rest // unit).astype(np.uint32), axis=0, dtype=np.int64)
+        else:
+            entry = ((ids * ids.dtype.type(40503) >> 4) & (_RANKS - 1)).astype(np.int64) + self.lists[:n]
+            found = self.listed.take(entry)
+            rank = (found & 8191).astype(np.int64) - 1
+            known = (found >> 13 == ids) & (rank >= 0)
+            symbol = np.where(ids >> 16 > 0, _WIDE, _ID_CLASS.take(ids & 0xFFFF)) if self.wide else _ID_CLASS.take(ids)
+            np.copyto(symbol, _RANK_CLASS.take(rank, mode="clip"), where=known)
+            for k, prediction in ((2, usual), (1, one), (0, two)):
+                np.copyto(symbol, k, where=ids == prediction)
+        place = symbol * n + at
         start = ends.reshape(-1).take(place)
-        coder.narrow(first, unit, start, ends.reshape(-1).take(place + n) - start)
-        # the mixture's weights move to the distribution that did best
-        did = shares.reshape(-1).take(np.arange(3)[:, None] * (4 * n) + lane * 4 + which)
-        best = np.where(did[1] > did[0], np.where(did[2] > did[1], 2, 1), np.where(did[2] > did[0], 2, 0))
-        weight = weight - (weight >> 5)
-        weight[best, lane] += 4096 - (weight[0] + weight[1] + weight[2])
-        self.weight[:, first] = weight
-        flat, hit = self.counts.reshape(-1), contexts * 4 + which
-        flat.put(hit, flat.take(hit) + np.int32(_HIT))
-        full = contexts[sums > 1024 - _HIT]
-        if full.size:
-            self.counts[full] = (self.counts[full] + 1) >> 1
-        return which
-
-    def step(self, coder: _Coder, n: int, ids: np.ndarray | None) -> np.ndarray:
-        """Code (or, without ``ids``, decode) one id of each of the first ``n`` lanes."""
-        lane, first = np.arange(n), slice(0, n)
-        prev1, prev2, latest = self.prev1[first], self.prev2[first], self.latest[first]
-        slot1 = lane * _SLOTS1 + ((prev1 * 40503 >> 3) & (_SLOTS1 - 1))
-        slot2 = lane * _SLOTS2 + (((prev1 * 40503 + prev2 * 30011) >> 4) & (_SLOTS2 - 1))
-        one, two, zero = self.guess1.take(slot1), self.guess2.take(slot2), self.usual[first].copy()
-        trust1, trust2 = self.trust1.take(slot1), self.trust2.take(slot2)
-        contexts = np.empty((3, n), np.int64)
-        contexts[0] = trust2 * 2 + (one == two)
-        contexts[1] = 8 + trust1 * 4 + (latest & 3)
-        contexts[2] = 24 + latest
-        contexts += lane * 40
-        which = None if ids is None else np.where(ids == two, 0, np.where(ids == one, 1, np.where(ids == zero, 2, 3)))
-        which = self._outcome(coder, n, contexts, which)
-        out = np.where(which == 0, two, np.where(which == 1, one, zero)) if ids is None else ids
-        missed = np.flatnonzero(which == 3)
-        if missed.size:
-            got = self._digits(coder, missed, None if ids is None else ids[missed])
+        shift = unit * start
+        low = low + shift
+        unit *= ends.reshape(-1).take(place + n) - start
+        unit >>= _BITS.take(symbol)
+        base = _BASE.take(symbol)
+        if ids is None:
+            value = (rest - shift) // unit
+            full = value.astype(np.int64) + base
+            out = self.listed.take(np.minimum(full, _RANKS - 1) + self.lists[:n])
+            np.copyto(out, full, where=symbol >= _NEW, casting="unsafe")
+            for k, prediction in ((2, usual), (1, one), (0, two)):
+                np.copyto(out, prediction, where=symbol == k)
+        else:
+            out = ids
+            np.copyto(rank, np.where(symbol == _WIDE, ids >> 16, ids) if self.wide else ids, where=~known, casting="unsafe")
+            value = ((rank - base) * (symbol >= _LISTED)).astype(np.uint64)
+        low += unit * value
+        coder.put(n, low, unit)
+        if self.wide and (few := np.flatnonzero(symbol == _WIDE)).size:
+            lower = coder.plain(n, few, None if ids is None else ids[few] & 0xFFFF)
             if ids is None:
-                out[missed] = got
-        # learn: a prediction that has been right twice survives one miss
-        for guess, trust, slot, old, sure in ((self.guess1, self.trust1, slot1, one, trust1), (self.guess2, self.trust2, slot2, two, trust2)):
-            right = old == out
-            guess.put(slot, np.where(right | (sure > 1), old, out).astype(np.int32))
-            trust.put(slot, np.where(right, np.minimum(sure + 1, 3), np.maximum(sure - 2, 0)).astype(np.int8))
-        slot0 = lane * _SLOTS0 + (out & (_SLOTS0 - 1))
-        often = self.seen.take(slot0) + 1
-        self.seen.put(slot0, often)
-        more = often >= self.usual_n[first]
-        self.usual[first] = np.where(more, out, zero)
-        self.usual_n[first] = np.where(more, often, self.usual_n[first])
-        self.latest[first] = ((latest << 2) | which) & 15
-        self.prev2[first] = prev1
-        self.prev1[first] = out
-        return out
-
-    def _digits(self, coder: _Coder, lane: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
-        m = lane.size
-        rows, base = np.arange(m), lane * self.per_lane
-        flat = self.digit.reshape(-1)
-        done = np.zeros(m, np.int64)
-        ends = np.zeros((17, m), np.float32)
-        for i in range(self.digits):
-            node = base + self.nodes[i] + (done & (0 if i == 0 else 15 if i == 1 else 255))
-            np.matmul(_SUMS, self.digit.take(node, axis=0).astype(np.float32).T, out=ends[1:])
-            total = ends[16]
-            unit = coder.unit(lane, total)
+                out[few] = (out[few] << 16) | lower
+        # learn: the symbol's counts in each distribution
+        had = own.reshape(-1).take(self.own[: 3 * n].reshape(3, n) + symbol) + np.uint16(_STEP)
+        self.counts.put((rows * _SYMBOLS).reshape(3, n) + symbol, had)
+        if (full := np.flatnonzero(had > _LIMIT)).size:
+            self.counts[rows[full]] = (self.counts[rows[full]] + np.uint16(1)) >> 1
+        new = np.flatnonzero(symbol >= _NEW)
+        new = new[self.length[new] < _RANKS]
+        if new.size:
+            rank = self.length[new]
             if ids is None:
-                d = np.add.reduce(ends[1:16] <= coder.target(lane, unit).astype(np.float32), axis=0, dtype=np.int64)
+                self.listed.put(new * _RANKS + rank, out[new])
             else:
-                d = (ids >> 4 * (self.digits - 1 - i)) & 15
-            start = ends.reshape(-1).take(d * m + rows)
-            coder.narrow(lane, unit, start, ends.reshape(-1).take(d * m + m + rows) - start)
-            full = np.flatnonzero(total > _TOP)
-            if full.size:
-                self.digit[node[full]] = (self.digit[node[full]] + 1) >> 1
-            hit = node * 16 + d
-            flat.put(hit, flat.take(hit) + np.int16(_STEP))
-            done = (done << 4) | d
-        return done
+                self.listed.put(entry[new], (out[new].astype(np.uint64) << 13) | (rank + 1).astype(np.uint64))
+            self.length[new] = rank + 1
+        # a prediction that has been right twice survives one miss
+        right = guessed == out
+        kept = np.where(right | (record > 1), guessed, out)
+        kept <<= 2
+        kept |= _RECORD.take(record + right * 4)
+        self.guess.put(slot, kept)
+        votes = self.votes[:n]
+        votes += _VOTE.take(usual == out)
+        np.copyto(usual, out, where=votes < 0)
+        np.abs(votes, out=votes)
+        latest[:] = symbol
+        self.prev2[:n] = prev1
+        prev1[:] = out
+        return out
 
 
-def encode_blocks(ids: np.ndarray, block: int = BLOCK_IDS, digits: int = 4) -> list[bytes]:
-    """Blocks of ``block`` ids (the last may be shorter) of the id sequence
-    ``ids``, each below 16 ** digits, and coded on its own."""
+def encode_blocks(ids: np.ndarray, block: int = BLOCK_IDS) -> list[bytes]:
+    """Blocks of ``block`` ids (the last may be shorter) of the sequence
+    ``ids`` of unsigned 32-bit integers, each coded on its own."""
     if ids.size == 0:
         return []
-    if int(ids.max()) >= 16**digits:
-        raise ValueError(f"an id needs more than {digits} digits")
     lanes = -(-ids.size // block)
     last = ids.size - (lanes - 1) * block
     longest = min(block, ids.size)
-    steps = np.zeros((longest, lanes), np.uint32)
+    wide = int(ids.max()) >= 1 << 16
+    steps = np.zeros((longest, lanes), np.uint64 if wide else np.uint32)
     steps[:, : lanes - 1] = ids[: (lanes - 1) * block].reshape(lanes - 1, block)[:, :longest].T
     steps[:last, lanes - 1] = ids[(lanes - 1) * block :]
-    coder, model = _Coder(lanes, None, longest // 4 + 64), _Model(lanes, digits)
+    coder, model = _Coder(lanes, None, longest // 4 + 64), _Model(lanes, wide, False)
     for t in range(longest):
         n = lanes if t < last else lanes - 1
-        coder.make_room(digits + 3)
-        model.step(coder, n, steps[t, :n].astype(np.int64))
+        coder.make_room(4)
+        model.step(coder, n, steps[t, :n])
     coder.finish()
     plain = ids.astype("<u4")
     out = []
     for i, words in enumerate(coder.at.tolist()):
         part = plain[i * block : (i + 1) * block]
         body = coder.words[i, :words].astype("<u4").tobytes()
-        out.append(_HEADER.pack(MAGIC, _VERSION, digits, 0, part.size, words, zlib.crc32(part), zlib.crc32(body)) + body)
+        out.append(_HEADER.pack(MAGIC, _VERSION, wide, 0, part.size, words, zlib.crc32(part), zlib.crc32(body)) + body)
     return out
 
 
@@ -259,14 +278,14 @@ def decode_blocks(blocks: list[bytes]) -> list[np.ndarray]:
         if zlib.crc32(memoryview(b)[_HEADER.size :]) != heads[-1][7]:
             raise CorruptBlock("a block's content is damaged")
     out: list[np.ndarray | None] = [None] * len(blocks)
-    for digits in sorted({h[2] for h in heads}):
+    for wide in sorted({h[2] for h in heads}):
         # longest first, so that the lanes still running are the first ones
-        order = sorted((i for i, h in enumerate(heads) if h[2] == digits), key=lambda i: -heads[i][4])
+        order = sorted((i for i, h in enumerate(heads) if h[2] == wide), key=lambda i: -heads[i][4])
         sizes = np.array([heads[i][4] for i in order])
         words = np.zeros((len(order), max(heads[i][5] for i in order) + 2), np.uint32)
         for lane, i in enumerate(order):
             words[lane, : heads[i][5]] = np.frombuffer(blocks[i], "<u4", heads[i][5], _HEADER.size)
-        coder, model = _Coder(len(order), words, 0), _Model(len(order), digits)
+        coder, model = _Coder(len(order), words, 0), _Model(len(order), bool(wide), True)
         ids = np.zeros((int(sizes[0]), len(order)), np.uint32)
         for t in range(ids.shape[0]):
             n = int(np.searchsorted(-sizes, -t, side="left"))

@@ -26,6 +26,8 @@ from basketry.llm.tokens import encoder
 END_ID = 2
 #: A segment is closed from so many ids on: 2048 blocks, side by side.
 SEGMENT_IDS = 2048 * BLOCK_IDS
+#: Distinct chunks of text whose ids a worker keeps (100 MB).
+KEPT_CHUNKS = 1 << 20
 
 
 def write_ids(docs: DataFrame, path: str, vocabulary: str, key: str = "doc_id", text: str = "text", end_id: int = END_ID, spaces: str = "lead", segment_ids: int = SEGMENT_IDS, block: int = BLOCK_IDS) -> None:
@@ -69,7 +71,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, key: str = "doc_id",
             return pa.RecordBatch.from_arrays(row, ["shard", "segment", "first", "n_ids", "keys", "lengths", "blocks"])
 
         for b in slices(batches, "t"):
-            ids, bounds = encoder(vocabulary, spaces).encode(b.column(1))
+            ids, bounds = encoder(vocabulary, spaces, KEPT_CHUNKS).encode(b.column(1))
             lengths = np.diff(bounds) + 1
             with_end = np.full(ids.size + lengths.size, end_id, np.uint32)
             keep = np.ones(with_end.size, bool)

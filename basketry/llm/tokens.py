@@ -215,11 +215,11 @@ class TextEncoder(ChunkEncoder):
     def _direct(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_chunks(self, chunks: list[str], per_text: int = 48) -> list[np.ndarray]:
-        if any(_MARK in c for c in chunks):
+    def _encode_chunks(self, chunks: list[str], per_text: int = 200) -> list[np.ndarray]:
+        if self.mark is None or any(_MARK in c for c in chunks):
             return self._direct(chunks)
         # Many chunks at a time, with a special token between them that the
-        # vocabulary recognises meanwhile.
+        # vocabulary recognises meanwhile (one by one if it has none).
         out = []
         groups = [chunks[i : i + per_text] for i in range(0, len(chunks), per_text)]
         self.whole.encode_special_tokens = False
@@ -317,8 +317,8 @@ def piece_words(path: str) -> PieceWords:
 
 
 @lru_cache(maxsize=1)
-def encoder(path: str, spaces: str) -> TextEncoder:
+def encoder(path: str, spaces: str, kept: int = KEPT_CHUNKS) -> TextEncoder:
     """The worker process's encoder; one at a time, for its memory.  A new one
     also ends the use of a sentencepiece model."""
     piece_words.cache_clear()
-    return TextEncoder(path, spaces)
+    return TextEncoder(path, spaces, kept)

@@ -47,15 +47,21 @@ def test_blocks_stand_alone():
     ids = np.random.default_rng(1).zipf(1.3, 5000).astype(np.uint32) % 50_000
     blocks = C.encode_blocks(ids, 700)
     assert C.decode_blocks(blocks[3:4])[0].tolist() == ids[2100:2800].tolist()
-    mixed = [blocks[7], blocks[0], C.encode_blocks(ids[:5], 10, digits=5)[0], blocks[2]]
-    assert [x.tolist() for x in C.decode_blocks(mixed)] == [ids[4900:].tolist(), ids[:700].tolist(), ids[:5].tolist(), ids[1400:2100].tolist()]
+    mixed = [blocks[7], blocks[0], C.encode_blocks(ids[:5] + np.uint32(1 << 20), 10)[0], blocks[2]]
+    assert [x.tolist() for x in C.decode_blocks(mixed)] == [ids[4900:].tolist(), ids[:700].tolist(), (ids[:5] + (1 << 20)).tolist(), ids[1400:2100].tolist()]
 
 
-def test_wide_ids_and_refusals():
-    ids = np.array([0, 1 << 20, 99_999, 1 << 20], np.uint32)
-    assert C.decode_blocks(C.encode_blocks(ids, 4, digits=6))[0].tolist() == ids.tolist()
-    with pytest.raises(ValueError):
-        C.encode_blocks(ids, 4)
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.integers(0, 2**32 - 1), st.integers(65534, 65538), st.integers(0, 3)), max_size=300), st.integers(1, 90))
+def test_wide_ids(ids, block):
+    """Ids of any 32 bits, alone or beside narrow ones, repeated and new."""
+    ids = np.array(ids * 2, np.uint32)
+    assert np.concatenate([ids[:0], *C.decode_blocks(C.encode_blocks(ids, block))]).tolist() == ids.tolist()
+
+
+def test_more_different_ids_than_the_list_holds():
+    ids = np.concatenate((np.arange(9000), np.arange(9000)[::-1], np.arange(0, 9000, 3))).astype(np.uint32) * 7
+    assert np.concatenate(C.decode_blocks(C.encode_blocks(ids, ids.size))).tolist() == ids.tolist()
 
 
 @pytest.mark.parametrize("at", [0, 4, 8, 12, 16, 20, 25, 40, -1])
