@@ -39,6 +39,17 @@ MIN_ASSIGN, MIN_ACCESS = 12, 18
 
 _SENSITIVE = re.compile(r"pass(?:word|wd|phrase|code)|secret|token|api[ _-]?key|credential|authorization|bearer|private[ _-]?key|access[ _-]?key|client[ _-]?id|signature|cookie", re.I | re.A)
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.~-]{12,}")
+#: A value set to one of the usual names, with signs that passwords have.
+_PASSWORD = re.compile(r"""(?:pass(?:word|wd|phrase|code)|pwd|secret|token|api[ _-]?key|credentials?)["']?\s*(?:[:=]|=>|:=)\s*["']?([A-Za-z0-9+/_=.~@!#$%^&*?-]{12,})""", re.I | re.A)
+_SIGNS = re.compile(r"[@!#$%^&*?]")
+#: Strings of digits that are no secrets: dates with or without a time, and
+#: network addresses; and mail addresses.
+_ORDINARY = re.compile(
+    r"\d{4}[-./]?\d{2}[-./]?\d{2}(?:[T_.-]?\d{2}(?:[-_.]?\d{2}){0,2}(?:\.\d+)?(?:Z|[+-]\d{2,4})?)?"
+    r"|\d{1,2}[-./]\d{1,2}[-./]\d{4}(?:[T_.-]\d{2}(?:[-_.]?\d{2}){0,2})?"
+    r"|(?:\d{1,3}\.){3}\d{1,3}"
+    r"|[A-Za-z0-9._+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+)
 #: A key block is context up to its END line, or to the end of the text.
 _KEY_BLOCK = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----.*?(?:-----END|\Z)", re.S)
 #: Parts of a candidate: behind an equals sign, and without any sign inside.
@@ -66,6 +77,7 @@ ALPHABETS = (
     ascii_.digits + ascii_.ascii_letters + "+/=",
     ascii_.digits + ascii_.ascii_letters + "-_=",
     ascii_.digits + ascii_.ascii_letters + "+/_=.~-",
+    ascii_.digits + ascii_.ascii_letters + "+/_=.~-@!#$%^&*?",
 )
 #: From this length on, a random string costs the same per character.
 SETTLED = 8192
@@ -85,6 +97,26 @@ IDENTIFIERS = (
 ).encode()
 
 
+#: Running text of German, French and Spanish, for their letter pairs.
+LANGUAGES = """
+die gesellschaft der freunde hat beschlossen dass alle mitglieder in der naechsten versammlung ueber die verwendung der einnahmen abstimmen
+sollen weil zwischen den verschiedenen abteilungen noch immer keine einigung erreicht worden ist und der vorstand deshalb nicht handeln kann
+die geschwindigkeit der schiffe auf der donau wurde wegen des hochwassers beschraenkt sodass die fahrt von einer hauptstadt zur anderen fast
+doppelt so lange dauerte wie gewoehnlich trotzdem blieben die meisten reisenden geduldig und warteten auf die ankunft ihrer angehoerigen
+rechtschreibung krankenversicherung bundesregierung wissenschaftlich moeglichkeit zusammenarbeit entwicklung berechtigung kennwort schluessel
+les habitants de la ville ont demande au conseil municipal de renoncer aux travaux qui devaient commencer pendant le mois de septembre parce
+que les rues etroites ne permettent pas le passage des camions et que le bruit serait insupportable pour ceux qui travaillent chez eux
+malheureusement le directeur a repondu que le financement avait deja ete obtenu et que les entreprises choisies attendaient seulement une
+autorisation definitive il faudrait donc trouver une solution raisonnable avant la fin de la semaine sinon tout serait perdu
+gouvernement developpement responsabilite connaissance immediatement quelquefois environnement utilisateur mot de passe cle secrete
+los vecinos del pueblo se reunieron en la plaza para escuchar las explicaciones del alcalde sobre la construccion de la carretera nueva que
+unira las dos orillas del rio y permitira que los agricultores lleven sus productos al mercado sin tener que rodear las montanas muchos de
+ellos preguntaron cuanto tiempo durarian las obras y quien pagaria los gastos pero nadie supo contestar con seguridad porque el presupuesto
+todavia no habia sido aprobado por la administracion desarrollo conocimiento responsabilidad inmediatamente ciudadanos trabajadores
+universidad investigacion electricidad informacion contrasena usuario clave privada autenticacion
+"""
+
+
 class Span(NamedTuple):
     kind: str
     start: int
@@ -147,20 +179,23 @@ def _pairs(text: str) -> Counter[str]:
     return Counter(map("".join, zip(low, low[1:])))
 
 
-_ENGLISH = _pairs("\n".join([IDENTIFIERS.decode(), *dict(TEXTS).values()]))
+_KNOWN = _pairs("\n".join([IDENTIFIERS.decode(), *dict(TEXTS).values()]))
+_OTHERS = _pairs(LANGUAGES)
 
 
 def reads(string: str, more: str = "") -> bool:
     """Whether the letters of a string follow each other as in words: its
-    pairs take fewer bits under the pairs of English, identifiers and ``more``
-    than those of random letters.  The compressor stores a word that it has
+    pairs take fewer bits under the pairs of English, identifiers and ``more``,
+    or of German, French and Spanish, than those of random letters.  The compressor stores a word that it has
     not seen like a random string, so strings without digits need this too."""
     pairs = [a + b for run in _LETTERS.findall(string.lower()) for a, b in zip(run, run[1:])]
     if not pairs:
         return False
-    known = _ENGLISH + _pairs(more) if more else _ENGLISH
-    first = {a: sum(known[a + b] for b in ascii_.ascii_lowercase) for a in {p[0] for p in pairs}}
-    return -sum(log2((known[p] + 0.5) / (first[p[0]] + 13)) for p in pairs) / len(pairs) < log2(26)
+    for known in (_KNOWN + _pairs(more) if more else _KNOWN, _OTHERS):
+        first = {a: sum(known[a + b] for b in ascii_.ascii_lowercase) for a in {p[0] for p in pairs}}
+        if -sum(log2((known[p] + 0.5) / (first[p[0]] + 13)) for p in pairs) / len(pairs) < log2(26):
+            return True
+    return False
 
 
 def _contexts(text: str) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
@@ -217,6 +252,8 @@ def novel_spans(text: str, known: list[Span], least: float = NOVELTY) -> list[Sp
     def novel(start: int, end: int) -> bool:
         string = text[start:end]
         if string not in measured:
+            if _ORDINARY.fullmatch(string):
+                return False
             plain = not any(c.isdigit() for c in string)
             if plain and reads(string):
                 return False
@@ -244,6 +281,10 @@ def novel_spans(text: str, known: list[Span], least: float = NOVELTY) -> list[Sp
                 taken.append(form)
             else:
                 cheap.append(form)
+    # values with other signs, whole where the run of characters ends at a sign
+    for m in _PASSWORD.finditer(text):
+        if _SIGNS.search(m[1]) and not covered(*m.span(1)) and not any(a <= m.start(1) and m.end(1) <= b for a, b in found):
+            novel(*m.span(1))
     # copies that were cheap beside the one found, alone or inside a longer run
     for start, end in cheap:
         if (n := measured.get(text[start:end])) is not None:
