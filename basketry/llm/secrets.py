@@ -37,7 +37,7 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 MIN_ASSIGN, MIN_ACCESS = 12, 18
 
-_SENSITIVE = re.compile(r"pass(?:word|wd|phrase|code)|secret|token|api[ _-]?key|credential|authorization|bearer|private[ _-]?key|access[ _-]?key|client[ _-]?id|signature|cookie", re.I | re.A)
+_SENSITIVE = re.compile(r"(?<![a-z])pwd(?![a-z])|pass(?:word|wd|phrase|code)|secret|token|api[ _-]?key|credential|authorization|bearer|private[ _-]?key|access[ _-]?key|client[ _-]?id|signature|cookie", re.I | re.A)
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.~-]{12,}")
 #: A value set to one of the usual names, with signs that passwords have.
 _PASSWORD = re.compile(r"""(?:pass(?:word|wd|phrase|code)|pwd|secret|token|api[ _-]?key|credentials?)["']?\s*(?:[:=]|=>|:=)\s*["']?([A-Za-z0-9+/_=.~@!#$%^&*?-]{12,})""", re.I | re.A)
