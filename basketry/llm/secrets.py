@@ -42,13 +42,14 @@ _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.~-]{12,}")
 #: A value set to one of the usual names, with signs that passwords have.
 _PASSWORD = re.compile(r"""(?:pass(?:word|wd|phrase|code)|pwd|secret|token|api[ _-]?key|credentials?)["']?\s*(?:[:=]|=>|:=)\s*["']?([A-Za-z0-9+/_=.~@!#$%^&*?-]{12,})""", re.I | re.A)
 _SIGNS = re.compile(r"[@!#$%^&*?]")
+#: A mail address; not what stands between a name, a colon and a host.
+_MAIL = re.compile(r"(?<![:\w.+-])[A-Za-z0-9._+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 #: Strings of digits that are no secrets: dates with or without a time, and
-#: network addresses; and mail addresses.
+#: network addresses.
 _ORDINARY = re.compile(
     r"\d{4}[-./]?\d{2}[-./]?\d{2}(?:[T_.-]?\d{2}(?:[-_.]?\d{2}){0,2}(?:\.\d+)?(?:Z|[+-]\d{2,4})?)?"
     r"|\d{1,2}[-./]\d{1,2}[-./]\d{4}(?:[T_.-]\d{2}(?:[-_.]?\d{2}){0,2})?"
     r"|(?:\d{1,3}\.){3}\d{1,3}"
-    r"|[A-Za-z0-9._+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 )
 #: A key block is context up to its END line, or to the end of the text.
 _KEY_BLOCK = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----.*?(?:-----END|\Z)", re.S)
@@ -264,9 +265,10 @@ def novel_spans(text: str, known: list[Span], least: float = NOVELTY) -> list[Sp
         found[start, end] = measured[string]
         return True
 
+    mails = [m.span() for m in _MAIL.finditer(text)] if "@" in text else []
     for m in _CANDIDATE.finditer(text):
         start, end = m.span()
-        if not in_context(start, end):
+        if not in_context(start, end) or any(a <= start and end <= b for a, b in mails):
             continue
         near = words[max(0, bisect_left(word_starts, start) - 1) : bisect_left(word_starts, end)]
         taken: list[tuple[int, int]] = []

@@ -158,6 +158,7 @@ def test_contexts(text, secrets):
         ("Token der Donaudampfschifffahrtsgesellschaft und Krankenversicherungsnummern", []),
         ("cookie anticonstitutionnellement, bearer desproporcionadamente", []),
         ("expired credential 2024-01-15T10, cookie 20240115T103000Z, bearer 15.01.2024-103000", []),
+        (f"token https://user:{RANDOM}@git.example.com/x", [RANDOM]),
         ("signature by jane.doe1977@mail.example.com from 192.168.100.200", []),
     ],
 )
