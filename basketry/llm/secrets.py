@@ -15,7 +15,7 @@ import re
 import string as ascii_
 from bisect import bisect_left, bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from itertools import accumulate
 from math import log2
@@ -211,6 +211,18 @@ def _contexts(text: str) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
     return words, merged
 
 
+def _holder(spans_: Iterable[tuple[int, int]]) -> Callable[[int, int], bool]:
+    """Whether one of ``spans_`` holds a stretch."""
+    ordered = sorted(spans_)
+    starts, ends = [a for a, _ in ordered], list(accumulate((b for _, b in ordered), max))
+
+    def holds(start: int, end: int) -> bool:
+        i = bisect_right(starts, start) - 1
+        return i >= 0 and ends[i] >= end
+
+    return holds
+
+
 def _forms(text: str, start: int, end: int, words: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
     """What may be the secret in a run of characters: all behind the first
     sensitive word inside, what lies between words, their parts, the run."""
@@ -235,17 +247,13 @@ def novel_spans(text: str, known: list[Span], least: float = NOVELTY) -> list[Sp
         return []
     word_starts = [a for a, _ in words]
     context_starts = [a for a, _ in contexts]
-    ordered = sorted((s.start, s.end) for s in known)
-    known_starts, known_ends = [a for a, _ in ordered], list(accumulate((b for _, b in ordered), max))
+    covered = _holder((s.start, s.end) for s in known)
+    mailed = _holder(m.span() for m in _MAIL.finditer(text)) if "@" in text else lambda start, end: False
 
     def in_context(start: int, end: int) -> bool:
         i = bisect_left(context_starts, end) - 1
         return i >= 0 and contexts[i][1] > start
 
-    def covered(start: int, end: int) -> bool:
-        i = bisect_right(known_starts, start) - 1
-        return i >= 0 and known_ends[i] >= end
-
     measured: dict[str, float] = {}
     found: dict[tuple[int, int], float] = {}
     cheap: list[tuple[int, int]] = []
@@ -265,10 +273,9 @@ def novel_spans(text: str, known: list[Span], least: float = NOVELTY) -> list[Sp
         found[start, end] = measured[string]
         return True
 
-    mails = [m.span() for m in _MAIL.finditer(text)] if "@" in text else []
     for m in _CANDIDATE.finditer(text):
         start, end = m.span()
-        if not in_context(start, end) or any(a <= start and end <= b for a, b in mails):
+        if not in_context(start, end) or mailed(start, end):
             continue
         near = words[max(0, bisect_left(word_starts, start) - 1) : bisect_left(word_starts, end)]
         taken: list[tuple[int, int]] = []
@@ -284,8 +291,9 @@ def novel_spans(text: str, known: list[Span], least: float = NOVELTY) -> list[Sp
             else:
                 cheap.append(form)
     # values with other signs, whole where the run of characters ends at a sign
+    within = _holder(found)
     for m in _PASSWORD.finditer(text):
-        if _SIGNS.search(m[1]) and not covered(*m.span(1)) and not any(a <= m.start(1) and m.end(1) <= b for a, b in found):
+        if _SIGNS.search(m[1]) and not covered(*m.span(1)) and not within(*m.span(1)):
             novel(*m.span(1))
     # copies that were cheap beside the one found, alone or inside a longer run
     for start, end in cheap:
