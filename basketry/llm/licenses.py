@@ -42,12 +42,6 @@ RULES = [
     (r"is(ations?|e[ds]?|ing)( |$)", r"iz\1\2"),
     (r"(behavi|col|fav|hon|lab)our", r"\1or"),
 ]
-#: The oracle's SQL keeps its own rule for copyright lines, which knows fewer
-#: forms; DuckDB's patterns cannot look ahead.
-_ORACLE_RULES = [
-    (r"(?i)(^|\n)[ \t#/*;%-]*(?:copyright[ \t]*(?:\(c\)|©|[0-9])|\(c\)[ \t]*[0-9]|©|all rights reserved)[^\n]*", r"\1"),
-    *RULES[1:],
-]
 #: Equivalent spellings, one word each.
 SPELLINGS = {
     "acknowledgement": "acknowledgment",
@@ -107,22 +101,41 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", known: DataFr
 
 
 def oracle_sql() -> str:
-    """The scan of ``documents`` in DuckDB SQL, by the oracle's own rules."""
+    """The scan of ``documents`` in DuckDB SQL.  Its patterns cannot look
+    ahead, so copyright lines are told line by line, by what is in front of and
+    what follows the mark."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
+    front = r"(?i)^[ \t#/*;%-]*(portions[ \t]+)?"
+
+    def is_copyright(line: str) -> str:
+        has = lambda x, pattern: f"regexp_matches({x}, {quote(pattern)})"
+        after = lambda mark: f"regexp_replace({line}, {quote(front + mark)}, '')"
+        named, item = after(r"copyright[ \t]*[,:;-]*[ \t]*"), after(r"\(c\)[ \t]*")
+        wording = _WORDING.replace("|$|\n)", "|$)")
+        return f"""CASE
+          WHEN {has(line, front + r"(copyright[ \t]*(\(c\)|©|[0-9])|©|all rights reserved)")} THEN true
+          WHEN {has(line, front + "copyright([^a-z]|$)")} THEN {has(named, r"""^[^\s,:;."')-]""")} AND NOT {has(named, f"(?i)^({wording})([^a-z]|$)")}
+          WHEN {has(line, front + r"\(c\)")} THEN {has(item, r"(?i)^([0-9]|copyright|by[ \t])")} OR {has(item, "(^|[^0-9])(19|20)[0-9][0-9]([^0-9]|$)")}
+            OR {has(item, "^[A-Z][A-Za-z]*[a-z]")} AND NOT {has(item, f"^({_ITEM})([^A-Za-z]|$)")}
+          ELSE false END"""
 
     def form(x: str) -> str:
-        for i, (pattern, put) in enumerate(_ORACLE_RULES):
+        x = f"array_to_string(list_transform(string_split({x}, chr(10)), lambda l: CASE WHEN {is_copyright('l')} THEN '' ELSE l END), chr(10))"
+        for i, (pattern, put) in enumerate(RULES[1:]):
             x = f"regexp_replace({x}, {quote(pattern)}, {quote(put)}, 'g')"
-            if i == 1:
+            if i == 0:
                 x = f"lower({x})"
         for a, b in SPELLINGS.items():
             x = f"replace({x}, {quote(a)}, {quote(b)})"
         return f"sha256(trim({x}, ' '))"
 
     values = ",\n".join(f"({quote(name)}, {quote(text)})" for name, text in (*TEXTS, *NOTICES))
+    digests = ",\n".join(f"({quote(d)}, {quote(name)})" for name, d, _ in DIGESTS)
     return f"""
-WITH known AS (SELECT DISTINCT {form("t")} AS digest, license FROM (VALUES {values}) v(license, t)),
-lines AS (
+WITH known AS (
+  SELECT {form("t")} AS digest, license FROM (VALUES {values}) v(license, t)
+  UNION SELECT digest, license FROM (VALUES {digests}) d(digest, license)
+), lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS t, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS line
   FROM documents WHERE text IS NOT NULL
 ), units AS (

@@ -96,3 +96,23 @@ def test_common_licences(make_docs):
         want.append((i, 0, name))
     assert len(want) >= 20
     assert [x for x in found(make_docs(rows)) if x[1] == 0] == want
+
+
+def test_oracle_knows_all_forms_and_digests(make_docs):
+    """The SQL on texts that need every form of copyright line and the digests."""
+    import duckdb
+
+    mit = TEXTS[0][1]
+    rows = [f"{c}\n\n{mit}" for c in COPYRIGHTS] + [f"x\n{w}\n{mit}" for w in WORDING] + [f"{w}\n{n}" for w in WORDING for _, n in NOTICES[:3]] + [t for _, t in TEXTS]
+    if COMMON.is_dir():
+        for _, _, source in DIGESTS:
+            file, _, end = source.partition(" up to ")
+            if (COMMON / file).exists():
+                text = (COMMON / file).read_text()
+                rows.append(text[: text.index(end) + len(end)] if end else "Copyright The Authors of This\n\n" + text)
+    docs = make_docs(list(enumerate(rows, 1)), extra=False)
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    want = sorted(con.sql(L.oracle_sql()).fetchall())
+    assert sorted((r["doc_id"], r["line"], r["license"], r["digest"]) for r in L.scan(docs).collect()) == want
+    assert len(want) > len(COPYRIGHTS) + len(DIGESTS) + len(TEXTS) - 2
