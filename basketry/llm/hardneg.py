@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.llm.common import col
-from basketry.llm.vectors import SCALE, best, finite, inner, integers, kth_largest, norms
+from basketry.llm.vectors import SCALE, best, finite, inner, integers, kth_largest, norms, reference_directions
 from basketry.session import materialize
 
 POSITIVES = 5
@@ -132,19 +132,6 @@ def _stored(rows: DataFrame, references: np.ndarray, scale: int) -> DataFrame:
     return rows.mapInArrow(run, "id long, label long, v array<double>, anchor boolean, length double, angles array<double>")
 
 
-def _references(rows: DataFrame, n: int, scale: int, dims: int = 16) -> dict[int, np.ndarray]:
-    """Unit vectors of the ``n`` rows with the smallest hashes, for each of
-    the ``dims`` most frequent dimensions; others go without bounds."""
-    most = [r["dim"] for r in rows.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").limit(dims).collect()]
-    out = {}
-    for d in most:
-        picked = rows.where(F.size("v") == d).orderBy(F.xxhash64("id", "v"), "id").limit(n).select("v").collect()
-        vectors = np.floor(np.array([r["v"] for r in picked], np.float64).reshape(len(picked), d) * scale)
-        lengths = norms(vectors)
-        out[d] = vectors[lengths > 0] / lengths[lengths > 0][:, None]
-    return out
-
-
 def mine(
     vectors: DataFrame,
     is_anchor: Column,
@@ -177,7 +164,7 @@ def mine(
         .dropDuplicates(["id", "label", "v"])
     )
     rows = materialize(rows, "vectors")
-    stored = materialize(_stored(rows, _references(rows, references, scale), scale), "angles").withColumn("dim", F.size("v"))
+    stored = materialize(_stored(rows, reference_directions(rows, references, scale), scale), "angles").withColumn("dim", F.size("v"))
     counts = stored.agg(F.count("*").alias("n"), F.count_if("anchor").alias("a")).first()
     blocks, chunks = -(-counts["n"] // block_rows) or 1, -(-counts["a"] // anchor_rows) or 1
     dealt = lambda n: F.pmod(F.xxhash64("id", "label", "v"), F.lit(n)).cast("int")

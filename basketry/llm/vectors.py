@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SCALE = 256
@@ -77,3 +77,16 @@ def kth_largest(values: np.ndarray, k: int) -> float:
     if values.dtype == object:
         return sorted(values, reverse=True)[k - 1]
     return float(np.partition(values, values.size - k)[values.size - k])
+
+
+def reference_directions(rows: DataFrame, n: int, scale: int, dims: int = 16) -> dict[int, np.ndarray]:
+    """Unit vectors of the ``n`` rows with the smallest hashes, for each of
+    the ``dims`` most frequent dimensions; others have none."""
+    most = [r["dim"] for r in rows.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").limit(dims).collect()]
+    out = {}
+    for d in most:
+        picked = rows.where(F.size("v") == d).orderBy(F.xxhash64("id", "v"), "id").limit(n).select("v").collect()
+        vectors = np.floor(np.array([r["v"] for r in picked], np.float64).reshape(len(picked), d) * scale)
+        lengths = norms(vectors)
+        out[d] = vectors[lengths > 0] / lengths[lengths > 0][:, None]
+    return out

@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from basketry.llm import topk as K
+from basketry.session import materialize as real
 
 
 def brute(vectors, ids, query, own, k=5):
@@ -53,12 +54,36 @@ def test_blocks_do_not_matter(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     run = lambda **m: sorted(map(tuple, K.top_k(df, F.col("vec_id") % 50 == 0, **m).collect()))
     whole = run()
-    assert whole == run(block_rows=37, query_rows=2)
+    assert whole == run(block_rows=37, query_rows=2) == run(block_rows=5, cells=3) == run(cells=0)
     vectors = np.array([[math.floor(256 * x) for x in np.array(v, np.float32).astype(float)] for _, v in rows])
     want = [(q, r + 1, i, s) for q in range(0, 300, 50) for r, (s, i) in enumerate(brute(vectors, np.arange(300), vectors[q], q))]
     assert whole == sorted(want)
 
 
+def test_clustered_vectors_are_searched_in_few_blocks(spark, monkeypatch):
+    """The same results, and most blocks are never joined with a query."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(0, 1, (8, 16))
+    rows = [(int(i), [float(np.float32(x)) for x in centres[i % 8] + rng.normal(0, 0.02, 16)]) for i in range(1600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    vectors = np.array([[math.floor(256 * x) for x in v] for _, v in rows])
+    tables = []
+    monkeypatch.setattr(K, "materialize", lambda df, name: tables.append((name, real(df, name))) or tables[-1][1])
+    got = sorted(map(tuple, K.top_k(df, F.col("vec_id") % 50 == 0, block_rows=100).collect()))
+    assert got == sorted((q, r + 1, i, s) for q in range(0, 1600, 50) for r, (s, i) in enumerate(brute(vectors, np.arange(1600), vectors[q], q)))
+    count = {name: t.count() for name, t in tables}
+    assert count["blocks"] >= 16 and count["first"] == 32 and count["rest"] <= 32 * 4 < 32 * (count["blocks"] - 1)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.integers(1, 20), st.integers(0, 6), st.sampled_from([1, 300, 10**12]), st.integers(0, 10**6))
+def test_block_bounds_hold_every_score(n, dims, spread, seed):
+    rng = np.random.default_rng(seed)
+    block, queries = (rng.integers(-spread, spread + 1, (m, dims)) for m in (n, 5))
+    bounds = K.block_bounds(queries.astype(float), block.max(axis=0, keepdims=True).astype(float), block.min(axis=0, keepdims=True).astype(float))
+    assert all(bounds[q, 0] >= int(np.dot(v.astype(object), queries[q].astype(object))) for v in block for q in range(5))
+
+
 def test_edge_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.5, 0.5]), (3, None), (4, [1.0, None]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [1.0]), (None, [9.0, 9.0]), (50, []), (100, []), (150, None)]
