@@ -123,7 +123,7 @@ class _Model:
     it is the number of numpy calls that counts: what belongs to several orders
     is one array with a row for each."""
 
-    def __init__(self, lanes: int, wide: bool, decoding: bool):
+    def __init__(self, lanes: int, wide: bool):
         self.wide = wide
         kind = np.uint64 if wide else np.uint32
         self.lane = np.arange(lanes)
@@ -134,7 +134,7 @@ class _Model:
         self.rows = self.lane * sum(_CONTEXTS) + np.array([[0], [_CONTEXTS[0]], [_CONTEXTS[0] + _CONTEXTS[1]]])
         self.own = np.arange(3 * lanes) * _SYMBOLS
         #: The list of ids; the encoder looks up 8192 * id + rank + 1 by a hash.
-        self.listed = np.zeros(lanes * _RANKS, kind if decoding else np.uint64)
+        self.listed = np.zeros(lanes * _RANKS, kind)
         self.lists = self.lane * _RANKS
         self.length = np.zeros(lanes, np.int64)
         self.usual, self.votes = np.zeros(lanes, kind), np.zeros(lanes, np.int16)
@@ -165,7 +165,7 @@ class _Model:
         size = own[:n] + own[n : 2 * n]
         size += own[2 * n :]
         size = np.ascontiguousarray(size.T)
-        ends = np.empty((_SYMBOLS + 1, n), np.uint32)
+        ends = np.empty((_SYMBOLS + 1, n), np.uint16)  # three rows of counts sum to less than 2^16
         ends[0] = 0
         for k in range(_SYMBOLS):
             np.add(ends[k], size[k], out=ends[k + 1])
@@ -173,7 +173,7 @@ class _Model:
         unit = coder.range[:n] // ends[_SYMBOLS]
         if ids is None:
             rest = coder.code[:n] - low
-            symbol = np.add.reduce(ends[1:_SYMBOLS] <= (rest // unit).astype(np.uint32), axis=0, dtype=np.int64)
+            symbol = np.add.reduce(ends[1:_SYMBOLS] <= np.minimum(rest // unit, 65535).astype(np.uint16), axis=0, dtype=np.uint8).astype(np.int64)
         else:
             entry = ((ids * ids.dtype.type(40503) >> 4) & (_RANKS - 1)).astype(np.int64) + self.lists[:n]
             found = self.listed.take(entry)
@@ -219,7 +219,7 @@ class _Model:
             if ids is None:
                 self.listed.put(new * _RANKS + rank, out[new])
             else:
-                self.listed.put(entry[new], (out[new].astype(np.uint64) << 13) | (rank + 1).astype(np.uint64))
+                self.listed.put(entry[new], (out[new] << 13) | (rank + 1).astype(out.dtype))
             self.length[new] = rank + 1
         # a prediction that has been right twice survives one miss
         right = guessed == out
@@ -249,7 +249,7 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK_IDS) -> list[bytes]:
     steps = np.zeros((longest, lanes), np.uint64 if wide else np.uint32)
     steps[:, : lanes - 1] = ids[: (lanes - 1) * block].reshape(lanes - 1, block)[:, :longest].T
     steps[:last, lanes - 1] = ids[(lanes - 1) * block :]
-    coder, model = _Coder(lanes, None, longest // 4 + 64), _Model(lanes, wide, False)
+    coder, model = _Coder(lanes, None, longest // 4 + 64), _Model(lanes, wide)
     for t in range(longest):
         n = lanes if t < last else lanes - 1
         coder.make_room(4)
@@ -285,7 +285,7 @@ def decode_blocks(blocks: list[bytes]) -> list[np.ndarray]:
         words = np.zeros((len(order), max(heads[i][5] for i in order) + 2), np.uint32)
         for lane, i in enumerate(order):
             words[lane, : heads[i][5]] = np.frombuffer(blocks[i], "<u4", heads[i][5], _HEADER.size)
-        coder, model = _Coder(len(order), words, 0), _Model(len(order), bool(wide), True)
+        coder, model = _Coder(len(order), words, 0), _Model(len(order), bool(wide))
         ids = np.zeros((int(sizes[0]), len(order)), np.uint32)
         for t in range(ids.shape[0]):
             n = int(np.searchsorted(-sizes, -t, side="left"))
