@@ -19,15 +19,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import map_batches, slices
+from basketry.llm.common import map_batches, release, slices
 from basketry.llm.idcoder import BLOCK_IDS, decode_blocks, encode_blocks
 from basketry.llm.tokens import encoder
 
 END_ID = 2
 #: A segment is closed from so many ids on: 2048 blocks, side by side.
 SEGMENT_IDS = 2048 * BLOCK_IDS
-#: Distinct chunks of text whose ids a worker keeps (100 MB).
-KEPT_CHUNKS = 1 << 20
 
 
 def write_ids(docs: DataFrame, path: str, vocabulary: str, key: str = "doc_id", text: str = "text", end_id: int = END_ID, spaces: str = "lead", segment_ids: int = SEGMENT_IDS, block: int = BLOCK_IDS) -> None:
@@ -71,7 +69,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, key: str = "doc_id",
             return pa.RecordBatch.from_arrays(row, ["shard", "segment", "first", "n_ids", "keys", "lengths", "blocks"])
 
         for b in slices(batches, "t"):
-            ids, bounds = encoder(vocabulary, spaces, KEPT_CHUNKS).encode(b.column(1))
+            ids, bounds = encoder(vocabulary, spaces).encode(b.column(1))
             lengths = np.diff(bounds) + 1
             with_end = np.full(ids.size + lengths.size, end_id, np.uint32)
             keep = np.ones(with_end.size, bool)
@@ -121,6 +119,8 @@ def _read(spark: SparkSession, path: str, key: str, extra: str, fields: list[tup
                 columns = [b.column(2).flatten(), pa.array(start, pa.int64()), pa.array(lengths, pa.int64())]
                 columns += [pa.array(c, t) for c, (_, t) in zip(zip(*rows), fields)]
                 yield pa.RecordBatch.from_arrays(columns, ["k", "start", "n_tokens", *(n for n, _ in fields)])
+                del b, ids, rows, columns
+                release()
 
     return based.select("base", "first", "keys", "lengths", "blocks").mapInArrow(run, f"k {kind}, start long, n_tokens long, {extra}").withColumnRenamed("k", key)
 
