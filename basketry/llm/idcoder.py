@@ -26,7 +26,7 @@ import numpy as np
 BLOCK_IDS = 4096
 MAGIC = b"TIDB"
 _HEADER = struct.Struct("<4sBBHIIII")  # magic, version, whether ids pass 16 bits, 0, ids, words, crc32 of ids, of words
-_VERSION = 2
+_VERSION = 3
 
 _WORD = np.uint64(32)
 _LOW32 = np.uint64((1 << 32) - 1)
@@ -42,8 +42,12 @@ _BASE = np.array([0, 0, 0, 0, 16, 32, 64, 128, 256, 512, 1024, 2048, 0, 4096, 16
 _BITS = np.array([0, 0, 0, 4, 4, 5, 6, 7, 8, 9, 10, 11, 12, 14, 16, 16], np.uint64)
 #: Ranks of the list; ids that are new when it is full are not listed.
 _RANKS = 4096
-_RANK_CLASS = np.searchsorted(_BASE[_LISTED:_NEW], np.arange(_RANKS), side="right") + _LISTED - 1
-_ID_CLASS = np.searchsorted(_BASE[_NEW:_WIDE], np.arange(1 << 16), side="right") + _NEW - 1
+_RANK_CLASS = (np.searchsorted(_BASE[_LISTED:_NEW], np.arange(_RANKS), side="right") + _LISTED - 1).astype(np.uint8)
+_ID_CLASS = (np.searchsorted(_BASE[_NEW:_WIDE], np.arange(1 << 16), side="right") + _NEW - 1).astype(np.uint8)
+#: Ids ranked at once by the encoder.
+_RANKED_IDS = 1 << 17
+#: Steps between two looks at the room for coded words.
+_ROOM_STEPS = 64
 
 #: Slots a lane for predictions of order 1 and 2.
 _SLOTS = (1 << 11, 1 << 12)
@@ -53,9 +57,10 @@ _MASKS = np.array([[s - 1] for s in _SLOTS])
 _CONTEXTS = (16, 8, 16)
 _PER_RECORD = np.array([[4], [2]])
 _FIRST, _STEP, _LIMIT = 4, 32, 1024
+#: Four counts of 16 bits in a 64-bit number times this are their running sums.
+_SUMS_OF_4 = np.uint64(0x0001000100010001)
 #: Next record of hits: by record after a miss, then after a hit.
 _RECORD = np.array([0, 0, 0, 1, 1, 2, 3, 3], np.uint8)
-_VOTE = np.array([-1, 1], np.int16)
 
 
 class CorruptBlock(ValueError):
@@ -63,85 +68,120 @@ class CorruptBlock(ValueError):
 
 
 class _Coder:
-    """Range coder state of all lanes: 64-bit intervals that never carry.  A
-    lane whose range falls below 2^32 gives out (or takes in) its upper 32
-    bits; if the interval straddles a boundary it is cut there first."""
+    """Range coder state of all lanes.  A lane whose range falls below 2^32
+    gives out (or takes in) 32 bits.  The encoder's 64-bit ``low`` can carry
+    into words given out before; the decoder keeps how far the code is above
+    it, and needs no ``low``."""
 
     def __init__(self, lanes: int, words: np.ndarray | None, room: int):
-        self.low = np.zeros(lanes, np.uint64)
         self.range = np.full(lanes, (1 << 64) - 1, np.uint64)
-        self.at = np.zeros(lanes, np.int64)
         self.decoding = words is not None
         self.words = np.zeros((lanes, room), np.uint32) if words is None else words
+        self._flat()
+        #: Where the next word of each lane is among the words of all lanes.
+        self.at = self.first.copy()
         if self.decoding:
-            self.code = (self.words[:, 0].astype(np.uint64) << _WORD) | self.words[:, 1]
+            self.above = (self.words[:, 0].astype(np.uint64) << _WORD) | self.words[:, 1]
             self.at += 2
+        else:
+            self.low = np.zeros(lanes, np.uint64)
+
+    def _flat(self) -> None:
+        self.flat = self.words.reshape(-1)
+        self.first = np.arange(self.words.shape[0]) * self.words.shape[1]
 
-    def put(self, n: int, low: np.ndarray, span: np.ndarray) -> None:
-        """The new intervals of the first ``n`` lanes."""
+    def move(self, n: int, by: np.ndarray) -> None:
+        """Raise the lower ends of the first ``n`` lanes."""
+        if self.decoding:
+            self.above[:n] -= by
+            return
+        low = self.low[:n]
+        low += by
+        if (few := np.flatnonzero(low < by)).size:
+            at = self.at.take(few)
+            while at.size:
+                at -= 1
+                carried = self.flat.take(at) + np.uint32(1)
+                self.flat[at] = carried
+                at = at[carried == 0]
+
+    def put(self, n: int, span: np.ndarray) -> None:
+        """The new ranges of the first ``n`` lanes."""
         few = np.flatnonzero(span < _FULL)
         if few.size:
-            a, b, at = low[few], span[few], self.at[few]
-            cut = ((a ^ (a + b)) >> _WORD) != 0
-            b = np.where(cut, (~a + np.uint64(1)) & _LOW32, b)
-            place = few * self.words.shape[1] + at
+            at = self.at.take(few)
             if self.decoding:
-                self.code[few] = (self.code[few] << _WORD) | self.words.reshape(-1).take(place)
+                self.above[few] = (self.above.take(few) << _WORD) | self.flat.take(at)
             else:
-                self.words.reshape(-1).put(place, (a >> _WORD).astype(np.uint32))
-            self.at[few] = at + 1
-            low[few], span[few] = a << _WORD, b << _WORD
-        self.low[:n], self.range[:n] = low, span
+                low = self.low.take(few)
+                self.flat[at] = low >> _WORD
+                self.low[few] = low << _WORD
+            span[few] = span.take(few) << _WORD
+            at += 1
+            self.at[few] = at
+        self.range[:n] = span
 
     def plain(self, n: int, few: np.ndarray, value: np.ndarray | None) -> np.ndarray:
         """16 plain bits of the lanes ``few`` of the first ``n``."""
-        low, span = self.low[:n].copy(), self.range[:n].copy()
+        span = self.range[:n].copy()
         unit = span[few] >> np.uint64(16)
         if value is None:
-            value = (self.code[few] - low[few]) // unit
-        low[few] += unit * value
+            value = self.above[few] // unit
+        by = np.zeros(n, np.uint64)
+        by[few] = unit * value
+        self.move(n, by)
         span[few] = unit
-        self.put(n, low, span)
+        self.put(n, span)
         return value
 
     def make_room(self, words: int) -> None:
         """Encoding: every lane can give out so many words more."""
-        if int(self.at.max()) + words > self.words.shape[1]:
+        used = self.at - self.first
+        if int(used.max()) + words > self.words.shape[1]:
             more = np.zeros((self.words.shape[0], self.words.shape[1] // 2 + words), np.uint32)
             self.words = np.concatenate((self.words, more), axis=1)
+            self._flat()
+            self.at = self.first + used
 
-    def finish(self) -> None:
-        lanes = np.arange(self.at.size)
+    def finish(self) -> np.ndarray:
+        """Encoding: the number of words of each lane."""
+        self.make_room(2)
         for shift in (32, 0):
-            self.words[lanes, self.at] = ((self.low >> np.uint64(shift)) & _LOW32).astype(np.uint32)
+            self.flat[self.at] = (self.low >> np.uint64(shift)) & _LOW32
             self.at += 1
+        return self.at - self.first
 
 
 class _Model:
-    """Tables are flat, with a part for each lane, read with ``take`` and
-    written with ``put`` in their own type.  The arrays of a step are short, so
-    it is the number of numpy calls that counts: what belongs to several orders
-    is one array with a row for each."""
+    """Tables are flat, with a part for each lane.  The arrays of a step are
+    short, so it is the number of numpy calls that counts: what belongs to
+    several orders is one array with a row for each."""
 
-    def __init__(self, lanes: int, wide: bool):
+    def __init__(self, lanes: int, wide: bool, decoding: bool):
         self.wide = wide
-        kind = np.uint64 if wide else np.uint32
+        self.kind = kind = np.uint64 if wide else np.uint32
+        #: Predicted at first: no id, so an id is new when it first comes.
+        none = 1 << (32 if wide else 16)
         self.lane = np.arange(lanes)
         #: Predictions of order 1 and 2, as 4 * id + record of hits.
-        self.guess = np.zeros(lanes * sum(_SLOTS), kind)
+        self.guess = np.full(lanes * sum(_SLOTS), none << 2, kind)
         self.slots = self.lane * sum(_SLOTS) + np.array([[0], [_SLOTS[0]]])
-        self.counts = np.full((lanes * sum(_CONTEXTS), _SYMBOLS), _FIRST, np.uint16)
+        self.counts = np.full((lanes * sum(_CONTEXTS), _SYMBOLS), _FIRST, "<u2")
+        self.each_count, self.each_row = self.counts.reshape(-1), self.counts.view(f"V{2 * _SYMBOLS}").reshape(-1)
         self.rows = self.lane * sum(_CONTEXTS) + np.array([[0], [_CONTEXTS[0]], [_CONTEXTS[0] + _CONTEXTS[1]]])
         self.own = np.arange(3 * lanes) * _SYMBOLS
-        #: The list of ids; the encoder looks up 8192 * id + rank + 1 by a hash.
-        self.listed = np.zeros(lanes * _RANKS, kind)
-        self.lists = self.lane * _RANKS
-        self.length = np.zeros(lanes, np.int64)
-        self.usual, self.votes = np.zeros(lanes, kind), np.zeros(lanes, np.int16)
+        self.next = _RECORD.astype(kind)
+        if decoding:
+            self.listed = np.zeros(lanes * _RANKS, kind)
+            self.lists = self.lane * _RANKS
+            self.length = np.zeros(lanes, np.int64)
+        self.usual, self.votes = np.full(lanes, none, kind), np.zeros(lanes, np.int16)
         self.prev1, self.prev2, self.latest = (np.zeros(lanes, np.int64) for _ in range(3))
 
-    def step(self, coder: _Coder, n: int, ids: np.ndarray | None) -> np.ndarray:
-        """Code (or, without ``ids``, decode) one id of each of the first ``n`` lanes."""
+    def step(self, coder: _Coder, n: int, ids: np.ndarray | None = None, coded: np.ndarray | None = None) -> np.ndarray:
+        """Code one id of each of the first ``n`` lanes, by ``coded`` (see
+        ``_unpredicted``) where no prediction is right; or, without ``ids``,
+        decode one."""
         prev1, latest, usual, at = self.prev1[:n], self.latest[:n], self.usual[:n], self.lane[:n]
         slot = np.empty((2, n), np.int64)
         np.multiply(prev1, 40503, out=slot[0])
@@ -153,83 +193,84 @@ class _Model:
         held = self.guess.take(slot)
         guessed = held >> 2
         one, two = guessed
-        record = (held & 3).astype(np.int64)
+        held &= 3
+        record = held.astype(np.int64)
         rows = np.empty((3, n), np.int64)
         np.multiply(record, _PER_RECORD, out=rows[:2])
         rows[0] += np.minimum(latest, 3)
         rows[1] += one == two
         rows[2] = latest
         rows += self.rows[:, :n]
-        rows = rows.reshape(-1)
-        own = self.counts.take(rows, axis=0)
-        size = own[:n] + own[n : 2 * n]
+        own = self.counts.take(rows.reshape(-1), axis=0)
+        size = own[:n]
+        size = np.add(size, own[n : 2 * n], out=np.empty_like(size))
         size += own[2 * n :]
-        size = np.ascontiguousarray(size.T)
-        ends = np.empty((_SYMBOLS + 1, n), np.uint16)  # three rows of counts sum to less than 2^16
-        ends[0] = 0
-        for k in range(_SYMBOLS):
-            np.add(ends[k], size[k], out=ends[k + 1])
-        low = coder.low[:n]
-        unit = coder.range[:n] // ends[_SYMBOLS]
+        # where each symbol's part ends; three rows of counts sum to less than 2^16
+        sums = np.empty((n, _SYMBOLS // 4), "<u8")
+        np.multiply(size.view("<u8"), _SUMS_OF_4, out=sums)
+        ends = np.ascontiguousarray(sums.view("<u2").T)
+        for k in (4, 8, 12):
+            ends[k : k + 4] += ends[k - 1]
+        unit = coder.range[:n] // ends[-1]
         if ids is None:
-            rest = coder.code[:n] - low
-            symbol = np.add.reduce(ends[1:_SYMBOLS] <= np.minimum(rest // unit, 65535).astype(np.uint16), axis=0, dtype=np.uint8).astype(np.int64)
+            symbol = np.add.reduce(ends[:-1] <= np.minimum(coder.above[:n] // unit, 65535).astype(np.uint16), axis=0, dtype=np.uint8).astype(np.int64)
         else:
-            entry = ((ids * ids.dtype.type(40503) >> 4) & (_RANKS - 1)).astype(np.int64) + self.lists[:n]
-            found = self.listed.take(entry)
-            rank = (found & 8191).astype(np.int64) - 1
-            known = (found >> 13 == ids) & (rank >= 0)
-            symbol = np.where(ids >> 16 > 0, _WIDE, _ID_CLASS.take(ids & 0xFFFF)) if self.wide else _ID_CLASS.take(ids)
-            np.copyto(symbol, _RANK_CLASS.take(rank, mode="clip"), where=known)
+            symbol = (coded & 15).astype(np.int64)
             for k, prediction in ((2, usual), (1, one), (0, two)):
-                np.copyto(symbol, k, where=ids == prediction)
-        place = symbol * n + at
-        start = ends.reshape(-1).take(place)
-        shift = unit * start
-        low = low + shift
-        unit *= ends.reshape(-1).take(place + n) - start
+                np.putmask(symbol, ids == prediction, k)
+        share = size.reshape(-1).take(self.own[:n] + symbol)
+        shift = unit * (ends.reshape(-1).take(symbol * n + at) - share)
+        unit *= share
         unit >>= _BITS.take(symbol)
-        base = _BASE.take(symbol)
         if ids is None:
-            value = (rest - shift) // unit
-            full = value.astype(np.int64) + base
-            out = self.listed.take(np.minimum(full, _RANKS - 1) + self.lists[:n])
-            np.copyto(out, full, where=symbol >= _NEW, casting="unsafe")
-            for k, prediction in ((2, usual), (1, one), (0, two)):
-                np.copyto(out, prediction, where=symbol == k)
+            value = (coder.above[:n] - shift) // unit
+            full = value.astype(np.int64)
+            full += _BASE.take(symbol)
+            told = np.empty((_LISTED + 1, n), self.kind)
+            told[0], told[1], told[2] = two, one, usual
+            told[3] = np.where(symbol >= _NEW, full, self.listed.take(np.minimum(full, _RANKS - 1) + self.lists[:n]))
+            out = told.reshape(-1).take(np.minimum(symbol, _LISTED) * n + at)
         else:
             out = ids
-            np.copyto(rank, np.where(symbol == _WIDE, ids >> 16, ids) if self.wide else ids, where=~known, casting="unsafe")
-            value = ((rank - base) * (symbol >= _LISTED)).astype(np.uint64)
-        low += unit * value
-        coder.put(n, low, unit)
+            value = (coded >> 4) * (symbol >= _LISTED)
+        shift += unit * value
+        coder.move(n, shift)
+        coder.put(n, unit)
         if self.wide and (few := np.flatnonzero(symbol == _WIDE)).size:
             lower = coder.plain(n, few, None if ids is None else ids[few] & 0xFFFF)
             if ids is None:
                 out[few] = (out[few] << 16) | lower
         # learn: the symbol's counts in each distribution
-        had = own.reshape(-1).take(self.own[: 3 * n].reshape(3, n) + symbol) + np.uint16(_STEP)
-        self.counts.put((rows * _SYMBOLS).reshape(3, n) + symbol, had)
+        had = own.reshape(-1).take(self.own[: 3 * n].reshape(3, n) + symbol)
+        had += _STEP
+        place = rows * _SYMBOLS
+        place += symbol
+        self.each_count[place] = had
         if (full := np.flatnonzero(had > _LIMIT)).size:
-            self.counts[rows[full]] = (self.counts[rows[full]] + np.uint16(1)) >> 1
-        new = np.flatnonzero(symbol >= _NEW)
-        new = new[self.length[new] < _RANKS]
-        if new.size:
-            rank = self.length[new]
-            if ids is None:
-                self.listed.put(new * _RANKS + rank, out[new])
-            else:
-                self.listed.put(entry[new], (out[new] << 13) | (rank + 1).astype(out.dtype))
+            full = rows.reshape(-1).take(full)
+            halved = self.counts.take(full, axis=0)
+            halved += 1
+            halved >>= 1
+            self.each_row[full] = halved.view(self.each_row.dtype).reshape(-1)
+        if ids is None:
+            new = np.flatnonzero(symbol >= _NEW)
+            rank = self.length.take(new)
+            if new.size and rank.max() >= _RANKS:
+                new, rank = new[rank < _RANKS], rank[rank < _RANKS]
+            self.listed[new * _RANKS + rank] = out.take(new)
             self.length[new] = rank + 1
         # a prediction that has been right twice survives one miss
         right = guessed == out
-        kept = np.where(right | (record > 1), guessed, out)
+        kept = np.where(right | (held > 1), guessed, out)
         kept <<= 2
-        kept |= _RECORD.take(record + right * 4)
-        self.guess.put(slot, kept)
-        votes = self.votes[:n]
-        votes += _VOTE.take(usual == out)
-        np.copyto(usual, out, where=votes < 0)
+        record += right * 4
+        kept |= self.next.take(record)
+        self.guess[slot] = kept
+        votes, same = self.votes[:n], (usual == out).view(np.int8)
+        votes += same
+        votes += same
+        votes -= 1
+        np.putmask(usual, votes < 0, out)
         np.abs(votes, out=votes)
         latest[:] = symbol
         self.prev2[:n] = prev1
@@ -237,6 +278,32 @@ class _Model:
         return out
 
 
+def _unpredicted(ids: np.ndarray) -> np.ndarray:
+    """16 * place in the class + symbol of each id of the blocks (rows) ``ids``
+    if no prediction is right.  The list holds a block's ids by first
+    appearance, so it follows from the ids alone."""
+    lanes, size = ids.shape
+    order = np.argsort(ids, axis=1, kind="stable")
+    order += np.arange(lanes)[:, None] * size
+    order = order.reshape(-1)
+    in_order = ids.reshape(-1).take(order)
+    run = np.ones(order.size, bool)
+    np.not_equal(in_order[1:], in_order[:-1], out=run[1:])
+    run[::size] = True
+    first = np.zeros(order.size, bool)
+    first[order[run]] = True
+    ranks = np.cumsum(first.reshape(lanes, size), axis=1, dtype=np.int32).reshape(-1) - 1
+    rank = np.empty(order.size, np.int32)
+    rank[order] = np.repeat(ranks[order[run]], np.diff(np.append(np.flatnonzero(run), order.size)))
+    flat = ids.reshape(-1).astype(np.int64)
+    known = ~first & (rank < _RANKS)
+    symbol = np.where(flat >> 16 > 0, _WIDE, _ID_CLASS.take(flat & 0xFFFF))
+    value = np.where(symbol == _WIDE, flat >> 16, flat)
+    symbol = np.where(known, _RANK_CLASS.take(rank, mode="clip"), symbol)
+    value = np.where(known, rank, value) - _BASE.take(symbol)
+    return (value << 4 | symbol).astype(np.uint32).reshape(lanes, size)
+
+
 def encode_blocks(ids: np.ndarray, block: int = BLOCK_IDS) -> list[bytes]:
     """Blocks of ``block`` ids (the last may be shorter) of the sequence
     ``ids`` of unsigned 32-bit integers, each coded on its own."""
@@ -249,15 +316,20 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK_IDS) -> list[bytes]:
     steps = np.zeros((longest, lanes), np.uint64 if wide else np.uint32)
     steps[:, : lanes - 1] = ids[: (lanes - 1) * block].reshape(lanes - 1, block)[:, :longest].T
     steps[:last, lanes - 1] = ids[(lanes - 1) * block :]
-    coder, model = _Coder(lanes, None, longest // 4 + 64), _Model(lanes, wide)
+    coded = np.empty((longest, lanes), np.uint32)
+    some = max(1, _RANKED_IDS // longest)
+    for i in range(0, lanes, some):
+        # sorting ids of 16 bits is linear
+        coded[:, i : i + some] = _unpredicted(steps[:, i : i + some].T.astype(np.uint32 if wide else np.uint16, order="C")).T
+    coder, model = _Coder(lanes, None, longest // 4 + 2 * _ROOM_STEPS), _Model(lanes, wide, False)
     for t in range(longest):
         n = lanes if t < last else lanes - 1
-        coder.make_room(4)
-        model.step(coder, n, steps[t, :n])
-    coder.finish()
+        if t % _ROOM_STEPS == 0:
+            coder.make_room(2 * _ROOM_STEPS)
+        model.step(coder, n, steps[t, :n], coded[t, :n])
     plain = ids.astype("<u4")
     out = []
-    for i, words in enumerate(coder.at.tolist()):
+    for i, words in enumerate(coder.finish().tolist()):
         part = plain[i * block : (i + 1) * block]
         body = coder.words[i, :words].astype("<u4").tobytes()
         out.append(_HEADER.pack(MAGIC, _VERSION, wide, 0, part.size, words, zlib.crc32(part), zlib.crc32(body)) + body)
@@ -285,11 +357,11 @@ def decode_blocks(blocks: list[bytes]) -> list[np.ndarray]:
         words = np.zeros((len(order), max(heads[i][5] for i in order) + 2), np.uint32)
         for lane, i in enumerate(order):
             words[lane, : heads[i][5]] = np.frombuffer(blocks[i], "<u4", heads[i][5], _HEADER.size)
-        coder, model = _Coder(len(order), words, 0), _Model(len(order), bool(wide))
+        coder, model = _Coder(len(order), words, 0), _Model(len(order), bool(wide), True)
         ids = np.zeros((int(sizes[0]), len(order)), np.uint32)
         for t in range(ids.shape[0]):
             n = int(np.searchsorted(-sizes, -t, side="left"))
-            ids[t, :n] = model.step(coder, n, None)
+            ids[t, :n] = model.step(coder, n)
         lanes = np.ascontiguousarray(ids.T)
         for lane, i in enumerate(order):
             got = lanes[lane, : sizes[lane]]

@@ -17,8 +17,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Distinct chunks kept per worker process (about 100 bytes each); the table
-#: starts anew when full.
+#: Distinct chunks kept per worker process (about 100 bytes each); a full
+#: table goes on with those that have come again since it was last full.
 KEPT_CHUNKS = 1 << 19
 #: Chunks of up to so many bytes are keyed by 8-byte limbs, longer ones by a dict.
 LIMBS = 3
@@ -67,8 +67,27 @@ class ChunkTable:
         self.long_bytes = 0
         self.count = 0
         self.begin, self.size = np.zeros(1024, np.int64), np.zeros(1024, np.int32)
+        #: By number: whether a later call has found the chunk.
+        self.again = np.zeros(1024, bool)
         self.ids, self.used = np.zeros(4096, np.uint32), 0
 
+    def trim(self) -> None:
+        """Make room: forget all chunks but those that have come again, or
+        all if these would fill half the table."""
+        kept = np.flatnonzero(self.again[: self.count])
+        if 2 * kept.size > self.kept:
+            return self.clear()
+        ids, _ = self.gather(kept)
+        sizes = self.size[kept]
+        number = np.full(self.count, -1, np.int32)
+        number[kept] = np.arange(kept.size)
+        slot = np.flatnonzero(self.number >= 0)
+        number = number[self.number[slot]]
+        key, number = self.key[:, slot[number >= 0]], number[number >= 0]
+        self.clear()
+        self.add(key, self.hash(key), number)
+        self.store(ids, sizes)
+
     @staticmethod
     def hash(limbs: np.ndarray) -> np.ndarray:
         h = limbs[0] * _MIX[0]
@@ -121,14 +140,12 @@ class ChunkTable:
         index += np.arange(index.size)
         return self.ids[index], ends
 
-    def store(self, parts: list[np.ndarray]) -> np.ndarray:
-        """Keep the ids of new chunks; their numbers."""
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        flat = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+    def store(self, flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Keep the ids of new chunks, of which each has its size; their numbers."""
         while self.used + flat.size > self.ids.size:
             self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
         while self.count + sizes.size > self.begin.size:
-            self.begin, self.size = (np.concatenate((x, np.zeros_like(x))) for x in (self.begin, self.size))
+            self.begin, self.size, self.again = (np.concatenate((x, np.zeros_like(x))) for x in (self.begin, self.size, self.again))
         new = slice(self.count, self.count + sizes.size)
         self.ids[self.used : self.used + flat.size] = flat
         self.begin[new] = self.used + np.cumsum(sizes) - sizes
@@ -153,6 +170,13 @@ class ChunkEncoder:
     def _encode_chunks(self, chunks: list[str]) -> list[np.ndarray]:
         raise NotImplementedError
 
+    def _encode_spans(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all these chunks of ``data``, one after the other, and
+        the number of each one's ids."""
+        text = data.tobytes()
+        parts = self._encode_chunks([text[a:z].decode() for a, z in zip(starts.tolist(), (starts + sizes).tolist())])
+        return np.concatenate([np.zeros(0, np.uint32), *parts]), np.fromiter(map(len, parts), np.int64, len(parts))
+
     def _folded(self, data: np.ndarray) -> np.ndarray:
         """The bytes that tell chunks apart."""
         return data
@@ -171,25 +195,24 @@ class ChunkEncoder:
         short = sizes <= 8 * LIMBS
         numbers = np.full(starts.size, -1, np.int32)
         if table.count + starts.size // 4 > table.kept or table.long_bytes > LONG_BYTES:
-            table.clear()
+            table.trim()
         todo = np.flatnonzero(short)
-        numbers[todo] = table.find(limbs[:, todo], h[todo])
-        text = padded.tobytes()
-        cut = lambda at: text[starts[at] : starts[at] + sizes[at]]
+        numbers[todo] = known = table.find(limbs[:, todo], h[todo])
+        table.again[known[known >= 0]] = True
         while (todo := np.flatnonzero(short & (numbers < 0))).size:
             # one chunk of each hash; should two share it, the other has its turn in the next round
             new = todo[np.unique(h[todo], return_index=True)[1]]
             while table.count + new.size > table.slots * 3 // 4:  # many new chunks at once
                 table.grow()
-            parts = self._encode_chunks([cut(i).decode() for i in new.tolist()])
-            table.add(limbs[:, new], h[new], table.store(parts))
+            table.add(limbs[:, new], h[new], table.store(*self._encode_spans(padded, starts[new], sizes[new])))
             numbers[todo] = table.find(limbs[:, todo], h[todo])
         rest = np.flatnonzero(~short)
         if rest.size:
-            chunks = [cut(i) for i in rest.tolist()]
-            new = [c for c in dict.fromkeys(chunks) if c not in table.long]
+            chunks = [padded[a:z].tobytes() for a, z in zip(starts[rest].tolist(), (starts + sizes)[rest].tolist())]
+            new = {c: i for c, i in zip(chunks, rest.tolist()) if c not in table.long}
             table.long_bytes += sum(map(len, new))
-            table.long.update(zip(new, table.store(self._encode_chunks([c.decode() for c in new])).tolist()))
+            at = np.fromiter(new.values(), np.int64, len(new))
+            table.long.update(zip(new, table.store(*self._encode_spans(padded, starts[at], sizes[at])).tolist()))
             numbers[rest] = [table.long[c] for c in chunks]
         return numbers, starts
 
@@ -215,21 +238,30 @@ class TextEncoder(ChunkEncoder):
     def _direct(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_chunks(self, chunks: list[str], per_text: int = 200) -> list[np.ndarray]:
-        if self.mark is None or any(_MARK in c for c in chunks):
-            return self._direct(chunks)
-        # Many chunks at a time, with a special token between them that the
+    _encode_chunks = _direct
+
+    def _encode_spans(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, per_text: int = 200) -> tuple[np.ndarray, np.ndarray]:
+        if self.mark is None or not starts.size:
+            return super()._encode_spans(data, starts, sizes)
+        # Many chunks at a time, each followed by a special token that the
         # vocabulary recognises meanwhile (one by one if it has none).
-        out = []
-        groups = [chunks[i : i + per_text] for i in range(0, len(chunks), per_text)]
+        mark = np.frombuffer(_MARK.encode(), np.uint8)
+        width = sizes + mark.size
+        ends = np.cumsum(width)
+        index = np.repeat(starts - (ends - width), width)
+        index += np.arange(index.size)
+        joined = data.take(index, mode="clip")
+        joined[(ends - mark.size)[:, None] + np.arange(mark.size)] = mark
+        text = joined.tobytes()
+        if text.count(mark.tobytes()) != starts.size:  # a chunk has it itself
+            return super()._encode_spans(data, starts, sizes)
+        cuts = [0, *ends[per_text - 1 : -1 : per_text].tolist(), ends[-1]]
         self.whole.encode_special_tokens = False
-        coded = self.whole.encode_batch_fast([_MARK.join(g) for g in groups], add_special_tokens=False)
+        coded = self.whole.encode_batch_fast([text[a:z].decode() for a, z in zip(cuts, cuts[1:])], add_special_tokens=False)
         self.whole.encode_special_tokens = True
-        for e in coded:
-            ids = np.array(e.ids, np.uint32)
-            cuts = np.flatnonzero(ids == self.mark).tolist()
-            out += [ids[a:b] for a, b in zip([0, *(c + 1 for c in cuts)], [*cuts, len(ids)])]
-        return out
+        ids = np.concatenate([np.array(e.ids, np.uint32) for e in coded])
+        at = np.flatnonzero(ids == self.mark)
+        return np.delete(ids, at), np.diff(at, prepend=-1) - 1
 
     def _chunks(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n = data.size

@@ -45,3 +45,32 @@ def test_word_numbers_are_exact():
     found = [w for t in (text, "b a") for w in t.encode().split()]
     assert len(number) == len(found)
     assert [[x == y for y in number] for x in number] == [[x == y for y in found] for x in found]
+
+
+class _Counted:
+    """A tokenizer that notes how often it is given a word."""
+
+    def __init__(self, whole, word):
+        self.__dict__ |= {"whole": whole, "word": word, "times": 0}
+
+    def __setattr__(self, name, value):
+        setattr(self.whole, name, value)
+
+    def __getattr__(self, name):
+        return getattr(self.whole, name)
+
+    def encode_batch_fast(self, texts, **how):
+        self.__dict__["times"] += sum(t.count(self.word) for t in texts)
+        return self.whole.encode_batch_fast(texts, **how)
+
+
+def test_recurring_chunks_outlive_a_full_table():
+    enc = TextEncoder(BYTE_VOCABULARY, "lead", kept=2000)
+    plain, enc.whole = enc.whole, _Counted(enc.whole, "recurring")
+    for i in range(20):
+        text = "a recurring word " + " ".join(f"w{i}x{j}" for j in range(600))
+        ids, bounds = enc.encode(pa.array([text, None, "recurring"]))
+        want = [plain.encode(t, add_special_tokens=False).ids for t in (text, "", "recurring")]
+        assert [ids[a:z].tolist() for a, z in zip(bounds, bounds[1:])] == want
+        assert enc.table.count <= 2700
+    assert enc.whole.times == 2  # with a space before and without, once each
