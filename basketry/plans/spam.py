@@ -8,8 +8,8 @@
 * ``legacy_sgd``: mllib's SGD logistic regression on hashed case-preserving
   single-space tokens (deprecated API; it takes an RDD of LabeledPoint).
 
-Hashed training data is persisted for the iterative fits and released
-afterwards.  Folds are fixed by the data, so grid results repeat anywhere.
+Hashed training data is persisted for the iterative fits, in at most one
+partition a core, and released afterwards.  Folds are fixed by the data, so grid results repeat anywhere.
 """
 
 from __future__ import annotations
@@ -57,6 +57,14 @@ def hashed_corpus(corpus: DataFrame, stages: Sequence, keep: Sequence[str] = (),
     return rows.select(*dict.fromkeys(["doc_id", *keep]), "features").join(labels, "doc_id").select(*keep, "label", "features")
 
 
+def for_fits(data: DataFrame) -> DataFrame:
+    """``data`` in at most one partition a core, all its rows.  Every
+    evaluation of an optimiser is a job over all partitions, and each task
+    reports to the driver: with partitions by input size these reports, times
+    hundreds of evaluations, come to outweigh the gradients (one each)."""
+    return data.coalesce(data.sparkSession.sparkContext.defaultParallelism)
+
+
 def train_text_model(corpus: DataFrame, text: str = "text", num_features: int = 10_000, max_iter: int = 100, labels: DataFrame | None = None) -> PipelineModel:
     """Fit Tokenizer -> HashingTF -> LogisticRegression.  The hashed vectors
     are computed once and persisted for the optimiser's passes (instead of
@@ -65,7 +73,7 @@ def train_text_model(corpus: DataFrame, text: str = "text", num_features: int =
     ``hashed_corpus``."""
     pipe, tf, lr = ml.text_classifier(text, num_features, max_iter)
     tok = pipe.getStages()[0]
-    hashed = hashed_corpus(corpus, [tok, tf], text=text, labels=labels).persist(StorageLevel.MEMORY_AND_DISK)
+    hashed = for_fits(hashed_corpus(corpus, [tok, tf], text=text, labels=labels)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return PipelineModel(stages=[tok, tf, lr.fit(hashed)])
     finally:
@@ -121,7 +129,7 @@ def text_grid(
         pipe, tf, lr = ml.text_classifier(text, n, max_iter)
         stages = [pipe.getStages()[0], tf]
         grid = [{lr.getParam(name): v for name, v in zip(lr_grid, setting)} for setting in values]
-        return stages, lr, grid, hashed_corpus(folded, stages, ["fold"], text, labels).persist(StorageLevel.MEMORY_AND_DISK)
+        return stages, lr, grid, for_fits(hashed_corpus(folded, stages, ["fold"], text, labels)).persist(StorageLevel.MEMORY_AND_DISK)
 
     for n in num_features:
         _, lr, grid, data = hashed(n)
@@ -187,7 +195,7 @@ def legacy_sgd(corpus: DataFrame, text: str = "text", num_features: int = 10_000
 
     tokens = corpus.where(F.col(text).isNotNull()).withColumn("tokens", split_space(text))
     hashed = hashed_corpus(tokens, [HashingTF(inputCol="tokens", outputCol="features", numFeatures=num_features)], text=text, labels=labels)
-    old = MLUtils.convertVectorColumnsFromML(hashed.select("label", "features"), "features")
+    old = MLUtils.convertVectorColumnsFromML(for_fits(hashed.select("label", "features")), "features")
     # the trainer caches the converted points on the JVM side itself
     points = old.rdd.map(lambda r: LabeledPoint(r[0], r[1]))
     return LogisticRegressionWithSGD.train(points, iterations=iterations, step=step, regParam=reg_param, regType="l2", intercept=False)

@@ -92,6 +92,23 @@ def test_spam_grid_folds_come_from_the_text(spark):
     assert a.best.stages[1].getNumFeatures() == max(a.rows, key=lambda r: r[2])[0]
 
 
+def test_fits_run_on_at_most_a_partition_a_core(spark, monkeypatch):
+    """However many partitions the input has: each of their tasks reports to
+    the driver in every evaluation.  No row is lost by that."""
+    corpus = load_corpus(spark, "/root/testdata/sf0.001")
+    most = spark.sparkContext.defaultParallelism
+    seen = []
+
+    def out_of_fold(data, *rest, own=ml.out_of_fold):
+        seen.append((data.rdd.getNumPartitions(), data.count()))
+        return own(data, *rest)
+
+    monkeypatch.setattr(ml, "out_of_fold", out_of_fold)
+    spam.spam_grid_search(corpus.repartition(3 * most), num_features=(100,), max_iters=(3,))
+    assert [n for _, n in seen] == [corpus.count()]
+    assert seen[0][0] <= most
+
+
 def test_grid_equals_spark_cross_validation(spark):
     """Mean held-out AUC and best setting against Spark's CrossValidator on the same folds."""
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
