@@ -7,13 +7,14 @@ every machine decodes what another has coded.
 
 Per id the model has predictions of three orders: the id that last followed the
 previous two ids (order 2), the one that last followed the previous id (order
-1), and, of order 0, the block's commonest id by majority vote and the list of
-its ids by first appearance, where common ids come early.  One symbol says
-which prediction is right or, if none is, in which class of ranks of the list,
-or of new ids, the id lies.  Its distribution mixes three adaptive ones, given
-order 2's record of hits, order 1's, and the symbol before, by adding their
-counts: one that has seen more says more.  The place in the class follows as
-plain bits in the same coding step, so an id takes a single one.
+1), and, of order 0, the list of the block's ids by first appearance, where
+common ids come early.  One symbol says which prediction is right or, if none
+is, in which class of ranks of the list, or of new ids, the id lies.  Its
+distribution mixes an adaptive one given both orders' records of hits, whether
+they agree and whether the id before was predicted, with that of all contexts
+together, by adding their counts; the sums are brought up to date every few
+steps.  The place in the class follows as plain bits in the same coding step, so
+an id takes a single one.
 """
 
 from __future__ import annotations
@@ -25,42 +26,57 @@ import numpy as np
 
 BLOCK_IDS = 4096
 MAGIC = b"TIDB"
-_HEADER = struct.Struct("<4sBBHIIII")  # magic, version, whether ids pass 16 bits, 0, ids, words, crc32 of ids, of words
-_VERSION = 3
+_HEADER = struct.Struct("<4sBBHIII")  # magic, version, whether ids pass 16 bits, 0, ids, words, crc32 of ids
+_CHECK = struct.Struct("<I")  # crc32 of the header and the words, between them
+_BODY = _HEADER.size + _CHECK.size
+_VERSION = 4
 
 _WORD = np.uint64(32)
 _LOW32 = np.uint64((1 << 32) - 1)
 _FULL = np.uint64(1 << 32)
 
-_SYMBOLS = 16
-#: Symbols from 0: order 2, 1 or 0 is right; from 3: a class of ranks in the
-#: list; from 12: a class of new ids, the last for those from 65,536 on (16
+_ROW = 16
+#: Symbols 0 and 1: order 2 or 1 is right; from 2: a class of ranks in the
+#: list; from 11: a class of new ids, the last for those from 65,536 on (16
 #: upper bits, and 16 lower ones in a step of their own).
-_LISTED, _NEW, _WIDE = 3, 12, 15
+_LISTED, _NEW, _WIDE = 2, 11, 14
 #: First rank or id of each symbol's class, and its number of plain bits.
-_BASE = np.array([0, 0, 0, 0, 16, 32, 64, 128, 256, 512, 1024, 2048, 0, 4096, 16384, 0], np.int64)
-_BITS = np.array([0, 0, 0, 4, 4, 5, 6, 7, 8, 9, 10, 11, 12, 14, 16, 16], np.uint64)
+_BASE = np.array([0, 0, 0, 16, 32, 64, 128, 256, 512, 1024, 2048, 0, 4096, 16384, 0], np.int64)
+_BITS = np.array([0, 0, 4, 4, 5, 6, 7, 8, 9, 10, 11, 12, 14, 16, 16], np.uint64)
 #: Ranks of the list; ids that are new when it is full are not listed.
 _RANKS = 4096
-_RANK_CLASS = (np.searchsorted(_BASE[_LISTED:_NEW], np.arange(_RANKS), side="right") + _LISTED - 1).astype(np.uint8)
-_ID_CLASS = (np.searchsorted(_BASE[_NEW:_WIDE], np.arange(1 << 16), side="right") + _NEW - 1).astype(np.uint8)
-#: Ids ranked at once by the encoder.
-_RANKED_IDS = 1 << 17
+
+
+def _codes(first: int, last: int, count: int) -> np.ndarray:
+    """16 * place in the class + symbol of numbers in the classes first to last."""
+    value = np.arange(count)
+    symbol = np.searchsorted(_BASE[first:last], value, side="right") + first - 1
+    return ((value - _BASE[symbol]) << 4 | symbol).astype(np.uint32)
+
+
+_RANK_CODE = _codes(_LISTED, _NEW, _RANKS)
+_ID_CODE = _codes(_NEW, _WIDE, 1 << 16)
+#: Blocks whose codes are put side by side at once.
+_RANKED = 32
 #: Steps between two looks at the room for coded words.
 _ROOM_STEPS = 64
 
 #: Slots a lane for predictions of order 1 and 2.
 _SLOTS = (1 << 11, 1 << 12)
-_MASKS = np.array([[s - 1] for s in _SLOTS])
-#: Contexts of the distributions: record of hits of order 1 by symbol before,
-#: of order 2 by whether both agree, and symbol before.
-_CONTEXTS = (16, 8, 16)
-_PER_RECORD = np.array([[4], [2]])
-_FIRST, _STEP, _LIMIT = 4, 32, 1024
+_SHIFTS = np.array([[5], [4]], np.uint16)
+#: Contexts of the distributions, by record of order 1, 4 * record of order 2,
+#: 16 if both agree (then order 1's record counts for little: whether it has
+#: hits), 32 if the id before was predicted.
+_CONTEXT = np.array([c for late in (0, 24) for c in [*range(late, late + 16), *(late + 16 + 2 * (r >> 2) + (r & 3 > 1) for r in range(16))]])
+_CONTEXTS = 48
+#: Weight of an id counted in the context, and how many ids all others weigh.
+_WEIGHT, _SHARED = 12, 12
+#: Steps between two looks at the counts; steps counted when they are halved.
+_SPAN, _LIMIT = 64, 2048
 #: Four counts of 16 bits in a 64-bit number times this are their running sums.
 _SUMS_OF_4 = np.uint64(0x0001000100010001)
-#: Next record of hits: by record after a miss, then after a hit.
-_RECORD = np.array([0, 0, 0, 1, 1, 2, 3, 3], np.uint8)
+_LAST_OF_4 = np.uint64(48)
+_ONES_OF_8, _LAST_OF_8 = np.uint64(0x0101010101010101), np.uint64(56)
 
 
 class CorruptBlock(ValueError):
@@ -97,7 +113,7 @@ class _Coder:
             return
         low = self.low[:n]
         low += by
-        if (few := np.flatnonzero(low < by)).size:
+        if (few := (low < by).nonzero()[0]).size:
             at = self.at.take(few)
             while at.size:
                 at -= 1
@@ -107,7 +123,7 @@ class _Coder:
 
     def put(self, n: int, span: np.ndarray) -> None:
         """The new ranges of the first ``n`` lanes."""
-        few = np.flatnonzero(span < _FULL)
+        few = (span < _FULL).nonzero()[0]
         if few.size:
             at = self.at.take(few)
             if self.decoding:
@@ -154,154 +170,209 @@ class _Coder:
 
 class _Model:
     """Tables are flat, with a part for each lane.  The arrays of a step are
-    short, so it is the number of numpy calls that counts: what belongs to
-    several orders is one array with a row for each."""
+    short, so it is the number of numpy calls that counts, and that of reads
+    from tables larger than the caches: what belongs to both orders is one
+    array with a row for each.
+
+    The distributions in use are made anew from the counts at steps known
+    beforehand, and counts are halved at others, so that a step only notes
+    which count it adds to."""
 
     def __init__(self, lanes: int, wide: bool, decoding: bool):
         self.wide = wide
         self.kind = kind = np.uint64 if wide else np.uint32
         #: Predicted at first: no id, so an id is new when it first comes.
         none = 1 << (32 if wide else 16)
-        self.lane = np.arange(lanes)
-        #: Predictions of order 1 and 2, as 4 * id + record of hits.
-        self.guess = np.full(lanes * sum(_SLOTS), none << 2, kind)
-        self.slots = self.lane * sum(_SLOTS) + np.array([[0], [_SLOTS[0]]])
-        self.counts = np.full((lanes * sum(_CONTEXTS), _SYMBOLS), _FIRST, "<u2")
-        self.each_count, self.each_row = self.counts.reshape(-1), self.counts.view(f"V{2 * _SYMBOLS}").reshape(-1)
-        self.rows = self.lane * sum(_CONTEXTS) + np.array([[0], [_CONTEXTS[0]], [_CONTEXTS[0] + _CONTEXTS[1]]])
-        self.own = np.arange(3 * lanes) * _SYMBOLS
-        self.next = _RECORD.astype(kind)
+        #: Predictions of order 1 and 2, as 16 * id + record of hits: 0 to 3,
+        #: or 4 times that for order 2.
+        self.guess = np.full(lanes * sum(_SLOTS), none << 4, kind)
+        lane = np.arange(lanes)
+        self.slots = lane * sum(_SLOTS) + np.array([[0], [_SLOTS[0]]])
+        self.hit, self.most = (np.array([[x], [4 * x]], kind) for x in (1, 3))
+        #: By context, lane and symbol + 1: counts, and where the symbol's part ends.
+        self.counts = np.zeros(_CONTEXTS * lanes * _ROW, "<u2")
+        self.ends = np.empty_like(self.counts)
+        self.noted = np.empty((_SPAN, lanes), np.int64)
+        self.spans = [0] * _SPAN
+        self.steps = self.pending = self.seen = 0
+        self.row = _CONTEXT * (lanes * _ROW)
+        self.own = lane * _ROW
+        self._mix()
         if decoding:
-            self.listed = np.zeros(lanes * _RANKS, kind)
-            self.lists = self.lane * _RANKS
+            self.listed = np.zeros(lanes * _RANKS, np.uint32 if wide else np.uint16)
+            self.lists = lane * _RANKS
             self.length = np.zeros(lanes, np.int64)
-        self.usual, self.votes = np.full(lanes, none, kind), np.zeros(lanes, np.int16)
-        self.prev1, self.prev2, self.latest = (np.zeros(lanes, np.int64) for _ in range(3))
+        #: Hashes of the previous id and of the previous two; what the previous
+        #: id adds to the next hash of two.
+        self.hash, self.before = np.zeros((2, lanes), np.uint16), np.zeros(lanes, np.uint16)
+        self.latest, self.late, self.agree = np.zeros(lanes, kind), kind(32), kind(16)
 
-    def step(self, coder: _Coder, n: int, ids: np.ndarray | None = None, coded: np.ndarray | None = None) -> np.ndarray:
-        """Code one id of each of the first ``n`` lanes, by ``coded`` (see
-        ``_unpredicted``) where no prediction is right; or, without ``ids``,
-        decode one."""
-        prev1, latest, usual, at = self.prev1[:n], self.latest[:n], self.usual[:n], self.lane[:n]
-        slot = np.empty((2, n), np.int64)
-        np.multiply(prev1, 40503, out=slot[0])
-        np.multiply(self.prev2[:n], 30011, out=slot[1])
-        slot[1] += slot[0]
-        slot >>= 4
-        slot &= _MASKS
-        slot += self.slots[:, :n]
+    def _mix(self) -> None:
+        """The distributions in use: each context's counts, and those of all
+        contexts together at the weight of a few ids."""
+        counts = self.counts.reshape(_CONTEXTS, -1)
+        shared = np.add.reduce(counts, axis=0, dtype=np.uint32)
+        shared *= _WEIGHT * _SHARED
+        shared //= max(1, self.seen)
+        shared += 1
+        shared[::_ROW] = 0
+        ends = self.ends.reshape(_CONTEXTS, -1)
+        np.multiply(counts, np.uint16(_WEIGHT), out=ends)
+        ends += shared.astype(np.uint16)
+        packed = self.ends.view("<u8")
+        packed *= _SUMS_OF_4
+        packed = packed.reshape(-1, _ROW // 4)
+        for k in range(1, _ROW // 4):
+            packed[:, k] += (packed[:, k - 1] >> _LAST_OF_4) * _SUMS_OF_4
+
+    def _note(self, n: int, place: np.ndarray) -> None:
+        """Count a step's symbols, at their places among the counts."""
+        self.noted[self.pending, :n] = place
+        self.spans[self.pending] = n
+        self.steps += 1
+        self.pending += 1
+        # after 1, 2, 4, 8, ... steps, and then after each _SPAN
+        if self.pending == _SPAN or self.steps < _SPAN and self.steps & (self.steps - 1) == 0:
+            places = np.concatenate([self.noted[i, :k] for i, k in enumerate(self.spans[: self.pending])])
+            np.add.at(self.counts, places, np.uint16(1))
+            self.seen += self.pending
+            self.pending = 0
+            if self.seen >= _LIMIT:
+                self.counts >>= 1
+                self.seen >>= 1
+            self._mix()
+
+    def _predict(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(slots, what they hold, the ids predicted, where the context's
+        distribution begins) of the first ``n`` lanes."""
+        slot = self.slots[:, :n] + (self.hash[:, :n] >> _SHIFTS)
         held = self.guess.take(slot)
-        guessed = held >> 2
-        one, two = guessed
-        held &= 3
-        record = held.astype(np.int64)
-        rows = np.empty((3, n), np.int64)
-        np.multiply(record, _PER_RECORD, out=rows[:2])
-        rows[0] += np.minimum(latest, 3)
-        rows[1] += one == two
-        rows[2] = latest
-        rows += self.rows[:, :n]
-        own = self.counts.take(rows.reshape(-1), axis=0)
-        size = own[:n]
-        size = np.add(size, own[n : 2 * n], out=np.empty_like(size))
-        size += own[2 * n :]
-        # where each symbol's part ends; three rows of counts sum to less than 2^16
-        sums = np.empty((n, _SYMBOLS // 4), "<u8")
-        np.multiply(size.view("<u8"), _SUMS_OF_4, out=sums)
-        ends = np.ascontiguousarray(sums.view("<u2").T)
-        for k in (4, 8, 12):
-            ends[k : k + 4] += ends[k - 1]
-        unit = coder.range[:n] // ends[-1]
-        if ids is None:
-            symbol = np.add.reduce(ends[:-1] <= np.minimum(coder.above[:n] // unit, 65535).astype(np.uint16), axis=0, dtype=np.uint8).astype(np.int64)
-        else:
-            symbol = (coded & 15).astype(np.int64)
-            for k, prediction in ((2, usual), (1, one), (0, two)):
-                np.putmask(symbol, ids == prediction, k)
-        share = size.reshape(-1).take(self.own[:n] + symbol)
-        shift = unit * (ends.reshape(-1).take(symbol * n + at) - share)
+        guessed = held >> 4
+        context = held[0] | held[1]
+        context &= 15
+        context += self.latest[:n]
+        context += (guessed[0] == guessed[1]) * self.agree
+        first = self.row.take(context)
+        first += self.own[:n]
+        return slot, held, guessed, first
+
+    def _learn(self, n: int, slot: np.ndarray, held: np.ndarray, out: np.ndarray, late: np.ndarray) -> None:
+        """The id just seen is the next prediction; a record counts the hits
+        since the last miss."""
+        new = out << 4
+        held ^= new
+        miss = held > 15
+        held += self.hit
+        np.minimum(held, self.most, out=held)
+        np.putmask(held, miss, 0)
+        held |= new
+        self.guess[slot.reshape(-1)] = held.reshape(-1)
+        np.multiply(late, self.late, out=self.latest[:n])
+        short = (out ^ (out >> 16) if self.wide else out).astype(np.uint16)
+        np.multiply(short, 40503, out=self.hash[0, :n])
+        np.add(self.hash[0, :n], self.before[:n], out=self.hash[1, :n])
+        np.multiply(short, 30011, out=self.before[:n])
+
+    def encode(self, coder: _Coder, n: int, ids: np.ndarray, coded: np.ndarray) -> None:
+        """Code one id of each of the first ``n`` lanes, by ``coded`` (see
+        ``_unpredicted``) where no prediction is right."""
+        slot, held, guessed, first = self._predict(n)
+        right = guessed == ids
+        np.putmask(coded, right[0], 1)
+        np.putmask(coded, right[1], 0)
+        symbol = (coded & 15).astype(np.int64)
+        total = self.ends.take(first + (_ROW - 1))
+        first += symbol
+        start = self.ends.take(first)
+        first += 1
+        share = self.ends.take(first)
+        share -= start
+        unit = coder.range[:n] // total
+        shift = unit * start
         unit *= share
         unit >>= _BITS.take(symbol)
-        if ids is None:
-            value = (coder.above[:n] - shift) // unit
-            full = value.astype(np.int64)
-            full += _BASE.take(symbol)
-            told = np.empty((_LISTED + 1, n), self.kind)
-            told[0], told[1], told[2] = two, one, usual
-            told[3] = np.where(symbol >= _NEW, full, self.listed.take(np.minimum(full, _RANKS - 1) + self.lists[:n]))
-            out = told.reshape(-1).take(np.minimum(symbol, _LISTED) * n + at)
-        else:
-            out = ids
-            value = (coded >> 4) * (symbol >= _LISTED)
+        coded >>= 4
+        shift += unit * coded
+        coder.move(n, shift)
+        coder.put(n, unit)
+        if self.wide and (few := np.flatnonzero(symbol == _WIDE)).size:
+            coder.plain(n, few, ids[few] & 0xFFFF)
+        self._note(n, first)
+        self._learn(n, slot, held, ids, symbol < _LISTED)
+
+    def decode(self, coder: _Coder, n: int) -> np.ndarray:
+        """The next id of each of the first ``n`` lanes."""
+        slot, held, guessed, first = self._predict(n)
+        rows = self.ends.reshape(-1, _ROW).take(first >> 4, axis=0)
+        unit = coder.range[:n] // rows[:, -1]
+        at = (coder.above[:n] // unit).astype(np.uint16)
+        below = (rows <= at[:, None]).view("<u8")
+        symbol = below[:, 0] + below[:, 1]
+        symbol *= _ONES_OF_8
+        symbol >>= _LAST_OF_8
+        symbol = symbol.view(np.int64)
+        first += symbol
+        symbol -= 1
+        share = self.ends.take(first)
+        start = self.ends.take(first - 1)
+        share -= start
+        shift = unit * start
+        unit *= share
+        unit >>= _BITS.take(symbol)
+        value = (coder.above[:n] - shift) // unit
         shift += unit * value
         coder.move(n, shift)
         coder.put(n, unit)
+        full = _BASE.take(symbol)
+        full += value.view(np.int64)
+        # a rank's id; of no use, but harmless, for other symbols
+        out = self.listed.take(full + self.lists[:n], mode="clip").astype(self.kind)
+        new = (symbol >= _NEW).nonzero()[0]
+        out[new] = full.take(new)
+        late = symbol < _LISTED
+        np.putmask(out, late, guessed[0])
+        np.putmask(out, symbol == 0, guessed[1])
         if self.wide and (few := np.flatnonzero(symbol == _WIDE)).size:
-            lower = coder.plain(n, few, None if ids is None else ids[few] & 0xFFFF)
-            if ids is None:
-                out[few] = (out[few] << 16) | lower
-        # learn: the symbol's counts in each distribution
-        had = own.reshape(-1).take(self.own[: 3 * n].reshape(3, n) + symbol)
-        had += _STEP
-        place = rows * _SYMBOLS
-        place += symbol
-        self.each_count[place] = had
-        if (full := np.flatnonzero(had > _LIMIT)).size:
-            full = rows.reshape(-1).take(full)
-            halved = self.counts.take(full, axis=0)
-            halved += 1
-            halved >>= 1
-            self.each_row[full] = halved.view(self.each_row.dtype).reshape(-1)
-        if ids is None:
-            new = np.flatnonzero(symbol >= _NEW)
-            rank = self.length.take(new)
-            if new.size and rank.max() >= _RANKS:
-                new, rank = new[rank < _RANKS], rank[rank < _RANKS]
-            self.listed[new * _RANKS + rank] = out.take(new)
-            self.length[new] = rank + 1
-        # a prediction that has been right twice survives one miss
-        right = guessed == out
-        kept = np.where(right | (held > 1), guessed, out)
-        kept <<= 2
-        record += right * 4
-        kept |= self.next.take(record)
-        self.guess[slot] = kept
-        votes, same = self.votes[:n], (usual == out).view(np.int8)
-        votes += same
-        votes += same
-        votes -= 1
-        np.putmask(usual, votes < 0, out)
-        np.abs(votes, out=votes)
-        latest[:] = symbol
-        self.prev2[:n] = prev1
-        prev1[:] = out
+            out[few] = (out[few] << 16) | coder.plain(n, few, None)
+        rank = self.length.take(new)
+        self.length[new] = rank + 1
+        if self.steps >= _RANKS:
+            new, rank = new[rank < _RANKS], rank[rank < _RANKS]
+        rank += self.lists.take(new)
+        self.listed[rank] = out.take(new)
+        self._note(n, first)
+        self._learn(n, slot, held, out, late)
         return out
 
 
-def _unpredicted(ids: np.ndarray) -> np.ndarray:
-    """16 * place in the class + symbol of each id of the blocks (rows) ``ids``
-    if no prediction is right.  The list holds a block's ids by first
-    appearance, so it follows from the ids alone."""
-    lanes, size = ids.shape
-    order = np.argsort(ids, axis=1, kind="stable")
-    order += np.arange(lanes)[:, None] * size
-    order = order.reshape(-1)
-    in_order = ids.reshape(-1).take(order)
-    run = np.ones(order.size, bool)
-    np.not_equal(in_order[1:], in_order[:-1], out=run[1:])
-    run[::size] = True
-    first = np.zeros(order.size, bool)
-    first[order[run]] = True
-    ranks = np.cumsum(first.reshape(lanes, size), axis=1, dtype=np.int32).reshape(-1) - 1
-    rank = np.empty(order.size, np.int32)
-    rank[order] = np.repeat(ranks[order[run]], np.diff(np.append(np.flatnonzero(run), order.size)))
-    flat = ids.reshape(-1).astype(np.int64)
-    known = ~first & (rank < _RANKS)
-    symbol = np.where(flat >> 16 > 0, _WIDE, _ID_CLASS.take(flat & 0xFFFF))
-    value = np.where(symbol == _WIDE, flat >> 16, flat)
-    symbol = np.where(known, _RANK_CLASS.take(rank, mode="clip"), symbol)
-    value = np.where(known, rank, value) - _BASE.take(symbol)
-    return (value << 4 | symbol).astype(np.uint32).reshape(lanes, size)
+def _unpredicted(ids: np.ndarray, latest: np.ndarray) -> np.ndarray:
+    """16 * place in the class + symbol of each id of the block ``ids`` if no
+    prediction is right.  The list holds a block's ids by first appearance,
+    so it follows from the ids alone.  ``latest`` is room for a number an id
+    of 16 bits, with any content."""
+    of = ids if ids.dtype == np.uint16 else np.unique(ids, return_inverse=True)[1]
+    if ids.size > latest.size:
+        latest = np.empty(ids.size, np.int64)
+    at = np.arange(ids.size)
+    # of equal indexes the last one counts: the first place of each id
+    latest[of[::-1]] = at[::-1]
+    begin = latest.take(of)
+    first = begin == at
+    rank = np.cumsum(first).take(begin)
+    rank -= 1
+    out = _RANK_CODE.take(rank, mode="clip")
+    if ids.size > _RANKS:
+        first |= rank >= _RANKS
+    new = first.nonzero()[0]
+    out[new] = _new_code(ids.take(new))
+    return out
+
+
+def _new_code(ids: np.ndarray) -> np.ndarray:
+    """As ``_unpredicted``, of ids that are not listed."""
+    if ids.dtype == np.uint16:
+        return _ID_CODE.take(ids)
+    return np.where(ids >> 16 > 0, (ids >> 16) << 4 | _WIDE, _ID_CODE.take(ids & 0xFFFF)).astype(np.uint32)
 
 
 def encode_blocks(ids: np.ndarray, block: int = BLOCK_IDS) -> list[bytes]:
@@ -317,22 +388,27 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK_IDS) -> list[bytes]:
     steps[:, : lanes - 1] = ids[: (lanes - 1) * block].reshape(lanes - 1, block)[:, :longest].T
     steps[:last, lanes - 1] = ids[(lanes - 1) * block :]
     coded = np.empty((longest, lanes), np.uint32)
-    some = max(1, _RANKED_IDS // longest)
-    for i in range(0, lanes, some):
-        # sorting ids of 16 bits is linear
-        coded[:, i : i + some] = _unpredicted(steps[:, i : i + some].T.astype(np.uint32 if wide else np.uint16, order="C")).T
+    narrow = ids.astype(np.uint32 if wide else np.uint16)
+    latest = np.empty(1 << 16, np.int64)
+    for i in range(0, lanes, _RANKED):
+        parts = [_unpredicted(narrow[k : k + block], latest) for k in range(i * block, min((i + _RANKED) * block, ids.size), block)]
+        if i + _RANKED >= lanes:
+            coded[:last, lanes - 1] = parts.pop()
+        if parts:
+            coded[:, i : i + len(parts)] = np.stack(parts, axis=1)
     coder, model = _Coder(lanes, None, longest // 4 + 2 * _ROOM_STEPS), _Model(lanes, wide, False)
     for t in range(longest):
         n = lanes if t < last else lanes - 1
         if t % _ROOM_STEPS == 0:
             coder.make_room(2 * _ROOM_STEPS)
-        model.step(coder, n, steps[t, :n], coded[t, :n])
+        model.encode(coder, n, steps[t, :n], coded[t, :n])
     plain = ids.astype("<u4")
     out = []
     for i, words in enumerate(coder.finish().tolist()):
         part = plain[i * block : (i + 1) * block]
         body = coder.words[i, :words].astype("<u4").tobytes()
-        out.append(_HEADER.pack(MAGIC, _VERSION, wide, 0, part.size, words, zlib.crc32(part), zlib.crc32(body)) + body)
+        head = _HEADER.pack(MAGIC, _VERSION, wide, 0, part.size, words, zlib.crc32(part))
+        out.append(head + _CHECK.pack(zlib.crc32(body, zlib.crc32(head))) + body)
     return out
 
 
@@ -342,12 +418,12 @@ def decode_blocks(blocks: list[bytes]) -> list[np.ndarray]:
         return []
     heads = []
     for b in blocks:
-        if len(b) < _HEADER.size or b[:4] != MAGIC or b[4] != _VERSION:
+        if len(b) < _BODY or b[:4] != MAGIC or b[4] != _VERSION:
             raise CorruptBlock("not a block of token ids")
         heads.append(_HEADER.unpack_from(b))
-        if len(b) != _HEADER.size + 4 * heads[-1][5]:
+        if len(b) != _BODY + 4 * heads[-1][5]:
             raise CorruptBlock("a block is cut short")
-        if zlib.crc32(memoryview(b)[_HEADER.size :]) != heads[-1][7]:
+        if zlib.crc32(memoryview(b)[_BODY:], zlib.crc32(b[: _HEADER.size])) != _CHECK.unpack_from(b, _HEADER.size)[0]:
             raise CorruptBlock("a block's content is damaged")
     out: list[np.ndarray | None] = [None] * len(blocks)
     for wide in sorted({h[2] for h in heads}):
@@ -356,12 +432,12 @@ def decode_blocks(blocks: list[bytes]) -> list[np.ndarray]:
         sizes = np.array([heads[i][4] for i in order])
         words = np.zeros((len(order), max(heads[i][5] for i in order) + 2), np.uint32)
         for lane, i in enumerate(order):
-            words[lane, : heads[i][5]] = np.frombuffer(blocks[i], "<u4", heads[i][5], _HEADER.size)
+            words[lane, : heads[i][5]] = np.frombuffer(blocks[i], "<u4", heads[i][5], _BODY)
         coder, model = _Coder(len(order), words, 0), _Model(len(order), bool(wide), True)
         ids = np.zeros((int(sizes[0]), len(order)), np.uint32)
         for t in range(ids.shape[0]):
             n = int(np.searchsorted(-sizes, -t, side="left"))
-            ids[t, :n] = model.step(coder, n)
+            ids[t, :n] = model.decode(coder, n)
         lanes = np.ascontiguousarray(ids.T)
         for lane, i in enumerate(order):
             got = lanes[lane, : sizes[lane]]

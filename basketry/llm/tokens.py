@@ -11,6 +11,8 @@ mixed runs of white space) are encoded whole by the library.
 
 from __future__ import annotations
 
+import json
+import os
 from functools import lru_cache
 
 import numpy as np
@@ -39,6 +41,7 @@ _PUNCT[[b for b in [*range(33, 48), *range(58, 65), *range(91, 97), *range(123,
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _KEEP = np.array([(1 << (8 * n)) - 1 for n in range(8)] + [(1 << 64) - 1], np.uint64)
+_FULL_LIMB = np.uint64(1 << 56)
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
@@ -99,15 +102,21 @@ class ChunkTable:
         """Numbers, -1 where unknown."""
         out = np.full(h.size, -1, np.int32)
         slot = (h >> np.uint64(20)).astype(np.int64) & (self.slots - 1)
-        at = np.arange(h.size)
+        at, first = np.arange(h.size), limbs[0]
         while at.size:
-            n = self.number[slot]
+            n = self.number.take(slot)
             same = n >= 0
-            for i in range(LIMBS):
-                same &= self.key[i, slot] == limbs[i, at]
+            same &= self.key[0].take(slot) == first
+            # a chunk of fewer bytes than a limb has no more (no byte is zero)
+            full = (same & (first >= _FULL_LIMB)).nonzero()[0]
+            if full.size:
+                equal, where = np.ones(full.size, bool), slot.take(full)
+                for i in range(1, LIMBS):
+                    equal &= self.key[i].take(where) == limbs[i].take(at.take(full))
+                same[full] = equal
             out[at[same]] = n[same]
             more = (n >= 0) & ~same
-            at, slot = at[more], (slot[more] + 1) & (self.slots - 1)
+            at, slot, first = at[more], (slot[more] + 1) & (self.slots - 1), first[more]
         return out
 
     def add(self, limbs: np.ndarray, h: np.ndarray, numbers: np.ndarray) -> None:
@@ -188,11 +197,16 @@ class ChunkEncoder:
         starts, sizes = self._chunks(data, bounds)
         padded = np.concatenate((self._folded(data), np.zeros(8 * LIMBS, np.uint8)))
         words = np.ndarray(shape=(padded.size - 7,), dtype="<u8", buffer=padded, strides=(1,))
-        limbs = np.empty((LIMBS, starts.size), np.uint64)
-        for i in range(LIMBS):
-            limbs[i] = words[np.minimum(starts + 8 * i, words.size - 1)] & _KEEP[np.clip(sizes - 8 * i, 0, 8)]
+        limbs = np.zeros((LIMBS, starts.size), np.uint64)
+        limbs[0] = words[starts] & _KEEP.take(np.minimum(sizes, 8))
+        for i in range(1, LIMBS):
+            more = (sizes > 8 * i).nonzero()[0]
+            limbs[i, more] = words[starts.take(more) + 8 * i] & _KEEP.take(np.minimum(sizes.take(more) - 8 * i, 8))
         h = table.hash(limbs)
         short = sizes <= 8 * LIMBS
+        if not data.all():  # a zero byte would look like a chunk's end
+            zeros = np.concatenate(([0], np.cumsum(data == 0)))
+            short &= zeros[starts + sizes] == zeros[starts]
         numbers = np.full(starts.size, -1, np.int32)
         if table.count + starts.size // 4 > table.kept or table.long_bytes > LONG_BYTES:
             table.trim()
@@ -223,11 +237,14 @@ class TextEncoder(ChunkEncoder):
     space only separates and case is dropped (word-end vocabularies)."""
 
     def __init__(self, path: str, spaces: str, kept: int = KEPT_CHUNKS):
+        # a task has one core: threads of the library's own only cost time
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
         self.whole.encode_special_tokens = True
         self.mark = self.whole.token_to_id(_MARK)
+        self.id_bytes = self._id_bytes() if spaces == "lead" else None
         self.spaces = spaces
         self.exact = _ODD if spaces == "drop" else f"{_ODD}|{_MIXED}"
         super().__init__(kept)
@@ -240,7 +257,56 @@ class TextEncoder(ChunkEncoder):
 
     _encode_chunks = _direct
 
-    def _encode_spans(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, per_text: int = 200) -> tuple[np.ndarray, np.ndarray]:
+    def _id_bytes(self) -> np.ndarray | None:
+        """How many bytes each id stands for, where the vocabulary cuts like
+        GPT-2's: a byte is a character there, and text is not changed before."""
+        spec = json.loads(self.whole.to_str())
+        cutter = spec["pre_tokenizer"] or {}
+        if cutter.get("type") != "ByteLevel" or not cutter.get("use_regex", True) or cutter.get("add_prefix_space") or spec["normalizer"] or spec["model"]["type"] != "BPE":
+            return None
+        found = self.whole.get_vocab(with_added_tokens=False)
+        sizes = np.zeros(max(found.values()) + 1, np.int64)
+        sizes[list(found.values())] = [len(token) for token in found]
+        return sizes
+
+    def _encode_spans(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if self.id_bytes is None or not starts.size:
+            return self._encode_marked(data, starts, sizes)
+        # A space before other than white space begins a piece, whatever comes
+        # before it; so chunks that begin like this and do not end in white
+        # space follow one another as they are.
+        blank = np.zeros(256, bool)
+        blank[[10, 32]] = True
+        plain = (sizes > 1) & (data[starts] == 32) & ~blank[data[np.minimum(starts + 1, data.size - 1)]] & ~blank[data[starts + sizes - 1]]
+        ids, counts = self._encode_joined(data, starts[plain], sizes[plain])
+        rest = ~plain
+        if not rest.any():
+            return ids, counts
+        if not plain.any():
+            return self._encode_marked(data, starts, sizes)
+        own, own_counts = self._encode_marked(data, starts[rest], sizes[rest])
+        each = np.empty(starts.size, np.int64)
+        each[plain], each[rest] = counts, own_counts
+        of_plain = np.repeat(plain, each)
+        out = np.empty(of_plain.size, np.uint32)
+        out[of_plain], out[~of_plain] = ids, own
+        return out, each
+
+    def _encode_joined(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, per_text: int = 200) -> tuple[np.ndarray, np.ndarray]:
+        ends = np.cumsum(sizes)
+        if not ends.size:
+            return np.zeros(0, np.uint32), ends
+        index = np.repeat(starts - (ends - sizes), sizes)
+        index += np.arange(index.size)
+        text = data.take(index).tobytes()
+        cuts = [0, *ends[per_text - 1 : -1 : per_text].tolist(), ends[-1]]
+        coded = self.whole.encode_batch_fast([text[a:z].decode() for a, z in zip(cuts, cuts[1:])], add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, np.uint32) for e in coded])
+        # ids' bytes are the text's, so they tell where each chunk ends
+        last = np.searchsorted(np.cumsum(self.id_bytes[ids]), ends)
+        return ids, np.diff(last, prepend=-1)
+
+    def _encode_marked(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, per_text: int = 200) -> tuple[np.ndarray, np.ndarray]:
         if self.mark is None or not starts.size:
             return super()._encode_spans(data, starts, sizes)
         # Many chunks at a time, each followed by a special token that the

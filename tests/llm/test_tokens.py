@@ -74,3 +74,47 @@ def test_recurring_chunks_outlive_a_full_table():
         assert [ids[a:z].tolist() for a, z in zip(bounds, bounds[1:])] == want
         assert enc.table.count <= 2700
     assert enc.whole.times == 2  # with a space before and without, once each
+
+
+class _Noted:
+    """A tokenizer that keeps the texts it is given."""
+
+    def __init__(self, whole):
+        self.__dict__ |= {"whole": whole, "texts": []}
+
+    def __setattr__(self, name, value):
+        setattr(self.whole, name, value)
+
+    def __getattr__(self, name):
+        return getattr(self.whole, name)
+
+    def encode_batch_fast(self, texts, **how):
+        self.texts.extend(texts)
+        return self.whole.encode_batch_fast(texts, **how)
+
+
+def test_new_chunks_follow_one_another_without_marks():
+    enc = TextEncoder(BYTE_VOCABULARY, "lead")
+    plain, enc.whole = enc.whole, _Noted(enc.whole)
+    texts = [" it's 12ab we'll" + "".join(f" naïve{i} «w{i}»" for i in range(300)), "x\n y\n", " <|endoftext|> z"]
+    ids, bounds = enc.encode(pa.array(texts))
+    assert [ids[a:z].tolist() for a, z in zip(bounds, bounds[1:])] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    joined = [t for t in enc.whole.texts if "naïve" in t]
+    assert joined and not any("<|endoftext|> na" in t or "<|endoftext|> «" in t for t in joined)
+    assert len(joined) <= 5  # 200 chunks in each
+
+
+def test_no_threads_beside_the_task(monkeypatch):
+    import os
+
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
+    TextEncoder(BYTE_VOCABULARY, "lead", kept=64)
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
+
+
+def test_words_that_end_in_zero_bytes_differ():
+    from basketry.llm.tokens import raw
+
+    found = ["a", "a\0", "abcdefg", "abcdefg\0", "abcdefg\0h", "a", "abcdefg\0"]
+    number, _ = PieceWords(PIECE_VOCABULARY, kept=32).numbers(*raw(pa.array([" ".join(found)], pa.large_string())))
+    assert [[x == y for y in number] for x in number] == [[x == y for y in found] for x in found]
