@@ -10,11 +10,16 @@ it shares a prefix token under every one of several orders.
    Documents of equal sets are one node from here on.
 2. Every order sorts by the class of the token's bucket (rare ones first, by
    powers of two) and then by a hash of its own, so common passages come into
-   no prefix of a document that has enough else.
+   no prefix of a document that has enough else.  The first class ends a few
+   deviations above the mean bucket, so common tokens stay out of it however
+   full the buckets are.
 3. :func:`prefixes`, shuffled by (order, token).  Nodes that share a token of
-   an order are a candidate pair of that order if their sizes allow; pairs that
-   are not candidates of every order go.  Tokens of common buckets, or with
-   more than ``GROUP`` nodes, make no pairs: their nodes are chained to one of
+   the first class in an order are a candidate pair of that order if their sizes
+   and the token's places allow; pairs that are not candidates of every order go.
+   A prefix that goes beyond the first class stands for :func:`signatures`
+   instead: all tokens of the set are dealt into more parts than linked sets
+   can have differences, so two of them have a part in common as a whole.  Nodes
+   of a signature (or of a token with too many for pairs) are chained to one of
    them.  Pairs and chains fall into connected classes, and every link lies
    within one.
 4. :func:`_verify`: the sets of a class meet once.  Inside, a breadth-first
@@ -30,6 +35,7 @@ Sets are made of 64-bit hashes, which are made anew from the text in each pass
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -49,10 +55,15 @@ ORDERS = 3
 #: Token counts are kept in 2^TABLE_BITS buckets, summed in chunks of 2^16.
 TABLE_BITS = 23
 _CHUNK_BITS = 16
-#: Most nodes of a token that are paired; buckets of up to as many
-#: occurrences, or twice the mean if that is more, are the first class.
+#: Most nodes of a token that are paired, and occurrences in a bucket of the
+#: first class.  Both rise with the mean bucket, see ``_first_class``.
 GROUP = 64
 FIRST_CLASS = 32
+#: Standard deviations above the mean at which the first class ends.
+_DEVIATIONS = 4
+#: Sizes from one band of sizes to the next; parts with fewer tokens are poor.
+_BAND = 1.4
+_POOR = 3
 #: Tokens of a block of a class of candidates.
 CLASS_TOKENS = 1 << 21
 #: Subgroups of the nodes of a common token.
@@ -61,6 +72,7 @@ SALTS = 16
 _REMEMBERED = 1 << 18
 #: Bits of the filter for the texts that are candidates (2 MB).
 _FILTER_BITS = 1 << 24
+_SIGNATURE_SEED = 1 << 20
 
 
 def prefix_size(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
@@ -111,12 +123,17 @@ def token_sets(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
     return map_batches(slim, run, f"k {kind}, h long, n long, node long, chunk int, counts binary")
 
 
-def _classes(sets: DataFrame) -> bytes:
+def _first_class(total: int) -> int:
+    """Most occurrences in a bucket of the first class, of ``total`` tokens: so
+    a token that is common beside the deviations of a full bucket is not in it."""
+    mean = total >> TABLE_BITS
+    return max(FIRST_CLASS, mean + _DEVIATIONS * math.isqrt(mean))
+
+
+def _classes(sets: DataFrame, first: int) -> bytes:
     """The class of each bucket, a byte each, compressed: 0 for buckets of up
-    to ``FIRST_CLASS`` tokens (or twice the mean), then one more for each
-    doubling.  At most 8 MB, whatever the input."""
-    total = sets.agg(F.sum("n").alias("n")).first()["n"] or 0
-    first = max(FIRST_CLASS, 2 * total >> TABLE_BITS)
+    to ``first`` tokens, then one more for each doubling.  At most 8 MB,
+    whatever the input."""
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         counts = np.zeros(1 << _CHUNK_BITS, np.int64)
@@ -149,9 +166,62 @@ def ordered_prefixes(tokens: np.ndarray, bounds: np.ndarray, level: np.ndarray,
         yield ranked[take], ends
 
 
+def least_common(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Tokens that sets of these sizes have in common at least if they link."""
+    return -(-percent * (n + m) // (100 + percent))
+
+
+def _bands(largest: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first size of each band; its parts; how many of these may be poor).
+    Linked sets lie in one band or in two neighbours.  Counted are the parts for
+    links whose smaller set is in the band: of at most d different tokens, d + 1
+    and the poor ones, so that one that is not poor is without a difference."""
+    edges = [1]
+    while edges[-1] <= largest:
+        edges.append(max(edges[-1] + 1, math.ceil(edges[-1] * max(_BAND, 100 / percent)), -(-edges[-1] * 100 // percent)))
+    top = np.array(edges[1:]) - 1
+    differ = (top + top * 100 // percent) * (100 - percent) // (100 + percent)
+    return np.array(edges), differ + 1 + differ // 16, differ // 16
+
+
+def signatures(tokens: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(signatures as tokens of class 1; the place of each one's set), some two
+    for every ten tokens.  Sets that link share one: a signature stands for all
+    tokens of a set in one of the parts of its band, or of the band below if it
+    can link with a set of that.  Parts of a few tokens say little and are left
+    out unless the set has many."""
+    n = np.diff(bounds)
+    edges, parts, poor = _bands(int(n.max(initial=1)), percent)
+    band = np.searchsorted(edges, n, side="right") - 1
+    own = np.flatnonzero(n)
+    below = own[(band[own] > 0) & (100 * (edges[band[own]] - 1) >= percent * n[own])]
+    out, sets = [], []
+    salt, pick = seeds(_SIGNATURE_SEED, 2)
+    for at, of in ((own, band[own]), (below, band[below] - 1)):
+        if not at.size:
+            continue
+        ends = np.cumsum(parts[of])
+        start, sizes = ends - parts[of], n[at]
+        stop = np.cumsum(sizes)
+        some = tokens[np.repeat(bounds[at] - (stop - sizes), sizes) + np.arange(stop[-1])]
+        cell = np.repeat(start, sizes) + (mix(some ^ pick) % np.repeat(parts[of], sizes).astype(np.uint64)).astype(np.int64)
+        held = np.bincount(cell, minlength=ends[-1])
+        whole = np.zeros(ends[-1], np.uint64)
+        np.add.at(whole, cell, mix(some ^ salt))
+        which = np.repeat(np.arange(at.size), parts[of])
+        few = held < _POOR
+        keep = ~few | (np.add.reduceat(few, start, dtype=np.int64) > poor[of])[which]
+        place = (of[which] << 32) + np.arange(ends[-1]) - start[which]
+        out.append((mix(whole + mix(place.astype(np.uint64) ^ salt))[keep] >> np.uint64(8)) | np.uint64(1 << 56))
+        sets.append(at[which[keep]])
+    return (np.concatenate(out), np.concatenate(sets)) if out else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+
 def prefixes(docs: DataFrame, text: str, size: int, classes, orders: int, percent: int) -> DataFrame:
-    """(ord: a bit per order, token, salt, node, n): the prefix tokens of every
-    distinct set (again where it is met again after many others, or in another task)."""
+    """(ord: a bit per order, token, salt, node, n: size, and above 32 bits the
+    token's place in the order): the prefix tokens of the first class of every
+    distinct set that can link (again where it is met again after many others,
+    or in another task), and the signatures of sets whose prefixes have others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = np.frombuffer(zlib.decompress(classes.value), np.uint8)
@@ -163,26 +233,41 @@ def prefixes(docs: DataFrame, text: str, size: int, classes, orders: int, percen
             for i, x in enumerate(nodes.tolist()):
                 if x not in met:
                     met.add(x)
-                    fresh[i] = bounds[i + 1] > bounds[i]
+                    held = bounds[i + 1] - bounds[i]
+                    fresh[i] = 100 * held >= percent * (held + 1)  # else it links with no other set
             if len(met) > _REMEMBERED:
                 met.clear()
             n = np.diff(bounds)
             tokens = tokens[np.repeat(fresh, n)]
             nodes, n = nodes[fresh], n[fresh]
             bounds = np.concatenate(([0], np.cumsum(n)))
+            beyond = np.zeros(n.size, bool)
             for k, (found, ends) in enumerate(ordered_prefixes(tokens, bounds, level, orders, percent)):
-                of = np.repeat(nodes, np.diff(ends))
-                salt = np.where(found >> np.uint64(56) > 0, of & (SALTS - 1), 0)
-                columns = [np.full(of.size, 1 << k, np.int8), found.view(np.int64), salt.astype(np.int8), of, np.repeat(n, np.diff(ends)).astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["ord", "token", "salt", "node", "n"])
+                of = np.repeat(np.arange(n.size), np.diff(ends))
+                place = np.arange(of.size) - ends[of]
+                first = found >> np.uint64(56) == 0
+                beyond[of[~first]] = True  # the same sets in every order
+                of = of[first]
+                yield rows_of(1 << k, found[first], nodes[of], n[of] | place[first] << 32)
+            if beyond.any():
+                few = tokens[np.repeat(beyond, n)]
+                found, of = signatures(few, np.concatenate(([0], np.cumsum(n[beyond]))), percent)
+                yield rows_of(1, found, nodes[beyond][of], n[beyond][of])
+
+    def rows_of(order: int, found: np.ndarray, of: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        salt = np.where(found >> np.uint64(56) > 0, of & (SALTS - 1), 0)
+        columns = [np.full(of.size, order, np.int8), found.view(np.int64), salt.astype(np.int8), of, n]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["ord", "token", "salt", "node", "n"])
 
-    return map_batches(docs.select(col(text).cast("string").alias("t")), run, "ord byte, token long, salt byte, node long, n int")
+    return map_batches(docs.select(col(text).cast("string").alias("t")), run, "ord byte, token long, salt byte, node long, n long")
 
 
 def _candidates(percent: int, limit: int):
-    """Rows sorted by (ord, token, salt, node) to edges (ord, a, b, token):
+    """Rows sorted by (ord, token, salt, node, n) to edges (ord, a, b, token):
     candidate pairs a < b with a null token; chains with the token where it is
-    common and salted (so that its subgroups' hubs can be chained), else 0."""
+    common and salted (so that its subgroups' hubs can be chained), else 0.
+    Sets whose first common token has so many others before it in one of them
+    that too few can be left are no pair."""
 
     def emit(ord_: np.ndarray, a: np.ndarray, b: np.ndarray, token: np.ndarray | None) -> pa.RecordBatch:
         marks = pa.nulls(a.size, pa.int64()) if token is None else pa.array(token, pa.int64())
@@ -229,8 +314,9 @@ def _candidates(percent: int, limit: int):
                 at = at[at + d < end[at]]
                 if not at.size:
                     break
-                n, m = rows[4, at], rows[4, at + d]
-                near = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+                (n, m), (i, j) = (rows[4, [at, at + d]] & 0xFFFFFFFF), (rows[4, [at, at + d]] >> 32)
+                least = least_common(n, m, percent)
+                near = (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (n - i >= least) & (m - j >= least)
                 yield emit(rows[0, at[near]], rows[3, at[near]], rows[3, at[near] + d], None)
 
     return run
@@ -244,7 +330,7 @@ def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | No
 def candidate_edges(postings: DataFrame, orders: int, percent: int, limit: int) -> DataFrame:
     """(a, b): edges whose connected classes hold every pair that shares a
     prefix token under all orders and may link by its sizes."""
-    dealt = postings.repartition("ord", "token", "salt").sortWithinPartitions("ord", "token", "salt", "node")
+    dealt = postings.repartition("ord", "token", "salt").sortWithinPartitions("ord", "token", "salt", "node", "n")
     edges = materialize(dealt.mapInArrow(_candidates(percent, limit), "ord byte, a long, b long, token long"), "candidates")
     pairs = edges.where("token is null").groupBy("a", "b").agg(F.bit_or("ord").alias("seen")).where(F.col("seen") == (1 << orders) - 1)
     chains = edges.where("token is not null")
@@ -355,12 +441,15 @@ def _filter_of(hashes: DataFrame) -> bytes:
 def links(docs: DataFrame, sets: DataFrame, key: str, text: str, size: int, percent: int, orders: int, limit: int, class_tokens: int) -> DataFrame:
     """(a, b): links between nodes that connect what all links connect."""
     share = docs.sparkSession.sparkContext.broadcast
-    classes = share(_classes(sets))
-    reached = components(candidate_edges(prefixes(docs, text, size, classes, orders, percent), orders, percent, limit))
+    first = _first_class(sets.agg(F.sum("n").alias("n")).first()["n"] or 0)
+    classes = share(_classes(sets, first))
+    # no token of the first class has more than ``first`` nodes, so by default none has too many for pairs
+    most = max(limit, limit * first // max(1, FIRST_CLASS))
+    reached = components(candidate_edges(prefixes(docs, text, size, classes, orders, percent), orders, percent, most))
     name = lambda c: F.when(c.isNull(), "-").otherwise(F.concat(F.lit("+"), c.cast("string")))
     rows = sets.where("chunk is null and n > 0")
-    first = rows.groupBy("node").agg(F.min(F.struct(name(F.col("k")).alias("name"), "h")).alias("at"), F.first("n").alias("n"))
-    members = materialize(reached.join(first, "node").select("node", "root", "at.name", "at.h", "n"), "members")
+    met_at = rows.groupBy("node").agg(F.min(F.struct(name(F.col("k")).alias("name"), "h")).alias("at"), F.first("n").alias("n"))
+    members = materialize(reached.join(met_at, "node").select("node", "root", "at.name", "at.h", "n"), "members")
     held = members.groupBy("root").agg(F.ceil(F.sum("n") / class_tokens).cast("int").alias("blocks"))
     wanted = share(_filter_of(members))
     texts = map_batches(docs.select(name(col(key)).alias("name"), F.xxhash64(col(text)).alias("h"), col(text).cast("string").alias("t")), _maybe_wanted(wanted), "name string, h long, t string")

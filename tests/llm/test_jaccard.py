@@ -156,3 +156,58 @@ def test_join_hot(spark):
     facts = rows.groupBy("k").count().selectExpr("k", "count AS n", "k * 10 AS v")
     got = join_hot(rows, facts, "k", "n").orderBy("i").collect()
     assert [(r["i"], r["v"]) for r in got] == [(i, 0 if i % 3 else i * 10) for i in range(4000)]
+
+
+def test_linked_sets_share_a_signature():
+    rng = np.random.default_rng(1)
+    linked = 0
+    for _ in range(1500):
+        percent = int(rng.choice([60, 90, 90, 97]))
+        n = int(rng.integers(1, rng.choice([30, 300, 3000])))
+        a = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        keep, more = rng.random(n) > rng.choice([0, 0.03, 0.08]), rng.integers(0, 1 << 63, int(rng.integers(0, 2 + n // 12)))
+        b = np.concatenate((a[keep], more.astype(np.uint64)))
+        common = int(keep.sum())
+        if not b.size or 100 * common < percent * (n + b.size - common):
+            continue
+        linked += 1
+        found, of = J.signatures(np.concatenate((a, b)), np.array([0, n, n + b.size]), percent)
+        assert (found >> np.uint64(56) == 1).all() and np.intersect1d(found[of == 0], found[of == 1]).size
+        alone = J.signatures(b, np.array([0, b.size]), percent)[0]
+        assert sorted(alone.tolist()) == sorted(found[of == 1].tolist())
+        assert found.size < 60 + 0.3 * 100 / percent * (n + b.size) * (100 - percent) / 10
+    assert linked > 500
+
+
+def test_common_tokens_make_no_class_of_all(spark, make_docs):
+    """Texts of common passages alone, put together anew in each: no giant class."""
+    import zlib
+
+    rng = random.Random(4)
+    passages = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(12)) for _ in range(40)]
+    rows = [(i, " ".join(rng.sample(passages, 6))) for i in range(600)]
+    rows += [(1000 + i, text.replace(text.split()[0], "other", 1)) for i, text in rows[:5]]
+    classes = spark.sparkContext.broadcast(zlib.compress(np.ones(1 << J.TABLE_BITS, np.uint8).tobytes(), 1))
+    docs = make_docs(rows, extra=False)
+    edges = J.candidate_edges(J.prefixes(docs, "text", 3, classes, 3, 90), 3, 90, 64).distinct().collect()
+    reached = {x for e in edges for x in (e["a"], e["b"])}
+    assert 10 <= len(reached) < 300
+    assert run(docs) == brute(rows)
+
+
+def test_first_class_of_full_buckets():
+    """A token with a hundred occurrences is not among the rare ones, however many tokens there are."""
+    assert J._first_class(0) == J.FIRST_CLASS
+    assert 176 < J._first_class(176 << J.TABLE_BITS) <= 176 + 60
+
+
+def test_pairs_need_enough_tokens_after_the_first_common_one():
+    def pairs(rows):
+        columns = np.array(rows, np.int64).T
+        batch = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["ord", "token", "salt", "node", "n"])
+        return {(a, b) for out in J._candidates(90, 4)(iter([batch])) for a, b in zip(out.column(1).to_pylist(), out.column(2).to_pylist())}
+
+    # two sets of 100 link with 95 common tokens or more, so five others may come before
+    assert pairs([(1, 7, 0, 1, 100 | 5 << 32), (1, 7, 0, 2, 100 | 5 << 32)]) == {(1, 2)}
+    assert pairs([(1, 7, 0, 1, 100 | 6 << 32), (1, 7, 0, 2, 100)]) == set()
+    assert pairs([(1, 7, 0, 1, 100 | 10 << 32), (1, 7, 0, 2, 90)]) == {(1, 2)}
