@@ -18,15 +18,18 @@ from pyspark.ml.feature import HashingTF, Tokenizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
+from basketry.operators.text import sparse_parts
 from basketry.schema import FEATURE_COLUMNS
 
 
 #: Settings of a grid search that are fitted at the same time, unless given.
 PARALLEL_FITS = 8
+#: Percentage of the memory for persisted data that fits running together may fill.
+STORAGE_PERCENT = 90
 
 
 def assembler(input_cols: Sequence[str] = FEATURE_COLUMNS, out: str = "features") -> VectorAssembler:
@@ -139,13 +142,43 @@ def text_classifier(text: str = "text", num_features: int = 10_000, max_iter: in
     return Pipeline(stages=[tok, tf, lr]), tf, lr
 
 
+def training_bytes(data: DataFrame, num_folds: int, features: str = "features") -> int:
+    """Bytes that a fit on all folds but one keeps, about: an int and a double
+    for each value of the sparse ``features``, a pointer and a label per row."""
+    size = F.size(sparse_parts(features)["values"])
+    total = data.agg(F.sum(12 * size.cast("bigint") + 12).alias("n")).first()["n"] or 0
+    return total * (num_folds - 1) // num_folds
+
+
+def storage_bytes(spark: SparkSession) -> int:
+    """Memory that the executors have for persisted data."""
+    context = spark.sparkContext._jsc.sc()
+    status = context.getExecutorMemoryStatus()
+    most, it = {}, status.iterator()
+    while it.hasNext():
+        entry = it.next()
+        most[entry._1()] = entry._2()._1()
+    if len(most) > 1:  # the driver has an entry, but runs tasks only where it is alone
+        most.pop(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().blockManagerId().hostPort(), None)
+    return sum(most.values())
+
+
+def fits_at_a_time(spark: SparkSession, training: int, most: int) -> int:
+    """How many of ``most`` fits on ``training`` bytes run together.  Each
+    persists its own rows for its hundreds of evaluations; rows beyond the
+    memory would be read from disk in every one of these.  At least one."""
+    return max(1, min(most, STORAGE_PERCENT * storage_bytes(spark) // 100 // max(1, training)))
+
+
 def out_of_fold(data: DataFrame, lr: LogisticRegression, grid: Sequence[dict], fold: str, num_folds: int, parallelism: int = PARALLEL_FITS) -> DataFrame:
     """(setting, fold, label, score): every row of ``data`` (label, features,
     fold) scored, for every setting of ``grid``, by the model that was fitted on
     the other folds.  ``score`` is the margin.  ``parallelism`` models are
-    fitted at a time, each by a distributed job; the scoring of all is one."""
+    fitted at a time, or as many as there is memory for (``fits_at_a_time``),
+    each by a distributed job; the scoring of all is one."""
     spark = data.sparkSession
     tasks = [(k, i) for k in range(num_folds) for i in range(len(grid))]
+    parallelism = fits_at_a_time(spark, training_bytes(data, num_folds), parallelism)
 
     def fit(task: tuple[int, int]) -> LogisticRegressionModel:
         return lr.copy(grid[task[1]]).fit(data.where(F.col(fold) != task[0]))

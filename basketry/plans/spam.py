@@ -35,6 +35,8 @@ from basketry.session import materialize
 # Grid settings of the two searches.
 SPAM_FEATURES, SPAM_ITERATIONS = (10_000, 20_000), (100, 200)
 SAMPLE_FEATURES, SAMPLE_REG_PARAMS = (10, 100, 1000), (0.1, 0.01)
+#: Partitions a core of training data that fills the memory.
+SPLITS = 3
 
 
 def with_folds(corpus: DataFrame, num_folds: int, key: str = "doc_id", column: str = "fold") -> DataFrame:
@@ -57,12 +59,12 @@ def hashed_corpus(corpus: DataFrame, stages: Sequence, keep: Sequence[str] = (),
     return rows.select(*dict.fromkeys(["doc_id", *keep]), "features").join(labels, "doc_id").select(*keep, "label", "features")
 
 
-def for_fits(data: DataFrame) -> DataFrame:
-    """``data`` in at most one partition a core, all its rows.  Every
+def for_fits(data: DataFrame, per_core: int = 1) -> DataFrame:
+    """``data`` in at most ``per_core`` partitions a core, all its rows.  Every
     evaluation of an optimiser is a job over all partitions, and each task
     reports to the driver: with partitions by input size these reports, times
     hundreds of evaluations, come to outweigh the gradients (one each)."""
-    return data.coalesce(data.sparkSession.sparkContext.defaultParallelism)
+    return data.coalesce(per_core * data.sparkSession.sparkContext.defaultParallelism)
 
 
 def train_text_model(corpus: DataFrame, text: str = "text", num_features: int = 10_000, max_iter: int = 100, labels: DataFrame | None = None) -> PipelineModel:
@@ -115,7 +117,8 @@ def text_grid(
 
     The text is tokenised and hashed once per number of features; label,
     sparse vector and fold are persisted for the folds x settings fits and
-    released before the next.  All held-out scores go to one table, from which
+    released before the next: on disk, since a fit reads them a few times, and
+    its own copy, for which it needs the memory, in every evaluation.  All held-out scores go to one table, from which
     the AUC of every setting and fold comes at once (``ml.grouped_auc``)
     instead of by a job each.  Folds are fixed by the data (a hash of
     ``fold_key``, or of the text), so a result does not depend on partitions or
@@ -125,18 +128,21 @@ def text_grid(
     folded = with_folds(corpus.where(F.col(text).isNotNull()), num_folds, fold_key or text)
     tables = []
 
-    def hashed(n: int) -> tuple[list, LogisticRegression, list[dict], DataFrame]:
+    def hashed(n: int) -> tuple[list, LogisticRegression, list[dict], DataFrame, DataFrame]:
         pipe, tf, lr = ml.text_classifier(text, n, max_iter)
         stages = [pipe.getStages()[0], tf]
         grid = [{lr.getParam(name): v for name, v in zip(lr_grid, setting)} for setting in values]
-        return stages, lr, grid, for_fits(hashed_corpus(folded, stages, ["fold"], text, labels)).persist(StorageLevel.MEMORY_AND_DISK)
+        kept = for_fits(hashed_corpus(folded, stages, ["fold"], text, labels), SPLITS).persist(StorageLevel.DISK_ONLY)
+        # a partition is in memory as a whole or not at all
+        tight = ml.fits_at_a_time(kept.sparkSession, ml.training_bytes(kept, num_folds), 2) < 2
+        return stages, lr, grid, kept, kept if tight else for_fits(kept)
 
     for n in num_features:
-        _, lr, grid, data = hashed(n)
+        _, lr, grid, kept, data = hashed(n)
         try:
             tables.append(materialize(ml.out_of_fold(data, lr, grid, "fold", num_folds, parallelism).select(F.lit(n).alias("num_features"), "*"), "out-of-fold"))
         finally:
-            data.unpersist()
+            kept.unpersist()
     scores = reduce(DataFrame.union, tables)
     found = {(r["num_features"], r["setting"], r["fold"]): r for r in ml.grouped_auc(scores, ["num_features", "setting", "fold"]).collect()}
     rows, folds = [], []
@@ -146,11 +152,11 @@ def text_grid(
         known = [r["auc"] for _, r in own if r["auc"] is not None]
         rows.append((n, *setting, sum(known) / len(known) if known else 0.0))
     top = max(range(len(rows)), key=lambda i: (rows[i][-1], -i))
-    stages, lr, grid, data = hashed(rows[top][0])
+    stages, lr, grid, kept, data = hashed(rows[top][0])
     try:
         best = PipelineModel(stages=[*stages, lr.copy(grid[top % len(values)]).fit(data)])
     finally:
-        data.unpersist()
+        kept.unpersist()
     return TextGrid(rows, best, folds, scores)
 
 

@@ -213,3 +213,44 @@ def test_sample_grid_on_inline_texts(spark):
     assert len(grid.rows) == 6
     pred = {r.id: r.prediction for r in grid.best.transform(test).collect()}
     assert pred == {4: 1.0, 5: 0.0, 6: 1.0, 7: 0.0}
+
+
+def test_fits_at_a_time_by_memory(spark):
+    """No more fits together than the memory holds the training data of, one at least."""
+    room = ml.storage_bytes(spark)
+    assert room > 1 << 20
+    assert [ml.fits_at_a_time(spark, n, 8) for n in (0, 1, room // 4, room // 2, room, 20 * room)] == [8, 8, 3, 1, 1, 1]
+    assert ml.fits_at_a_time(spark, 1, 2) == 2
+
+
+def test_grid_with_little_memory_fits_one_at_a_time(spark, monkeypatch):
+    """Each fit keeps its own rows in memory: with room for those of one, fits
+    run one after the other, on smaller partitions, with the same results."""
+    import threading
+
+    from pyspark.ml.classification import LogisticRegression
+
+    corpus = load_corpus(spark, "/root/testdata/sf0.001").repartition(4 * spark.sparkContext.defaultParallelism)
+    grid = lambda: spam.spam_grid_search(corpus, num_features=(100,), max_iters=(2, 4), fold_key="doc_id")
+    before = grid()
+    lock, running, together, parts = threading.Lock(), [], [], set()
+
+    def fit(self, data, *rest, own=LogisticRegression.fit):
+        with lock:
+            running.append(1)
+            together.append(len(running))
+            parts.add(data.rdd.getNumPartitions())
+        try:
+            return own(self, data, *rest)
+        finally:
+            with lock:
+                running.pop()
+
+    monkeypatch.setattr(LogisticRegression, "fit", fit)
+    monkeypatch.setattr(ml, "storage_bytes", lambda _: 1000, raising=False)
+    after = grid()
+    assert max(together) == 1 and len(together) == 7
+    assert max(parts) > spark.sparkContext.defaultParallelism
+    assert [r[:2] for r in after.rows] == [r[:2] for r in before.rows]
+    assert all(abs(x[2] - y[2]) < 1e-9 for x, y in zip(before.rows, after.rows))
+    assert not spark.sparkContext._jsc.sc().getPersistentRDDs().size()
